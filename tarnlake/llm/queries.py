@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, decontam, line_dedup, mixing, warc
+from tarnlake.llm import chat, decontam, langid, line_dedup, mixing, mtree, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,13 @@ FROM d JOIN s ON s.doc_id = d.doc_id
 """
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.identify(docs.select("doc_id", "text"), langid.train(docs))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the mix of all sources, weighted by the square root of their rows."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
@@ -84,6 +91,26 @@ FROM o JOIN n USING (pair_id) GROUP BY pair_id
 """
 
 
+def op8_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products of every vector whose id is divisible by 20, among all others."""
+    return mtree.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint of three-word shingles, and its component of fingerprints that differ in two bits or fewer."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside windows of benchmark items."""
     out = decontam.mark_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -109,8 +136,11 @@ FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
+    "op3_langid": op3_langid,
     "op4_mixing": op4_mixing,
     "op5_preferences": op5_preferences,
+    "op8_mtree": op8_mtree,
+    "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
 }
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op10_decontam": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL}
