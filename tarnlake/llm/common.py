@@ -35,13 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{path.rstrip('/')}/tarnlake-{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage at a copy that every executor can reach, so a lost executor costs a re-read and not a recomputation.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -120,7 +121,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     """64-bit hash of each word's bytes, whatever its place: polynomial prefix sums, then :func:`mix`."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    base = mix(np.array([seed + 1], np.uint64))[0] * np.uint64(2) + _BASE
+    base = np.uint64((int(mix(np.array([seed + 1], np.uint64))[0]) * 2 + int(_BASE)) & 0xFFFFFFFFFFFFFFFF)
     length = ends - starts
     out = np.zeros(len(starts), np.uint64)
     top = int(length.max())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, decontam, langid, line_dedup, mixing, mtree, simhash, warc
+from tarnlake.llm import chat, decontam, langid, line_dedup, mixing, mtree, simhash, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +91,25 @@ FROM o JOIN n USING (pair_id) GROUP BY pair_id
 """
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that windows of 13 words of smaller documents cover."""
+    out = substring.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, s, array_to_string(list_slice(w, s, s + 12), ' ') AS x FROM d, unnest(range(1, len(w) - 11)) AS t(s)),
+f AS (SELECT x, min(doc_id) AS least FROM g GROUP BY x HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT g.doc_id, s + k AS i FROM g JOIN f ON f.x = g.x AND g.doc_id > f.least, unnest(range(0, 13)) AS t(k)),
+k AS (SELECT d.doc_id, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+s AS (SELECT k.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY k.i) FILTER (WHERE c.i IS NULL) AS kept
+      FROM k LEFT JOIN c ON c.doc_id = k.doc_id AND c.i = k.i GROUP BY k.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+
 def op8_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every vector whose id is divisible by 20, among all others."""
     return mtree.top_k(_table(spark, sf_dir, "embeddings"))
@@ -139,8 +158,9 @@ QUERIES: dict[str, Query] = {
     "op3_langid": op3_langid,
     "op4_mixing": op4_mixing,
     "op5_preferences": op5_preferences,
+    "op6_substring": op6_substring,
     "op8_mtree": op8_mtree,
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
 }
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL}
