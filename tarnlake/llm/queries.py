@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, decontam, langid, line_dedup, mixing, mtree, simhash, substring, warc
+from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, simhash, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +110,12 @@ FROM d LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document scored by word counts and by the attention model, both learned from the other four folds."""
+    out = lm.score_texts(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", lm.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every vector whose id is divisible by 20, among all others."""
     return mtree.top_k(_table(spark, sf_dir, "embeddings"))
@@ -159,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op5_preferences": op5_preferences,
     "op6_substring": op6_substring,
+    "op7_lm": op7_lm,
     "op8_mtree": op8_mtree,
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
