@@ -87,6 +87,16 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def text_parts(offsets: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of texts, in order, of about ``limit`` bytes each and at least one text."""
+    out, done = [], 0
+    while done < len(offsets) - 1:
+        upto = max(done + 1, int(np.searchsorted(offsets, offsets[done] + limit, side="right")) - 1)
+        out.append((done, upto))
+        done = upto
+    return out
+
+
 def scan_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the index of each text's first word (one more than texts)."""
     if not len(data):

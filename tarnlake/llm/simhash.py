@@ -8,12 +8,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import fold_case, free_name, row_key, scan_words, stage, text_buffer
+from tarnlake.llm.common import fold_case, free_name, row_key, scan_words, stage, text_buffer, text_parts
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Fingerprints of one BK-tree. Larger groups are cut into shards of about this many, and every shard's tree meets every part of its group.
 TREE_ROWS = 4_096
-_BITS_AT_ONCE = 1 << 17
+_BITS_AT_ONCE, _PART_BYTES = 1 << 16, 1 << 20
 
 
 class BKTree:
@@ -92,7 +92,9 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> Da
         import pyarrow as pa
 
         for batch in batches:
-            fp = text_fingerprints(*text_buffer(batch.column(batch.num_columns - 1)), shingle).view(np.int64)
+            data, offsets = text_buffer(batch.column(batch.num_columns - 1))
+            parts = [text_fingerprints(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle) for a, b in text_parts(offsets, _PART_BYTES)]
+            fp = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fp)], names=[*keep, "fp"])
 
     fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
