@@ -71,6 +71,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def others(df: DataFrame, *new: str) -> list[str]:
+    """Columns of ``df`` that an operator passes on beside its own ``new`` ones. One with a new column's name is replaced."""
+    taken = {n.lower() for n in new}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def packed(df: DataFrame, *used: str) -> DataFrame:
+    """The columns ``used``, and all others in one struct ``_row``, so that no column clashes with an operator's own. :func:`unpacked` undoes it."""
+    rest = [F.col(f"`{c}`") for c in others(df, *used)] or [F.lit(0).alias("_none")]
+    return df.select(*used, F.struct(*rest).alias("_row"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns that a table had before :func:`packed`, with ``new`` values for some."""
+    kept = {c.lower() for c in df.columns}
+    return df.select(*[new.get(c, F.col(c) if c.lower() in kept else F.col(f"_row.`{c}`")).alias(c) for c in columns])
+
+
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets (one more than rows) of an Arrow string or binary array; null is empty."""
     import pyarrow as pa

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import free_name, lower_ascii, stage
+from tarnlake.llm.common import free_name, lower_ascii, others, stage
 
 WINDOW = 13
 #: Word tables up to this many bytes are broadcast; beyond it the same joins shuffle.
@@ -37,7 +37,7 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW)
 
     A word is hit if it is inside any occurrence of an item window; a document is contaminated if words are hit and they are a twentieth of
     its words or more. Null text has no words. Rows of ``items`` with null text, or no word, have no window; a null item_id counts in hits, not among the ids. Repeated
-    rows are each judged on their own.
+    rows are each judged on their own. Other columns pass through, but for any of these five names.
 
     A window is contained in a document only if its rarest word is, so with words ordered by rarity in ``docs`` its prefix is one word. Documents
     are joined on those words alone; then lengths and positions bound where the window can stand, and the words there are compared.
@@ -64,7 +64,7 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW)
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"]))))
     n_words, n_hit = F.size(words).cast("long"), F.size(at).cast("long")
     return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"`{c}`") for c in others(docs, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")],
         n_words.alias("n_words"),
         n_hit.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),

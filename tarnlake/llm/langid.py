@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import free_name, text_buffer
+from tarnlake.llm.common import free_name, others, text_buffer
 
 HIDDEN = 8
 #: Bytes of a segment; both directions start afresh in each. Segments that run side by side.
@@ -174,9 +174,10 @@ def identify(docs: DataFrame, model: ByteGRU | None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, from the whole text alone.
 
     Null text, text without a letter, and any text where there was nothing to learn from: ``und`` with score 0. Repeated rows get equal
-    results; other columns pass through.
+    results; other columns pass through, but for any of these two names.
     """
     spark = docs.sparkSession
+    docs = docs.select(*[F.col(f"`{c}`") for c in others(docs, "lang_pred", "score")])
     text, letter = free_name(docs, "_text"), free_name(docs, "_letter")
     shared = spark.sparkContext.broadcast(model)
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import free_name, row_key, stage
+from tarnlake.llm.common import free_name, others, row_key, stage
 
 WINDOW = 3
 
@@ -44,14 +44,14 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, and the columns ``n_lines`` and ``n_removed``.
 
     Null text stays null and has 0 lines; rows equal in doc_id and text are one document that occurs twice, and keep the same lines.
-    Other columns pass through.
+    Other columns pass through, but for any of these two names. A document of which nothing is left has an empty text.
     """
     key, gone = (free_name(docs, x) for x in ("_key", "_gone"))
     marks = repeated_lines(docs, window).withColumnRenamed("key", key).withColumnRenamed("gone", gone)
     out = docs.withColumn(key, row_key("doc_id", "text")).join(marks, key, "left")
     kept = F.pandas_udf(_without, "string")(F.when(F.col(gone).isNotNull(), F.col("text")), gone)
     return out.select(
-        *[F.coalesce(kept, F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[F.coalesce(kept, F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in others(docs, "n_lines", "n_removed")],
         F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.array_size(gone), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -8,7 +8,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import free_name
+from tarnlake.llm.common import free_name, others
 
 BLOCK_ROWS = 64
 #: Slots of one period: weights are rounded to multiples of 1 / PERIOD.
@@ -65,11 +65,12 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power:
 
     Sorted by ``mix_index``, every prefix of slots holds each source to within one block of its weight, until a source ends; after that the
     others keep their own slots. Every row is kept. ``weights`` must name every source; without it a source weighs its rows to ``power``. Null and empty
-    sources are one source. Within a source rows follow a hash of (doc_id, text), so blocks are shuffled; equal rows are interchangeable.
+    sources are one source. Within a source rows follow a hash of (doc_id, text), so blocks are shuffled; equal rows are interchangeable. Columns of the three names are replaced.
 
     Ranks come from counts of (source, hash group) and a sort inside each group, so no task sorts a whole source.
     """
     spark = docs.sparkSession
+    docs = docs.select(*[F.col(f"`{x}`") for x in others(docs, "mix_block", "mix_slot", "mix_index")])
     src, h, grp, ahead, c, j, rank = (free_name(docs, x) for x in ("_src", "_hash", "_group", "_ahead", "_quanta", "_turn", "_rank"))
     keyed = docs.withColumn(src, F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn(h, F.xxhash64("doc_id", "text"))
     found = {r[0]: r[1] for r in keyed.groupBy(src).count().limit(MAX_SOURCES + 1).collect()}
