@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm import decontam, langid, line_dedup, mixing, simhash
-from tarnlake.llm.common import stage
+from tarnlake.llm.common import packed, stage, unpacked
 
 #: Least mean probability of the predicted language. A text without a letter has score 0.
 LEAST_SCORE = 0.3
@@ -18,15 +18,15 @@ LEAST_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language can be told stay. Rejected: null, no letter, or a score below LEAST_SCORE."""
-    marked = langid.identify(docs, langid.train(docs))
-    return marked.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = langid.identify(packed(docs, "text"), langid.train(docs))
+    return unpacked(marked.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score"), docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that later copies of three-line windows cover go, and with them documents of which no other line is left. ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(packed(docs, "doc_id", "text"))
     out = out.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
-    return out.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(out.drop("n_lines", "n_removed"), docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    marked = decontam.mark_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return marked.where(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = decontam.mark_contamination(packed(docs, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return unpacked(marked.where(~F.col("contaminated")).select("doc_id", "text", "_row"), docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
