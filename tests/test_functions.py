@@ -1,0 +1,97 @@
+"""Column expressions and small pure functions, against plain Python."""
+
+from urllib.parse import urlparse
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tarnlake.functions import columns as fn
+from tarnlake.functions.rates import Rate, bounds, enough_time, wants_retry
+
+
+def _column(spark, rows, schema, expr):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(expr).collect()]
+
+
+def test_server_name(spark):
+    urls = ["http://a.org:8080/x", "https://u:p@H.org/", "HTTP://[::1]:9/p", "//cdn.org/x", "a.org/x", "", "http://h.org/a b|c", " http://l.org/x", "http://t\tab.org/x", "http://b\\s.org/", "ftp://f.org?q", "http://h.org#f", "mailto:x@y"]
+    got = _column(spark, [(u,) for u in [*urls, None]], "u string", fn.server_name(F.col("u")))
+    assert got == [urlparse(u).netloc for u in urls] + [None]
+
+
+def test_stable_id(spark):
+    rows = [("a", "b"), ("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("n", None)]
+    got = _column(spark, rows, "a string, b string", fn.stable_id(F.col("a"), F.col("b")))
+    assert got[0] == got[1] and len(set(got)) == 5 and all(len(x) == 36 for x in got)
+
+
+def test_licence(spark):
+    rows = [("l", "s", "t"), ("l", "", "t"), (None, "s", "t")]
+    got = _column(spark, rows, "l string, s string, t string", fn.is_license_full(F.col("l"), F.col("s"), F.col("t")))
+    assert got == [True, False, False]
+    assert _column(spark, [("x",), ("",), (None,)], "x string", fn.or_placeholder(F.col("x"))) == ["x", "Not provided", "Not provided"]
+
+
+def test_rules(spark):
+    got = _column(spark, [(i,) for i in (0, 1, 2, 3, 9, 10, 99, None)], "n int", fn.first_threshold(F.col("n"), {3: 2, 1: 1, 10: 4}))
+    assert got == [None, 1, 1, 2, 2, 4, 4, None]
+
+
+def test_modulo_or_zero(spark):
+    assert _column(spark, [(5, 3), (5, 0), (None, 2)], "a int, b int", fn.modulo_or_zero(F.col("a"), F.col("b"))) == [2, 0, 0]
+
+
+def test_target_size(spark):
+    cases = [(10, 10, 20), (20, 20, 20), (40, 20, 20), (20, 41, 20), (1000, 1, 20), (33, 47, 20)]
+
+    def plain(h, w, m):
+        if h <= m and w <= m:
+            return [h, w]
+        return [m, int(w * (m / h))] if h > w else [int(h * (m / w)), m]
+
+    for h, w, m in cases:
+        assert _column(spark, [(h, w)], "h long, w long", fn.target_size(F.col("h"), F.col("w"), m)) == [plain(h, w, m)]
+
+
+def test_pixels_intact(spark):
+    import hashlib
+
+    px = bytes(range(12))
+    md5 = hashlib.md5(px).hexdigest()
+    rows = [(px, [2, 2], md5), (px[:-1] + b"x", [2, 2], md5), (px, [3, 2], md5), (px, None, md5), (b"", [0, 5], hashlib.md5(b"").hexdigest()), (px, [], md5), (None, [2, 2], md5)]
+    got = _column(spark, rows, "i binary, s array<long>, m string", fn.pixels_intact(F.col("i"), F.col("s"), F.col("m")))
+    assert got == [True] + [False] * 6
+
+
+def test_small_sides(spark):
+    got = _column(spark, [([5, 9],), ([4, 9],), ([],), (None,)], "s array<long>", fn.min_side_below(F.col("s"), 5))
+    assert got == [False, True, None, None]
+
+
+def test_padded(spark):
+    assert _column(spark, [(7,), (1234,), (123456,)], "n int", fn.padded(F.col("n"))) == ["0007", "1234", "123456"]
+
+
+def test_retries():
+    assert wants_retry(429, 4) and not wants_retry(429, 5) and wants_retry(-1, 1) and not wants_retry(404, 1) and not wants_retry(-2, 1) and not wants_retry(505, 1)
+
+
+def test_time():
+    assert enough_time(10, 1600) and not enough_time(10, 1599)
+
+
+@given(st.floats(1, 1000), st.floats(0, 3), st.lists(st.one_of(st.none(), st.floats(0, 10)), max_size=30))
+def test_rate_stays_in_bounds(start, multiplier, events):
+    low, high = bounds(start, multiplier)
+    assert 1 <= low <= start and low <= max(high, start)
+    rate = Rate(start, low, max(high, start))
+    for e in events:
+        rate.retried() if e is None else rate.succeeded(e)
+        assert rate.low <= rate.value <= rate.high
+
+
+def test_rate_rejects_negative_multiplier():
+    with pytest.raises(ValueError):
+        bounds(10, -1)
