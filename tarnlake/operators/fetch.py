@@ -140,7 +140,8 @@ _COLUMNS = [x.strip().split(" ")[0] for x in _OUT.split(", ")]
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    return pd.DataFrame(rows).reindex(columns=_COLUMNS).astype({"error_code": "Int32", "retry_count": "Int32"})
+    """Rows as Arrow-ready columns; what a row lacks is None."""
+    return pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype="Int32" if c in ("error_code", "retry_count") else object) for c in _COLUMNS})
 
 
 def split_results(fetched: DataFrame) -> tuple[DataFrame, DataFrame]:

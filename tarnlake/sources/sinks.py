@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_url_batches(df: DataFrame, path: str) -> None:
@@ -26,7 +29,7 @@ def append_downloads(rows: DataFrame, path: str) -> None:
 class VersionedTable:
     """A table whose rewrite reads version n and writes version n + 1; a pointer file then names the new one.
 
-    The pointer is renamed into place after the data are complete, so readers see the old or the new version, and a partition that lost all of its rows is gone.
+    The pointer, which also holds the schema, is renamed into place after the data are complete, so readers see the old or the new version, and a partition that lost all of its rows is gone.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -37,21 +40,26 @@ class VersionedTable:
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
+    def _current(self) -> tuple[int, str]:
+        """Version and schema that the pointer names; 0 where nothing was written."""
+        if not self._files.exists(self._path("CURRENT")):
+            return 0, ""
+        version, _, schema = self.spark.read.text(f"{self.root}/CURRENT", wholetext=True).head()[0].partition("\n")
+        return int(version), schema
+
     def version(self) -> int:
-        """The current version; 0 where nothing was written."""
-        if not self._files.exists(self._path("_current")):
-            return 0
-        return int(self.spark.read.text(f"{self.root}/_current").head()[0])
+        return self._current()[0]
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/v={self.version()}")
+        version, schema = self._current()
+        return self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{self.root}/v={version}")
 
     def write(self, df: DataFrame, *partition_by: str) -> int:
         version = self.version() + 1
         df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.root}/v={version}")
-        stream = self._files.create(self._path("_next"), True)
-        stream.writeBytes(f"{version}\n")
+        stream = self._files.create(self._path("NEXT"), True)
+        stream.write(bytearray(f"{version}\n{df.schema.json()}".encode()))
         stream.close()
-        self._files.delete(self._path("_current"), False)
-        self._files.rename(self._path("_next"), self._path("_current"))
+        self._files.delete(self._path("CURRENT"), False)
+        self._files.rename(self._path("NEXT"), self._path("CURRENT"))
         return version

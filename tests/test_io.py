@@ -1,0 +1,79 @@
+"""Sources and sinks."""
+
+import pytest
+
+from tarnlake.operators import recipes, tools
+from tarnlake.sources import sinks, tables
+
+
+def test_separators():
+    assert [tables.sniff_separator(x) for x in ("a\tb,c", "a,b c", "a b|c", "a|b;c", "a;b")] == ["\t", ",", " ", "|", ";"]
+    with pytest.raises(ValueError):
+        tables.sniff_separator("alone")
+
+
+@pytest.mark.parametrize("kind,sep", [("csv", ","), ("tsv", "\t"), ("txt", "|"), ("txt", "\t")])
+def test_load_delimited(spark, tmp_path, kind, sep):
+    path = tmp_path / f"t.{kind}"
+    path.write_text(f"a{sep}b\n1{sep}x\n{sep}y\n")
+    df = tables.load_table(spark, str(path))
+    assert df.dtypes == [("a", "string"), ("b", "string")] and sorted(map(tuple, df.collect()), key=repr) == [("1", "x"), (None, "y")]
+    assert tables.load_table(spark, str(path), "a int, b string").dtypes[0] == ("a", "int")
+
+
+def test_load_other(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    assert tables.load_table(spark, str(tmp_path / "t.parquet")).count() == 3
+
+
+def test_side_inputs(spark, tmp_path):
+    assert tables.optional_csv(spark, "", "server_name string").count() == 0
+    (tmp_path / "i.csv").write_text("ServerName\na\na\nb\n")
+    assert sorted(r[0] for r in tables.ignored_servers(spark, str(tmp_path / "i.csv")).collect()) == ["a", "b"]
+    (tmp_path / "j.csv").write_text("other\na\n")
+    with pytest.raises(ValueError):
+        tables.ignored_servers(spark, str(tmp_path / "j.csv"))
+    assert tables.csv_folder(spark, str(tmp_path / "none"), "a string").count() == 0
+
+
+def test_url_batches_with_ports(spark, tmp_path):
+    rows = spark.createDataFrame([("h:80", 0, "u"), ("g", 1, "v")], "server_name string, partition_id int, identifier string")
+    sinks.write_url_batches(rows, str(tmp_path / "b"))
+    back = tables.url_batches(spark, str(tmp_path / "b"), ["h:80"])
+    assert [tuple(r) for r in back.select("server_name", "partition_id", "identifier").collect()] == [("h:80", 0, "u")]
+
+
+def test_versions(spark, tmp_path):
+    """A rewrite may read what it replaces, and a partition that lost all rows is gone."""
+    table = sinks.VersionedTable(spark, f"file://{tmp_path}/t")
+    assert table.version() == 0
+    table.write(spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "p string, v int"), "p")
+    assert table.write(table.read().where("p = 'b' and v > 2"), "p") == 2
+    assert [(r["p"], r["v"]) for r in table.read().collect()] == [("b", 3)]
+
+
+def test_registries():
+    with pytest.raises(ValueError):
+        recipes.get_recipe("none")
+    with pytest.raises(ValueError):
+        recipes.recipe("gbif")(None)
+    with pytest.raises(ValueError):
+        tools.get_tool("none")
+    with pytest.raises(ValueError):
+        tools.tool("size_based")(None)
+    assert tools.get_tool("mine", {"mine": len}) is len
+    assert {"gbif", "fathom_net", "lila", "eol", "tol200m_general", "tol200m_fathomNet"} <= set(recipes.RECIPES)
+
+
+def test_gbif_nulls(spark):
+    rows = [("1", "u", "StillImage", None, "X"), ("2", "u", None, "image/png", "X"), ("3", "u", None, None, "X"), ("4", "u", "StillImage", None, None), ("5", None, "StillImage", None, "X"), ("6", "u", "Sound", "image/png", "X"), ("7", "u", "StillImage", None, "A MATERIAL_CITATION")]
+    raw = spark.createDataFrame(rows, "gbifID string, identifier string, type string, format string, basisOfRecord string")
+    assert sorted(r["source_id"] for r in recipes.gbif(raw).collect()) == ["1", "2"]
+
+
+def test_duplicates_with_nulls_and_ties(spark):
+    rows = [("a", "s", "h1", 1, "x"), ("b", "s", "h1", 0, "x"), ("c", "s", "h1", 0, "x"), ("d", "s", None, 0, "x"), ("e", "s", None, 0, "x"), ("f", "s", "h2", 0, "x")]
+    df = spark.createDataFrame(rows, "uuid string, source_id string, hashsum_original string, partition_id int, server_name string")
+    lost = tools.duplicates(df)
+    assert sorted((r["uuid"], r["uuid_main"]) for r in lost.collect()) == [("a", "b"), ("c", "b")]
+    assert sorted(r["uuid"] for r in tools.without(df, lost).collect()) == ["b", "d", "e", "f"]
