@@ -20,6 +20,7 @@ _TO_LOWER = np.arange(256, dtype=np.uint8)
 _TO_LOWER[65:91] += 32
 #: Odd multiplier of the polynomial byte hash, and the finaliser's constants.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_ROLL = np.uint64(0xD6E8FEB86659FD93)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -167,3 +168,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
         acc[j] = value
     out[order] = acc
     return mix(out ^ length.astype(np.uint64))
+
+
+def rolling_hashes(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
+    """Hash of every n consecutive word hashes, in order."""
+    size, out = len(hashes) - n + 1, np.zeros(max(0, len(hashes) - n + 1), np.uint64)
+    p = _ROLL + np.uint64(2 * salt)
+    for j in range(n if size > 0 else 0):
+        out = out * p + hashes[j : j + size]
+    return mix(out)

@@ -1,4 +1,8 @@
-"""SimHash near-duplicates: fingerprints linked through BK-trees, then joined into components."""
+"""SimHash near-duplicates: fingerprints linked through BK-trees, then joined into components.
+
+Two rules of what is near. :func:`near_duplicates` links fingerprints of three-word shingles that differ in two bits or fewer. Texts that share four fifths of their five-word shingles differ in up to 20
+bits, so :func:`drop_near_duplicates` can link those too: BK-trees over five-word fingerprints propose pairs, and sketches of the shingle sets verify them.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +12,16 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import fold_case, free_name, row_key, scan_words, stage, text_buffer, text_parts
+from tarnlake.llm.common import fold_case, free_name, mix, rolling_hashes, row_key, scan_words, stage, text_buffer, text_parts, word_hashes
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
+#: The verified rule: words of a shingle and least Jaccard similarity; bits that fingerprints of such texts may differ in; least shingle hashes under several
+#: permutations, one of which two such texts share but for a chance of 0.2 ** MINIMA; and shingle hashes kept of a text (all, for texts of fewer shingles).
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, MINIMA, SKETCH = 5, 0.8, 22, 6, 200
 #: Fingerprints of one BK-tree. Larger groups are cut into shards of about this many, and every shard's tree meets every part of its group.
 TREE_ROWS = 4_096
+#: The same for trees whose nodes carry sketches.
+SKETCH_TREE_ROWS = 1_024
 _BITS_AT_ONCE, _PART_BYTES = 1 << 16, 1 << 20
 
 
@@ -138,21 +147,101 @@ def _linked(radius: int):
     return run
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """``(a, b)``: links that join the distinct fingerprints ``fp`` within ``radius`` bits into the same components as all such pairs would.
+def _tree_rows(keyed: DataFrame, payload: DataFrame | None, tree_rows: int) -> DataFrame:
+    """``(nodes, probes)`` for every BK-tree: what it holds, and what it is asked, null for its own nodes.
 
-    Fingerprints meet only where two bands agree, and each such group has its BK-tree; one of over ``tree_rows`` members is cut into shards, and
-    each shard's tree meets every part of the group. Trees go to the tasks of their group, since a broadcast of all would grow with the data.
+    ``keyed``: (fp, pair, value); fingerprints meet where pair and value are equal. A group of over ``tree_rows`` is cut into shards, and each shard's tree meets every part of the group.
+    Trees go to the tasks of their group, since a broadcast of all would grow with the data. Nodes are fingerprints, or with a ``payload`` (fp, ...) structs of it.
     """
-    keyed = distinct.select("fp", F.explode(F.array(*_bands(radius))).alias("k")).select("fp", "k.pair", "k.value")
     sizes = stage(keyed.groupBy("pair", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-groups")
     members = keyed.join(sizes, ["pair", "value"]).withColumn("shards", F.ceil(F.col("n") / tree_rows)).withColumn("shard", F.pmod(F.xxhash64("fp"), "shards"))
-    parts = stage(members.groupBy("pair", "value", "shards", "shard").agg(F.collect_list("fp").alias("nodes")), "simhash-trees")
-    whole = parts.where("shards = 1 or size(nodes) > 1").select("nodes", F.lit(None).cast("array<bigint>").alias("probes"))
+    node = F.col("fp")
+    if payload is not None:
+        members, node = stage(members, "simhash-members").join(payload, "fp"), F.struct(*payload.columns)
+    parts = stage(members.groupBy("pair", "value", "shards", "shard").agg(F.collect_list(node).alias("nodes")), "simhash-trees")
+    whole = parts.where("shards = 1 or size(nodes) > 1").select("nodes", F.lit(None).cast(parts.schema["nodes"].dataType).alias("probes"))
     large = parts.where("shards > 1")
     other = large.select("pair", "value", F.col("shard").alias("part"), F.col("nodes").alias("probes"))
-    across = large.join(other, ["pair", "value"]).where("part > shard").select("nodes", "probes")
-    return whole.unionByName(across).mapInArrow(_linked(radius), "a long, b long").distinct()
+    return whole.unionByName(large.join(other, ["pair", "value"]).where("part > shard").select("nodes", "probes"))
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """``(a, b)``: links that join the distinct fingerprints ``fp`` within ``radius`` bits into the same components as all such pairs would."""
+    keyed = distinct.select("fp", F.explode(F.array(*_bands(radius))).alias("k")).select("fp", "k.pair", "k.value")
+    return _tree_rows(keyed, None, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
+
+
+def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> list[tuple[int, list[int], bytes]]:
+    """For every text: fingerprint of its distinct shingles, least shingle hash under each permutation, and its SKETCH least hashes. A shorter text is one shingle; one without words has none."""
+    data = fold_case(data)
+    starts, ends, first = scan_words(data, offsets)
+    words = word_hashes(data, starts, ends)
+    grams = rolling_hashes(words, shingle)
+    salts = mix(np.arange(1, MINIMA, dtype=np.uint64))
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if a == b:
+            out.append((0, [], b""))
+            continue
+        h = np.unique(grams[a : b - shingle + 1] if b - a >= shingle else rolling_hashes(words[a:b], b - a))
+        ones = np.zeros(64, np.int64)
+        for i in range(0, len(h), _BITS_AT_ONCE):
+            ones += np.unpackbits(h[i : i + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        fp = int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
+        least = [int(h[0]), *(int(mix(h ^ s).min()) for s in salts)]
+        out.append((fp, least, (h[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()))
+    return out
+
+
+def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two shingle sets by their sketches: exact where both are whole, else from the SKETCH least hashes of the union."""
+    both = np.intersect1d(a, b)
+    if len(a) < SKETCH and len(b) < SKETCH:
+        return len(both) / max(1, len(a) + len(b) - len(both))
+    union = np.union1d(a, b)[:SKETCH]
+    return np.searchsorted(both, union[-1], side="right") / len(union)
+
+
+def _similar(radius: int, similarity: float):
+    def run(batches):
+        import pyarrow as pa
+
+        mask = (1 << 64) - 1
+        for batch in batches:
+            left, right = [], []
+            for nodes, probes in zip(batch.column(0), batch.column(1), strict=True):
+                held, asked = nodes.as_py(), probes.as_py()
+                rows = held + (asked or [])
+                sets = [np.frombuffer(r["sketch"], "<u4") for r in rows]
+                label = np.arange(len(rows))
+                tree, at = BKTree(()), {}
+
+                def put(i, tree=tree, at=at, rows=rows):
+                    value = rows[i]["print"] & mask
+                    at.setdefault(value, []).append(i)
+                    tree.add(value)
+
+                if asked is not None:
+                    for i in range(len(held)):
+                        put(i)
+                for i in range(0 if asked is None else len(held), len(rows)):
+                    near = np.array([j for v in tree.within(rows[i]["print"] & mask, radius) for j in at[v]], np.int64)
+                    for j in near:
+                        if label[j] != label[i] and sketch_similarity(sets[i], sets[j]) >= similarity:
+                            left.append(rows[i]["fp"])
+                            right.append(rows[j]["fp"])
+                            label[label == label[i]] = label[j]
+                    if asked is None:
+                        put(i)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def similar_links(reps: DataFrame, radius: int = SIMILAR_RADIUS, similarity: float = SIMILARITY, tree_rows: int = SKETCH_TREE_ROWS) -> DataFrame:
+    """``(a, b)``: verified links between rows (fp, print, minima, sketch) of distinct ``fp``. Fingerprints meet where they share a minimum; a group of near copies gives a spanning set of links, not all pairs."""
+    keyed = reps.select("fp", F.posexplode("minima").alias("pair", "value"))
+    return _tree_rows(keyed, reps.select("fp", "print", "sketch"), tree_rows).mapInArrow(_similar(radius, similarity), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -175,10 +264,11 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("v", F.col("new").alias("label"))
 
 
-def fingerprint_components(prints: DataFrame, order, radius: int = RADIUS) -> DataFrame:
-    """``(fp, label, first)`` of every distinct ``fp``: its component, named by a fingerprint, and the smallest ``order`` in that component (null only if all are)."""
+def fingerprint_components(prints: DataFrame, order, radius: int = RADIUS, more: DataFrame | None = None) -> DataFrame:
+    """``(fp, label, first)`` of every distinct ``fp``: its component, named by a fingerprint, and the smallest ``order`` in that component (null only if all are). ``more``: further links between fingerprints."""
     reps = stage(prints.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
-    labels = components(links(reps, radius))
+    edges = links(reps, radius)
+    labels = components(edges if more is None else edges.union(more))
     named = reps.join(labels, reps["fp"] == labels["v"], "left").select("fp", F.coalesce("label", "fp").alias("label"), "first")
     named = stage(named, "fingerprints")
     joined = stage(named.where("label is not null").groupBy("label").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "components")
@@ -196,13 +286,41 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with one of each component: that with the smallest doc_id (null last), ties to the smaller row key; of equal rows one stays."""
+def _sketched(docs: DataFrame, key: str, shingle: int) -> DataFrame:
+    """``(doc_id, key, fp, print, minima, sketch)`` of every row: :func:`text_fingerprints` and :func:`text_sketches` in one pass."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(2))
+            for a, b in text_parts(offsets, _PART_BYTES):
+                part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                prints, least, sketches = zip(*text_sketches(part, at), strict=True)
+                signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+                minima = pa.array([np.array(x, np.uint64).view(np.int64) for x in least], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], signed(text_fingerprints(part, at, shingle)), signed(prints), minima, pa.array(sketches, pa.binary())], names=["doc_id", key, "fp", "print", "minima", "sketch"])
+
+    fields = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, `{key}` binary"
+    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, print long, minima array<long>, sketch binary")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+    """The rows of ``docs`` with one of each component: that with the smallest doc_id (null last), ties to the smaller row key; of equal rows one stays.
+
+    With ``similarity``, texts whose sets of five-word shingles are at least that similar are linked too. Of texts with one fingerprint, that of the smallest row key stands for all.
+    """
     key, n = free_name(docs, "_key"), free_name(docs, "_n")
     keyed = docs.withColumn(key, row_key("doc_id", "text"))
-    prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
+    more = None
+    if similarity is None:
+        prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
+    else:
+        prints = stage(_sketched(keyed, key, shingle), "simhash")
+        reps = prints.groupBy("fp").agg(F.min_by(F.struct("print", "minima", "sketch"), key).alias("r")).select("fp", "r.*")
+        more = similar_links(stage(reps, "sketches"), similarity=similarity)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
-    found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius)
+    found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius, more)
     stay = stage(found.groupBy("label").agg(F.first("first").alias("first")).select(F.col("first.key").alias(key)), "simhash-kept")
     kept = keyed.join(stay, key).withColumn(n, F.row_number().over(Window.partitionBy(key).orderBy(key)))
     return kept.where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -13,22 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.batches import TextBatch, bucket_edges, buckets_for, from_planes, to_planes, write_batches
-from tarnlake.llm.common import mix, scan_words, stage, word_hashes
+from tarnlake.llm.common import mix, rolling_hashes, scan_words, stage, word_hashes
 
 WINDOW, GRAM = 13, 7
 #: Batches that one call ingests, and runs that are kept before they are compacted into one.
 INGESTS, MAX_RUNS = 2, 1
 _RUN = "kind string, bucket int, batch string, data binary, owners binary, names array<string>"
-_P = np.uint64(0xD6E8FEB86659FD93)
-
-
-def _rolling(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
-    """Hash of every n consecutive word hashes, in order."""
-    size, out = len(hashes) - n + 1, np.zeros(max(0, len(hashes) - n + 1), np.uint64)
-    p = _P + np.uint64(2 * salt)
-    for j in range(n if size > 0 else 0):
-        out = out * p + hashes[j : j + size]
-    return mix(out)
 
 
 class Windows:
@@ -43,7 +33,7 @@ class Windows:
         self.at = at[at + window <= self.first[1:][doc]] if len(at) else at
         self.order, rank = np.unique(batch.order, return_inverse=True)
         self.rank = rank[doc[self.at]]
-        grams = _rolling(self.hashes, gram)
+        grams = rolling_hashes(self.hashes, gram)
         low = grams[self.at].copy()
         for j in range(1, window - gram + 1):
             np.minimum(low, grams[self.at + j], out=low)
@@ -75,8 +65,8 @@ class Candidates:
     def __init__(self, windows: Windows, some: np.ndarray):
         self.windows, self.some = windows, some
         at = windows.at[some]
-        whole = _rolling(windows.hashes, windows.window, 1)
-        check = _rolling(windows.hashes, windows.window, 2) >> np.uint64(32)
+        whole = rolling_hashes(windows.hashes, windows.window, 1)
+        check = rolling_hashes(windows.hashes, windows.window, 2) >> np.uint64(32)
         h, c = (whole[at], check[at]) if len(at) else (np.zeros(0, np.uint64),) * 2
         order = np.lexsort((c, h))
         new = np.ones(len(at), bool)

@@ -141,3 +141,62 @@ def test_tree_finds_what_is_within():
 def test_long_chain(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r["label"] for r in simhash.components(edges).collect()} == {0}
+
+
+def _shingles(text, n=5):
+    words = WORD.findall(bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()))
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def _plain_similar(docs, similarity=0.8, radius=2):
+    """Smallest id of each component of fingerprint links and of shingle sets at least that similar."""
+    prints, sets = [_plain_print(t) for _, t in docs], [_shingles(t) for _, t in docs]
+    label = list(range(len(docs)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            same = sets[i] and sets[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])
+            if same or (prints[i] ^ prints[j]).bit_count() <= radius:
+                label[find(i)] = find(j)
+    groups = {}
+    for i, (d, _) in enumerate(docs):
+        groups.setdefault(find(i), []).append(d)
+    return sorted(min(g) for g in groups.values())
+
+
+def _edited(seed, families=12, copies=14):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(families):
+        words = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(4, 150))]
+        for _ in range(rng.randrange(1, copies)):
+            some = list(words)
+            for _ in range(rng.randrange(0, 4)):
+                some[rng.randrange(len(some))] = f"e{rng.randrange(10**6)}"
+            out.append(" ".join(some))
+    return out
+
+
+@pytest.mark.parametrize("tree_rows", [3, 1024])
+def test_similar_texts(spark, monkeypatch, tree_rows):
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (simhash.SIMILAR_RADIUS, simhash.SIMILARITY, tree_rows))
+    long = " ".join(f"x{i}" for i in range(5_000))
+    docs = list(enumerate([*_edited(6), None, "", "a b", "A  b", "a b c", long, long.replace("x7 ", "y "), long[: len(long) // 2]]))
+    frame = spark.createDataFrame([(d, t, 1, "p") for d, t in docs], "doc_id long, text string, print int, fp string").repartition(4)
+    kept = simhash.drop_near_duplicates(frame, similarity=0.8)
+    assert kept.columns == frame.columns
+    got = sorted(r["doc_id"] for r in kept.collect())
+    assert got == _plain_similar(docs) and len(got) < 0.7 * len(docs)
+
+
+def test_sketches():
+    rng = np.random.default_rng(0)
+    a = np.sort(rng.choice(2**32, 2_000, replace=False).astype("<u4"))
+    b = np.sort(np.concatenate([a[:-200], rng.choice(2**32, 200).astype("<u4")]))
+    assert simhash.sketch_similarity(a[:50], a[10:60]) == 40 / 60 and simhash.sketch_similarity(a[:0], a[:0]) == 0
+    assert abs(simhash.sketch_similarity(a[: simhash.SKETCH], b[: simhash.SKETCH]) - 1_800 / 2_200) < 0.1
