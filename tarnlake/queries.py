@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake import schema
 from tarnlake.functions import columns as fn
 from tarnlake.operators import batching, imaging, ledger, recipes, scheduling, tools
 
@@ -405,3 +406,15 @@ def image_resize(spark, sf_dir):
     pixels = F.encode(F.rpad(F.lit("abc"), (F.col("h") * F.col("w") * 3).cast("int"), F.lit("abc")), "UTF-8")
     rows = p.select("p_partkey", F.array("h", "w").alias("resized_size"), pixels.alias("image"), F.md5(pixels).alias("hashsum_resized"))
     return imaging.resize_stored(rows, 16).select("p_partkey", "resized_size", "hashsum_resized")
+
+
+@query()
+def worker_assignment(spark, sf_dir):
+    """One layer: what is left of each supplier in blocks, dealt to ten workers. Sequential by nature, so no SQL."""
+    servers, todo = _todo(spark, sf_dir)
+    ranges = scheduling.as_intervals(scheduling.with_blocks(todo, servers), "server_name", "block")
+    per: dict[str, dict[int, list]] = {}
+    for r in ranges.orderBy("server_name", "block", "first_id").limit(scheduling.MAX_SERVERS).collect():
+        per.setdefault(str(r["server_name"]), {}).setdefault(r["block"], []).append((r["first_id"], r["last_id"]))
+    known = [scheduling.Server(s, 4, 1, 50, 10, tuple(blocks.values())) for s, blocks in per.items()]
+    return spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, 10)], schema.ASSIGNMENTS)
