@@ -15,17 +15,17 @@ from tarnlake.llm.common import stage
 SCALE, TOP = 64, 20
 #: Vectors of one tree and queries searched in one task; entries of a page and children of an inner node.
 SHARD_ROWS, QUERY_ROWS = 8_192, 4_096
-PAGE, FANOUT = 512, 16
+PAGE, FANOUT = 1_024, 16
 _SLACK = 1e-6
 
 
 class Leaf:
-    """A page of entries: points, their ids, and their distances to the page's pivot."""
+    """A page of entries: vectors, their ids, and their distances to the page's pivot."""
 
-    __slots__ = ("points", "ids", "to_pivot")
+    __slots__ = ("vectors", "ids", "to_pivot")
 
-    def __init__(self, points, ids, to_pivot):
-        self.points, self.ids, self.to_pivot = points, ids, to_pivot
+    def __init__(self, vectors, ids, to_pivot):
+        self.vectors, self.ids, self.to_pivot = vectors, ids, to_pivot
 
 
 class Inner:
@@ -41,10 +41,10 @@ def _distance(points: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.sqrt(np.square(points - to).sum(axis=1))
 
 
-def _build(points: np.ndarray, ids: np.ndarray, pivot: np.ndarray, page: int, fanout: int) -> Leaf | Inner:
+def _build(points: np.ndarray, ids: np.ndarray, pivot: np.ndarray, page: int, fanout: int, kind: type) -> Leaf | Inner:
     to_pivot = _distance(points, pivot)
     if len(points) <= page:
-        return Leaf(np.ascontiguousarray(points), ids, to_pivot)
+        return Leaf(np.ascontiguousarray(points[:, :-1], dtype=kind), ids, to_pivot)
     k = min(fanout, -(-len(points) // page))
     centres = points[np.linspace(0, len(points) - 1, k).astype(int)]
     near = np.argmin(np.stack([_distance(points, c) for c in centres]), axis=0)
@@ -54,7 +54,7 @@ def _build(points: np.ndarray, ids: np.ndarray, pivot: np.ndarray, page: int, fa
     cells = [c for c in cells if len(c)]
     pivots = np.stack([points[c[np.argmin(_distance(points[c], points[c].mean(axis=0)))]] for c in cells])
     radii = np.array([_distance(points[c], p).max() for c, p in zip(cells, pivots, strict=True)])
-    return Inner(pivots, radii, _distance(pivots, pivot), [_build(points[c], ids[c], p, page, fanout) for c, p in zip(cells, pivots, strict=True)])
+    return Inner(pivots, radii, _distance(pivots, pivot), [_build(points[c], ids[c], p, page, fanout, kind) for c, p in zip(cells, pivots, strict=True)])
 
 
 class MTree:
@@ -69,13 +69,16 @@ class MTree:
         self.top_norm = float(norms.max())
         points = np.hstack([vectors, np.sqrt(self.top_norm - norms)[:, None]])
         self.pivot = points[0]
-        self.root = _build(points, ids, self.pivot, page, fanout)
+        # Integers up to 2 ** 24 are exact in 32 bits, and no partial sum exceeds the norms' product.
+        self.kind = np.float32 if self.top_norm < 1 << 24 else np.float64
+        self.root = _build(points, ids, self.pivot, page, fanout, self.kind)
         self.computed = 0
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best, ties to smaller ids; ``own`` takes no part."""
         q = np.append(query, 0.0)
         fixed = float(query @ query) + self.top_norm
+        exact = query.astype(self.kind if float(query @ query) < 1 << 24 else np.float64)
         bound = np.inf
         scores, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
         heap: list = [(0.0, 0, float(np.sqrt(np.square(q - self.pivot).sum())), self.root)]
@@ -87,14 +90,16 @@ class MTree:
             reach = bound + _SLACK * (1 + bound) if bound < np.inf else np.inf
             if isinstance(node, Leaf):
                 near = np.abs(to_pivot - node.to_pivot) <= reach
-                some = not near.all()
-                points, names = (node.points[near], node.ids[near]) if some else (node.points, node.ids)
-                self.computed += len(points)
-                found = np.rint(points[:, :-1] @ query).astype(np.int64)
-                fit = names != own
-                if len(scores) == k:
-                    fit &= found >= scores[-1]
-                scores, ids = np.concatenate([scores, found[fit]]), np.concatenate([ids, names[fit]])
+                vectors, names = node.vectors, node.ids
+                if 2 * np.count_nonzero(near) < len(near):  # else picking them out costs more than it spares
+                    vectors, names = vectors[near], names[near]
+                self.computed += len(vectors)
+                found = vectors @ exact
+                fit = np.flatnonzero(found >= scores[-1]) if len(scores) == k else np.arange(len(found))
+                fit = fit[names[fit] != own]
+                if not len(fit):
+                    continue
+                scores, ids = np.concatenate([scores, np.rint(found[fit]).astype(np.int64)]), np.concatenate([ids, names[fit]])
                 order = np.lexsort((ids, -scores))[:k]
                 scores, ids = scores[order], ids[order]
                 if len(scores) == k:
