@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ def content_words(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), _BETWEEN, -1), "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it and wherever the optimizer moves it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _sized(table: DataFrame) -> DataFrame:
     """``table``, marked for broadcast if its measured size is within the bound."""
     size = table.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0
@@ -42,7 +49,7 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW)
     A window is contained in a document only if its rarest word is, so with words ordered by rarity in ``docs`` its prefix is one word. Documents
     are joined on those words alone; then lengths and positions bound where the window can stand, and the words there are compared.
     """
-    key, found, words, hits, at = (free_name(docs, x) for x in ("_key", "_found", "_words", "_hits", "_at"))
+    key, found, mark = (free_name(docs, x) for x in ("_key", "_found", "_mark"))
     windows = stage(item_windows(items, window), "item-windows")
     vocabulary = windows.select(F.explode("words").alias("w")).distinct()
     spread = docs.select(F.xxhash64("doc_id", "text").alias("key"), content_words(F.col("text")).alias("ws")).select("key", F.size("ws").alias("n"), F.posexplode("ws").alias("pos", "w"))
@@ -57,12 +64,17 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW)
         .groupBy(F.col("key").alias(key))
         .agg(F.collect_set(F.struct((F.col("pos") - F.col("off")).alias("at"), "words", "items")).alias(found))
     )
-    out = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(near, key, "left").withColumn(words, content_words(F.col("text")))
-    same = lambda x: F.slice(words, x["at"] + 1, F.size(x["words"])) == x["words"]
-    out = out.withColumn(hits, F.filter(F.coalesce(F.col(found), F.array()), same))
-    out = out.withColumn(at, F.array_distinct(F.flatten(F.transform(hits, lambda x: F.sequence(x["at"], x["at"] + F.size(x["words"]) - 1)))))
-    ids = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"]))))
-    n_words, n_hit = F.size(words).cast("long"), F.size(at).cast("long")
+    def marks(w: Column) -> Column:
+        same = F.filter(F.coalesce(F.col(found), F.array()), lambda x: F.slice(w, x["at"] + 1, F.size(x["words"])) == x["words"])
+        return _let(same, lambda hits: counts_of(w, hits))
+
+    def counts_of(w: Column, hits: Column) -> Column:
+        at = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.sequence(x["at"], x["at"] + F.size(x["words"]) - 1))))
+        ids = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"]))))
+        return F.struct(F.size(w).cast("long").alias("n_words"), F.size(at).cast("long").alias("n_hit"), ids.alias("ids"))
+
+    out = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(near, key, "left").withColumn(mark, _let(content_words(F.col("text")), marks))
+    n_words, n_hit, ids = (F.col(mark)[x] for x in ("n_words", "n_hit", "ids"))
     return out.select(
         *[F.col(f"`{c}`") for c in others(docs, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")],
         n_words.alias("n_words"),
