@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions.columns import is_license_full, or_placeholder
-from tarnlake.functions.rates import REQUEST_FAILED, UNDECODABLE, Rate, wants_retry
+from tarnlake.functions.rates import REQUEST_FAILED, UNDECODABLE, Rate, enough_time, wants_retry
 from tarnlake.operators.imaging import process
 
 #: Seconds of one request.
@@ -29,7 +29,7 @@ class FetchFailed(Exception):
 
 
 class PastDeadline(Exception):
-    """Time is up: the task fails, no batch of it enters the ledger, and the next layer takes it again."""
+    """Time is up: the task ends, and batches that it hasn't finished are left to the next layer."""
 
 
 def http_get(header: dict[str, str], timeout: float = TIMEOUT) -> Callable[[str], bytes]:
@@ -102,12 +102,13 @@ def as_items(urls: DataFrame) -> DataFrame:
     return urls.select("server_name", F.col("partition_id").cast("int").alias("partition_id"), "uuid", F.coalesce(has("source_id"), F.lit("None")).alias("source_id"), "identifier", full.alias("is_license_full"), *[or_placeholder(has(c)).alias(c) for c in ("license", "source", "title")])
 
 
-def fetch(urls: DataFrame, assignments: DataFrame, image_size: int, header: dict[str, str] | None = None, rate_multiplier: float = 0.5, seconds: float | None = None, getter: Callable[[dict], Callable[[str], bytes]] = http_get, rows_at_once: int = 64) -> DataFrame:
+def fetch(urls: DataFrame, assignments: DataFrame, image_size: int, header: dict[str, str] | None = None, rate_multiplier: float = 0.5, seconds: float | None = None, write_seconds: float = 0, getter: Callable[[dict], Callable[[str], bytes]] = http_get, rows_at_once: int = 64) -> DataFrame:
     """Fetch the assigned batches: rows of both kinds, ``ok`` telling them apart, and the server's last rate.
 
     ``assignments``: (server_name, partition_id_from, partition_id_to, rate_limit, main_rank, rank). A task owns whole (server, slot) lines and fetches their batches in order, so
     no server is asked by two tasks beyond its slots, and the rate is divided by those. Results leave in small pieces; nothing holds a batch. A retried task fetches again: write the result,
-    then enter it in the ledger. Run with speculation off.
+    then enter it in the ledger. Run with speculation off. With ``seconds``, a task starts no piece that it can't fetch and write in the time left, and stops when time is up;
+    :func:`finished_batches` tells which batches are whole.
     """
     slots = assignments.groupBy("server_name").agg(F.count_distinct("rank").alias("_slots"))
     ranges = assignments.join(slots, "server_name").select("server_name", "partition_id_from", "partition_id_to", "rank", "rate_limit", "_slots")
@@ -124,12 +125,17 @@ def fetch(urls: DataFrame, assignments: DataFrame, image_size: int, header: dict
                 first = part.iloc[0]
                 rate = rates.setdefault((server, rank), Rate.around(max(1.0, first["rate_limit"] / first["_slots"]), rate_multiplier))
                 rows = part.to_dict("records")
+                if deadline is not None and not enough_time(rate.value, deadline - time.monotonic(), len(rows), write_seconds):
+                    continue
                 kept = []
-                for i, result in fetch_all([r["identifier"] for r in rows], get, rate, image_size, deadline):
-                    kept.append(rows[i] | result | {"rate": rate.value})
-                    if len(kept) == rows_at_once:
-                        yield _frame(kept)
-                        kept = []
+                try:
+                    for i, result in fetch_all([r["identifier"] for r in rows], get, rate, image_size, deadline):
+                        kept.append(rows[i] | result | {"rate": rate.value})
+                        if len(kept) == rows_at_once:
+                            yield _frame(kept)
+                            kept = []
+                except PastDeadline:
+                    pass
                 if kept:
                     yield _frame(kept)
 
@@ -150,6 +156,13 @@ def split_results(fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return fetched.where("ok").select(*keep), fetched.where("not ok").select("uuid", "identifier", "retry_count", "error_code", "error_msg", "server_name", "partition_id")
 
 
+def finished_batches(fetched: DataFrame, urls: DataFrame) -> DataFrame:
+    """``(server_name, partition_id)`` of batches of which every URL has a result."""
+    wanted = urls.groupBy("server_name", F.col("partition_id").cast("int").alias("partition_id")).agg(F.count(F.lit(1)).alias("n"))
+    got = fetched.groupBy("server_name", "partition_id").agg(F.count(F.lit(1)).alias("n"))
+    return got.join(wanted, ["server_name", "partition_id", "n"], "left_semi").select("server_name", "partition_id")
+
+
 def last_rates(fetched: DataFrame) -> DataFrame:
     """Mean rate at which each server was asked, for the next layer's profile."""
     return fetched.groupBy("server_name").agg(F.avg("rate").alias("rate"))

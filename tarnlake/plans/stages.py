@@ -22,6 +22,10 @@ DOWNLOAD_STAGES = ("batched", "profiled", "schedules_created", "finished")
 TOOL_STAGES = ("filtered", "applied")
 
 
+class Unchanged(RuntimeError):
+    """A run completed nothing though batches are left. ``suppress_unchanged_error`` makes that a plain False."""
+
+
 class Downloader:
     """Batches, profiles, schedules and layers of fetching under one output root. Nothing is ever deleted there but by an explicit reset of a stage's own table."""
 
@@ -94,17 +98,19 @@ class Downloader:
             return False
         todo.write.mode("append").parquet(self._path("assignments"))
         urls = tables.url_batches(self.spark, c.path("urls_folder"))
-        fetched = staged(fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), getter=getter), "fetched")
+        fetched = staged(fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter), "fetched")
         good, bad = fetching.split_results(fetched)
         sinks.append_downloads(good.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/successes")
         sinks.append_downloads(bad.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/errors")
         # The ledger row comes after the data: a crash before it only means that the batch is fetched again.
-        done = fetched.select("server_name", "partition_id").distinct().withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
+        done = staged(fetching.finished_batches(fetched, urls), "finished").withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
         done.write.mode("append").parquet(self._path("ledger"))
-        return True
+        return not done.isEmpty()
 
     def run(self, getter: Callable = fetching.http_get) -> bool:
-        """All stages that aren't done, then up to ``num_downloads`` layers of every group. True once nothing is left."""
+        """All stages that aren't done, then up to ``num_downloads`` layers of every group. True once nothing is left.
+
+        ``layer_seconds`` bounds a layer: what isn't whole by then is fetched again by the next."""
         for stage, work in (("batched", self.batch), ("profiled", self.profile), ("schedules_created", self.schedule)):
             if not self.checkpoint[stage]:
                 work()
@@ -112,12 +118,15 @@ class Downloader:
         groups = self.spark.read.schema(schema.SCHEDULE).parquet(self._path("groups"))
         ids = [r[0] for r in groups.select("schedule_id").distinct().orderBy("schedule_id").collect()]
         last = self._table("ledger", schema.LEDGER).agg(F.max("run_id")).first()[0] or 0
+        moved = False
         for layer in range(1, max(1, self.config.parameter("num_downloads", 1)) + 1):
-            moved = [self.download_layer(groups.where(F.col("schedule_id") == i), last + layer, getter) for i in ids]
-            if not any(moved):
+            now = [self.download_layer(groups.where(F.col("schedule_id") == i), last + layer, getter) for i in ids]
+            moved |= any(now)
+            if not any(now):
                 break
-        left = ledger.incomplete_servers(groups, self.status(), self.profiles())
-        self.checkpoint["finished"] = left.isEmpty()
+        self.checkpoint["finished"] = ledger.incomplete_servers(groups, self.status(), self.profiles()).isEmpty()
+        if not (moved or self.checkpoint["finished"] or self.config.suppress_unchanged_error):
+            raise Unchanged("no batch was completed, and some are left")
         return self.checkpoint["finished"]
 
 

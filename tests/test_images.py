@@ -207,3 +207,20 @@ def test_config_is_checked(tmp_path):
     path.write_text("path_to_output_folder: o\nschedule_rules: {1: 1, 50: 4}\nincluded_sources: [a]\n")
     c = Config.from_path(str(path))
     assert c.schedule_rules == {1: 1, 50: 4} and c.extra == {"included_sources": ["a"]} and c.path("urls_folder") == "o/servers_batched"
+
+
+def test_a_layer_without_time(spark, tmp_path, server):
+    """Past the deadline nothing enters the ledger; with time again, everything is fetched."""
+    _raw(tmp_path, server)
+    with pytest.raises(stages.Unchanged):
+        stages.download_images(_config(tmp_path, server, layer_seconds=0), spark)
+    quiet = _config(tmp_path, server, layer_seconds=0)
+    quiet.suppress_unchanged_error = True
+    assert not stages.download_images(quiet, spark)
+    assert stages.download_images(_config(tmp_path, server), spark)
+
+
+def test_finished_batches(spark):
+    urls = spark.createDataFrame([("a", 0), ("a", 0), ("a", 1), ("b", 0)], "server_name string, partition_id int")
+    got = spark.createDataFrame([("a", 0), ("a", 1)], "server_name string, partition_id int")
+    assert [tuple(r) for r in fetch.finished_batches(got, urls).collect()] == [("a", 1)]
