@@ -47,6 +47,14 @@ def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.exceptAll(after.select(cols)).withColumn("side", F.lit("before")).union(after.select(cols).exceptAll(before).withColumn("side", F.lit("after")))
 
 
+def with_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join in which a key may have one row on the right at most; the query fails at a second one."""
+    others = [c for c in right.columns if c != key]
+    single = right.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
+    checked = single.where(F.assert_true(F.col("_n") == 1, F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string"))).isNull())
+    return left.join(checked.drop("_n"), key, "left")
+
+
 def layer_bounds(assignments: DataFrame) -> DataFrame:
     return assignments.groupBy("server_name").agg(F.min("partition_id_from").alias("first_id"), F.max("partition_id_to").alias("last_id"))
 

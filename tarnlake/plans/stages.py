@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake import schema
@@ -20,6 +20,7 @@ log = logging.getLogger(__name__)
 # Names of the stages in the checkpoint.
 DOWNLOAD_STAGES = ("batched", "profiled", "schedules_created", "finished")
 TOOL_STAGES = ("filtered", "applied")
+_DONE = "run_id long, server_name string, partition_id int"
 
 
 class Unchanged(RuntimeError):
@@ -41,6 +42,26 @@ class Downloader:
         there = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
         return self.spark.read.schema(kind).parquet(self._path(name)) if there else self.spark.createDataFrame([], kind)
 
+    def _log_run(self, stage: str, run_id: int = 0) -> None:
+        """One row in the run log: when which stage was done."""
+        self.spark.createDataFrame([(stage, run_id)], "stage string, run_id long").withColumn("finished_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self._path("runs"))
+
+    def reset(self, stage: str) -> None:
+        """Have a stage done again. Of its own tables, those that a rerun wouldn't replace are deleted; nothing else is."""
+        self.checkpoint[stage] = False
+        if stage == "batched":
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.config.path('tools_folder')}/uuid_ref")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def recheck(self) -> None:
+        """Write the ledger anew from the results on disk, whatever it said before."""
+        folder = self.config.path("images_folder")
+        rows = self.spark.read.schema(_DONE).parquet(f"{folder}/successes").union(self.spark.read.schema(_DONE).parquet(f"{folder}/errors"))
+        last = rows.groupBy("server_name", "partition_id").agg(F.max("run_id").alias("run_id"))
+        whole = fetching.finished_batches(rows.join(last, ["server_name", "partition_id", "run_id"], "left_semi"), tables.url_batches(self.spark, self.config.path("urls_folder")))
+        found = whole.join(last, ["server_name", "partition_id"]).select("server_name", "partition_id", F.lit(ledger.COMPLETED).alias("status"), "run_id")
+        staged(found, "ledger").write.mode("overwrite").parquet(self._path("ledger"))
+
     def batch(self) -> None:
         """Recipe, batches, and the table of URL batches."""
         c = self.config
@@ -86,7 +107,7 @@ class Downloader:
         ids = scheduling.ids_to_download(servers, ledger.done_batches(status))
         ranges = scheduling.as_intervals(scheduling.with_blocks(ids, servers), "server_name", "block")
         per = ranges.groupBy("server_name", "block").agg(F.array_sort(F.collect_list(F.struct("first_id", "last_id"))).alias("r")).groupBy("server_name").agg(F.array_sort(F.collect_list(F.struct("block", "r"))).alias("b"))
-        rows = group.join(per, "server_name").join(self.profiles().select("server_name", "rate_limit"), "server_name").orderBy("server_name").limit(scheduling.MAX_SERVERS).collect()
+        rows = ledger.with_one(group.join(per, "server_name"), self.profiles().select("server_name", "rate_limit"), "server_name").orderBy("server_name").limit(scheduling.MAX_SERVERS).collect()
         known = [scheduling.Server(r["server_name"], r["nodes"], r["process_per_node"], r["total_batches"], r["rate_limit"], tuple([(x["first_id"], x["last_id"]) for x in b["r"]] for b in r["b"])) for r in rows]
         return self.spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, self.config.workers)], schema.ASSIGNMENTS)
 
@@ -98,7 +119,10 @@ class Downloader:
             return False
         todo.write.mode("append").parquet(self._path("assignments"))
         urls = tables.url_batches(self.spark, c.path("urls_folder"))
-        fetched = staged(fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter), "fetched")
+        counts = Observation("fetched")
+        results = fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter)
+        fetched = staged(results.observe(counts, F.count_if("ok").alias("successes"), F.count_if(~F.col("ok")).alias("errors")), "fetched")
+        log.info("layer %s: %s", run_id, counts.get)
         good, bad = fetching.split_results(fetched)
         sinks.append_downloads(good.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/successes")
         sinks.append_downloads(bad.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/errors")
@@ -115,6 +139,7 @@ class Downloader:
             if not self.checkpoint[stage]:
                 work()
                 self.checkpoint[stage] = True
+                self._log_run(stage)
         groups = self.spark.read.schema(schema.SCHEDULE).parquet(self._path("groups"))
         ids = [r[0] for r in groups.select("schedule_id").distinct().orderBy("schedule_id").collect()]
         last = self._table("ledger", schema.LEDGER).agg(F.max("run_id")).first()[0] or 0
@@ -122,6 +147,7 @@ class Downloader:
         for layer in range(1, max(1, self.config.parameter("num_downloads", 1)) + 1):
             now = [self.download_layer(groups.where(F.col("schedule_id") == i), last + layer, getter) for i in ids]
             moved |= any(now)
+            self._log_run("layer", last + layer)
             if not any(now):
                 break
         self.checkpoint["finished"] = ledger.incomplete_servers(groups, self.status(), self.profiles()).isEmpty()
@@ -141,7 +167,7 @@ def download_images(config: str | Config, spark: SparkSession | None = None, res
     spark = spark or SparkSession.builder.config("spark.speculation", "false").getOrCreate()
     job = Downloader(spark, config if isinstance(config, Config) else Config.from_path(config))
     for stage in reset:
-        job.checkpoint[stage] = False
+        job.reset(stage)
     return job.run(getter)
 
 

@@ -160,6 +160,12 @@ def test_download_then_tools(spark, tmp_path, server):
     assert {tuple(r["resized_size"]) for r in good.collect()} == {(6, 4)}
     before = dict(_Handler.calls)
     assert stages.download_images(config, spark) and _Handler.calls == before  # nothing is left to fetch
+    job = stages.Downloader(spark, config)
+    status = sorted(map(tuple, job.status().collect()))
+    job.recheck()
+    assert sorted(map(tuple, job.status().collect())) == status and len(status) == 3
+    assert [r["stage"] for r in spark.read.parquet(f"{config.path('schedules_folder')}/runs").orderBy("finished_at").collect()][:3] == ["batched", "profiled", "schedules_created"]
+    assert stages.download_images(config, spark, reset=("batched",)) and _Handler.calls == before
     assert stages.apply_tools(config, "image_verification", spark) == 1
     assert stages.apply_tools(config, "duplication_based", spark) == 2
     table = stages.sinks.VersionedTable(spark, f"{config.path('tools_folder')}/images")

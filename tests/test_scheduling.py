@@ -142,3 +142,11 @@ def test_ledger_as_a_stream(spark, tmp_path):
     follow_ledger(spark, path, str(tmp_path / "state"), "followed")
     assert sorted(map(tuple, spark.table("followed").collect())) == [("a", 0, "Completed"), ("b", 0, "Completed")]
     assert spark.table("followed").where(F.col("status") == "Failed").isEmpty()
+
+
+def test_one_profile_per_server(spark):
+    left = spark.createDataFrame([("a",), ("c",)], "server_name string")
+    right = spark.createDataFrame([("a", 1), ("b", 2)], "server_name string, rate_limit int")
+    assert sorted(map(tuple, ledger.with_one(left, right, "server_name").collect())) == [("a", 1), ("c", None)]
+    with pytest.raises(Exception, match="repeats"):
+        ledger.with_one(left, right.union(right), "server_name").collect()
