@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from tarnlake.llm.common import fold_case, free_name, mix, rolling_hashes, row_key, scan_words, stage, text_buffer, text_parts, word_hashes
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-#: The verified rule: words of a shingle and least Jaccard similarity; bits that fingerprints of such texts may differ in; least shingle hashes under several
-#: permutations, one of which two such texts share but for a chance of 0.2 ** MINIMA; and shingle hashes kept of a text (all, for texts of fewer shingles).
-SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, MINIMA, SKETCH = 5, 0.8, 22, 6, 200
+#: The verified rule: words of a shingle and least Jaccard similarity; bits that fingerprints of such texts may differ in; bands of two least shingle hashes under
+#: permutations of their own, one of which two such texts share but for a chance of (1 - 0.8 ** 2) ** BANDS (one in 3,500; texts with one passage in common rarely share any);
+#: and shingle hashes kept of a text (all, for texts of fewer shingles).
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, BANDS, SKETCH = 5, 0.8, 22, 8, 200
 #: Fingerprints of one BK-tree. Larger groups are cut into shards of about this many, and every shard's tree meets every part of its group.
 TREE_ROWS = 4_096
 #: The same for trees whose nodes carry sketches.
 SKETCH_TREE_ROWS = 1_024
 _BITS_AT_ONCE, _PART_BYTES = 1 << 16, 1 << 20
+_BAND = np.uint64(0x9E3779B97F4A7C15)
 
 
 class BKTree:
@@ -171,26 +173,35 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS)
     return _tree_rows(keyed, None, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
 
 
-def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> list[tuple[int, list[int], bytes]]:
-    """For every text: fingerprint of its distinct shingles, least shingle hash under each permutation, and its SKETCH least hashes. A shorter text is one shingle; one without words has none."""
+def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """For every text: fingerprint of its distinct shingles, a key for each band of least shingle hashes, and its SKETCH least hashes. A shorter text is one shingle; one without words has none, and an empty sketch."""
     data = fold_case(data)
     starts, ends, first = scan_words(data, offsets)
     words = word_hashes(data, starts, ends)
-    grams = rolling_hashes(words, shingle)
-    salts = mix(np.arange(1, MINIMA, dtype=np.uint64))
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if a == b:
-            out.append((0, [], b""))
-            continue
-        h = np.unique(grams[a : b - shingle + 1] if b - a >= shingle else rolling_hashes(words[a:b], b - a))
+    n = np.diff(first)
+    count = np.where(n == 0, 0, np.maximum(n - shingle + 1, 1))
+    begin = np.cumsum(count) - count
+    flat = np.empty(int(count.sum()), np.uint64)
+    full = np.flatnonzero(n >= shingle)
+    size = count[full]
+    inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    flat[np.repeat(begin[full], size) + inner] = rolling_hashes(words, shingle)[np.repeat(first[full], size) + inner]
+    for i in np.flatnonzero((n > 0) & (n < shingle)):
+        flat[begin[i]] = rolling_hashes(words[first[i] : first[i + 1]], int(n[i]))[0]
+    some = np.flatnonzero(count)
+    prints, keys, sketches = np.zeros(len(n), np.uint64), np.zeros((len(n), BANDS), np.uint64), [b""] * len(n)
+    salts = mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
+    for k in range(BANDS if len(some) else 0):
+        one, two = (np.minimum.reduceat(mix(flat ^ s), begin[some]) for s in salts[2 * k : 2 * k + 2])
+        keys[some, k] = mix(one * _BAND + two)
+    for i in some.tolist():
+        h = np.unique(flat[begin[i] : begin[i] + count[i]])
         ones = np.zeros(64, np.int64)
-        for i in range(0, len(h), _BITS_AT_ONCE):
-            ones += np.unpackbits(h[i : i + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        fp = int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
-        least = [int(h[0]), *(int(mix(h ^ s).min()) for s in salts)]
-        out.append((fp, least, (h[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()))
-    return out
+        for j in range(0, len(h), _BITS_AT_ONCE):
+            ones += np.unpackbits(h[j : j + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        prints[i] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
+        sketches[i] = (h[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()
+    return prints, keys, sketches
 
 
 def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -239,8 +250,8 @@ def _similar(radius: int, similarity: float):
 
 
 def similar_links(reps: DataFrame, radius: int = SIMILAR_RADIUS, similarity: float = SIMILARITY, tree_rows: int = SKETCH_TREE_ROWS) -> DataFrame:
-    """``(a, b)``: verified links between rows (fp, print, minima, sketch) of distinct ``fp``. Fingerprints meet where they share a minimum; a group of near copies gives a spanning set of links, not all pairs."""
-    keyed = reps.select("fp", F.posexplode("minima").alias("pair", "value"))
+    """``(a, b)``: verified links between rows (fp, print, bands, sketch) of distinct ``fp``. Fingerprints meet where they share a band; a group of near copies gives a spanning set of links, not all pairs."""
+    keyed = reps.select("fp", F.posexplode("bands").alias("pair", "value"))
     return _tree_rows(keyed, reps.select("fp", "print", "sketch"), tree_rows).mapInArrow(_similar(radius, similarity), "a long, b long").distinct()
 
 
@@ -287,7 +298,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def _sketched(docs: DataFrame, key: str, shingle: int) -> DataFrame:
-    """``(doc_id, key, fp, print, minima, sketch)`` of every row: :func:`text_fingerprints` and :func:`text_sketches` in one pass."""
+    """``(doc_id, key, fp, print, bands, sketch)`` of every row: :func:`text_fingerprints` and :func:`text_sketches` in one pass."""
 
     def run(batches):
         import pyarrow as pa
@@ -296,13 +307,13 @@ def _sketched(docs: DataFrame, key: str, shingle: int) -> DataFrame:
             data, offsets = text_buffer(batch.column(2))
             for a, b in text_parts(offsets, _PART_BYTES):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                prints, least, sketches = zip(*text_sketches(part, at), strict=True)
-                signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-                minima = pa.array([np.array(x, np.uint64).view(np.int64) for x in least], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], signed(text_fingerprints(part, at, shingle)), signed(prints), minima, pa.array(sketches, pa.binary())], names=["doc_id", key, "fp", "print", "minima", "sketch"])
+                prints, keys, sketches = text_sketches(part, at)
+                signed = lambda x: pa.array(x.view(np.int64))
+                bands = pa.array([k if s else None for k, s in zip(keys.view(np.int64), sketches, strict=True)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], signed(text_fingerprints(part, at, shingle)), signed(prints), bands, pa.array(sketches, pa.binary())], names=["doc_id", key, "fp", "print", "bands", "sketch"])
 
     fields = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, `{key}` binary"
-    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, print long, minima array<long>, sketch binary")
+    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, print long, bands array<long>, sketch binary")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
@@ -317,7 +328,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
         prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
     else:
         prints = stage(_sketched(keyed, key, shingle), "simhash")
-        reps = prints.groupBy("fp").agg(F.min_by(F.struct("print", "minima", "sketch"), key).alias("r")).select("fp", "r.*")
+        reps = prints.groupBy("fp").agg(F.min_by(F.struct("print", "bands", "sketch"), key).alias("r")).select("fp", "r.*")
         more = similar_links(stage(reps, "sketches"), similarity=similarity)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
     found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius, more)
