@@ -1,30 +1,32 @@
 """SimHash near-duplicates: fingerprints linked through BK-trees, then joined into components.
 
 Two rules of what is near. :func:`near_duplicates` links fingerprints of three-word shingles that differ in two bits or fewer. Texts that share four fifths of their five-word shingles differ in up to 20
-bits, so :func:`drop_near_duplicates` can link those too: BK-trees over five-word fingerprints propose pairs, and sketches of the shingle sets verify them.
+bits, so :func:`drop_near_duplicates` can link those too, exactly: prefixes of the shingle sets propose pairs (no pair above the limit is left out), and the whole sets decide.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import fold_case, free_name, mix, rolling_hashes, row_key, scan_words, stage, text_buffer, text_parts, word_hashes
+from tarnlake.llm.common import fold_case, free_name, rolling_hashes, row_key, scan_words, stage, text_buffer, text_parts, word_hashes
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-#: The verified rule: words of a shingle and least Jaccard similarity; bits that fingerprints of such texts may differ in; bands of two least shingle hashes under
-#: permutations of their own, one of which two such texts share but for a chance of (1 - 0.8 ** 2) ** BANDS (one in 3,500; texts with one passage in common rarely share any);
-#: and shingle hashes kept of a text (all, for texts of fewer shingles).
-SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, BANDS, SKETCH = 5, 0.8, 22, 8, 200
+#: The verified rule: words of a shingle and least Jaccard similarity.
+SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
+#: Members of a group that meet all of its others at once, before those that are linked by then are left out.
+HUBS = 16
+#: Buckets that shingle hashes are dealt to, of about 1 / BUCKETS of all prefixes each; a multiple of the shuffle partitions where those are more.
+BUCKETS = 2_048
+#: Of the estimate :func:`sketch_similarity` and of trees over five-word fingerprints. No link depends on them.
+SKETCH, SIMILAR_RADIUS = 200, 22
 #: Fingerprints of one BK-tree. Larger groups are cut into shards of about this many, and every shard's tree meets every part of its group.
 TREE_ROWS = 4_096
-#: The same for trees whose nodes carry sketches.
-SKETCH_TREE_ROWS = 1_024
 _BITS_AT_ONCE, _PART_BYTES = 1 << 16, 1 << 20
-_BAND = np.uint64(0x9E3779B97F4A7C15)
 
 
 class BKTree:
@@ -149,18 +151,15 @@ def _linked(radius: int):
     return run
 
 
-def _tree_rows(keyed: DataFrame, payload: DataFrame | None, tree_rows: int) -> DataFrame:
+def _tree_rows(keyed: DataFrame, tree_rows: int) -> DataFrame:
     """``(nodes, probes)`` for every BK-tree: what it holds, and what it is asked, null for its own nodes.
 
     ``keyed``: (fp, pair, value); fingerprints meet where pair and value are equal. A group of over ``tree_rows`` is cut into shards, and each shard's tree meets every part of the group.
-    Trees go to the tasks of their group, since a broadcast of all would grow with the data. Nodes are fingerprints, or with a ``payload`` (fp, ...) structs of it.
+    Trees go to the tasks of their group, since a broadcast of all would grow with the data.
     """
     sizes = stage(keyed.groupBy("pair", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-groups")
     members = keyed.join(sizes, ["pair", "value"]).withColumn("shards", F.ceil(F.col("n") / tree_rows)).withColumn("shard", F.pmod(F.xxhash64("fp"), "shards"))
-    node = F.col("fp")
-    if payload is not None:
-        members, node = stage(members, "simhash-members").join(payload, "fp"), F.struct(*payload.columns)
-    parts = stage(members.groupBy("pair", "value", "shards", "shard").agg(F.collect_list(node).alias("nodes")), "simhash-trees")
+    parts = stage(members.groupBy("pair", "value", "shards", "shard").agg(F.collect_list("fp").alias("nodes")), "simhash-trees")
     whole = parts.where("shards = 1 or size(nodes) > 1").select("nodes", F.lit(None).cast(parts.schema["nodes"].dataType).alias("probes"))
     large = parts.where("shards > 1")
     other = large.select("pair", "value", F.col("shard").alias("part"), F.col("nodes").alias("probes"))
@@ -170,38 +169,23 @@ def _tree_rows(keyed: DataFrame, payload: DataFrame | None, tree_rows: int) -> D
 def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
     """``(a, b)``: links that join the distinct fingerprints ``fp`` within ``radius`` bits into the same components as all such pairs would."""
     keyed = distinct.select("fp", F.explode(F.array(*_bands(radius))).alias("k")).select("fp", "k.pair", "k.value")
-    return _tree_rows(keyed, None, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
+    return _tree_rows(keyed, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
 
 
-def text_sketches(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """For every text: fingerprint of its distinct shingles, a key for each band of least shingle hashes, and its SKETCH least hashes. A shorter text is one shingle; one without words has none, and an empty sketch."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of every text. A shorter text is one shingle; one without words has none."""
     data = fold_case(data)
     starts, ends, first = scan_words(data, offsets)
     words = word_hashes(data, starts, ends)
-    n = np.diff(first)
-    count = np.where(n == 0, 0, np.maximum(n - shingle + 1, 1))
-    begin = np.cumsum(count) - count
-    flat = np.empty(int(count.sum()), np.uint64)
-    full = np.flatnonzero(n >= shingle)
-    size = count[full]
-    inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    flat[np.repeat(begin[full], size) + inner] = rolling_hashes(words, shingle)[np.repeat(first[full], size) + inner]
-    for i in np.flatnonzero((n > 0) & (n < shingle)):
-        flat[begin[i]] = rolling_hashes(words[first[i] : first[i + 1]], int(n[i]))[0]
-    some = np.flatnonzero(count)
-    prints, keys, sketches = np.zeros(len(n), np.uint64), np.zeros((len(n), BANDS), np.uint64), [b""] * len(n)
-    salts = mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
-    for k in range(BANDS if len(some) else 0):
-        one, two = (np.minimum.reduceat(mix(flat ^ s), begin[some]) for s in salts[2 * k : 2 * k + 2])
-        keys[some, k] = mix(one * _BAND + two)
-    for i in some.tolist():
-        h = np.unique(flat[begin[i] : begin[i] + count[i]])
-        ones = np.zeros(64, np.int64)
-        for j in range(0, len(h), _BITS_AT_ONCE):
-            ones += np.unpackbits(h[j : j + _BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        prints[i] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
-        sketches[i] = (h[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes()
-    return prints, keys, sketches
+    rolled, n = rolling_hashes(words, shingle), np.diff(first)
+    return [np.unique(rolled[a : a + k - shingle + 1]) if k >= shingle else rolling_hashes(words[a : a + k], int(k))[:1] if k else words[:0] for a, k in zip(first[:-1].tolist(), n.tolist(), strict=True)]
+
+
+def set_id(shingles: np.ndarray) -> int | None:
+    """One number for equal sets, as a signed long; none for the empty set."""
+    from xxhash import xxh64_intdigest
+
+    return (x := xxh64_intdigest(shingles.tobytes(), SEED)) - (x >> 63 << 64) if len(shingles) else None
 
 
 def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -213,46 +197,125 @@ def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
     return np.searchsorted(both, union[-1], side="right") / len(union)
 
 
-def _similar(radius: int, similarity: float):
-    def run(batches):
-        import pyarrow as pa
+def _least(n, similarity: float):
+    """Shingles that a set of ``n`` must share with any set that is similar enough. The other set is no smaller than this, either. ``n``: a number or a column."""
+    return F.ceil(n * F.lit(similarity) - 1e-9) if isinstance(n, Column) else math.ceil(n * similarity - 1e-9)
+
 
-        mask = (1 << 64) - 1
+def _ahead(n, similarity: float):
+    """Shared shingles that :func:`_candidates` looks for: the more, the fewer texts with one passage in common pass, and the longer are prefixes."""
+    low, least = (F.least, F.floor) if isinstance(n, Column) else (min, math.floor)
+    return low(1 + least(n / 10), _least(n, similarity))
+
+
+def _texts_of(docs: DataFrame, run, fields: str) -> DataFrame:
+    """``run`` over (sets of texts, the batch's other columns) of ``docs``, whose last column is the text."""
+
+    def each(batches):
         for batch in batches:
-            left, right = [], []
-            for nodes, probes in zip(batch.column(0), batch.column(1), strict=True):
-                held, asked = nodes.as_py(), probes.as_py()
-                rows = held + (asked or [])
-                sets = [np.frombuffer(r["sketch"], "<u4") for r in rows]
-                label = np.arange(len(rows))
-                tree, at = BKTree(()), {}
-
-                def put(i, tree=tree, at=at, rows=rows):
-                    value = rows[i]["print"] & mask
-                    at.setdefault(value, []).append(i)
-                    tree.add(value)
-
-                if asked is not None:
-                    for i in range(len(held)):
-                        put(i)
-                for i in range(0 if asked is None else len(held), len(rows)):
-                    near = np.array([j for v in tree.within(rows[i]["print"] & mask, radius) for j in at[v]], np.int64)
-                    for j in near:
-                        if label[j] != label[i] and sketch_similarity(sets[i], sets[j]) >= similarity:
-                            left.append(rows[i]["fp"])
-                            right.append(rows[j]["fp"])
-                            label[label == label[i]] = label[j]
-                    if asked is None:
-                        put(i)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            data, offsets = text_buffer(batch.column(batch.num_columns - 1))
+            parts = [shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in text_parts(offsets, _PART_BYTES)]
+            yield from run([s for part in parts for s in part])
+
+    return docs.mapInArrow(each, fields)
+
+
+def _prefixes(similarity: float, buckets: int):
+    def run(sets):
+        import pyarrow as pa
+
+        size = [min(len(s), len(s) - _least(len(s), similarity) + _ahead(len(s), similarity)) for s in sets]
+        h = np.concatenate([np.zeros(0, np.uint64), *[s[:k] for s, k in zip(sets, size, strict=True)]])
+        owner = np.repeat(np.array([set_id(s) or 0 for s in sets], np.int64), size)
+        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        h, owner, (found, first) = h[order], owner[order], np.unique(bucket[order], return_index=True)
+        edge = [*first.tolist(), len(h)]
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(found), cut(h), cut(owner)], names=["bucket", "h", "owner"])
 
     return run
 
 
-def similar_links(reps: DataFrame, radius: int = SIMILAR_RADIUS, similarity: float = SIMILARITY, tree_rows: int = SKETCH_TREE_ROWS) -> DataFrame:
-    """``(a, b)``: verified links between rows (fp, print, bands, sketch) of distinct ``fp``. Fingerprints meet where they share a band; a group of near copies gives a spanning set of links, not all pairs."""
-    keyed = reps.select("fp", F.posexplode("bands").alias("pair", "value"))
-    return _tree_rows(keyed, reps.select("fp", "print", "sketch"), tree_rows).mapInArrow(_similar(radius, similarity), "a long, b long").distinct()
+def _repeated(batches):
+    """(sid, hits): how many hashes of a bucket a set shares with any other set."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for hs, owners in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            h, owner = np.frombuffer(b"".join(x for x in hs), np.uint64), np.frombuffer(b"".join(x for x in owners), np.int64)
+            order = np.lexsort((owner, h))
+            h, owner = h[order], owner[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])  # copies of a set count once
+            h, owner = h[new], owner[new]
+            same = h[1:] == h[:-1]
+            shared = np.zeros(len(h), bool)
+            shared[1:] |= same
+            shared[:-1] |= same
+            sid, hits = np.unique(owner[shared], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array(hits)], names=["sid", "hits"])
+
+
+def _candidates(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``sets`` (sid, n, ...) that may have a similar set at all.
+
+    Of two sets in one order of their hashes, the first k shared ones are among the first n - (least overlap) + k of each. So a set of which fewer hashes in that
+    prefix are another's too has no partner.
+    """
+    buckets = max(BUCKETS, 8 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = _texts_of(texts.select("text"), _prefixes(similarity, buckets), "bucket long, h binary, owner binary")
+    lists = dealt.groupBy("bucket").agg(F.collect_list(F.struct("h", "owner")).alias("x")).select(F.col("x.h").alias("h"), F.col("x.owner").alias("owner"))
+    hits = lists.mapInArrow(_repeated, "sid long, hits long").groupBy("sid").agg(F.sum("hits").alias("hits"))
+    return sets.join(hits, "sid").where(F.col("hits") >= _ahead(_least(F.col("n"), similarity), similarity)).drop("hits")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    one, two = (sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("h").alias(f"h_{x}")) for x in "ab")
+    met = pairs.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("h_a", "h_b")))
+    return stage(met.where(F.col("both") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"), "similar-links")
+
+
+def similar_links(keyed: DataFrame, key: str, prints: DataFrame, radius: int = SIMILAR_RADIUS, similarity: float = SIMILARITY, hubs: int = HUBS) -> DataFrame:
+    """``(a, b)``: links between set ids that join the distinct shingle sets of ``prints`` (key, sid, n) into the same components as all pairs of at least that ``similarity`` would.
+
+    Exact: sets meet where their prefixes of shingles, rarest first, have one in common, and whole sets are compared. Members of a group that are linked by then are not
+    compared again, so a group of near copies doesn't meet as all pairs. ``radius`` isn't used: no distance of fingerprints follows from the rule.
+    """
+    reps = prints.where("sid is not null").groupBy("sid").agg(F.min(key).alias(key), F.first("n").alias("n"))
+    texts = keyed.select(key, F.col("text").cast("string").alias("text"))
+    some = stage(_candidates(texts, reps, similarity), "similar-candidates")
+
+    def whole(sets):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sid", "n", "h"])
+
+    chosen = texts.join(some.select(key), key, "left_semi").select("text")
+    sets = stage(_texts_of(chosen, whole, "sid long, n long, h array<long>").groupBy("sid", "n").agg(F.first("h").alias("h")), "similar-sets")
+    shingles = sets.select("sid", "n", F.explode("h").alias("t"))
+    common = shingles.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # Shingles of one set alone come first in every prefix and meet nothing.
+    ranked = shingles.join(common, "t").groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
+    take = (F.size("r") - _least(F.col("n"), similarity) + 1).cast("int")
+    prefix = ranked.where(take > 0).select("n", "sid", F.explode(F.slice("r", F.lit(1), take)).alias("r"))
+    groups = prefix.groupBy("r.t").agg(F.sort_array(F.collect_set(F.struct("n", "sid", F.col("sid").alias("label")))).alias("m")).where("size(m) > 1").select("m").distinct()
+    todo, found = stage(groups.select(F.monotonically_increasing_id().alias("g"), "m"), "similar-groups"), None
+    while True:
+        met = todo.select("m", F.posexplode(F.slice("m", 1, hubs)).alias("i", "x")).select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
+        met = met.where((F.col("x.label") != F.col("y.label")) & (F.least("x.n", "y.n") >= _least(F.greatest("x.n", "y.n"), similarity)))
+        pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
+        new = _verified(pairs, sets, similarity)
+        found = new if found is None else found.union(new)
+        rest = todo.where(F.size("m") > hubs + 1).select("g", F.explode(F.slice("m", F.lit(hubs + 1), F.size("m"))).alias("x")).select("g", "x.n", "x.sid")
+        if rest.isEmpty():
+            return found
+        rest = rest.join(components(found), F.col("sid") == F.col("v"), "left").select("g", "n", "sid", F.coalesce("label", "sid").alias("label"))
+        parts = rest.groupBy("g", "label").agg(F.sort_array(F.collect_list(F.struct("n", "sid", "label"))).alias("m"))
+        # Members of small parts meet the others first; what is left of a group is done once it is one part.
+        parts = parts.groupBy("g").agg(F.sort_array(F.collect_list(F.struct(F.size("m").alias("size"), "label", "m"))).alias("parts")).where("size(parts) > 1")
+        todo, hubs = stage(parts.select("g", F.flatten("parts.m").alias("m")), "similar-groups"), 4 * hubs
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -297,8 +360,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
-def _sketched(docs: DataFrame, key: str, shingle: int) -> DataFrame:
-    """``(doc_id, key, fp, print, bands, sketch)`` of every row: :func:`text_fingerprints` and :func:`text_sketches` in one pass."""
+def _marked(docs: DataFrame, key: str, shingle: int) -> DataFrame:
+    """``(doc_id, key, fp, sid, n)`` of every row: its fingerprint, and the id and size of its set of five-word shingles. Without words, the id is null."""
 
     def run(batches):
         import pyarrow as pa
@@ -307,19 +370,19 @@ def _sketched(docs: DataFrame, key: str, shingle: int) -> DataFrame:
             data, offsets = text_buffer(batch.column(2))
             for a, b in text_parts(offsets, _PART_BYTES):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                prints, keys, sketches = text_sketches(part, at)
-                signed = lambda x: pa.array(x.view(np.int64))
-                bands = pa.array([k if s else None for k, s in zip(keys.view(np.int64), sketches, strict=True)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], signed(text_fingerprints(part, at, shingle)), signed(prints), bands, pa.array(sketches, pa.binary())], names=["doc_id", key, "fp", "print", "bands", "sketch"])
+                sets = shingle_sets(part, at)
+                sid, n = pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], pa.array(text_fingerprints(part, at, shingle).view(np.int64)), sid, n], names=["doc_id", key, "fp", "sid", "n"])
 
     fields = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, `{key}` binary"
-    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, print long, bands array<long>, sketch binary")
+    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, sid long, n long")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """The rows of ``docs`` with one of each component: that with the smallest doc_id (null last), ties to the smaller row key; of equal rows one stays.
 
-    With ``similarity``, texts whose sets of five-word shingles are at least that similar are linked too. Of texts with one fingerprint, that of the smallest row key stands for all.
+    With ``similarity``, texts whose sets of five-word shingles are at least that similar are linked too. Each distinct set of shingles is compared,
+    whatever fingerprints its texts have; a set's fingerprints are one component.
     """
     key, n = free_name(docs, "_key"), free_name(docs, "_n")
     keyed = docs.withColumn(key, row_key("doc_id", "text"))
@@ -327,9 +390,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     if similarity is None:
         prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
     else:
-        prints = stage(_sketched(keyed, key, shingle), "simhash")
-        reps = prints.groupBy("fp").agg(F.min_by(F.struct("print", "bands", "sketch"), key).alias("r")).select("fp", "r.*")
-        more = similar_links(stage(reps, "sketches"), similarity=similarity)
+        prints = stage(_marked(keyed, key, shingle), "simhash")
+        one = stage(prints.where("sid is not null").groupBy("sid").agg(F.min("fp").alias("one")), "simhash-sets")
+        a, b = one.toDF("a", "fp_a"), one.toDF("b", "fp_b")
+        more = similar_links(keyed, key, prints, similarity=similarity).join(a, "a").join(b, "b").select("fp_a", "fp_b")
+        more = more.union(prints.join(one, "sid").where("fp <> one").select("fp", "one")).distinct()
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
     found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius, more)
     stay = stage(found.groupBy("label").agg(F.first("first").alias("first")).select(F.col("first.key").alias(key)), "simhash-kept")

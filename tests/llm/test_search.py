@@ -200,3 +200,21 @@ def test_sketches():
     b = np.sort(np.concatenate([a[:-200], rng.choice(2**32, 200).astype("<u4")]))
     assert simhash.sketch_similarity(a[:50], a[10:60]) == 40 / 60 and simhash.sketch_similarity(a[:0], a[:0]) == 0
     assert abs(simhash.sketch_similarity(a[: simhash.SKETCH], b[: simhash.SKETCH]) - 1_800 / 2_200) < 0.1
+
+
+def _kept(spark, texts):
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(r["doc_id"] for r in simhash.drop_near_duplicates(frame, similarity=0.8).collect())
+    assert got == _plain_similar(docs)
+    return got
+
+
+def test_long_texts_at_the_limit(spark):
+    """Of n shingles the last k differ: similarity (n - k) / (n + k), 0.8 where n is 9 * k. All sets are larger than a sketch."""
+    texts = []
+    for f, (n, ks) in enumerate([(450, (49, 50, 51)), (900, (97, 99, 100, 101, 103)), (1_800, (199, 200, 201))] * 2):
+        for k in ks:
+            words = [f"f{f}k{k}w{i}" for i in range(n + 4)]
+            texts += [" ".join(words), " ".join(words[:-k] + [f"o{w}" for w in words[-k:]])]
+    assert len(_kept(spark, texts)) == 2 * (4 + 7 + 4)
