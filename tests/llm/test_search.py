@@ -218,3 +218,12 @@ def test_long_texts_at_the_limit(spark):
             words = [f"f{f}k{k}w{i}" for i in range(n + 4)]
             texts += [" ".join(words), " ".join(words[:-k] + [f"o{w}" for w in words[-k:]])]
     assert len(_kept(spark, texts)) == 2 * (4 + 7 + 4)
+
+
+def test_texts_of_one_fingerprint(spark):
+    """One shingle fills over half of each first text, so all these have its fingerprint; each second text is similar to just one of them."""
+    texts = []
+    for f in range(5):
+        words = " ".join(f"f{f}w{i}" for i in range(60))
+        texts += ["z " * 200 + words, "z " * 6 + words]
+    assert _kept(spark, texts) == [0]
