@@ -227,3 +227,9 @@ def test_texts_of_one_fingerprint(spark):
         words = " ".join(f"f{f}w{i}" for i in range(60))
         texts += ["z " * 200 + words, "z " * 6 + words]
     assert _kept(spark, texts) == [0]
+
+
+def test_no_similar_pair_is_left_out(spark):
+    """Four of five shingles in common. The first seeds share no band of two least hashes, the others differ in over 22 bits of the five-word fingerprint."""
+    words = [[f"q{k}x{i}" for i in range(9)] for k in (1097, 13331, 13515, 540, 1454, 6159)]
+    assert _kept(spark, [" ".join(w[:n]) for w in words for n in (9, 8)]) == [0, 2, 4, 6, 8, 10]
