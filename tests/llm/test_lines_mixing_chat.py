@@ -93,6 +93,29 @@ def test_mix_equals_simulation(spark):
     assert all(r["mix_index"] // 8 == r["mix_slot"] for r in got)
 
 
+@given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.floats(1e-6, 1e6), min_size=1, max_size=12))
+def test_exact_deviation(weights):
+    """Against the weights themselves, while no source has ended; every block once and in order."""
+    shares, n = mixing.exact_shares(weights)
+    had = dict.fromkeys(shares, 0)
+    for at, (s, i, t) in zip(range(3_000), mixing.exact_slots(shares, dict.fromkeys(shares, 10**9)), strict=False):
+        assert t == at and i == had[s]
+        had[s] += 1
+        assert all(abs(had[x] * n - (t + 1) * c) < n for x, c in shares.items())
+
+
+@pytest.mark.parametrize(("counts", "power"), [({"a": 4_200, "b": 4_200, "c": 4_200}, 0.5), ({"big": 6_000} | {f"s{k}": 1 for k in range(300)}, 0.9)])
+def test_mix_keeps_the_weights(spark, counts, power):
+    """Blocks of one row, over several periods of 1,024 slots: each source is within a block of its unrounded weight until it ends."""
+    rows = [(f"{s}{i}", s, "t") for s, n in counts.items() for i in range(n)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id string, source string, text string"), power=power, block_rows=1).select("source", "mix_slot").collect()
+    assert len({r["mix_slot"] for r in got}) == len(rows)
+    total = sum(n**power for n in counts.values())
+    for s, n in counts.items():
+        slots, w = sorted(r["mix_slot"] for r in got if r["source"] == s), n**power / total
+        assert len(slots) == n and all(abs(i + 1 - (t + 1) * w) < 1 + 1e-9 for i, t in enumerate(slots))
+
+
 def test_mix_edges(spark):
     schema = "doc_id long, source string, text string"
     assert mixing.mix_sources(spark.createDataFrame([], schema)).count() == 0
