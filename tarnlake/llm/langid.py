@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import free_name, others, text_buffer
 
+#: Units of a direction; more for over 64 languages, with the square root of their number.
 HIDDEN = 8
 #: Bytes of a segment; both directions start afresh in each. Segments that run side by side.
 SEGMENT, LANES = 64, 4096
-#: Bounds of the training sample: languages, documents of each (expected), and segments of a document.
-MAX_LANGUAGES, SAMPLE_DOCS, SAMPLE_SEGMENTS = 64, 600, 3
+#: Bounds of the training sample: documents of each language (expected), fewer where over 100 languages share SAMPLE_TOTAL, and segments of a document.
+SAMPLE_DOCS, SAMPLE_TOTAL, SAMPLE_SEGMENTS = 600, 60_000, 3
+#: Every language is learned. More labels than this can't be languages, and are an error.
+MAX_LANGUAGES = 2_000
 STEPS, BATCH, RATE = 400, 256, 0.02
 UNDETERMINED = "und"
 
@@ -151,23 +156,27 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame) -> ByteGRU | None:
     """A network that learned the languages of ``docs`` from a bounded sample of its rows that aren't held out; None if no such row has a language.
 
-    The sample: about SAMPLE_DOCS documents of each of the MAX_LANGUAGES most frequent languages, picked by a hash of the id, and SAMPLE_SEGMENTS segments from
+    The sample: about SAMPLE_DOCS documents of each language (SAMPLE_TOTAL of all, if that is less), picked by a hash of the id, and SAMPLE_SEGMENTS segments from
     evenly spaced places of each text.
     """
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col("lang").alias("y"))
-    counts = known.groupBy("y").count().orderBy(F.desc("count"), "y").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("y").count().limit(MAX_LANGUAGES + 1).collect()
     if not counts:
         return None
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages; is lang a language?")
     h = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000))
-    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["y"], min(1_000_000, 1_000_000 * SAMPLE_DOCS // r["count"] + 1))])
-    sample = known.where(h < F.element_at(rates, F.col("y"))) if len(counts) > 1 else known.where(h < min(1_000_000, 1_000_000 * SAMPLE_DOCS // counts[0]["count"] + 1))
+    each = min(SAMPLE_DOCS, SAMPLE_TOTAL // len(counts))
+    rates = docs.sparkSession.createDataFrame([(r["y"], min(1_000_000, 1_000_000 * each // r["count"] + 1)) for r in counts], known.select("y", F.lit(0).cast("long").alias("rate")).schema)
+    sample = known.join(F.broadcast(rates), "y").where(h < F.col("rate"))
     b = F.col("text").cast("binary")
     places = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_SEGMENTS - 1)), lambda i: F.substring(b, F.floor(i * F.greatest(F.length(b) - SEGMENT, F.lit(0)) / SAMPLE_SEGMENTS).cast("int") + 1, F.lit(SEGMENT)))
-    rows = sample.select("y", F.xxhash64("doc_id").alias("h"), "doc_id", places.alias("s")).orderBy("h", "doc_id").limit(2 * SAMPLE_DOCS * len(counts)).collect()
+    rows = sample.select("y", F.xxhash64("doc_id").alias("h"), "doc_id", places.alias("s")).orderBy("h", "doc_id").limit(2 * each * len(counts)).collect()
     languages = sorted(r["y"] for r in counts)
-    pairs = [(bytes(s), languages.index(r["y"])) for r in rows for s in dict.fromkeys(map(bytes, r["s"])) if s]
+    place = {y: i for i, y in enumerate(languages)}
+    pairs = [(bytes(s), place[r["y"]]) for r in rows for s in dict.fromkeys(map(bytes, r["s"])) if s]
     segments = np.array([np.frombuffer(s.ljust(SEGMENT, b"\0"), np.uint8) for s, _ in pairs]).reshape(-1, SEGMENT)
-    return ByteGRU(languages).fit(segments, np.array([y for _, y in pairs])) if pairs else None
+    return ByteGRU(languages, max(HIDDEN, 2 * math.isqrt(len(languages)) - HIDDEN)).fit(segments, np.array([y for _, y in pairs])) if pairs else None
 
 
 def identify(docs: DataFrame, model: ByteGRU | None) -> DataFrame:

@@ -179,6 +179,23 @@ def test_language_id(spark):
     assert len(twins) == 2 and twins[0]["score"] == twins[1]["score"]
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """70 languages, each with letters of its own; the last six have the fewest documents."""
+    rng = random.Random(5)
+    docs = []
+    for k in range(70):
+        letters = [chr(0x4E00 + 64 * k + i) for i in range(4)]
+        docs += [(1_000 * k + i, "".join(rng.choice(letters) for _ in range(40)), f"l{k:02}") for i in range(40 if k < 64 else 20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.train(frame)
+    assert model.languages == sorted({y for _, _, y in docs})
+    rare = [r for r in langid.identify(frame, model).collect() if r["lang"] >= "l64"]
+    assert sum(r["lang_pred"] == r["lang"] for r in rare) >= 0.8 * len(rare)
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 69)
+    with pytest.raises(ValueError):
+        langid.train(frame)
+
+
 def test_language_id_depends_on_text_alone(spark):
     model = langid.train(spark.createDataFrame(_language_docs(), "doc_id long, text string, lang string"))
     texts = [t for _, t, _ in _language_docs()[:20]] + ["é", "aeiou" * 5000]
