@@ -18,8 +18,8 @@ from tarnlake.llm.common import fold_case, free_name, rolling_hashes, row_key, s
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: The verified rule: words of a shingle and least Jaccard similarity.
 SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
-#: Members of a group that meet all of its others at once, before those that are linked by then are left out.
-HUBS = 16
+#: Members of a group that meet all of its others in the first round; twice as many in each next one, for what isn't linked by then.
+HUBS = 1
 #: Buckets that shingle hashes are dealt to, of about 1 / BUCKETS of all prefixes each; a multiple of the shuffle partitions where those are more.
 BUCKETS = 2_048
 #: Of the estimate :func:`sketch_similarity` and of trees over five-word fingerprints. No link depends on them.
@@ -299,8 +299,9 @@ def similar_links(keyed: DataFrame, key: str, prints: DataFrame, radius: int = S
     # Shingles of one set alone come first in every prefix and meet nothing.
     ranked = shingles.join(common, "t").groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
     take = (F.size("r") - _least(F.col("n"), similarity) + 1).cast("int")
-    prefix = ranked.where(take > 0).select("n", "sid", F.explode(F.slice("r", F.lit(1), take)).alias("r"))
-    groups = prefix.groupBy("r.t").agg(F.sort_array(F.collect_set(F.struct("n", "sid", F.col("sid").alias("label")))).alias("m")).where("size(m) > 1").select("m").distinct()
+    prefix = ranked.where(take > 0).select("n", "sid", (-take).alias("rare"), F.explode(F.slice("r", F.lit(1), take)).alias("r"))
+    # Those with the fewest shingles of their own lead a group: of edited copies of a text, it and its closest copies, to which most others are linked at once.
+    groups = prefix.groupBy("r.t").agg(F.sort_array(F.collect_set(F.struct("rare", "n", "sid", F.col("sid").alias("label")))).alias("m")).where("size(m) > 1").select("m").distinct()
     todo, found = stage(groups.select(F.monotonically_increasing_id().alias("g"), "m"), "similar-groups"), None
     while True:
         met = todo.select("m", F.posexplode(F.slice("m", 1, hubs)).alias("i", "x")).select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
@@ -308,14 +309,14 @@ def similar_links(keyed: DataFrame, key: str, prints: DataFrame, radius: int = S
         pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
         new = _verified(pairs, sets, similarity)
         found = new if found is None else found.union(new)
-        rest = todo.where(F.size("m") > hubs + 1).select("g", F.explode(F.slice("m", F.lit(hubs + 1), F.size("m"))).alias("x")).select("g", "x.n", "x.sid")
+        rest = todo.where(F.size("m") > hubs + 1).select("g", F.explode(F.slice("m", F.lit(hubs + 1), F.size("m"))).alias("x")).select("g", "x.rare", "x.n", "x.sid")
         if rest.isEmpty():
             return found
-        rest = rest.join(components(found), F.col("sid") == F.col("v"), "left").select("g", "n", "sid", F.coalesce("label", "sid").alias("label"))
-        parts = rest.groupBy("g", "label").agg(F.sort_array(F.collect_list(F.struct("n", "sid", "label"))).alias("m"))
+        rest = rest.join(components(found), F.col("sid") == F.col("v"), "left").select("g", "rare", "n", "sid", F.coalesce("label", "sid").alias("label"))
+        parts = rest.groupBy("g", "label").agg(F.sort_array(F.collect_list(F.struct("rare", "n", "sid", "label"))).alias("m"))
         # Members of small parts meet the others first; what is left of a group is done once it is one part.
         parts = parts.groupBy("g").agg(F.sort_array(F.collect_list(F.struct(F.size("m").alias("size"), "label", "m"))).alias("parts")).where("size(parts) > 1")
-        todo, hubs = stage(parts.select("g", F.flatten("parts.m").alias("m")), "similar-groups"), 4 * hubs
+        todo, hubs = stage(parts.select("g", F.flatten("parts.m").alias("m")), "similar-groups"), 2 * hubs
 
 
 def components(edges: DataFrame) -> DataFrame:
