@@ -414,7 +414,10 @@ def worker_assignment(spark, sf_dir):
     servers, todo = _todo(spark, sf_dir)
     ranges = scheduling.as_intervals(scheduling.with_blocks(todo, servers), "server_name", "block")
     per: dict[str, dict[int, list]] = {}
-    for r in ranges.orderBy("server_name", "block", "first_id").limit(scheduling.MAX_SERVERS).collect():
+    rows = ranges.orderBy("server_name", "block", "first_id").limit(scheduling.MAX_SERVERS + 1).collect()
+    if len(rows) > scheduling.MAX_SERVERS:
+        raise ValueError(f"over {scheduling.MAX_SERVERS} intervals in one layer")
+    for r in rows:
         per.setdefault(str(r["server_name"]), {}).setdefault(r["block"], []).append((r["first_id"], r["last_id"]))
     known = [scheduling.Server(s, 4, 1, 50, 10, tuple(blocks.values())) for s, blocks in per.items()]
     return spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, 10)], schema.ASSIGNMENTS)

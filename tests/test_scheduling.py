@@ -5,8 +5,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tarnlake import queries
 from tarnlake.operators import batching, ledger, scheduling
 from tarnlake.operators.scheduling import Server, assign_workers, largest_fitting, merge_groups, pack
+from tests.conftest import DATA
 
 
 def _servers(*nodes, **kw):
@@ -150,3 +152,9 @@ def test_one_profile_per_server(spark):
     assert sorted(map(tuple, ledger.with_one(left, right, "server_name").collect())) == [("a", 1), ("c", None)]
     with pytest.raises(Exception, match="repeats"):
         ledger.with_one(left, right.union(right), "server_name").collect()
+
+
+def test_worker_assignment_raises_rather_than_cuts(spark, monkeypatch):
+    monkeypatch.setattr(scheduling, "MAX_SERVERS", 3)
+    with pytest.raises(ValueError):
+        queries.worker_assignment(spark, str(DATA))
