@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import free_name, lower_ascii, others, stage
+from tarnlake.llm.common import free_name, lower_ascii, others, row_key, stage
 
 WINDOW = 13
+#: Words of a document that one row holds. A longer document is several rows, so no row, list or set grows with a document.
+BLOCK_WORDS = 4_096
 #: Word tables up to this many bytes are broadcast; beyond it the same joins shuffle.
 BROADCAST_BYTES = 32 << 20
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,47 +41,80 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.groupBy("words").agg(F.collect_set("item_id").alias("items"))
 
 
-def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``.
+def word_blocks(docs: DataFrame, window: int = WINDOW, block: int = BLOCK_WORDS) -> DataFrame:
+    """``(key, n, base, lead, own, w)``: documents of ``n`` words in blocks of ``own`` words from word ``base`` on.
 
-    A word is hit if it is inside any occurrence of an item window; a document is contaminated if words are hit and they are a twentieth of
-    its words or more. Null text has no words. Rows of ``items`` with null text, or no word, have no window; a null item_id counts in hits, not among the ids. Repeated
-    rows are each judged on their own. Other columns pass through, but for any of these five names.
+    ``w`` has up to ``window`` - 1 words more on either side, ``lead`` of them before, so every window that touches a block's own words is whole in its row.
+    """
+    margin = window - 1
+
+    def cut(ws: Column) -> Column:
+        def one(s: Column) -> Column:
+            lead = F.least(s, F.lit(margin))
+            own = F.least(F.lit(block), F.size(ws) - s)
+            return F.struct(F.size(ws).alias("n"), s.alias("base"), lead.alias("lead"), own.alias("own"), F.slice(ws, s - lead + 1, lead + block + margin).alias("w"))
 
-    A window is contained in a document only if its rarest word is, so with words ordered by rarity in ``docs`` its prefix is one word. Documents
-    are joined on those words alone; then lengths and positions bound where the window can stand, and the words there are compared.
+        return F.when(F.size(ws) > 0, F.transform(F.sequence(F.lit(0), F.size(ws) - 1, F.lit(block)), one))
+
+    return docs.select(row_key("doc_id", "text").alias("key"), F.explode(_let(content_words(F.col("text")), cut)).alias("b")).select("key", "b.*")
+
+
+def _candidates(blocks: DataFrame, windows: DataFrame, window: int) -> DataFrame:
+    """``(key, base, found)``: where in a block a window may stand, each place once, as place * (``window`` + 1) + length.
+
+    A window is contained in a document only if its rarest word is, so with words ordered by rarity in the documents its prefix is one word. Windows with one prefix
+    word differ in how far into them it is and in their length only, so a word of a document gives a few places, however many windows or items begin with it.
     """
-    key, found, mark = (free_name(docs, x) for x in ("_key", "_found", "_mark"))
-    windows = stage(item_windows(items, window), "item-windows")
     vocabulary = windows.select(F.explode("words").alias("w")).distinct()
-    spread = docs.select(F.xxhash64("doc_id", "text").alias("key"), content_words(F.col("text")).alias("ws")).select("key", F.size("ws").alias("n"), F.posexplode("ws").alias("pos", "w"))
-    counts = stage(spread.select("w").join(_sized(vocabulary), "w").groupBy("w").agg(F.count(F.lit(1)).alias("rows")), "item-words")
-    placed = windows.select("words", "items", F.size("words").alias("len"), F.posexplode("words").alias("off", "w")).join(counts, "w")
+    own = blocks.select(F.explode(F.slice("w", F.col("lead") + 1, F.col("own"))).alias("w"))
+    counts = stage(own.join(_sized(vocabulary), "w").groupBy("w").agg(F.count(F.lit(1)).alias("rows")), "item-words")
+    placed = windows.select("words", F.size("words").alias("len"), F.posexplode("words").alias("off", "w")).join(counts, "w")
     # A window with a word that no document has is in none of them.
-    rarest = placed.groupBy("words").agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("rows", "w", "off")).alias("p"), F.first("items").alias("items"), F.first("len").alias("len"))
-    prefix = rarest.where(F.col("known") == F.col("len")).select(F.col("p.w").alias("w"), F.col("p.off").alias("off"), "len", "words", "items")
-    near = (
-        spread.join(_sized(stage(prefix, "item-prefixes")), "w")
-        .where((F.col("n") >= F.col("len")) & (F.col("pos") >= F.col("off")) & (F.col("pos") - F.col("off") + F.col("len") <= F.col("n")))
-        .groupBy(F.col("key").alias(key))
-        .agg(F.collect_set(F.struct((F.col("pos") - F.col("off")).alias("at"), "words", "items")).alias(found))
-    )
-    def marks(w: Column) -> Column:
-        same = F.filter(F.coalesce(F.col(found), F.array()), lambda x: F.slice(w, x["at"] + 1, F.size(x["words"])) == x["words"])
-        return _let(same, lambda hits: counts_of(w, hits))
+    rarest = placed.groupBy("words").agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("rows", "w", "off")).alias("p"), F.first("len").alias("len"))
+    prefix = rarest.where(F.col("known") == F.col("len")).groupBy(F.col("p.w").alias("w")).agg(F.collect_set(F.struct(F.col("p.off").alias("off"), "len")).alias("spots"))
+    spread = blocks.select("key", "base", F.size("w").alias("n"), F.posexplode("w").alias("pos", "w"))
+    met = spread.join(_sized(stage(prefix, "item-prefixes")), "w").select("key", "base", "n", "pos", F.explode("spots").alias("s"))
+    at, size = F.col("pos") - F.col("s.off"), F.col("s.len")
+    fits = met.where((at >= 0) & (at + size <= F.col("n")))
+    return fits.groupBy("key", "base").agg(F.collect_set(at * (window + 1) + size).alias("found"))
+
+
+def _occurrences(blocks: DataFrame, windows: DataFrame, window: int) -> DataFrame:
+    """``(key, base, lead, own, at, size, items)`` of every window that stands in a block: the words at each candidate place are compared with the windows."""
+    near = blocks.select("key", "base", "lead", "own", "w").join(_candidates(blocks, windows, window), ["key", "base"])
+    places = F.transform("found", lambda x: F.struct(F.floor(x / (window + 1)).cast("int").alias("at"), F.slice("w", F.floor(x / (window + 1)).cast("int") + 1, x % (window + 1)).alias("words")))
+    there = near.select("key", "base", "lead", "own", F.explode(places).alias("x")).select("key", "base", "lead", "own", "x.at", "x.words")
+    return there.join(_sized(windows), "words").select("key", "base", "lead", "own", "at", F.size("words").alias("size"), "items")
+
+
+def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``.
 
-    def counts_of(w: Column, hits: Column) -> Column:
-        at = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.sequence(x["at"], x["at"] + F.size(x["words"]) - 1))))
-        ids = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda x: x["items"]))))
-        return F.struct(F.size(w).cast("long").alias("n_words"), F.size(at).cast("long").alias("n_hit"), ids.alias("ids"))
+    A word is hit if it is inside any occurrence of an item window; a document is contaminated if words are hit and they are a twentieth of
+    its words or more. Null text has no words. Rows of ``items`` with null text, or no word, have no window; a null item_id counts in hits, not among the ids. Repeated
+    rows get equal results. Other columns pass through, but for any of these five names.
 
-    out = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(near, key, "left").withColumn(mark, _let(content_words(F.col("text")), marks))
-    n_words, n_hit, ids = (F.col(mark)[x] for x in ("n_words", "n_hit", "ids"))
+    Documents are cut into blocks of words once. Rare words of windows propose places in blocks, at most one for each word, offset and length; there the words are compared
+    with the windows, and only true occurrences are gathered.
+    """
+    key, n_words, n_hit, ids = (free_name(docs, x) for x in ("_key", "_words", "_hit", "_ids"))
+    windows = stage(item_windows(items, window), "item-windows")
+    blocks = stage(word_blocks(docs, window, block), "word-blocks")
+    hits = stage(_occurrences(blocks, windows, window), "window-hits")
+    covered = F.filter(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("size") - 1)))), lambda i: (i >= F.col("lead")) & (i < F.col("lead") + F.col("own")))
+    by_block = hits.groupBy("key", "base", "lead", "own").agg(F.size(covered).alias("hit"))
+    named = hits.select("key", F.explode("items").alias("item")).distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("ids"))
+    none = F.lit(None).cast("array<string>")
+    parts = blocks.where("base = 0").select("key", "n", F.lit(0).alias("hit"), none.alias("ids"))
+    parts = parts.unionByName(by_block.select("key", F.lit(0).alias("n"), "hit", none.alias("ids"))).unionByName(named.select("key", F.lit(0).alias("n"), F.lit(0).alias("hit"), "ids"))
+    found = parts.groupBy(F.col("key").alias(key)).agg(F.max("n").cast("long").alias(n_words), F.sum("hit").alias(n_hit), F.first("ids", True).alias(ids))
+    out = docs.withColumn(key, row_key("doc_id", "text")).join(found, key, "left")
+    words, hit, ids = F.coalesce(n_words, F.lit(0).cast("long")), F.coalesce(n_hit, F.lit(0).cast("long")), F.coalesce(ids, F.array().cast("array<string>"))
     return out.select(
         *[F.col(f"`{c}`") for c in others(docs, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")],
-        n_words.alias("n_words"),
-        n_hit.alias("n_hit"),
+        words.alias("n_words"),
+        hit.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
-        ((n_hit > 0) & (n_hit * 20 >= n_words)).alias("contaminated"),
+        ((hit > 0) & (hit * 20 >= words)).alias("contaminated"),
     )

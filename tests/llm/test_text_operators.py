@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarnlake.llm import common, decontam, langid, lm, substring
 
@@ -219,15 +220,17 @@ def _content(t):
 
 
 def _plain_contamination(text, items):
-    w, hit, ids = _content(text), set(), set()
+    windows = {}
     for item, t in items:
         x = _content(t)
-        for i in range(max(1, len(x) - 12)):
-            win = x[i : i + 13]
-            for s in range(len(w) - len(win) + 1 if win else 0):
-                if w[s : s + len(win)] == win:
-                    hit.update(range(s, s + len(win)))
-                    ids |= {str(item)} if item is not None else set()
+        for i in range(max(1, len(x) - 12) if x else 0):
+            windows.setdefault(tuple(x[i : i + 13]), set()).add(item)
+    w, hit, ids = _content(text), set(), set()
+    for n in {len(x) for x in windows}:
+        for s in range(len(w) - n + 1):
+            if (found := windows.get(tuple(w[s : s + n]))) is not None:
+                hit.update(range(s, s + n))
+                ids |= {str(x) for x in found if x is not None}
     return len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
 
 
@@ -251,3 +254,32 @@ def test_decontamination_of_nothing(spark):
     assert decontam.mark_contamination(spark.createDataFrame([], docs), spark.createDataFrame([(1, "a b")], items)).count() == 0
     r = decontam.mark_contamination(spark.createDataFrame([(1, "a b")], docs), spark.createDataFrame([], items)).first()
     assert (r["n_words"], r["n_hit"], r["contaminated"]) == (2, 0, False)
+
+
+@pytest.mark.parametrize("block", [5, 64])
+def test_decontamination_across_blocks(spark, block):
+    """Windows that touch two blocks count their words once, and rows that repeat get equal results."""
+    items = [(i, t) for i, t in enumerate(_texts(8, 30))] + [(90, "A"), (91, "v1 v2 v3")]
+    docs = [(i, t) for i, t in enumerate(_texts(9, 40) + [items[3][1] * 3, LONG])] + [(700, items[5][1])] * 2
+    frame = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, own int").repartition(3)
+    out = decontam.mark_contamination(frame, spark.createDataFrame(items, "item_id long, text string"), block=block)
+    assert sorted(map(tuple, out.drop("text", "own").collect())) == sorted((d, *_plain_contamination(t, items)) for d, t in docs)
+
+
+@pytest.mark.parametrize("words", [4_000, 40_000])
+def test_decontamination_of_two_words(spark, words):
+    """Every word of the document is the prefix of many windows. Places, not windows, are gathered."""
+    rng = random.Random(words)
+    items = [(i, " ".join(rng.choice("ab") for _ in range(40))) for i in range(40)]
+    docs = [(1, " ".join(rng.choice("ab") for _ in range(words))), (2, "a " * words), (3, items[7][1])]
+    out = decontam.mark_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, out.drop("text").collect())) == sorted((d, *_plain_contamination(t, items)) for d, t in docs)
+
+
+def test_only_ascii_is_lowered(spark):
+    """Every character beyond ASCII, alone and beside capitals, stays as it is."""
+    points = [c for c in map(chr, range(0x80, 0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = ["".join(points[i : i + 64]) + "AZ[`az" for i in range(0, len(points), 64)] + [c + "I\u0307Q" for c in points if c.lower() != c or c.upper() != c]
+    rows = spark.createDataFrame([(t,) for t in [*texts, "", "ABC xyz", "\u03a3A\u03a3"]], "t string").repartition(8)
+    for r in rows.select("t", common.lower_ascii(F.col("t")).alias("low")).collect():
+        assert r["low"] == r["t"].translate({65 + i: 97 + i for i in range(26)})
