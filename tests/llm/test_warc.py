@@ -1,8 +1,10 @@
 """Archives: exact round trip, revisits, and damage that the reader must notice."""
 
+import base64
 import gzip
 import hashlib
 import io
+import tracemalloc
 import zlib
 
 import pytest
@@ -70,3 +72,85 @@ def _damaged(change):
 def test_damage_is_noticed(data):
     with pytest.raises(warc.WarcError):
         list(warc.read_records(io.BytesIO(data)))
+
+
+def test_every_cut_is_noticed():
+    first, second = _member(), _member(b"z" * 300)
+    for k in range(len(first + second)):
+        if k == 0 or k == len(first):  # whole records; the manifest tells that some are missing
+            assert len(list(warc.read_records(io.BytesIO((first + second)[:k])))) == (k > 0)
+            continue
+        with pytest.raises(warc.WarcError):
+            list(warc.read_records(io.BytesIO((first + second)[:k])))
+
+
+def test_manifest_is_compared(spark):
+    rows = [(k, f"http://h/{k}", f"p{k}" * 50, "", "", 0) for k in range(6)]
+    folder, manifest = warc.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1))
+    name = manifest.first()["archive"]
+    assert warc.read_archives(folder, manifest.select("archive")).count() == 6
+    path = f"{folder.removeprefix('file://')}/{name}"
+    with open(path, "rb") as f:
+        data = f.read()
+    with open(path, "wb") as f:
+        f.write(data[: data.rindex(b"\x1f\x8b\x08")])  # without the last record
+    assert len(list(warc.read_records(open(path, "rb")))) < 6
+    with pytest.raises(Exception, match="its manifest says 6"):
+        warc.read_archives(folder, manifest).collect()
+
+
+def test_urls_come_back(spark):
+    urls = ["http://x/\u00e9", "http://\u4f8b\u3048.jp/%41?q=\U0001f600:a: b".replace(" ", ""), "no scheme", "", None]
+    got, _ = _back(spark, [(i, u, "h", "", "", 0) for i, u in enumerate(urls)])
+    assert {r["page_id"]: r["url"] for r in got} == dict(enumerate([*urls[:2], "no%20scheme", *urls[3:]]))
+
+
+def _foreign(kind, block, *more, http=True):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", f"Content-Length: {len(block)}", *more] + ["Content-Type: application/http; msgtype=x"] * http
+    return gzip.compress("\r\n".join([*lines, "", ""]).encode() + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_tools():
+    body = b"Wiki in chunks."
+    chunked = b"4;x=y\r\nWiki\r\nb\r\n in chunks.\r\n0\r\nA: b\r\n\r\n"
+    head = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: Chunked\r\n\r\n"
+    sha1 = lambda x: "sha1:" + base64.b32encode(hashlib.sha1(x).digest()).decode()
+    data = [
+        _foreign("warcinfo", b"software: x\r\n", http=False),
+        _foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "X-Folded: a", "  b"),
+        _foreign("response", head + chunked, f"WARC-Payload-Digest: {sha1(chunked)}", f"WARC-Block-Digest: {sha1(head + chunked)}"),
+        _foreign("response", head + chunked, f"WARC-Payload-Digest: {sha1(body)}", "WARC-Target-URI: http://a/"),
+        _foreign("response", head + chunked, "WARC-Payload-Digest: md9:what"),
+        _foreign("revisit", b"", "WARC-Refers-To: <urn:uuid:0>", f"WARC-Payload-Digest: {sha1(body)}"),
+        _foreign("response", b"HTTP/1.0 200 OK\r\nContent-Length: 9\r\n\r\nabc", "WARC-Truncated: length"),
+    ]
+    got = list(warc.read_records(io.BytesIO(b"".join(data))))
+    assert [r["record_type"] for r in got] == ["warcinfo", "request", "response", "response", "response", "revisit", "response"]
+    assert [r["verified"] for r in got] == [False, False, True, True, False, False, False]
+    assert [r["payload"] for r in got] == [b"software: x\r\n", b"", body, body, body, None, b"abc"]
+    assert {r["page_id"] for r in got} | {r["refers_to"] for r in got} == {None} and got[3]["url"] == "http://a/"
+    for bad in (
+        _foreign("response", head + chunked, f"WARC-Payload-Digest: {sha1(b'other')}"),
+        _foreign("response", b"HTTP/1.0 200 OK\r\nContent-Length: 9\r\n\r\nabc"),
+        _foreign("response", head + chunked[:9]),
+        _foreign("resource", b"abc", f"WARC-Block-Digest: {sha1(b'abd')}", http=False),
+        gzip.compress(b"WARC/1.0\r\nWARC-Type: metadata\r\n\r\n\r\n\r\n"),
+    ):
+        with pytest.raises(warc.WarcError):
+            list(warc.read_records(io.BytesIO(bad)))
+
+
+def test_chunks_in_any_pieces():
+    coded = b"3\r\nabc\r\n0a\r\n0123456789\r\n0\r\n\r\n"
+    for n in range(1, len(coded) + 1):
+        chunks = warc._Chunks()
+        assert b"".join(chunks.add(coded[i : i + n]) for i in range(0, len(coded), n)) == b"abc0123456789" and chunks.over
+
+
+def test_large_payloads_are_not_held():
+    data = _member(b"\0" * 40_000_000)
+    tracemalloc.start()
+    (r,) = warc.read_records(io.BytesIO(data), payloads=False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert r["payload_bytes"] == 40_000_000 and r["payload"] is None and peak < 8 << 20
