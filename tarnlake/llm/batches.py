@@ -95,7 +95,10 @@ def from_planes(data: bytes | memoryview) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def bucket_edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins in sorted, evenly spread hashes (one more than buckets)."""
-    cuts = np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64)
-    return np.concatenate([[0], np.searchsorted(hashes, cuts), [len(hashes)]])
+def bucket_cells(hashes: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
+    """The buckets that sorted, evenly spread hashes fall into, and which of them each has. Empty buckets cost nothing."""
+    if not len(hashes):
+        return []
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return [(int(bucket[i]), slice(i, j)) for i, j in zip(head.tolist(), [*head[1:].tolist(), len(hashes)], strict=True)]

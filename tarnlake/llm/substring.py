@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.batches import TextBatch, bucket_edges, buckets_for, from_planes, to_planes, write_batches
+from tarnlake.llm.batches import TextBatch, bucket_cells, buckets_for, from_planes, to_planes, write_batches
 from tarnlake.llm.common import mix, rolling_hashes, scan_words, stage, word_hashes
 
 WINDOW, GRAM = 13, 7
@@ -153,17 +153,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, in
         for rows in batches:
             for name in rows["batch"]:
                 own, _ = Windows(TextBatch(folder, name), window, gram).fingerprints()
-                edge = bucket_edges(own, buckets)
-                yield pd.DataFrame([(b, name, own[edge[b] : edge[b + 1]].tobytes()) for b in range(buckets) if edge[b + 1] > edge[b]], columns=["bucket", "batch", "data"])
+                yield pd.DataFrame([(b, name, own[part].tobytes()) for b, part in bucket_cells(own, buckets)], columns=["bucket", "batch", "data"])
 
     def requests(files: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
         out = []
         for name in files["batch"]:
             w = Windows(TextBatch(folder, name), window, gram)
             c = w.candidates(hits["data"].tolist())
-            edge = bucket_edges(c.hash, buckets)
-            for b in np.flatnonzero(np.diff(edge)).tolist():
-                part = slice(edge[b], edge[b + 1])
+            for b, part in bucket_cells(c.hash, buckets):
                 out.append((b, name, c.hash[part].tobytes(), c.check[part].astype(np.uint32).tobytes(), to_planes(w.order[c.least[part]])))
         return pd.DataFrame(out, columns=["bucket", "batch", "data", "check", "order"])
 
@@ -190,10 +187,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, in
             batch = TextBatch(folder, name)
             w = Windows(batch, window, gram)
             c = w.candidates(hits)
-            edge = bucket_edges(c.hash, buckets)
             later = np.zeros(len(c.hash), bool)
-            for b in np.flatnonzero(np.diff(edge)).tolist():
-                later[edge[b] : edge[b + 1]] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=int(edge[b + 1] - edge[b])).astype(bool)
+            for b, part in bucket_cells(c.hash, buckets):
+                later[part] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=part.stop - part.start).astype(bool)
             gone = w.at[c.some[later[c.which] | (w.rank[c.some] > c.least[c.which])]]
             cover = np.bincount(gone, minlength=len(w.starts) + 1)[: len(w.starts) + 1].astype(np.int64)
             cover -= np.bincount(gone + window, minlength=len(w.starts) + 1)[: len(w.starts) + 1]
