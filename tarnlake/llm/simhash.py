@@ -18,8 +18,8 @@ from tarnlake.llm.common import fold_case, free_name, rolling_hashes, row_key, s
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: The verified rule: words of a shingle and least Jaccard similarity.
 SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
-#: Members of a group that meet all of its others in the first round; twice as many in each next one, for what isn't linked by then.
-HUBS = 1
+#: Members of a group that meet all of its others in the first round, and how many times as many do in each next one, for what isn't linked by then.
+HUBS, MORE_HUBS = 1, 8
 #: Buckets that shingle hashes are dealt to, of about 1 / BUCKETS of all prefixes each; a multiple of the shuffle partitions where those are more.
 BUCKETS = 2_048
 #: Of the estimate :func:`sketch_similarity` and of trees over five-word fingerprints. No link depends on them.
@@ -280,8 +280,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def similar_links(keyed: DataFrame, key: str, prints: DataFrame, radius: int = SIMILAR_RADIUS, similarity: float = SIMILARITY, hubs: int = HUBS) -> DataFrame:
     """``(a, b)``: links between set ids that join the distinct shingle sets of ``prints`` (key, sid, n) into the same components as all pairs of at least that ``similarity`` would.
 
-    Exact: sets meet where their prefixes of shingles, rarest first, have one in common, and whole sets are compared. Members of a group that are linked by then are not
-    compared again, so a group of near copies doesn't meet as all pairs. ``radius`` isn't used: no distance of fingerprints follows from the rule.
+    Exact: sets meet where their prefixes of shingles, rarest first, have one in common, sizes and what is left of each from there on allow it, and whole sets are compared. Members of a
+    group that are linked by then are not compared again, so a group of near copies doesn't meet as all pairs. ``radius`` isn't used: no distance of fingerprints follows from the rule.
     """
     reps = prints.where("sid is not null").groupBy("sid").agg(F.min(key).alias(key), F.first("n").alias("n"))
     texts = keyed.select(key, F.col("text").cast("string").alias("text"))
@@ -299,24 +299,39 @@ def similar_links(keyed: DataFrame, key: str, prints: DataFrame, radius: int = S
     # Shingles of one set alone come first in every prefix and meet nothing.
     ranked = shingles.join(common, "t").groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
     take = (F.size("r") - _least(F.col("n"), similarity) + 1).cast("int")
-    prefix = ranked.where(take > 0).select("n", "sid", (-take).alias("rare"), F.explode(F.slice("r", F.lit(1), take)).alias("r"))
+    prefix = ranked.where(take > 0).select("n", "sid", (-take).alias("rare"), F.size("r").alias("size"), F.posexplode(F.slice("r", F.lit(1), take)).alias("at", "r"))
+    # Where two sets that are similar first share a shingle, each has as many left as both must share. So from there on a set meets sets of up to ``cap`` shingles only, and the other's cap
+    # is as large as this set. A set with a smaller cap than its own size is idle: it meets no other idle one.
+    cap = F.floor((F.col("size") - F.col("at")) * F.lit((1 + similarity) / similarity) - F.col("n") + 1e-9)
     # Those with the fewest shingles of their own lead a group: of edited copies of a text, it and its closest copies, to which most others are linked at once.
-    groups = prefix.groupBy("r.t").agg(F.sort_array(F.collect_set(F.struct("rare", "n", "sid", F.col("sid").alias("label")))).alias("m")).where("size(m) > 1").select("m").distinct()
-    todo, found = stage(groups.select(F.monotonically_increasing_id().alias("g"), "m"), "similar-groups"), None
+    member = F.struct((cap < F.col("n")).alias("idle"), "rare", "n", cap.alias("cap"), "sid", F.col("sid").alias("label"))
+    groups = prefix.groupBy("r.t").agg(F.sort_array(F.collect_set(member)).alias("m"), F.min("n").alias("low"))
+    groups = groups.select(F.filter("m", lambda x: x["cap"] >= F.col("low")).alias("m")).where("size(m) > 1 and not m[0].idle").distinct()
+    # ``lead``: the first so many members have met all others once the group is done.
+    active = lambda m: F.filter(m, lambda x: ~x["idle"])
+    todo = stage(groups.select(F.monotonically_increasing_id().alias("g"), F.size(active("m")).alias("lead"), "m"), "similar-groups")
+    found, labels = None, None
     while True:
-        met = todo.select("m", F.posexplode(F.slice("m", 1, hubs)).alias("i", "x")).select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
-        met = met.where((F.col("x.label") != F.col("y.label")) & (F.least("x.n", "y.n") >= _least(F.greatest("x.n", "y.n"), similarity)))
-        pairs = met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
+        leaders = F.slice("m", F.lit(1), F.least("lead", F.lit(hubs)))
+        met = todo.select("m", F.posexplode(leaders).alias("i", "x")).select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
+        fits = (F.col("x.n") <= F.col("y.cap")) & (F.col("y.n") <= F.col("x.cap")) & (F.least("x.n", "y.n") >= _least(F.greatest("x.n", "y.n"), similarity))
+        pairs = met.where((F.col("x.label") != F.col("y.label")) & fits).select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
         new = _verified(pairs, sets, similarity)
         found = new if found is None else found.union(new)
-        rest = todo.where(F.size("m") > hubs + 1).select("g", F.explode(F.slice("m", F.lit(hubs + 1), F.size("m"))).alias("x")).select("g", "x.rare", "x.n", "x.sid")
-        if rest.isEmpty():
+        left = todo.where(F.col("lead") > hubs)
+        if left.isEmpty():
             return found
-        rest = rest.join(components(found), F.col("sid") == F.col("v"), "left").select("g", "rare", "n", "sid", F.coalesce("label", "sid").alias("label"))
-        parts = rest.groupBy("g", "label").agg(F.sort_array(F.collect_list(F.struct("rare", "n", "sid", "label"))).alias("m"))
-        # Members of small parts meet the others first; what is left of a group is done once it is one part.
-        parts = parts.groupBy("g").agg(F.sort_array(F.collect_list(F.struct(F.size("m").alias("size"), "label", "m"))).alias("parts")).where("size(parts) > 1")
-        todo, hubs = stage(parts.select("g", F.flatten("parts.m").alias("m")), "similar-groups"), 2 * hubs
+        if labels is None or not new.isEmpty():
+            labels = components(found)
+        rest = left.select("g", F.explode(F.slice("m", F.lit(hubs + 1), F.size("m"))).alias("x")).select("g", "x.idle", "x.rare", "x.n", "x.cap", "x.sid")
+        rest = rest.join(labels, F.col("sid") == F.col("v"), "left").select("g", "idle", "rare", "n", "cap", "sid", F.coalesce("label", "sid").alias("label"))
+        parts = rest.groupBy("g", "label").agg(F.sort_array(F.collect_list(F.struct("idle", "rare", "n", "cap", "sid", "label"))).alias("m"))
+        # What is left of a group is done once its active members, or those of all parts but the largest, have met the others.
+        parts = parts.groupBy("g").agg(F.sort_array(F.collect_list(F.struct(F.size("m").alias("size"), "label", "m"))).alias("parts"))
+        parts = parts.select("g", F.flatten("parts.m").alias("m"), F.array_max("parts.size").alias("largest")).withColumn("lead", F.size(active("m")))
+        few = F.size("m") - F.col("largest")
+        parts = parts.where((few > 0) & (F.col("lead") > 0)).select("g", F.least("lead", few).alias("lead"), F.when(few < F.col("lead"), F.col("m")).otherwise(F.concat(active("m"), F.filter("m", lambda x: x["idle"]))).alias("m"))
+        todo, hubs = stage(parts, "similar-groups"), MORE_HUBS * hubs
 
 
 def components(edges: DataFrame) -> DataFrame:
