@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tarnlake.llm.common import free_name, lower_ascii, others, row_key, stage
 
 WINDOW = 13
+#: Rarest words of a window that must all be in place before its words are compared.
+PREFIX = 2
 #: Words of a document that one row holds. A longer document is several rows, so no row, list or set grows with a document.
 BLOCK_WORDS = 4_096
 #: Word tables up to this many bytes are broadcast; beyond it the same joins shuffle.
@@ -62,26 +64,28 @@ def word_blocks(docs: DataFrame, window: int = WINDOW, block: int = BLOCK_WORDS)
 def _candidates(blocks: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     """``(key, base, found)``: where in a block a window may stand, each place once, as place * (``window`` + 1) + length.
 
-    A window is contained in a document only if its rarest word is, so with words ordered by rarity in the documents its prefix is one word. Windows with one prefix
-    word differ in how far into them it is and in their length only, so a word of a document gives a few places, however many windows or items begin with it.
+    A window stands in a document only if its PREFIX rarest words do, each at its distance from the window's start. Windows with one prefix word differ in how far into them it is and in
+    their length only, so a word of a document proposes a few places, however many windows or items have it; a place that not enough words propose has no window.
     """
     vocabulary = windows.select(F.explode("words").alias("w")).distinct()
     own = blocks.select(F.explode(F.slice("w", F.col("lead") + 1, F.col("own"))).alias("w"))
     counts = stage(own.join(_sized(vocabulary), "w").groupBy("w").agg(F.count(F.lit(1)).alias("rows")), "item-words")
     placed = windows.select("words", F.size("words").alias("len"), F.posexplode("words").alias("off", "w")).join(counts, "w")
     # A window with a word that no document has is in none of them.
-    rarest = placed.groupBy("words").agg(F.count(F.lit(1)).alias("known"), F.min(F.struct("rows", "w", "off")).alias("p"), F.first("len").alias("len"))
-    prefix = rarest.where(F.col("known") == F.col("len")).groupBy(F.col("p.w").alias("w")).agg(F.collect_set(F.struct(F.col("p.off").alias("off"), "len")).alias("spots"))
+    order = F.slice(F.array_sort(F.collect_list(F.struct("rows", "w", "off"))), 1, PREFIX)
+    rarest = placed.groupBy("words").agg(F.count(F.lit(1)).alias("known"), order.alias("p"), F.first("len").alias("len")).where(F.col("known") == F.col("len"))
+    prefix = rarest.select("len", F.explode("p").alias("p")).groupBy(F.col("p.w").alias("w")).agg(F.collect_set(F.struct(F.col("p.off").alias("off"), "len")).alias("spots"))
     spread = blocks.select("key", "base", F.size("w").alias("n"), F.posexplode("w").alias("pos", "w"))
     met = spread.join(_sized(stage(prefix, "item-prefixes")), "w").select("key", "base", "n", "pos", F.explode("spots").alias("s"))
     at, size = F.col("pos") - F.col("s.off"), F.col("s.len")
-    fits = met.where((at >= 0) & (at + size <= F.col("n")))
-    return fits.groupBy("key", "base").agg(F.collect_set(at * (window + 1) + size).alias("found"))
+    fits = met.where((at >= 0) & (at + size <= F.col("n"))).groupBy("key", "base", (at * (window + 1) + size).alias("place")).agg(F.count(F.lit(1)).alias("words"))
+    enough = fits.where(F.col("words") >= F.least(F.lit(PREFIX), F.col("place") % (window + 1)))
+    return stage(enough.groupBy("key", "base").agg(F.collect_list("place").alias("found")), "item-places")
 
 
 def _occurrences(blocks: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     """``(key, base, lead, own, at, size, items)`` of every window that stands in a block: the words at each candidate place are compared with the windows."""
-    near = blocks.select("key", "base", "lead", "own", "w").join(_candidates(blocks, windows, window), ["key", "base"])
+    near = blocks.select("key", "base", "lead", "own", "w").join(_sized(_candidates(blocks, windows, window)), ["key", "base"])
     places = F.transform("found", lambda x: F.struct(F.floor(x / (window + 1)).cast("int").alias("at"), F.slice("w", F.floor(x / (window + 1)).cast("int") + 1, x % (window + 1)).alias("words")))
     there = near.select("key", "base", "lead", "own", F.explode(places).alias("x")).select("key", "base", "lead", "own", "x.at", "x.words")
     return there.join(_sized(windows), "words").select("key", "base", "lead", "own", "at", F.size("words").alias("size"), "items")
@@ -94,8 +98,8 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     its words or more. Null text has no words. Rows of ``items`` with null text, or no word, have no window; a null item_id counts in hits, not among the ids. Repeated
     rows get equal results. Other columns pass through, but for any of these five names.
 
-    Documents are cut into blocks of words once. Rare words of windows propose places in blocks, at most one for each word, offset and length; there the words are compared
-    with the windows, and only true occurrences are gathered.
+    Documents are cut into blocks of words once. The rarest words of windows propose places in blocks; there the words are compared with the windows, and only true occurrences
+    are gathered.
     """
     key, n_words, n_hit, ids = (free_name(docs, x) for x in ("_key", "_words", "_hit", "_ids"))
     windows = stage(item_windows(items, window), "item-windows")
