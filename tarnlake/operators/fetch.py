@@ -49,6 +49,8 @@ def http_get(header: dict[str, str], timeout: float = TIMEOUT) -> Callable[[str]
             answer = session.get(url, timeout=timeout)
         except requests.RequestException as error:
             raise FetchFailed(REQUEST_FAILED, str(error)) from error
+        except Exception as error:  # what a URL can't be made into is that row's error, not the task's
+            raise FetchFailed(UNDECODABLE, f"{type(error).__name__}: {error}") from error
         if answer.status_code >= 400:
             raise FetchFailed(answer.status_code, f"{answer.status_code} {answer.reason}")
         return answer.content
@@ -61,8 +63,8 @@ def _one(get: Callable[[str], bytes], url: str, limit: int) -> tuple[dict, float
     data = get(url)
     try:
         return process(data, limit), time.monotonic() - began
-    except ValueError as error:
-        raise FetchFailed(UNDECODABLE, str(error)) from error
+    except Exception as error:  # whatever a decoder makes of bad data
+        raise FetchFailed(UNDECODABLE, str(error) or type(error).__name__) from error
 
 
 def fetch_all(urls: list[str], get: Callable[[str], bytes], rate: Rate, image_size: int, deadline: float | None = None, clock=time.monotonic, sleep=time.sleep) -> Iterator[tuple[int, dict]]:
@@ -107,19 +109,20 @@ def fetch(urls: DataFrame, assignments: DataFrame, image_size: int, header: dict
 
     ``assignments``: (server_name, partition_id_from, partition_id_to, rate_limit, main_rank, rank). A task owns whole (server, slot) lines and fetches their batches in order, so
     no server is asked by two tasks beyond its slots, and the rate is divided by those. Results leave in small pieces; nothing holds a batch. A retried task fetches again: write the result,
-    then enter it in the ledger. Run with speculation off. With ``seconds``, a task starts no piece that it can't fetch and write in the time left, and stops when time is up;
+    then enter it in the ledger. Run with speculation off. With ``seconds``, counted from this call for all tasks alike, a task starts no piece that it can't fetch and write in the time left, and stops when time is up;
     :func:`finished_batches` tells which batches are whole.
     """
     slots = assignments.groupBy("server_name").agg(F.count_distinct("rank").alias("_slots"))
     ranges = assignments.join(slots, "server_name").select("server_name", "partition_id_from", "partition_id_to", "rank", "rate_limit", "_slots")
-    todo = as_items(urls).join(F.broadcast(ranges), "server_name").where((F.col("partition_id") >= F.col("partition_id_from")) & (F.col("partition_id") < F.col("partition_id_to"))).drop("partition_id_from", "partition_id_to")
+    todo = as_items(urls).join(ranges, "server_name").where((F.col("partition_id") >= F.col("partition_id_from")) & (F.col("partition_id") < F.col("partition_id_to"))).drop("partition_id_from", "partition_id_to")
     n = max(1, urls.sparkSession.sparkContext.defaultParallelism)
     lines = todo.repartition(n, "server_name", "rank").sortWithinPartitions("server_name", "rank", "partition_id", "uuid")
     header = header or {}
+    until = None if seconds is None else time.time() + seconds
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get, rates = getter(header), {}
-        deadline = None if seconds is None else time.monotonic() + seconds
+        deadline = None if until is None else time.monotonic() + until - time.time()
         for frame in frames:
             for (server, rank), part in frame.groupby(["server_name", "rank"], sort=False, dropna=False):
                 first = part.iloc[0]

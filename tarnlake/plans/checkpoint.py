@@ -1,4 +1,7 @@
-"""Which stages are done: a small YAML file in the output root, replaced as a whole on each change."""
+"""Which stages are done: a small YAML file in the output root, replaced as a whole on each change.
+
+The new file is complete before the old one goes, so after a crash in between the new one is read.
+"""
 
 from __future__ import annotations
 
@@ -11,10 +14,10 @@ class Checkpoint:
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         self._files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
         self.values = dict(defaults)
-        if self._files.exists(hadoop):
+        if found := next((x for x in (path, f"{path}.new", path) if self._files.exists(spark._jvm.org.apache.hadoop.fs.Path(x))), None):
             import yaml
 
-            text = "\n".join(r[0] for r in spark.read.text(path).collect())
+            text = "\n".join(r[0] for r in spark.read.text(found).collect())
             self.values |= {k: bool(v) for k, v in (yaml.safe_load(text) or {}).items() if k in defaults}
 
     def __getitem__(self, name: str) -> bool:

@@ -107,7 +107,9 @@ class Downloader:
         ids = scheduling.ids_to_download(servers, ledger.done_batches(status))
         ranges = scheduling.as_intervals(scheduling.with_blocks(ids, servers), "server_name", "block")
         per = ranges.groupBy("server_name", "block").agg(F.array_sort(F.collect_list(F.struct("first_id", "last_id"))).alias("r")).groupBy("server_name").agg(F.array_sort(F.collect_list(F.struct("block", "r"))).alias("b"))
-        rows = ledger.with_one(group.join(per, "server_name"), self.profiles().select("server_name", "rate_limit"), "server_name").orderBy("server_name").limit(scheduling.MAX_SERVERS).collect()
+        rows = ledger.with_one(group.join(per, "server_name"), self.profiles().select("server_name", "rate_limit"), "server_name").orderBy("server_name").limit(scheduling.MAX_SERVERS + 1).collect()
+        if len(rows) > scheduling.MAX_SERVERS:
+            raise ValueError(f"over {scheduling.MAX_SERVERS} servers in one group")
         known = [scheduling.Server(r["server_name"], r["nodes"], r["process_per_node"], r["total_batches"], r["rate_limit"], tuple([(x["first_id"], x["last_id"]) for x in b["r"]] for b in r["b"])) for r in rows]
         return self.spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, self.config.workers)], schema.ASSIGNMENTS)
 
@@ -128,7 +130,10 @@ class Downloader:
         sinks.append_downloads(bad.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/errors")
         # The ledger row comes after the data: a crash before it only means that the batch is fetched again.
         done = staged(fetching.finished_batches(fetched, urls), "finished").withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
-        done.write.mode("append").parquet(self._path("ledger"))
+        # Batches that were begun but aren't whole failed in this layer; the next tries them again.
+        begun = fetched.select("server_name", "partition_id").distinct().join(done, ["server_name", "partition_id"], "left_anti")
+        failed = begun.withColumn("status", F.lit(ledger.FAILED)).withColumn("run_id", F.lit(run_id).cast("long"))
+        done.unionByName(failed).write.mode("append").parquet(self._path("ledger"))
         return not done.isEmpty()
 
     def run(self, getter: Callable = fetching.http_get) -> bool:
@@ -187,6 +192,11 @@ def apply_tools(config: str | Config, tool: str, spark: SparkSession | None = No
         rejects = staged(tools.get_tool(tool)(rows, **options), f"rejects-{tool}")
         sinks.write_rejects(rejects, f"{config.path('tools_folder')}/{tool}/filter_table")
         done["filtered"] = True
+        if table.version():
+            touched = staged(tools.touched_partitions(rejects), f"touched-{tool}")
+            version = table.rewrite(tools.without(rows.join(touched, ["server_name", "partition_id"], "left_semi"), rejects), touched)
+            done["applied"] = True
+            return version
         out = tools.without(rows, rejects)
     version = table.write(out, "server_name", "partition_id")
     done["applied"] = True

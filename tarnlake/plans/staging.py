@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where that is unset, a folder of this machine."""
+    """A folder of this application in ``spark.checkpoint.dir``. Only a local session may leave that unset, and gets a folder of this machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tarnlake-")
         spark.conf.set("spark.checkpoint.dir", path)
     return f"{path.rstrip('/')}/tarnlake-{spark.sparkContext.applicationId}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: a lost executor then costs a re-read."""
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: a lost executor then costs a re-read and not a recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,9 +30,11 @@ def append_downloads(rows: DataFrame, path: str) -> None:
 
 
 class VersionedTable:
-    """A table whose rewrite reads version n and writes version n + 1; a pointer file then names the new one.
+    """A table whose rewrite reads version n and writes version n + 1; a pointer of its own then names the new one.
 
-    The pointer, which also holds the schema, is renamed into place after the data are complete, so readers see the old or the new version, and a partition that lost all of its rows is gone.
+    A version is whole, or holds only the partitions that changed, listed beside it; a reader takes each partition from the newest version that has it. Pointers are numbered and
+    none is ever replaced or deleted: each is written aside and renamed once its data are complete, and the largest number counts. So readers and whoever goes on after a crash
+    see the old or the new version, and a partition that lost all of its rows is gone.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -40,26 +45,51 @@ class VersionedTable:
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
-    def _current(self) -> tuple[int, str]:
-        """Version and schema that the pointer names; 0 where nothing was written."""
-        if not self._files.exists(self._path("CURRENT")):
-            return 0, ""
-        version, _, schema = self.spark.read.text(f"{self.root}/CURRENT", wholetext=True).head()[0].partition("\n")
-        return int(version), schema
-
     def version(self) -> int:
-        return self._current()[0]
+        """The newest version; 0 where nothing was written."""
+        if not self._files.exists(self._path("pointers")):
+            return 0
+        names = [x.getPath().getName() for x in self._files.listStatus(self._path("pointers"))]
+        return max((int(x) for x in names if x.isdigit()), default=0)
+
+    def _pointer(self, version: int) -> dict:
+        return json.loads(self.spark.read.text(f"{self.root}/pointers/{version}", wholetext=True).head()[0])
+
+    def _point(self, version: int, whole: int, schema: StructType, partition_by: list[str]) -> int:
+        aside = self._path(f"pointers/next-{version}")
+        stream = self._files.create(aside, True)
+        stream.write(bytearray(json.dumps({"whole": whole, "schema": schema.json(), "partition_by": partition_by}).encode()))
+        stream.close()
+        if not self._files.rename(aside, self._path(f"pointers/{version}")):
+            raise FileExistsError(f"version {version} of {self.root} was written meanwhile")
+        return version
 
     def read(self) -> DataFrame:
-        version, schema = self._current()
-        return self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{self.root}/v={version}")
+        version = self.version()
+        pointer = self._pointer(version)
+        kind, keys = StructType.fromJson(json.loads(pointer["schema"])), pointer["partition_by"]
+        part = lambda v: self.spark.read.schema(kind).parquet(f"{self.root}/v={v}").select(kind.names)
+        out = part(pointer["whole"])
+        for v in range(pointer["whole"] + 1, version + 1):
+            changed = self.spark.read.schema(StructType([kind[k] for k in keys])).parquet(f"{self.root}/changed/{v}")
+            same = reduce(and_, [out[k].eqNullSafe(changed[k]) for k in keys])
+            out = out.join(changed, same, "left_anti").union(part(v))
+        return out
+
+    def _data(self, df: DataFrame, version: int, partition_by: list[str]) -> None:
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.root}/v={version}")
 
     def write(self, df: DataFrame, *partition_by: str) -> int:
+        """A whole new version."""
         version = self.version() + 1
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.root}/v={version}")
-        stream = self._files.create(self._path("NEXT"), True)
-        stream.write(bytearray(f"{version}\n{df.schema.json()}".encode()))
-        stream.close()
-        self._files.delete(self._path("CURRENT"), False)
-        self._files.rename(self._path("NEXT"), self._path("CURRENT"))
-        return version
+        self._data(df, version, list(partition_by))
+        return self._point(version, version, df.schema, list(partition_by))
+
+    def rewrite(self, df: DataFrame, changed: DataFrame) -> int:
+        """A new version in which the partitions of ``changed`` have the rows ``df``, and all others stay as and where they are."""
+        version = self.version() + 1
+        pointer = self._pointer(version - 1)
+        kind, keys = StructType.fromJson(json.loads(pointer["schema"])), pointer["partition_by"]
+        self._data(df.select(kind.names), version, keys)
+        changed.select(*[F.col(k).cast(kind[k].dataType).alias(k) for k in keys]).distinct().coalesce(1).write.mode("overwrite").parquet(f"{self.root}/changed/{version}")
+        return self._point(version, pointer["whole"], kind, keys)

@@ -127,6 +127,17 @@ def test_fetch_all(server):
     assert dict(fetch.fetch_all(urls[6:], refused, Rate.around(200, 0.5), 100))[0] == {"ok": False, "retry_count": 5, "error_code": -1, "error_msg": "refused"}
 
 
+def test_any_other_error_is_the_rows(monkeypatch):
+    """A decoder that breaks in a way of its own costs one row, not the task."""
+
+    def odd(data, limit):
+        raise KeyError if data == b"x" else RuntimeError("odd")
+
+    monkeypatch.setattr(fetch, "process", odd)
+    got = dict(fetch.fetch_all(["x", "y"], str.encode, Rate.around(50, 0.5), 100))
+    assert [(got[i]["ok"], got[i]["error_code"], got[i]["error_msg"]) for i in (0, 1)] == [(False, -2, "KeyError"), (False, -2, "odd")]
+
+
 def test_deadline(server):
     with pytest.raises(fetch.PastDeadline):
         list(fetch.fetch_all([f"{server}/ok/b"], fetch.http_get({}), Rate.around(10, 0.5), 100, deadline=0))

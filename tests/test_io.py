@@ -3,6 +3,7 @@
 import pytest
 
 from tarnlake.operators import recipes, tools
+from tarnlake.plans.checkpoint import Checkpoint
 from tarnlake.sources import sinks, tables
 
 
@@ -52,6 +53,48 @@ def test_versions(spark, tmp_path):
     assert [(r["p"], r["v"]) for r in table.read().collect()] == [("b", 3)]
 
 
+def test_rewrite_of_touched_partitions(spark, tmp_path):
+    """Only the partitions named are written; one that lost all rows is gone, one with a null key counts, the others are read where they are."""
+    table = sinks.VersionedTable(spark, f"file://{tmp_path}/t")
+    kind = "v int, p string, q int"
+    table.write(spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, "b", 1), (4, None, 0), (5, "c", 0)], kind), "p", "q")
+    for kept, touched in (("false", [("b", 0)]), ("v = 9", [("b", 1), (None, 0)]), ("false", [])):
+        table.rewrite(table.read().where(kept), spark.createDataFrame(touched, "p string, q int"))
+    assert table.version() == 4 and sorted(map(tuple, table.read().collect())) == [(1, "a", 0), (5, "c", 0)]
+    assert not any("p=c" in str(x) or "p=a" in str(x) for v in (2, 3, 4) for x in (tmp_path / f"t/v={v}").rglob("*"))
+    table.write(table.read().where("p = 'c'"), "p", "q")
+    assert [r["v"] for r in table.read().collect()] == [5]
+
+
+def test_a_crash_before_the_pointer_moves(spark, tmp_path, monkeypatch):
+    table = sinks.VersionedTable(spark, f"file://{tmp_path}/t")
+    table.write(spark.createDataFrame([("a", 1)], "p string, v int"), "p")
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(sinks.VersionedTable, "_point", stop)
+    with pytest.raises(KeyboardInterrupt):
+        table.write(spark.createDataFrame([("b", 2)], "p string, v int"), "p")
+    monkeypatch.undo()
+    (tmp_path / "t/pointers/next-2").write_text("{")  # and one in the middle of writing the pointer
+    table = sinks.VersionedTable(spark, f"file://{tmp_path}/t")
+    assert table.version() == 1 and [r["v"] for r in table.read().collect()] == [1]
+    assert table.write(table.read().union(spark.createDataFrame([("c", 3)], "p string, v int").select("p", "v")), "p") == 2
+    assert sorted(r["v"] for r in table.read().collect()) == [1, 3]
+
+
+def test_a_crash_between_the_checkpoint_files(spark, tmp_path):
+    path = f"file://{tmp_path}/done.yaml"
+    Checkpoint(spark, path, {"a": False, "b": False})["a"] = True
+    (tmp_path / "done.yaml").rename(tmp_path / "done.yaml.new")
+    (tmp_path / ".done.yaml.crc").unlink(missing_ok=True)
+    again = Checkpoint(spark, path, {"a": False, "b": False})
+    assert again["a"] and not again["b"]
+    again["b"] = True
+    assert Checkpoint(spark, path, {"a": False, "b": False}).values == {"a": True, "b": True}
+
+
 def test_registries():
     with pytest.raises(ValueError):
         recipes.get_recipe("none")
