@@ -53,10 +53,10 @@ def _writer(folder: str, limit: int):
     return write
 
 
-def write_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[str, DataFrame]:
-    """The folder of the files, and the manifest. Files hold doc_id (as long) and text (as string) of every row."""
+def write_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, folder: str | None = None) -> tuple[str, DataFrame]:
+    """The folder of the files (a new one, if none is given), and the manifest of those written now. Files hold doc_id (as long) and text (as string) of every row."""
     spark = docs.sparkSession
-    folder = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex[:12]}"
+    folder = folder or f"{shared_dir(spark)}/texts-{uuid.uuid4().hex[:12]}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

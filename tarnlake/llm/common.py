@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.plans.staging import shared_dir
+from tarnlake.plans.staging import staged as stage
+
+__all__ = ["shared_dir", "stage"]
+
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,29 +25,6 @@ _ROLL = np.uint64(0xD6E8FEB86659FD93)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset (tests on one machine), a temporary folder is made once.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tarnlake-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return f"{path.rstrip('/')}/tarnlake-{spark.sparkContext.applicationId}"
-
-
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    Cuts the lineage at a copy that every executor can reach, so a lost executor costs a re-read and not a recomputation.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def clean_shared(spark: SparkSession) -> None:
     """Delete what this application staged. For callers whose results are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
@@ -86,7 +65,7 @@ def packed(df: DataFrame, *used: str) -> DataFrame:
 
 def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     """The columns that a table had before :func:`packed`, with ``new`` values for some."""
-    kept = {c.lower() for c in df.columns}
+    kept = {c.lower() for c in df.columns} - {"_row"}
     return df.select(*[new.get(c, F.col(c) if c.lower() in kept else F.col(f"_row.`{c}`")).alias(c) for c in columns])
 
 

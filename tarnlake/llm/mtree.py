@@ -146,12 +146,15 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE,
     """``(query_id, rank, vec_id, score)``: for each vector whose id is divisible by ``every``, the k largest integer inner products with other vectors.
 
     Rows equal in id and vector count once; a query never meets a row with its own id; vectors meet only vectors of as many components;
-    scores must fit a long, and 53 bits. Every vector is in one tree of about ``shard_rows``, placed by a hash of its id, so copies spread. Each tree meets the
+    a squared norm of 2 ** 53 or more is an error, as scores could then be inexact. Every vector is in one tree of about ``shard_rows``, placed by a hash of its id, so copies spread. Each tree meets the
     queries in blocks of about ``query_rows``.
     """
     rows = stage(quantised(vectors, scale), "vectors")
     is_query = F.pmod("id", F.lit(every)) == 0
-    n, m = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    n, m, most = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.max(norm)).first()
+    if (most or 0) >= 1 << 53:
+        raise ValueError("squared norms of 2 ** 53 and more: scores wouldn't be exact; use a smaller scale")
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // query_rows))
     trees = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).groupBy("dims", "shard").applyInPandas(_trees, "dims int, shard long, tree binary")
     trees = stage(trees, "m-trees").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))

@@ -2,18 +2,24 @@
 
 Every window of 13 words is fingerprinted by the smallest hash of its seven-word grams, so neighbouring windows mostly share one and the index holds about a quarter of
 the windows. Equal windows have equal fingerprints. Each batch of documents becomes a sorted, immutable run that is merge-joined with the older runs; windows
-whose fingerprint two documents have are then compared by 96 bits of hash over all their words, which settles who has them first.
+whose fingerprint two documents have are then compared by 96 bits of hash over all their words, which settles who has them first. (Both hashes are made of 64-bit hashes of words.)
+
+:class:`SubstringIndex` keeps texts and runs in a folder, so a later session opens it, adds a batch, and gets what one run over all batches would give.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.batches import TextBatch, bucket_cells, buckets_for, from_planes, to_planes, write_batches
-from tarnlake.llm.common import mix, rolling_hashes, scan_words, stage, word_hashes
+from tarnlake.llm.common import mix, rolling_hashes, scan_words, shared_dir, stage, word_hashes
+from tarnlake.sources.sinks import VersionedTable
 
 WINDOW, GRAM = 13, 7
 #: Batches that one call ingests, and runs that are kept before they are compacted into one.
@@ -91,9 +97,10 @@ class FingerprintIndex:
     them all into one. A run on disk never changes.
     """
 
-    def __init__(self, max_runs: int = MAX_RUNS):
-        self.runs: list[DataFrame] = []
+    def __init__(self, max_runs: int = MAX_RUNS, runs: list[DataFrame] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None):
+        self.runs: list[DataFrame] = runs or []
         self.max_runs = max_runs
+        self._keep = keep or (lambda df: stage(df, "fingerprint-run", partition_by="kind"))
 
     def ingest(self, new: DataFrame) -> DataFrame:
         """``new``: rows (bucket, batch, data), data being distinct sorted fingerprints of a file. Returns rows (batch, data): which of a file's fingerprints another file has too, for files of this batch and of earlier ones."""
@@ -134,20 +141,19 @@ class FingerprintIndex:
         old = self.runs[0] if self.runs else empty
         for run in self.runs[1:]:
             old = old.unionByName(run)
-        done = stage(new.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInPandas(merge, _RUN), "fingerprint-run", partition_by="kind")
+        done = self._keep(new.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInPandas(merge, _RUN))
         run = done.where("kind = 'run'")
         self.runs = [run] if compact else [*self.runs, run]
         return done.where("kind = 'hit'").select("batch", "data")
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ingests: int = INGESTS) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept)`` of every row: its words, how many went, and the others joined by one space.
+def _tasks(files: DataFrame, each: int) -> int:
+    """Tasks of about ``each`` files, and no fewer than there are cores."""
+    return max(files.sparkSession.sparkContext.defaultParallelism, -(-files.count() // each))
 
-    A word goes if a window of ``window`` words covers it whose words also start, in that order, somewhere in a document of a smaller doc_id (null is larger
-    than all). Windows are judged on the input. Rows of equal doc_id don't remove each other's words. Null, empty and blank texts have no words; more columns are ignored.
-    """
-    folder, manifest = write_batches(docs)
-    buckets = buckets_for(manifest)
+
+def _fingerprints(files: DataFrame, folder: str, buckets: int, window: int, gram: int) -> DataFrame:
+    """``(bucket, batch, data)``: the distinct sorted fingerprints of each file, by bucket."""
 
     def prints(batches):
         for rows in batches:
@@ -155,6 +161,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, in
                 own, _ = Windows(TextBatch(folder, name), window, gram).fingerprints()
                 yield pd.DataFrame([(b, name, own[part].tobytes()) for b, part in bucket_cells(own, buckets)], columns=["bucket", "batch", "data"])
 
+    return files.select("batch").repartition(_tasks(files, 4), "batch").mapInPandas(prints, "bucket int, batch string, data binary")
+
+
+def _judged(files: DataFrame, hits: DataFrame, folder: str, buckets: int, window: int, gram: int) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept)`` of every document of ``files``, ``hits`` being all that ingests found."""
+
     def requests(files: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
         out = []
         for name in files["batch"]:
@@ -203,15 +215,75 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, in
         frame = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
         return frame.astype({"doc_id": "Int64"})
 
-    # Ingest batches: documents are dealt to them by file.
-    part = F.pmod(F.xxhash64("batch"), F.lit(ingests))
-    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, -(-manifest.count() // 4))
-    index, hits = FingerprintIndex(), None
-    for i in range(ingests):
-        files = manifest.where(part == i).select("batch").repartition(tasks, "batch")
-        found = index.ingest(files.mapInPandas(prints, "bucket int, batch string, data binary"))
-        hits = found if hits is None else hits.unionByName(found)
-    asked = manifest.groupBy("batch").cogroup(hits.groupBy("batch")).applyInPandas(requests, "bucket int, batch string, data binary, check binary, order binary")
-    answers = asked.groupBy("bucket").applyInPandas(verdicts, "batch string, bucket int, data binary")
-    answers = stage(answers, "window-verdicts").unionByName(hits.select("batch", F.lit(-1).alias("bucket"), "data"))
-    return manifest.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(cut, "doc_id long, n_words long, n_removed long, kept string")
+    # Tasks open their files again, so their number follows the files and not the few bytes that are shuffled.
+    n = _tasks(files, 2)
+    files, hits = files.select("batch").repartition(n, "batch"), hits.repartition(n, "batch")
+    asked = files.groupBy("batch").cogroup(hits.groupBy("batch")).applyInPandas(requests, "bucket int, batch string, data binary, check binary, order binary")
+    answers = stage(asked.groupBy("bucket").applyInPandas(verdicts, "batch string, bucket int, data binary"), "window-verdicts")
+    answers = answers.unionByName(hits.select("batch", F.lit(-1).alias("bucket"), "data")).repartition(n, "batch")
+    return files.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(cut, "doc_id long, n_words long, n_removed long, kept string")
+
+
+class SubstringIndex:
+    """Texts, runs of fingerprints and what they share, in the folder ``path``, which driver and executors see.
+
+    :meth:`ingest` adds a batch of documents: it fingerprints the new texts only, merge-joins them with the runs, and compacts these. :meth:`deduplicated` judges all documents
+    ingested so far, in whatever sessions and batches. The state is a numbered table that moves on once an ingest is complete, so one that broke off has added nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, gram: int = GRAM, max_runs: int = MAX_RUNS):
+        self.spark, self.path, self.max_runs = spark, path.rstrip("/"), max_runs
+        self._table = VersionedTable(spark, f"{self.path}/state")
+        self._state = [tuple(r) for r in self._table.read().collect()] if self._table.version() else [("window", str(window)), ("gram", str(gram))]
+        self.window, self.gram = int(self._of("window")[0]), int(self._of("gram")[0])
+
+    def _of(self, kind: str) -> list[str]:
+        return [x for k, x in self._state if k == kind]
+
+    def _kept(self, df: DataFrame, name: str, **options) -> tuple[str, DataFrame]:
+        path = f"{self.path}/{name}/part={uuid.uuid4().hex[:12]}"
+        df.write.option("compression", "zstd").parquet(path, **options)
+        return path, self.spark.read.schema(df.schema).parquet(path)
+
+    def _read(self, paths: list[str], schema: str) -> DataFrame:
+        reader = self.spark.read.schema(schema).option("basePath", self.path)
+        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def ingest(self, docs: DataFrame, parts: int = 1) -> None:
+        """Add the documents (doc_id, text; more columns are ignored), as ``parts`` batches after one another."""
+        _, files = write_batches(docs, folder=f"{self.path}/texts")
+        state = self._state if self._of("buckets") else [*self._state, ("buckets", str(buckets_for(files)))]
+        self._state = state
+        done: list[str] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            path, out = self._kept(df, "run", partitionBy="kind")
+            done.append(path)
+            return out
+
+        live = self._of("run")
+        index = FingerprintIndex(self.max_runs, [self._read([x], _RUN).where("kind = 'run'") for x in live], keep)
+        for i in range(parts):
+            some = files.where(F.pmod(F.xxhash64("batch"), F.lit(parts)) == i)
+            index.ingest(_fingerprints(some, f"{self.path}/texts", int(self._of("buckets")[0]), self.window, self.gram))
+            live = [*live, done[-1]][-len(index.runs) :]
+        listed, _ = self._kept(files, "files")
+        state = [x for x in state if x[0] != "run"] + [("files", listed), *[("done", x) for x in done], *[("run", x) for x in live]]
+        self._table.write(self.spark.createDataFrame(state, "kind string, value string").coalesce(1))
+        self._state = state
+
+    def deduplicated(self) -> DataFrame:
+        """As :func:`dedup_substrings`, for all documents ingested."""
+        hits = self._read(self._of("done"), _RUN).where("kind = 'hit'").select("batch", "data")
+        return _judged(self._read(self._of("files"), "batch string, docs long, bytes long"), hits, f"{self.path}/texts", int((self._of("buckets") or ["1"])[0]), self.window, self.gram)
+
+
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ingests: int = INGESTS) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept)`` of every row: its words, how many went, and the others joined by one space.
+
+    A word goes if a window of ``window`` words covers it whose words also start, in that order, somewhere in a document of a smaller doc_id (null is larger
+    than all). Windows are judged on the input. Rows of equal doc_id don't remove each other's words. Null, empty and blank texts have no words; more columns are ignored.
+    """
+    index = SubstringIndex(docs.sparkSession, f"{shared_dir(docs.sparkSession)}/substrings-{uuid.uuid4().hex[:12]}", window, gram)
+    index.ingest(docs, ingests)
+    return index.deduplicated()

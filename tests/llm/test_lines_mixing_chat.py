@@ -104,6 +104,17 @@ def test_exact_deviation(weights):
         assert all(abs(had[x] * n - (t + 1) * c) < n for x, c in shares.items())
 
 
+def test_exact_deviation_over_many_slots():
+    """A million slots, weights that no short period fits."""
+    shares, n = mixing.exact_shares({"a": 1 / 3, "b": 2**0.5, "c": 1e-4, "d": 0.1})
+    had = dict.fromkeys(shares, 0)
+    for t, (s, i, at) in zip(range(1_000_000), mixing.exact_slots(shares, dict.fromkeys(shares, 10**9)), strict=False):
+        assert t == at and i == had[s]
+        had[s] += 1
+        if t % 97 == 0:
+            assert all(abs(had[x] * n - (t + 1) * c) < n for x, c in shares.items())
+
+
 @pytest.mark.parametrize(("counts", "power"), [({"a": 4_200, "b": 4_200, "c": 4_200}, 0.5), ({"big": 6_000} | {f"s{k}": 1 for k in range(300)}, 0.9)])
 def test_mix_keeps_the_weights(spark, counts, power):
     """Blocks of one row, over several periods of 1,024 slots: each source is within a block of its unrounded weight until it ends."""

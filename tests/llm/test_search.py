@@ -31,6 +31,13 @@ def test_top_k(spark):
     assert sorted(map(tuple, got)) == _plain_top(rows)
 
 
+def test_scores_beyond_exact_arithmetic(spark):
+    big = spark.createDataFrame([(20, [3e6, 0.0]), (21, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="2 \\*\\* 53"):
+        mtree.top_k(big)
+    assert mtree.top_k(big.where("vec_id = 21")).count() == 0
+
+
 def test_top_k_of_nothing(spark):
     assert mtree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 

@@ -256,6 +256,25 @@ def test_language_id_with_nothing_to_learn(spark):
     assert langid.identify(frame.limit(0), langid.train(frame.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("max_runs", [1, 3])
+def test_substring_index_across_sessions(spark, tmp_path, max_runs):
+    """Batches that are ingested by an index opened anew each time give what one run over all gives, whichever batch has the smaller ids."""
+    docs = [(i * 7 % 83, t) for i, t in enumerate(_texts(21, 80))] + [(None, LONG[:3000]), (500, LONG[:3000]), (501, None)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    path = f"file://{tmp_path}/index"
+    assert substring.SubstringIndex(spark, path).deduplicated().count() == 0
+    for part in (docs[:30], [], docs[30:60], docs[60:]):
+        substring.SubstringIndex(spark, path, max_runs=max_runs).ingest(frame(part))
+    index = substring.SubstringIndex(spark, path)
+    got = sorted(map(tuple, index.deduplicated().collect()), key=repr)
+    assert got == sorted(_plain_substring(docs), key=repr) and sum(r[2] for r in got) > 100
+    assert len(index._of("run")) <= max_runs
+    broken = frame([(1, "a " * 40)]).select("doc_id", F.raise_error(F.lit("stop")).alias("text"))
+    with pytest.raises(Exception, match="stop"):
+        index.ingest(broken)
+    assert sorted(map(tuple, substring.SubstringIndex(spark, path).deduplicated().collect()), key=repr) == got
+
+
 CONTENT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
