@@ -16,6 +16,8 @@ SCALE, TOP = 64, 20
 #: Vectors of one tree and queries searched in one task; entries of a page and children of an inner node.
 SHARD_ROWS, QUERY_ROWS = 8_192, 4_096
 PAGE, FANOUT = 1_024, 16
+#: Vectors, those with the least hashes of their ids, by which all are cut into cells. They decide what a search can skip, never its result.
+PIVOTS = 512
 _SLACK = 1e-6
 
 
@@ -74,12 +76,13 @@ class MTree:
         self.root = _build(points, ids, self.pivot, page, fanout, self.kind)
         self.computed = 0
 
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best, ties to smaller ids; ``own`` takes no part."""
+    def search(self, query: np.ndarray, own: int, k: int, least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best, ties to smaller ids; ``own`` takes no part. With ``least``, a score that k vectors elsewhere reach, those below it may be left out."""
         q = np.append(query, 0.0)
         fixed = float(query @ query) + self.top_norm
         exact = query.astype(self.kind if float(query @ query) < 1 << 24 else np.float64)
-        bound = np.inf
+        bound = np.sqrt(max(0.0, fixed - 2.0 * least))
+        bound += _SLACK * (1 + bound)
         scores, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
         heap: list = [(0.0, 0, float(np.sqrt(np.square(q - self.pivot).sum())), self.root)]
         n = 0
@@ -87,7 +90,7 @@ class MTree:
             low, _, to_pivot, node = heapq.heappop(heap)
             if low > bound:
                 break
-            reach = bound + _SLACK * (1 + bound) if bound < np.inf else np.inf
+            reach = bound + _SLACK * (1 + bound)
             if isinstance(node, Leaf):
                 near = np.abs(to_pivot - node.to_pivot) <= reach
                 vectors, names = node.vectors, node.ids
@@ -95,7 +98,7 @@ class MTree:
                     vectors, names = vectors[near], names[near]
                 self.computed += len(vectors)
                 found = vectors @ exact
-                fit = np.flatnonzero(found >= scores[-1]) if len(scores) == k else np.arange(len(found))
+                fit = np.flatnonzero(found >= (scores[-1] if len(scores) == k else least))
                 fit = fit[names[fit] != own]
                 if not len(fit):
                     continue
@@ -126,7 +129,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 def _trees(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("id", kind="stable")
     tree = MTree(rows["id"].to_numpy(np.int64), np.array(rows["v"].tolist(), dtype=np.float64))
-    return pd.DataFrame({"dims": rows["dims"].iloc[:1], "shard": rows["shard"].iloc[:1], "tree": [pickle.dumps(tree, protocol=5)]})
+    return rows[["dims", "cell", "shard"]].iloc[:1].assign(tree=[pickle.dumps(tree, protocol=5)])
 
 
 def _searched(k: int):
@@ -134,20 +137,61 @@ def _searched(k: int):
         out = []
         if len(trees) and len(queries):
             tree = pickle.loads(trees["tree"].iloc[0])
-            for own, v in zip(queries["id"], queries["v"], strict=True):
-                ids, scores = tree.search(np.asarray(v, np.float64), own, k)
-                out.append(pd.DataFrame({"query_id": own, "query_hash": hash(tuple(v)), "vec_id": ids, "score": scores}))
+            for own, v, name, least in zip(queries["id"], queries["v"], queries["query_hash"], queries["least"], strict=True):
+                ids, scores = tree.search(np.asarray(v, np.float64), own, k, -np.inf if np.isnan(least) else least)
+                out.append(pd.DataFrame({"query_id": own, "query_hash": name, "vec_id": ids, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "query_hash", "vec_id", "score")})
 
     return search
 
 
+def _placed(pivots: dict[int, np.ndarray]):
+    """Adds the ``cell`` of the nearest pivot and the distance ``far`` to it. Vectors of as many components as no pivot has are cell -1."""
+
+    def run(frames):
+        for rows in frames:
+            cell, far = np.full(len(rows), -1), np.zeros(len(rows))
+            for dims, at in rows.groupby("dims").indices.items():
+                if dims in pivots:
+                    x, p = np.stack(rows["v"].iloc[at]).astype(np.float64), pivots[dims]
+                    cell[at] = np.argmin(np.square(p).sum(axis=1) - 2.0 * (x @ p.T), axis=1)
+                    far[at] = _distance(x, p[cell[at]])
+            yield rows.assign(cell=cell, far=far)
+
+    return run
+
+
+def open_cells(queries: np.ndarray, least: np.ndarray, pivots: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Queries by cells: whether the cell may hold a vector of score ``least`` (NaN: unknown) or more. No vector there scores above query * pivot + |query| * radius."""
+    lengths = np.sqrt(np.square(queries).sum(axis=1))
+    best = queries @ pivots.T + lengths[:, None] * (radii * (1 + _SLACK) + _SLACK)
+    return ~(best < least[:, None])
+
+
+def _visits(pivots: dict[int, np.ndarray], radii: dict[int, np.ndarray]):
+    """Adds ``cells``, those that a query must visit."""
+
+    def run(frames):
+        for rows in frames:
+            cells: list = [[-1]] * len(rows)
+            for dims, at in rows.groupby("dims").indices.items():
+                if dims in pivots:
+                    may = open_cells(np.stack(rows["v"].iloc[at]).astype(np.float64), rows["least"].iloc[at].to_numpy(np.float64), pivots[dims], radii[dims])
+                    for i, some in zip(at, may, strict=True):
+                        cells[i] = np.flatnonzero(some).tolist()
+            yield rows.assign(cells=cells)
+
+    return run
+
+
 def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each vector whose id is divisible by ``every``, the k largest integer inner products with other vectors.
 
     Rows equal in id and vector count once; a query never meets a row with its own id; vectors meet only vectors of as many components;
-    a squared norm of 2 ** 53 or more is an error, as scores could then be inexact. Every vector is in one tree of about ``shard_rows``, placed by a hash of its id, so copies spread. Each tree meets the
-    queries in blocks of about ``query_rows``.
+    a squared norm of 2 ** 53 or more is an error, as scores could then be inexact.
+
+    Every vector is in the cell of its nearest pivot, and a cell is cut by a hash of the ids into trees of about ``shard_rows``, so a cell of copies spreads. A query searches the tree that it is in
+    itself, then, with the score found there as bound, the trees of the cells that can still beat it, in blocks of about ``query_rows`` queries.
     """
     rows = stage(quantised(vectors, scale), "vectors")
     is_query = F.pmod("id", F.lit(every)) == 0
@@ -155,11 +199,31 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE,
     n, m, most = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.max(norm)).first()
     if (most or 0) >= 1 << 53:
         raise ValueError("squared norms of 2 ** 53 and more: scores wouldn't be exact; use a smaller scale")
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // query_rows))
-    trees = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).groupBy("dims", "shard").applyInPandas(_trees, "dims int, shard long, tree binary")
-    trees = stage(trees, "m-trees").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    queries = rows.where(is_query).select("id", "v", "dims", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")).alias("shard"))
-    key = ["dims", "shard", "block"]
-    found = trees.groupBy(*key).cogroup(queries.groupBy(*key)).applyInPandas(_searched(k), "query_id long, query_hash long, vec_id long, score long")
+    blocks = max(1, -(-m // query_rows))
+    sample: dict[int, list] = {}
+    for r in rows.orderBy(F.xxhash64("id"), "id", "v").limit(min(PIVOTS, n // shard_rows + 1)).collect():
+        sample.setdefault(r["dims"], []).append(r["v"])
+    pivots = {dims: np.unique(np.array(v, np.float64), axis=0) for dims, v in sample.items()}
+    placed = stage(rows.mapInPandas(_placed(pivots), "id long, v array<long>, dims int, cell int, far double"), "cells-of-vectors")
+    cells = stage(placed.groupBy("dims", "cell").agg(F.max("far").alias("radius"), F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")), "cells")
+    radii = {dims: np.zeros(len(p)) for dims, p in pivots.items()}
+    for r in cells.where("cell >= 0").collect():
+        radii[r["dims"]][r["cell"]] = r["radius"]
+    key, shards = ["dims", "cell", "shard"], cells.drop("radius")
+    dealt = placed.drop("far").join(shards, ["dims", "cell"]).withColumn("shard", F.pmod(F.xxhash64("id"), "shards")).drop("shards")
+    trees = stage(dealt.groupBy(*key).applyInPandas(_trees, "dims int, cell int, shard long, tree binary"), "m-trees")
+    queries = dealt.where(is_query).withColumn("query_hash", F.xxhash64("v"))
+    result = "query_id long, query_hash long, vec_id long, score long"
+    home = queries.withColumn("least", F.lit(float("nan")))
+    home = stage(trees.groupBy(*key).cogroup(home.groupBy(*key)).applyInPandas(_searched(k), result), "found-at-home")
+    bound = home.groupBy("query_id", "query_hash").agg(F.min("score").cast("double").alias("least"), F.count(F.lit(1)).alias("found")).where(F.col("found") >= k)
+    known = queries.join(bound.select(F.col("query_id").alias("id"), "query_hash", "least"), ["id", "query_hash"], "left").withColumn("least", F.coalesce("least", F.lit(float("nan"))))
+    known = known.select("id", "query_hash", "v", "dims", "cell", "shard", "least", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).alias("block"))
+    visits = known.mapInPandas(_visits(pivots, radii), "id long, query_hash long, v array<long>, dims int, cell int, shard long, least double, block long, cells array<int>")
+    visits = visits.select("id", "query_hash", "v", "dims", F.col("cell").alias("own_cell"), F.col("shard").alias("own_shard"), "least", "block", F.explode("cells").alias("cell")).join(shards, ["dims", "cell"])
+    visits = visits.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).where((F.col("cell") != F.col("own_cell")) | (F.col("shard") != F.col("own_shard")))
+    visits = visits.drop("own_cell", "own_shard", "shards")
+    needed = trees.join(visits.select(*key, F.col("block").alias("part")).distinct(), key)
+    away = needed.groupBy(*key, "part").cogroup(visits.groupBy(*key, "block")).applyInPandas(_searched(k), result)
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return home.union(away).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -56,6 +56,26 @@ def test_tree_avoids_computations():
     assert tree.computed < 0.5 * 10 * 8000
 
 
+def test_cells_spare_visits(spark):
+    """On clustered vectors most cells can't beat the bound; no better vector is in a cell that is skipped, and the result is exact."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8)) * 2
+    centres /= np.linalg.norm(centres, axis=1)[:, None] / 3
+    rows = [(i, (centres[i % 12] + rng.normal(size=8) / 50).round(4).tolist()) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, mtree.top_k(frame, shard_rows=60).collect())) == _plain_top(rows)
+    points = np.floor(64 * np.array([v for _, v in rows], np.float32).astype(float))
+    pivots = points[:24]
+    cell = np.argmin(((points[:, None] - pivots) ** 2).sum(axis=2), axis=1)
+    radii = np.array([np.sqrt(((points[cell == c] - pivots[c]) ** 2).sum(axis=1)).max() for c in range(24)])
+    queries = points[::20]
+    scores = queries @ points.T
+    least = np.sort(scores, axis=1)[:, -20]
+    may = mtree.open_cells(queries, least, pivots, radii)
+    assert may.mean() < 0.5 and all(may[q, cell[x]] for q, x in np.argwhere(scores >= least[:, None]))
+    assert mtree.open_cells(queries, np.full(len(queries), np.nan), pivots, radii).all()
+
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -137,6 +157,32 @@ def test_links_across_shards(spark, tree_rows):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_large_groups_are_taken_apart(spark):
+    """Fingerprints that agree in half of their bits: no tree meets a part of its group that can't hold a partner, and no link is lost."""
+    rng = random.Random(11)
+    values = {0xABCD1234 << 32 | rng.getrandbits(32) for _ in range(1500)}
+    values |= {v ^ 1 << rng.randrange(32) ^ 1 << rng.randrange(32) for v in list(values)[:200]}
+    frame = spark.createDataFrame([(v - (v >> 63 << 64),) for v in values], "fp long")
+    met = simhash._tree_rows(frame, 2, 100).selectExpr("sum(size(nodes) * size(coalesce(probes, nodes)))").first()[0]
+    assert met < len(values) ** 2 / 10
+    near = {frozenset((a, b)) for a in values for x in range(32) for y in range(x, 32) if (b := a ^ 1 << x ^ (1 << y if y > x else 0)) in values}
+    labels = {r["v"]: r["label"] for r in simhash.components(simhash.links(frame, tree_rows=100)).collect()}
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in near:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    groups = {}
+    for v in values:
+        groups.setdefault(labels.get(v - (v >> 63 << 64), v), set()).add(find(v))
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len({find(v) for v in values})
+
+
 def test_tree_finds_what_is_within():
     rng = random.Random(3)
     values = [rng.getrandbits(12) for _ in range(300)]
