@@ -114,12 +114,15 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> Da
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string")).mapInArrow(run, f"{fields}fp long")
 
 
-def _bands(radius: int) -> list:
-    """Keys such that fingerprints within ``radius`` bits share one: of radius + 2 bands, two at least are equal."""
+def _masks(bits: list[int], radius: int) -> list[int]:
+    """Of radius + 2 runs of ``bits``, every two as a mask (signed long): numbers that differ in ``radius`` of these bits or fewer agree under one of them."""
     n = radius + 2
-    edge = [64 * i // n for i in range(n + 1)]
-    band = lambda i: F.shiftrightunsigned("fp", edge[i]).bitwiseAND(F.lit((1 << (edge[i + 1] - edge[i])) - 1))
-    return [F.struct(F.lit(k).alias("pair"), F.shiftleft(band(i), 32).bitwiseXOR(band(j)).alias("value")) for k, (i, j) in enumerate(combinations(range(n), 2))]
+    runs = [sum(1 << b for b in bits[len(bits) * i // n : len(bits) * (i + 1) // n]) for i in range(n)]
+    return [m - (m >> 63 << 64) for m in dict.fromkeys(a | b for a, b in combinations(runs, 2))]
+
+
+def _keyed(prints: DataFrame, masks: Column) -> DataFrame:
+    return prints.select("fp", F.explode(masks).alias("mask")).withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
 
 
 def _linked(radius: int):
@@ -151,25 +154,35 @@ def _linked(radius: int):
     return run
 
 
-def _tree_rows(keyed: DataFrame, tree_rows: int) -> DataFrame:
+def _tree_rows(distinct: DataFrame, radius: int, tree_rows: int) -> DataFrame:
     """``(nodes, probes)`` for every BK-tree: what it holds, and what it is asked, null for its own nodes.
 
-    ``keyed``: (fp, pair, value); fingerprints meet where pair and value are equal. A group of over ``tree_rows`` is cut into shards, and each shard's tree meets every part of the group.
-    Trees go to the tasks of their group, since a broadcast of all would grow with the data.
+    Fingerprints within ``radius`` bits agree under one of the masks and meet there. A group of over ``tree_rows`` is taken apart by masks over the bits that its members don't agree in: for two
+    bits, 16 bits are then free, so no group is larger than 65,536, whatever the data. Where that is still over ``tree_rows``, the group is cut into shards, and each shard's tree meets every part.
+    Trees go to the tasks of their group: a broadcast would pass fingerprints of all documents through the driver.
     """
-    sizes = stage(keyed.groupBy("pair", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-groups")
-    members = keyed.join(sizes, ["pair", "value"]).withColumn("shards", F.ceil(F.col("n") / tree_rows)).withColumn("shard", F.pmod(F.xxhash64("fp"), "shards"))
-    parts = stage(members.groupBy("pair", "value", "shards", "shard").agg(F.collect_list("fp").alias("nodes")), "simhash-trees")
+    every = _masks(list(range(64)), radius)
+    count = lambda keyed: stage(keyed.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-groups")
+    keyed = _keyed(distinct, F.array(*map(F.lit, every)))
+    sizes = count(keyed)
+    members = keyed.join(sizes, ["mask", "value"])
+    if not sizes.where(F.col("n") > tree_rows).isEmpty():
+        # The key of a finer group has the bits of the group it comes from.
+        finer = {m: [m | x for x in _masks([b for b in range(64) if not m >> b & 1], radius)] for m in every}
+        large = members.where(F.col("n") > tree_rows).select("fp", F.create_map(*[x for m, f in finer.items() for x in (F.lit(m), F.array(*map(F.lit, f)))])[F.col("mask")].alias("masks"))
+        again = _keyed(large, F.col("masks")).distinct()
+        members = members.where(F.col("n") <= tree_rows).unionByName(again.join(count(again), ["mask", "value"]))
+    members = members.withColumn("shards", F.ceil(F.col("n") / tree_rows)).withColumn("shard", F.pmod(F.xxhash64("fp"), "shards"))
+    parts = stage(members.groupBy("mask", "value", "shards", "shard").agg(F.collect_list("fp").alias("nodes")), "simhash-trees")
     whole = parts.where("shards = 1 or size(nodes) > 1").select("nodes", F.lit(None).cast(parts.schema["nodes"].dataType).alias("probes"))
     large = parts.where("shards > 1")
-    other = large.select("pair", "value", F.col("shard").alias("part"), F.col("nodes").alias("probes"))
-    return whole.unionByName(large.join(other, ["pair", "value"]).where("part > shard").select("nodes", "probes"))
+    other = large.select("mask", "value", F.col("shard").alias("part"), F.col("nodes").alias("probes"))
+    return whole.unionByName(large.join(other, ["mask", "value"]).where("part > shard").select("nodes", "probes"))
 
 
 def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
     """``(a, b)``: links that join the distinct fingerprints ``fp`` within ``radius`` bits into the same components as all such pairs would."""
-    keyed = distinct.select("fp", F.explode(F.array(*_bands(radius))).alias("k")).select("fp", "k.pair", "k.value")
-    return _tree_rows(keyed, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
+    return _tree_rows(distinct.select("fp"), radius, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> list[np.ndarray]:
