@@ -50,9 +50,13 @@ def as_intervals(ids: DataFrame, *keys: str, column: str = "partition_id") -> Da
     return distinct.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min(column).alias("first_id"), (F.max(column) + 1).alias("last_id")).drop("_island")
 
 
-def round_robin(partitions: DataFrame, workers: int, *order: str) -> DataFrame:
-    """``rank``: place in the order, modulo workers. For tables of servers or partitions, since one task sorts all."""
-    return partitions.withColumn("rank", (F.row_number().over(Window.orderBy(*order)) - 1) % workers)
+def round_robin(partitions: DataFrame, workers: int, first: str, *order: str) -> DataFrame:
+    """``rank``: place in the order of ``first``, then ``order``, modulo workers. Rows are sorted within each value of ``first`` only; one task sees one count per value, not the rows."""
+    ahead = F.coalesce(F.sum("_n").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = partitions.groupBy(F.col(first).alias("_first")).agg(F.count(F.lit(1)).alias("_n")).select("_first", ahead.alias("_ahead"))
+    at = F.row_number().over(Window.partitionBy(first).orderBy(*(order or (first,)))) - 1
+    ranked = partitions.withColumn("_at", at).join(counts, F.col(first).eqNullSafe(F.col("_first")))
+    return ranked.select(*[F.col(f"`{c}`") for c in partitions.columns], ((F.col("_ahead") + F.col("_at")) % workers).cast("int").alias("rank"))
 
 
 @dataclass(frozen=True)

@@ -146,6 +146,14 @@ def test_ledger_as_a_stream(spark, tmp_path):
     assert spark.table("followed").where(F.col("status") == "Failed").isEmpty()
 
 
+def test_round_robin_is_one_order_over_all(spark):
+    rows = [(s, p) for s in ("b", "a", None, "c") for p in range(7 if s == "a" else 2)]
+    frame = spark.createDataFrame(rows, "server_name string, partition_id int").repartition(3)
+    got = {(r[0], r[1]): r[2] for r in scheduling.round_robin(frame, 4, "server_name", "partition_id").collect()}
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or "", x[1]))
+    assert got == {x: i % 4 for i, x in enumerate(order)}
+
+
 def test_one_profile_per_server(spark):
     left = spark.createDataFrame([("a",), ("c",)], "server_name string")
     right = spark.createDataFrame([("a", 1), ("b", 2)], "server_name string, rate_limit int")
