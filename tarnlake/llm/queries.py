@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, simhash, substring, warc
+from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, repair, simhash, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,6 +158,43 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
 """
 
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged, and repaired by its cheapest edits."""
+    return repair.digest(repair.repair_conversations(repair.damage(_table(spark, sf_dir, "conversations"))))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, 8 * strlen(k)), lambda j: CAST((ascii(k[j // 8 + 1]) >> (j % 8)) & 1 AS BIGINT))),
+             lambda x, b: CASE WHEN xor(x & 1, b) = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295) % 20 AS f FROM c),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM h, unnest(range(0, CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS t(copy)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail FROM d),
+r AS (SELECT *, tail = '' AS blank, tail <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+      role[1] AS x, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS before, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1 AS final FROM o),
+e AS (SELECT *, NOT blank AND NOT duplicate AND tail NOT IN ('.', '!', '?') AS truncated FROM r),
+s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+      count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE before IS NOT NULL AND before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM e GROUP BY conv_id),
+ins(f, g, n, lines) AS (VALUES ('', '', 0, CAST([] AS VARCHAR[])), ('', 'u', 1, ['user:']), ('', 'a', 2, ['user:', 'assistant:']), ('s', 's', 0, []), ('s', 'u', 1, ['user:']), ('s', 'a', 2, ['user:', 'assistant:']),
+      ('u', 'u', 0, []), ('u', 'a', 1, ['assistant:']), ('a', 'a', 0, []), ('a', 'u', 1, ['user:'])),
+m AS (SELECT f, n, lines, g, code, CASE code WHEN 'D' THEN g WHEN 'K' THEN k ELSE CASE WHEN g = 'u' THEN 'a' ELSE 'u' END END AS t, k FROM ins, (VALUES ('D'), ('K'), ('R')) AS a(code), (VALUES (''), ('s'), ('u'), ('a')) AS b(k)
+      WHERE CASE WHEN code = 'K' THEN (k = 's' AND g = '') OR (k = 'u' AND g <> 'u') OR (k = 'a' AND g = 'u') ELSE k = '' END),
+p AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '' AS st, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines, false AS final FROM e
+      UNION ALL
+      SELECT conv_id, i, st, cost, audit, lines, final FROM (
+        SELECT p.conv_id, e.i, m.t AS st, p.cost + 5 * m.n + CASE m.code WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN m.code <> 'D' AND e.truncated THEN 5 ELSE 0 END AS cost,
+               p.audit || repeat('I', m.n) || m.code AS audit,
+               p.lines || m.lines || CASE m.code WHEN 'D' THEN [] WHEN 'K' THEN [e.role || ':' || e.text] ELSE [CASE m.t WHEN 'u' THEN 'user:' ELSE 'assistant:' END || e.text] END AS lines, e.final,
+               row_number() OVER (PARTITION BY p.conv_id, m.t ORDER BY p.cost + 5 * m.n + CASE m.code WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN m.code <> 'D' AND e.truncated THEN 5 ELSE 0 END, p.audit || repeat('I', m.n) || m.code) AS best
+        FROM p JOIN e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.i = p.i + 1 JOIN m ON m.f = p.st AND (m.code = 'D' OR NOT e.blank AND NOT e.duplicate) AND (m.code <> 'K' OR m.k = e.x)) WHERE best = 1),
+z AS (SELECT conv_id, cost + 5 * n AS cost, audit || repeat('I', n) AS audit, p.lines || q.lines AS lines, row_number() OVER (PARTITION BY conv_id ORDER BY cost + 5 * n, audit || repeat('I', n)) AS best
+      FROM p JOIN (VALUES ('', 0, CAST([] AS VARCHAR[])), ('s', 2, ['user:', 'assistant:']), ('u', 1, ['assistant:']), ('a', 0, [])) AS q(st, n, lines) ON q.st = p.st WHERE final)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM a.conv_id AND z.best = 1
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -169,5 +206,6 @@ QUERIES: dict[str, Query] = {
     "op8_mtree": op8_mtree,
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
+    "op11_repair": op11_repair,
 }
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL, "op11_repair": OP11_SQL}
