@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, repair, simhash, substring, warc
+from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, phrases, repair, simhash, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,6 +195,31 @@ SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0)::BIGIN
 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM a.conv_id AND z.best = 1
 """
 
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best collocations of two to four words."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS MATERIALIZED (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda s: array_to_string(list_slice(w, s, s + k - 1), ' '))) AS phrase FROM w CROSS JOIN (VALUES (1), (2), (3), (4)) AS v(k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+c AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+h AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT h.lang, h.phrase, a, j, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+      FROM h JOIN f l ON l.lang = h.lang AND l.phrase = array_to_string(list_slice(w, 1, j), ' ') JOIN f r ON r.lang = h.lang AND r.phrase = array_to_string(list_slice(w, j + 1, h.k), ' ')),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS best FROM s) WHERE best = 1),
+m AS (SELECT lang, a, w, k, unnest(range(2, k)) AS m FROM c),
+u AS (SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda s: array_to_string(list_slice(w, s, s + m - 1), ' '))) AS phrase FROM m),
+i AS (SELECT lang, phrase, max(a) AS longer FROM u GROUP BY lang, phrase),
+k AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT k.lang, rank, phrase, a, l, r, n, score FROM k JOIN n ON n.lang = k.lang WHERE rank <= 2000
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -207,5 +232,6 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
     "op11_repair": op11_repair,
+    "op13_phrases": op13_phrases,
 }
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL, "op11_repair": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL, "op11_repair": OP11_SQL, "op13_phrases": OP13_SQL}
