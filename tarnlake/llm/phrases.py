@@ -14,14 +14,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.llm.bitfilter import broadcast_filter
+from tarnlake.llm.bitfilter import known as is_known
 from tarnlake.llm.common import lower_ascii, mix, rolling_hashes, scan_words, stage, text_buffer, word_hashes
 
 #: Least count of a phrase, most words of one, phrases returned per language, and the percentage of its count that a longer phrase must have to stand for it.
 LEAST, LONGEST, TOP, STANDS_FOR = 30, 4, 2_000, 80
 SCALE = 2_000_000
 NO_LANG = "und"
-#: Bits and probes of the filter. Where more n-grams are frequent than it can tell apart, more are counted that turn out rare; no result changes.
-FILTER_BITS, PROBES = 1 << 26, 4
+#: Bits of the filter. Where more n-grams are frequent than it can tell apart, more are counted that turn out rare; no result changes.
+FILTER_BITS = 1 << 26
 #: Pieces are taken together up to so many bytes; memory of one DuckDB.
 BATCH_BYTES, MEMORY = 4 << 20, "256MB"
 _COUNTS = "lang string, phrase string, m long"
@@ -46,20 +48,6 @@ def _cell_hashes(column) -> np.ndarray:
     return word_hashes(data, offsets[:-1], offsets[1:], 1)
 
 
-def _spots(h: np.ndarray):
-    """The filter's bits of each hash, one array per probe."""
-    step = (h >> np.uint64(32)) | np.uint64(1)
-    for i in range(PROBES):
-        yield (h + np.uint64(i) * step) & np.uint64(FILTER_BITS - 1)
-
-
-def _known(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    out = np.ones(len(h), bool)
-    for at in _spots(h):
-        out &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return out
-
-
 def _slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """The byte ranges as an Arrow string array."""
     import pyarrow as pa
@@ -85,7 +73,7 @@ def _weighted_grams(n: int, known):
         if known is not None and count:
             own = _cell_hashes(langs)[owner]
             part = _gram_hashes(word_hashes(data, starts, ends), n - 1, own[: len(starts) - n + 2])
-            frequent = _known(part, np.frombuffer(known.value, np.uint64))
+            frequent = is_known(part, np.frombuffer(known.value, np.uint64))
             wanted &= frequent[:-1] & frequent[1:]
         at = np.flatnonzero(wanted)
         table = pa.table({"lang": langs.take(pa.array(owner[at])), "phrase": _slices(data, starts[at], ends[at + n - 1]), "m": m.take(pa.array(owner[at]))})
@@ -145,30 +133,15 @@ def _added_up(least: int):
     return run
 
 
-def _set_bits(n: int):
-    """``(word, bits)`` of the filter for the phrases of a batch."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            starts, ends, _ = scan_words(data, offsets)
-            h = _gram_hashes(word_hashes(data, starts, ends), n, np.repeat(_cell_hashes(batch.column(0)), n)[: max(0, len(starts) - n + 1)])[::n]
-            at = np.unique(np.concatenate([*_spots(h)]))
-            word, head = np.unique((at >> np.uint64(6)).astype(np.int64), return_index=True)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), head) if len(at) else at
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits.view(np.int64))], names=["word", "bits"])
-
-    return run
+def _filter_of(counts: DataFrame, n: int):
+    """The frequent n-grams as a broadcast filter."""
 
+    def hashes(batch):
+        data, offsets = text_buffer(batch.column(1))
+        starts, ends, _ = scan_words(data, offsets)
+        return _gram_hashes(word_hashes(data, starts, ends), n, np.repeat(_cell_hashes(batch.column(0)), n)[: max(0, len(starts) - n + 1)])[::n]
 
-def _filter_of(counts: DataFrame, n: int):
-    """The frequent n-grams as a broadcast filter of FILTER_BITS bits, whatever their number."""
-    rows = counts.select("lang", "phrase").mapInArrow(_set_bits(n), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS >> 6, np.uint64)
-    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.int64).view(np.uint64)
-    return counts.sparkSession.sparkContext.broadcast(bits.tobytes())
+    return broadcast_filter(counts.select("lang", "phrase"), hashes, FILTER_BITS)
 
 
 def frequent_phrases(distinct: DataFrame, least: int = LEAST, longest: int = LONGEST) -> list[DataFrame]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, phrases, repair, simhash, substring, warc
+from tarnlake.llm import chat, decontam, langid, line_dedup, lm, mixing, mtree, ngram_join, phrases, repair, simhash, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,6 +196,23 @@ FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS
 """
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set of three-word shingles, and its component of sets that share nine tenths."""
+    return ngram_join.join_documents(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' ')) END) AS s FROM d),
+s AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM h),
+p AS MATERIALIZED (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS n, b.n AS m, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL) WHERE 100 * common >= 90 * (n + m - common)),
+e AS MATERIALIZED (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r AS (SELECT x AS doc_id, x AS y FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.y),
+c AS (SELECT doc_id, min(y) AS least FROM r GROUP BY doc_id)
+SELECT h.doc_id, len(h.s)::BIGINT AS n_shingles, coalesce(least, h.doc_id) AS component_id FROM h LEFT JOIN c ON c.doc_id = h.doc_id
+"""
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2,000 best collocations of two to four words."""
     return phrases.collocations(_table(spark, sf_dir, "documents"))
@@ -232,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
     "op11_repair": op11_repair,
+    "op12_ngram_join": op12_ngram_join,
     "op13_phrases": op13_phrases,
 }
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL, "op11_repair": OP11_SQL, "op13_phrases": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_preferences": OP5_SQL, "op6_substring": OP6_SQL, "op8_mtree": OP8_SQL, "op10_decontam": OP10_SQL, "op11_repair": OP11_SQL, "op12_ngram_join": OP12_SQL, "op13_phrases": OP13_SQL}
