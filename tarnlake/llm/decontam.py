@@ -35,12 +35,14 @@ def _sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
-def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(words, items)``: each distinct window of ``window`` consecutive words of (item_id, text), or of a whole shorter item, with the ids it is in."""
-    words = items.select(F.col("item_id").cast("string").alias("item_id"), content_words(F.col("text")).alias("w")).where(F.size("w") > 0)
+def item_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """``(wid, words)`` and ``(wid, item)``: each distinct window of ``window`` consecutive words of (item_id, text), or of a whole shorter item, under a number, and the ids it is in, null left out."""
+    words = items.select(F.col("item_id").cast("string").alias("item"), content_words(F.col("text")).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window + 1, F.lit(1)))
-    cut = words.select("item_id", "w", F.explode(starts).alias("s")).select("item_id", F.slice("w", F.col("s"), F.least(F.lit(window), F.size("w"))).alias("words"))
-    return cut.groupBy("words").agg(F.collect_set("item_id").alias("items"))
+    cut = words.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s"), F.least(F.lit(window), F.size("w"))).alias("words"))
+    cut = stage(cut.distinct(), "item-cuts")
+    windows = stage(cut.select("words").distinct().select(F.monotonically_increasing_id().alias("wid"), "words"), "item-windows")
+    return windows, stage(cut.where("item is not null").join(windows, "words").select("wid", "item"), "window-items")
 
 
 def word_blocks(docs: DataFrame, window: int = WINDOW, block: int = BLOCK_WORDS) -> DataFrame:
@@ -84,11 +86,11 @@ def _candidates(blocks: DataFrame, windows: DataFrame, window: int) -> DataFrame
 
 
 def _occurrences(blocks: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """``(key, base, lead, own, at, size, items)`` of every window that stands in a block: the words at each candidate place are compared with the windows."""
+    """``(key, base, lead, own, at, size, wid)`` of every window that stands in a block: the words at each candidate place are compared with the windows."""
     near = blocks.select("key", "base", "lead", "own", "w").join(_sized(_candidates(blocks, windows, window)), ["key", "base"])
     places = F.transform("found", lambda x: F.struct(F.floor(x / (window + 1)).cast("int").alias("at"), F.slice("w", F.floor(x / (window + 1)).cast("int") + 1, x % (window + 1)).alias("words")))
     there = near.select("key", "base", "lead", "own", F.explode(places).alias("x")).select("key", "base", "lead", "own", "x.at", "x.words")
-    return there.join(_sized(windows), "words").select("key", "base", "lead", "own", "at", F.size("words").alias("size"), "items")
+    return there.join(_sized(windows), "words").select("key", "base", "lead", "own", "at", F.size("words").alias("size"), "wid")
 
 
 def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK_WORDS) -> DataFrame:
@@ -102,12 +104,12 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     are gathered.
     """
     key, n_words, n_hit, ids = (free_name(docs, x) for x in ("_key", "_words", "_hit", "_ids"))
-    windows = stage(item_windows(items, window), "item-windows")
+    windows, ids_of = item_windows(items, window)
     blocks = stage(word_blocks(docs, window, block), "word-blocks")
     hits = stage(_occurrences(blocks, windows, window), "window-hits")
     covered = F.filter(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("size") - 1)))), lambda i: (i >= F.col("lead")) & (i < F.col("lead") + F.col("own")))
     by_block = hits.groupBy("key", "base", "lead", "own").agg(F.size(covered).alias("hit"))
-    named = hits.select("key", F.explode("items").alias("item")).distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("ids"))
+    named = hits.select("key", "wid").distinct().join(_sized(ids_of), "wid").select("key", "item").distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("ids"))
     none = F.lit(None).cast("array<string>")
     parts = blocks.where("base = 0").select("key", "n", F.lit(0).alias("hit"), none.alias("ids"))
     parts = parts.unionByName(by_block.select("key", F.lit(0).alias("n"), "hit", none.alias("ids"))).unionByName(named.select("key", F.lit(0).alias("n"), F.lit(0).alias("hit"), "ids"))

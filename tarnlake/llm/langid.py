@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import free_name, others, text_buffer
@@ -156,22 +156,25 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame) -> ByteGRU | None:
     """A network that learned the languages of ``docs`` from a bounded sample of its rows that aren't held out; None if no such row has a language.
 
-    The sample: about SAMPLE_DOCS documents of each language (SAMPLE_TOTAL of all, if that is less), picked by a hash of the id, and SAMPLE_SEGMENTS segments from
-    evenly spaced places of each text.
+    The sample: up to SAMPLE_DOCS distinct texts of each language (SAMPLE_TOTAL of all, if that is less), picked by a hash of the text whatever the ids are, and one at least; SAMPLE_SEGMENTS segments
+    from evenly spaced places of each text.
     """
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col("lang").alias("y"))
-    counts = known.groupBy("y").count().limit(MAX_LANGUAGES + 1).collect()
+    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").alias("y"), F.col("text").cast("string").alias("text"))
+    known = known.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(3), "text"), 1))
+    counts = known.groupBy("y").agg(F.count(F.lit(1)).alias("count"), F.min("h").alias("least")).limit(MAX_LANGUAGES + 1).collect()
     if not counts:
         return None
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages; is lang a language?")
-    h = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000))
     each = min(SAMPLE_DOCS, SAMPLE_TOTAL // len(counts))
-    rates = docs.sparkSession.createDataFrame([(r["y"], min(1_000_000, 1_000_000 * each // r["count"] + 1)) for r in counts], known.select("y", F.lit(0).cast("long").alias("rate")).schema)
-    sample = known.join(F.broadcast(rates), "y").where(h < F.col("rate"))
+    # Twice as many as wanted pass by hash, and always the least hash; of those the least stay.
+    upto = [(r["y"], max(r["least"], min((1 << 63) - 1, (2 * each << 63) // r["count"]))) for r in counts]
+    sample = known.join(F.broadcast(docs.sparkSession.createDataFrame(upto, known.select("y", F.col("h").alias("upto")).schema)), "y").where(F.col("h") <= F.col("upto"))
     b = F.col("text").cast("binary")
     places = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_SEGMENTS - 1)), lambda i: F.substring(b, F.floor(i * F.greatest(F.length(b) - SEGMENT, F.lit(0)) / SAMPLE_SEGMENTS).cast("int") + 1, F.lit(SEGMENT)))
-    rows = sample.select("y", F.xxhash64("doc_id").alias("h"), "doc_id", places.alias("s")).orderBy("h", "doc_id").limit(2 * each * len(counts)).collect()
+    distinct = sample.select("y", "h", places.alias("s")).groupBy("y", "h").agg(F.first("s").alias("s"))
+    ranked = distinct.withColumn("at", F.row_number().over(Window.partitionBy("y").orderBy("h")))
+    rows = ranked.where(F.col("at") <= each).orderBy("h", "y").collect()
     languages = sorted(r["y"] for r in counts)
     place = {y: i for i, y in enumerate(languages)}
     pairs = [(bytes(s), place[r["y"]]) for r in rows for s in dict.fromkeys(map(bytes, r["s"])) if s]

@@ -76,8 +76,8 @@ class MTree:
         self.root = _build(points, ids, self.pivot, page, fanout, self.kind)
         self.computed = 0
 
-    def search(self, query: np.ndarray, own: int, k: int, least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best, ties to smaller ids; ``own`` takes no part. With ``least``, a score that k vectors elsewhere reach, those below it may be left out."""
+    def search(self, query: np.ndarray, k: int, least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best, ties to smaller ids. With ``least``, a score that k vectors elsewhere reach, those below it may be left out."""
         q = np.append(query, 0.0)
         fixed = float(query @ query) + self.top_norm
         exact = query.astype(self.kind if float(query @ query) < 1 << 24 else np.float64)
@@ -99,7 +99,6 @@ class MTree:
                 self.computed += len(vectors)
                 found = vectors @ exact
                 fit = np.flatnonzero(found >= (scores[-1] if len(scores) == k else least))
-                fit = fit[names[fit] != own]
                 if not len(fit):
                     continue
                 scores, ids = np.concatenate([scores, np.rint(found[fit]).astype(np.int64)]), np.concatenate([ids, names[fit]])
@@ -120,27 +119,34 @@ class MTree:
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``(id, v, dims)``: distinct rows of (vec_id, embedding) with floor(scale * x) of every component. Rows with a null id, and vectors null, empty, or holding null or non-finite components, are left out."""
+    """``(id, v, dims, copies)``: distinct rows of (vec_id, embedding) with floor(scale * x) of every component, and how often each occurs. Rows with a null id, and vectors null, empty, or holding null or non-finite
+    components, are left out."""
     x = vectors.select(F.col("vec_id").cast("long").alias("id"), F.transform("embedding", lambda e: e.cast("double")).alias("e"))
     fine = F.forall("e", lambda e: F.coalesce(F.abs(e) < float("inf"), F.lit(False)) & ~F.isnan(F.coalesce(e, F.lit(float("nan")))))
-    return x.where(F.col("id").isNotNull() & (F.size("e") > 0) & fine).select("id", F.transform("e", lambda e: F.floor(e * scale)).alias("v"), F.size("e").alias("dims")).distinct()
+    x = x.where(F.col("id").isNotNull() & (F.size("e") > 0) & fine).select("id", F.transform("e", lambda e: F.floor(e * scale)).alias("v"), F.size("e").alias("dims"))
+    return x.groupBy("id", "v", "dims").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _trees(rows: pd.DataFrame) -> pd.DataFrame:
+    """A tree over the places of rows in the order of their ids, with ids and copies beside it."""
     rows = rows.sort_values("id", kind="stable")
-    tree = MTree(rows["id"].to_numpy(np.int64), np.array(rows["v"].tolist(), dtype=np.float64))
-    return rows[["dims", "cell", "shard"]].iloc[:1].assign(tree=[pickle.dumps(tree, protocol=5)])
+    tree = MTree(np.arange(len(rows)), np.array(rows["v"].tolist(), dtype=np.float64))
+    kept = (tree, rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64))
+    return rows[["dims", "cell", "shard"]].iloc[:1].assign(tree=[pickle.dumps(kept, protocol=5)])
+
+
+_FOUND = ("query_id", "query_hash", "vec_id", "score", "copies")
 
 
 def _searched(k: int):
     def search(trees: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(trees) and len(queries):
-            tree = pickle.loads(trees["tree"].iloc[0])
+            tree, ids, copies = pickle.loads(trees["tree"].iloc[0])
             for own, v, name, least in zip(queries["id"], queries["v"], queries["query_hash"], queries["least"], strict=True):
-                ids, scores = tree.search(np.asarray(v, np.float64), own, k, -np.inf if np.isnan(least) else least)
-                out.append(pd.DataFrame({"query_id": own, "query_hash": name, "vec_id": ids, "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "query_hash", "vec_id", "score")})
+                at, scores = tree.search(np.asarray(v, np.float64), k, -np.inf if np.isnan(least) else least)
+                out.append(pd.DataFrame(dict(zip(_FOUND, (own, name, ids[at], scores, copies[at]), strict=True))))
+        return pd.concat(out) if out else pd.DataFrame({x: pd.Series(dtype="int64") for x in _FOUND})
 
     return search
 
@@ -187,8 +193,8 @@ def _visits(pivots: dict[int, np.ndarray], radii: dict[int, np.ndarray]):
 def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each vector whose id is divisible by ``every``, the k largest integer inner products with other vectors.
 
-    Rows equal in id and vector count once; a query never meets a row with its own id; vectors meet only vectors of as many components;
-    a squared norm of 2 ** 53 or more is an error, as scores could then be inexact.
+    Every row is a candidate but the query's own: a row that occurs m times is m candidates, and its copies, like rows of another vector under one id, meet each other; a query that occurs m times has its
+    result m times. Vectors meet only vectors of as many components; a squared norm of 2 ** 53 or more is an error, as scores could then be inexact.
 
     Every vector is in the cell of its nearest pivot, and a cell is cut by a hash of the ids into trees of about ``shard_rows``, so a cell of copies spreads. A query searches the tree that it is in
     itself, then, with the score found there as bound, the trees of the cells that can still beat it, in blocks of about ``query_rows`` queries.
@@ -204,7 +210,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE,
     for r in rows.orderBy(F.xxhash64("id"), "id", "v").limit(min(PIVOTS, n // shard_rows + 1)).collect():
         sample.setdefault(r["dims"], []).append(r["v"])
     pivots = {dims: np.unique(np.array(v, np.float64), axis=0) for dims, v in sample.items()}
-    placed = stage(rows.mapInPandas(_placed(pivots), "id long, v array<long>, dims int, cell int, far double"), "cells-of-vectors")
+    placed = stage(rows.mapInPandas(_placed(pivots), "id long, v array<long>, dims int, copies long, cell int, far double"), "cells-of-vectors")
     cells = stage(placed.groupBy("dims", "cell").agg(F.max("far").alias("radius"), F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")), "cells")
     radii = {dims: np.zeros(len(p)) for dims, p in pivots.items()}
     for r in cells.where("cell >= 0").collect():
@@ -213,10 +219,10 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE,
     dealt = placed.drop("far").join(shards, ["dims", "cell"]).withColumn("shard", F.pmod(F.xxhash64("id"), "shards")).drop("shards")
     trees = stage(dealt.groupBy(*key).applyInPandas(_trees, "dims int, cell int, shard long, tree binary"), "m-trees")
     queries = dealt.where(is_query).withColumn("query_hash", F.xxhash64("v"))
-    result = "query_id long, query_hash long, vec_id long, score long"
+    result = ", ".join(f"{c} long" for c in _FOUND)
     home = queries.withColumn("least", F.lit(float("nan")))
-    home = stage(trees.groupBy(*key).cogroup(home.groupBy(*key)).applyInPandas(_searched(k), result), "found-at-home")
-    bound = home.groupBy("query_id", "query_hash").agg(F.min("score").cast("double").alias("least"), F.count(F.lit(1)).alias("found")).where(F.col("found") >= k)
+    home = stage(trees.groupBy(*key).cogroup(home.groupBy(*key)).applyInPandas(_searched(k + 1), result), "found-at-home")
+    bound = home.groupBy("query_id", "query_hash").agg(F.min("score").cast("double").alias("least"), F.count(F.lit(1)).alias("found")).where(F.col("found") > k)
     known = queries.join(bound.select(F.col("query_id").alias("id"), "query_hash", "least"), ["id", "query_hash"], "left").withColumn("least", F.coalesce("least", F.lit(float("nan"))))
     known = known.select("id", "query_hash", "v", "dims", "cell", "shard", "least", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).alias("block"))
     visits = known.mapInPandas(_visits(pivots, radii), "id long, query_hash long, v array<long>, dims int, cell int, shard long, least double, block long, cells array<int>")
@@ -224,6 +230,14 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = TOP, scale: int = SCALE,
     visits = visits.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).where((F.col("cell") != F.col("own_cell")) | (F.col("shard") != F.col("own_shard")))
     visits = visits.drop("own_cell", "own_shard", "shards")
     needed = trees.join(visits.select(*key, F.col("block").alias("part")).distinct(), key)
-    away = needed.groupBy(*key, "part").cogroup(visits.groupBy(*key, "block")).applyInPandas(_searched(k), result)
+    away = needed.groupBy(*key, "part").cogroup(visits.groupBy(*key, "block")).applyInPandas(_searched(k + 1), result)
+    # The query's own row is one of those found: it has the query's id, and as score the query's squared norm.
+    own = queries.select(F.col("id").alias("query_id"), "query_hash", F.col("copies").alias("times"), norm.cast("long").alias("own_score"))
+    found = home.union(away).join(own, ["query_id", "query_hash"])
+    mine = Window.partitionBy("query_id", "query_hash", "own").orderBy("score")
+    found = found.withColumn("own", (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own_score")))
+    found = found.withColumn("copies", F.col("copies") - F.when(F.col("own") & (F.row_number().over(mine) == 1), 1).otherwise(0)).where("copies > 0")
+    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k).cast("long")))))
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
-    return home.union(away).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("query_id", "rank", "vec_id", "score")

@@ -12,12 +12,12 @@ from tarnlake.llm import mtree, simhash
 
 
 def _plain_top(rows, k=20):
-    rows = {(i, tuple(v)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)}
+    rows = [(i, tuple(v)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     ints = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(np.int64)) for i, v in rows]
     out = []
-    for q, v in ints:
+    for a, (q, v) in enumerate(ints):
         if q % 20 == 0:
-            found = sorted((-int(v @ w), i) for i, w in ints if i != q and len(w) == len(v))[:k]
+            found = sorted((-int(v @ w), i) for b, (i, w) in enumerate(ints) if a != b and len(w) == len(v))[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(found, 1)]
     return sorted(out)
 
@@ -31,6 +31,13 @@ def test_top_k(spark):
     assert sorted(map(tuple, got)) == _plain_top(rows)
 
 
+def test_repeated_rows_count_each(spark):
+    """A stored row is a candidate as often as it occurs; a query's copies, and other vectors under its id, are candidates of it, too."""
+    rows = [(3, [2.0, 1.0])] * 4 + [(20, [1.0, 1.0])] * 3 + [(20, [1.5, 0.5]), (40, [0.0, 0.0]), (60, [-1.0, 3.0])] + [(5, [1.0, 2.0])] * 30
+    got = mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), shard_rows=4).collect()
+    assert sorted(map(tuple, got)) == _plain_top(rows) and sum(r["vec_id"] == 3 for r in got if r["query_id"] == 60) == 0
+
+
 def test_scores_beyond_exact_arithmetic(spark):
     big = spark.createDataFrame([(20, [3e6, 0.0]), (21, [1.0, 1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError, match="2 \\*\\* 53"):
@@ -50,8 +57,8 @@ def test_tree_avoids_computations():
     points = np.rint(points / np.linalg.norm(points, axis=1)[:, None] * 500)
     tree = mtree.MTree(np.arange(8000), points, page=64, fanout=8)
     for q in range(0, 8000, 800):
-        ids, scores = tree.search(points[q], q, 20)
-        want = sorted((-int(points[q] @ points[i]), i) for i in range(8000) if i != q)[:20]
+        ids, scores = tree.search(points[q], 20)
+        want = sorted((-int(points[q] @ points[i]), i) for i in range(8000))[:20]
         assert list(zip((-scores).tolist(), ids.tolist(), strict=True)) == want
     assert tree.computed < 0.5 * 10 * 8000
 

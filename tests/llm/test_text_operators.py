@@ -241,6 +241,21 @@ def test_every_language_is_learned(spark, monkeypatch):
         langid.train(frame)
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "own"])
+def test_sample_whatever_the_ids_are(spark, monkeypatch, ids):
+    """More rows than the sample takes, with null, equal or own ids, thousands of copies of one text, and a language of one row: every language is learned, and equally for all ids."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
+    docs = _language_docs() * 2 + [(7, "aeio uoie", "xx")] * 3_000 + [(9, "日本語 日本", "ja")]
+    one = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5)
+    frame = spark.createDataFrame([({"null": None, "one": one, "own": one + 5_000 * k}[ids], t, y) for k, (_, t, y) in enumerate(docs) if ids != "own" or zlib.crc32(str(one + 5_000 * k).encode()) % 5 or y == "ja"], "doc_id long, text string, lang string")
+    if ids == "own":
+        frame = frame.withColumn("doc_id", F.when(F.col("lang") == "ja", one).otherwise(F.col("doc_id")))
+    model = langid.train(frame.repartition(3))
+    assert model.languages == ["ja", "xx", "yy", "zz"]
+    got = langid.identify(spark.createDataFrame([(d, t, y) for d, t, y in _language_docs()], "doc_id long, text string, lang string"), model).collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in got) >= 0.95 * len(got)
+
+
 def test_language_id_depends_on_text_alone(spark):
     model = langid.train(spark.createDataFrame(_language_docs(), "doc_id long, text string, lang string"))
     texts = [t for _, t, _ in _language_docs()[:20]] + ["é", "aeiou" * 5000]
@@ -312,6 +327,15 @@ def test_decontamination(spark, monkeypatch, bound):
     assert sum(r[-1] for r in got) > 5
 
 
+def test_decontamination_of_a_window_that_many_items_share(spark):
+    """Ids are joined to windows once a document has them, so occurrences carry a number each, not every item's id."""
+    items = [(i, "one two three four") for i in range(400)] + [(1_000, "five six")]
+    docs = [(d, "one two three four " * 50 + "x " * d) for d in range(30)] + [(99, "five six one two three")]
+    out = decontam.mark_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in out.collect())
+    assert got == sorted((d, *_plain_contamination(t, items)) for d, t in docs)
+
+
 def test_decontamination_of_nothing(spark):
     docs, items = "doc_id long, text string", "item_id long, text string"
     assert decontam.mark_contamination(spark.createDataFrame([], docs), spark.createDataFrame([(1, "a b")], items)).count() == 0
