@@ -12,19 +12,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Decoders by the bytes that a file begins with. Each returns rows x columns x 3 bytes in the order blue, green, red.
-DECODERS: dict[bytes, Callable[[bytes], np.ndarray]] = {}
+from tarnlake.operators.codecs import Codecs, Unsupported
 
+#: Decoders that need no library, by format. Each returns rows x columns x 3 bytes in the order blue, green, red.
+DECODERS: dict[str, Callable[[bytes], np.ndarray]] = {}
+#: Rows of an image that scaling holds as sums at a time.
+STRIP_ROWS = 64
 
-def decoder(magic: bytes):
+
+def decoder(kind: str):
     def add(f):
-        DECODERS[magic] = f
+        DECODERS[kind] = f
         return f
 
     return add
 
 
-@decoder(b"\x89PNG\r\n\x1a\n")
+@decoder("png")
 def _png(data: bytes) -> np.ndarray:
     """PNG of 8 bits a channel, not interlaced: grey, colour, palette, with or without alpha."""
     at, body, palette, head = 8, b"", None, None
@@ -41,7 +45,7 @@ def _png(data: bytes) -> np.ndarray:
     w, h, depth, colour, _, _, interlace = head
     channels = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[colour]
     if depth != 8 or interlace:
-        raise ValueError("only PNG of 8 bits a channel without interlacing")
+        raise Unsupported("only PNG of 8 bits a channel without interlacing")
     lines = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * channels)
     out = np.zeros((h, w * channels), np.uint8)
     above = np.zeros(w * channels, np.uint8)
@@ -76,51 +80,60 @@ def _unfiltered(kind: int, line: np.ndarray, above: np.ndarray, step: int) -> np
     return np.array(row[step:], np.uint8)
 
 
-@decoder(b"P6")
+@decoder("ppm")
 def _ppm(data: bytes) -> np.ndarray:
     _, w, h, top, pixels = data.split(maxsplit=4)
     if top != b"255":
-        raise ValueError("only PPM of 8 bits a channel")
+        raise Unsupported("only PPM of 8 bits a channel")
     pixels = data[len(data) - int(w) * int(h) * 3 :]
     return np.frombuffer(pixels, np.uint8).reshape(int(h), int(w), 3)[:, :, ::-1].copy()
 
 
-@decoder(b"BM")
+@decoder("bmp")
 def _bmp(data: bytes) -> np.ndarray:
     """BMP of 24 bits a pixel, stored from the bottom or the top."""
     start, w, h, bits = struct.unpack("<I", data[10:14])[0], *struct.unpack("<ii", data[18:26]), struct.unpack("<H", data[28:30])[0]
     if bits != 24:
-        raise ValueError("only BMP of 24 bits a pixel")
+        raise Unsupported("only BMP of 24 bits a pixel")
     stride = (w * 3 + 3) // 4 * 4
     rows = np.frombuffer(data, np.uint8, stride * abs(h), start).reshape(abs(h), stride)[:, : w * 3].reshape(abs(h), w, 3)
     return (rows[::-1] if h > 0 else rows).copy()
 
 
-def decode(data: bytes) -> np.ndarray:
-    """Pixels of an encoded image. Raises ValueError if no decoder knows it or it is broken. Other formats: add to DECODERS."""
-    for magic, f in DECODERS.items():
-        if data.startswith(magic):
-            try:
-                return f(data)
-            except Exception as error:
-                raise ValueError(f"Corrupted Image: {error}") from error
-    raise ValueError("Corrupted Image")
-
-
-def _shares(old: int, new: int) -> np.ndarray:
-    """(new, old): what share of each new cell an old one covers."""
-    edge = np.arange(new + 1) * (old / new)
-    low, high = edge[:-1, None], edge[1:, None]
-    cell = np.arange(old)[None, :]
-    return np.clip(np.minimum(high, cell + 1) - np.maximum(low, cell), 0, None) / (old / new)
+def decode(data: bytes, codecs: Codecs | None = None) -> np.ndarray:
+    """Pixels of an encoded image; see :meth:`Codecs.decode`."""
+    return (codecs or Codecs()).decode(data)
 
 
 def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Each new pixel is the mean of what it covers, rounded half up."""
+    """Each new pixel is the mean of what it covers, rounded half up. Exact: all sums are whole numbers.
+
+    The image is read once in strips of STRIP_ROWS rows. A strip's sums along its rows are taken between the new columns' edges, then running sums down the columns between the new rows' edges, so no more than a strip is
+    held beside the image and the result. Edges lie on multiples of the old side in units of 1 / new side.
+    """
     if height < 1 or width < 1:
         raise ValueError("a side would vanish")
-    out = np.einsum("yh,hwc,xw->yxc", _shares(image.shape[0], height), image.astype(np.float64), _shares(image.shape[1], width), optimize=True)
-    return np.floor(out + 0.5).clip(0, 255).astype(np.uint8)
+    old_height, old_width, depth = image.shape
+    edges = np.arange(width + 1, dtype=np.int64) * old_width
+    column, part = edges // width, edges % width
+    inside = np.minimum(column, old_width - 1)
+    area = old_height * old_width
+    out = np.empty((height, width, depth), np.uint8)
+    total, last, done = np.zeros((width, depth), np.int64), np.zeros((width, depth), np.int64), 1
+    for top in range(0, old_height, STRIP_ROWS):
+        strip = image[top : top + STRIP_ROWS].astype(np.int64)
+        ahead = np.zeros((len(strip), old_width + 1, depth), np.int64)
+        np.cumsum(strip, axis=1, out=ahead[:, 1:])
+        sums = np.diff(ahead[:, column] * width + strip[:, inside] * part[:, None], axis=1)
+        ahead = np.concatenate([np.zeros((1, width, depth), np.int64), np.cumsum(sums, axis=0)]) * height
+        while done <= height and (row := done * old_height // height - top) < len(strip):
+            upto = total + ahead[row] + sums[row] * (done * old_height % height)
+            out[done - 1] = (2 * (upto - last) + area) // (2 * area)
+            last, done = upto, done + 1
+        total = total + ahead[-1]
+    if done <= height:
+        out[done - 1] = (2 * (total - last) + area) // (2 * area)
+    return out
 
 
 def fit_within(image: np.ndarray, limit: int) -> np.ndarray:
@@ -131,9 +144,9 @@ def fit_within(image: np.ndarray, limit: int) -> np.ndarray:
     return area_resize(image, limit, int(w * (limit / h))) if h > w else area_resize(image, int(h * (limit / w)), limit)
 
 
-def process(data: bytes, limit: int) -> dict:
+def process(data: bytes, limit: int, codecs: Codecs | None = None) -> dict:
     """Everything that is stored of a downloaded image."""
-    image = decode(data)
+    image = decode(data, codecs)
     small = fit_within(image, limit)
     pixels = small.tobytes()
     return {"original_size": list(image.shape[:2]), "resized_size": list(small.shape[:2]), "hashsum_original": hashlib.md5(data).hexdigest(), "hashsum_resized": hashlib.md5(pixels).hexdigest(), "image": pixels}

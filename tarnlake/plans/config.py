@@ -6,7 +6,7 @@ from dataclasses import dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
-DOWNLOADER_KEYS = ("num_downloads", "max_nodes", "workers_per_node", "header", "image_size", "batch_size", "rate_multiplier", "default_rate_limit")
+DOWNLOADER_KEYS = ("num_downloads", "max_nodes", "workers_per_node", "header", "image_size", "batch_size", "rate_multiplier", "default_rate_limit", "codecs")
 TOOL_KEYS = ("threshold_size", "new_resize_size")
 # Folders and files of the output root, as configurations may rename them.
 STRUCTURE = {"urls_folder": "servers_batched", "images_folder": "downloaded_images", "schedules_folder": "schedules", "profiles_table": "servers_profiles", "ignored_table": "ignored_servers.csv", "inner_checkpoint_file": "inner_checkpoint.yaml", "tools_folder": "tools"}

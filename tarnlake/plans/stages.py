@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarnlake import schema
 from tarnlake.operators import batching, imaging, ledger, recipes, scheduling, tools
 from tarnlake.operators import fetch as fetching
+from tarnlake.operators.codecs import Codecs
 from tarnlake.plans.checkpoint import Checkpoint
 from tarnlake.plans.config import Config
 from tarnlake.plans.staging import staged
@@ -20,7 +21,7 @@ log = logging.getLogger(__name__)
 # Names of the stages in the checkpoint.
 DOWNLOAD_STAGES = ("batched", "profiled", "schedules_created", "finished")
 TOOL_STAGES = ("filtered", "applied")
-_DONE = "run_id long, server_name string, partition_id int"
+_RATES = "server_name string, rate double, run_id long"
 
 
 class Unchanged(RuntimeError):
@@ -53,13 +54,24 @@ class Downloader:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.config.path('tools_folder')}/uuid_ref")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    @property
+    def store(self) -> sinks.ResultStore:
+        return sinks.ResultStore(self.spark, self.config.path("images_folder"), fetching.RESULT)
+
+    def results(self, kind: str) -> DataFrame:
+        """What was fetched and ended as ``kind``: successes, errors, or images that nobody could decode yet. One that was decided later is no longer undecided."""
+        rows = self.store.read()
+        found = rows.where(F.col("kind") == kind)
+        if kind == fetching.UNDECIDED:
+            found = fetching.unfinished(found, rows.where(F.col("kind") != kind))
+        return found.select(*fetching.SHOWN[kind])
+
     def recheck(self) -> None:
         """Write the ledger anew from the results on disk, whatever it said before."""
-        folder = self.config.path("images_folder")
-        rows = self.spark.read.schema(_DONE).parquet(f"{folder}/successes").union(self.spark.read.schema(_DONE).parquet(f"{folder}/errors"))
-        last = rows.groupBy("server_name", "partition_id").agg(F.max("run_id").alias("run_id"))
-        whole = fetching.finished_batches(rows.join(last, ["server_name", "partition_id", "run_id"], "left_semi"), tables.url_batches(self.spark, self.config.path("urls_folder")))
-        found = whole.join(last, ["server_name", "partition_id"]).select("server_name", "partition_id", F.lit(ledger.COMPLETED).alias("status"), "run_id")
+        rows = self.store.read()
+        last = rows.groupBy("server_name", "partition_id").agg(F.max(F.substring_index("run", "-", 1).cast("long")).alias("run_id"))
+        urls = tables.url_batches(self.spark, self.config.path("urls_folder"))
+        found = fetching.finished_batches(urls, rows).join(last, ["server_name", "partition_id"]).select("server_name", "partition_id", F.lit(ledger.COMPLETED).alias("status"), "run_id")
         staged(found, "ledger").write.mode("overwrite").parquet(self._path("ledger"))
 
     def batch(self) -> None:
@@ -113,6 +125,18 @@ class Downloader:
         known = [scheduling.Server(r["server_name"], r["nodes"], r["process_per_node"], r["total_batches"], r["rate_limit"], tuple([(x["first_id"], x["last_id"]) for x in b["r"]] for b in r["b"])) for r in rows]
         return self.spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, self.config.workers)], schema.ASSIGNMENTS)
 
+    def codecs(self) -> Codecs:
+        return Codecs(self.config.parameter("codecs", None))
+
+    def decode_kept(self, run_id: int) -> None:
+        """Settle what was fetched before and can be decoded now."""
+        kept = self.store.read()
+        open_ = fetching.unfinished(kept.where(F.col("kind") == fetching.UNDECIDED), kept.where(F.col("kind") != fetching.UNDECIDED))
+        if open_.isEmpty():
+            return
+        name = self.store.write(fetching.decode_kept(open_, self.config.parameter("image_size", 1024), self.codecs()), run_id)
+        self.store.commit(name, run_id)
+
     def download_layer(self, group: DataFrame, run_id: int, getter: Callable = fetching.http_get) -> bool:
         """Fetch what is left of a group once. Returns whether the ledger moved."""
         c, status = self.config, self.status()
@@ -120,18 +144,23 @@ class Downloader:
         if todo.isEmpty():
             return False
         todo.write.mode("append").parquet(self._path("assignments"))
+        self.decode_kept(run_id)
         urls = tables.url_batches(self.spark, c.path("urls_folder"))
+        rates = fetching.newest_rates(self._table("rates", _RATES))
+        fetched = fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter, results=self.store.read(), rates=rates, codecs=self.codecs())
         counts = Observation("fetched")
-        results = fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter)
-        fetched = staged(results.observe(counts, F.count_if("ok").alias("successes"), F.count_if(~F.col("ok")).alias("errors")), "fetched")
+        kinds = [F.count_if(F.col("kind") == k).alias(k) for k in fetching.SHOWN]
+        # Images leave their task once, into the folder that readers see after the commit.
+        name = self.store.write(fetched.observe(counts, *kinds), run_id)
         log.info("layer %s: %s", run_id, counts.get)
-        good, bad = fetching.split_results(fetched)
-        sinks.append_downloads(good.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/successes")
-        sinks.append_downloads(bad.withColumn("run_id", F.lit(run_id)), f"{c.path('images_folder')}/errors")
-        # The ledger row comes after the data: a crash before it only means that the batch is fetched again.
-        done = staged(fetching.finished_batches(fetched, urls), "finished").withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
-        # Batches that were begun but aren't whole failed in this layer; the next tries them again.
-        begun = fetched.select("server_name", "partition_id").distinct().join(done, ["server_name", "partition_id"], "left_anti")
+        self.store.commit(name, run_id)
+        mine = self.store.read(name)
+        fetching.last_rates(mine).select("server_name", "rate", F.lit(run_id).cast("long").alias("run_id")).write.mode("append").parquet(self._path("rates"))
+        # The ledger row comes after the data: a crash before it only means that the next layer finds nothing left to fetch of the batch, and enters it.
+        wanted = urls.join(fetching.assigned_batches(todo).select("server_name", "partition_id"), ["server_name", "partition_id"], "left_semi")
+        done = staged(fetching.finished_batches(wanted, self.store.read()), "finished").withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
+        # Batches that were begun but aren't whole failed in this layer; the next goes on with them.
+        begun = mine.select("server_name", "partition_id").distinct().join(done, ["server_name", "partition_id"], "left_anti")
         failed = begun.withColumn("status", F.lit(ledger.FAILED)).withColumn("run_id", F.lit(run_id).cast("long"))
         done.unionByName(failed).write.mode("append").parquet(self._path("ledger"))
         return not done.isEmpty()
@@ -139,7 +168,7 @@ class Downloader:
     def run(self, getter: Callable = fetching.http_get) -> bool:
         """All stages that aren't done, then up to ``num_downloads`` layers of every group. True once nothing is left.
 
-        ``layer_seconds`` bounds a layer: what isn't whole by then is fetched again by the next."""
+        ``layer_seconds`` bounds a layer: what isn't fetched by then is left to the next."""
         for stage, work in (("batched", self.batch), ("profiled", self.profile), ("schedules_created", self.schedule)):
             if not self.checkpoint[stage]:
                 work()
@@ -161,12 +190,6 @@ class Downloader:
         return self.checkpoint["finished"]
 
 
-def latest_successes(rows: DataFrame) -> DataFrame:
-    """Downloaded rows, of a batch fetched by several runs those of the last."""
-    last = rows.groupBy("server_name", "partition_id").agg(F.max("run_id").alias("run_id"))
-    return rows.join(last, ["server_name", "partition_id", "run_id"], "left_semi").drop("run_id")
-
-
 def download_images(config: str | Config, spark: SparkSession | None = None, reset: tuple[str, ...] = (), getter: Callable = fetching.http_get) -> bool:
     """Run the download of a configuration; ``reset`` names stages to do again."""
     spark = spark or SparkSession.builder.config("spark.speculation", "false").getOrCreate()
@@ -177,27 +200,31 @@ def download_images(config: str | Config, spark: SparkSession | None = None, res
 
 
 def apply_tools(config: str | Config, tool: str, spark: SparkSession | None = None, reset: bool = False) -> int:
-    """Run one tool over the current version of the images and write the next. Returns the version's number; a tool that is done isn't run again unless ``reset``."""
+    """Run one tool over the current version of the images and publish the next, in which only the partitions that the tool changes are written. Returns the version's number; a tool that is done isn't run again unless
+    ``reset``. The first tool takes the downloaded results over as version 1 as they are, without those of later runs."""
     spark = spark or SparkSession.builder.getOrCreate()
     config = config if isinstance(config, Config) else Config.from_path(config)
     table = sinks.VersionedTable(spark, f"{config.path('tools_folder')}/images")
     done = Checkpoint(spark, f"{config.path('tools_folder')}/{tool}.yaml", dict.fromkeys(TOOL_STAGES, False))
     if done["applied"] and not reset:
         return table.version()
-    rows = table.read() if table.version() else latest_successes(spark.read.parquet(f"{config.path('images_folder')}/successes"))
+    if not table.version():
+        store = sinks.ResultStore(spark, config.path("images_folder"), fetching.RESULT)
+        kind = store.read().select(*fetching.SHOWN[fetching.SUCCESS]).schema
+        table.adopt(store.base, store.folders(), store.schema, f"kind = '{fetching.SUCCESS}'", kind, "server_name", "partition_id")
+    base = table.version()
+    rows = table.read(base)
     if tool == "resize":
-        out = imaging.resize_stored(rows, int(config.tools_parameters["new_resize_size"]))
+        limit = int(config.tools_parameters["new_resize_size"])
+        touched = staged(rows.where(F.array_max("resized_size") > limit).select("server_name", "partition_id").distinct(), "touched-resize")
+        change = lambda some: imaging.resize_stored(some, limit)
     else:
         options = {"threshold_size": int(config.tools_parameters["threshold_size"])} if tool == "size_based" else {}
         rejects = staged(tools.get_tool(tool)(rows, **options), f"rejects-{tool}")
         sinks.write_rejects(rejects, f"{config.path('tools_folder')}/{tool}/filter_table")
         done["filtered"] = True
-        if table.version():
-            touched = staged(tools.touched_partitions(rejects), f"touched-{tool}")
-            version = table.rewrite(tools.without(rows.join(touched, ["server_name", "partition_id"], "left_semi"), rejects), touched)
-            done["applied"] = True
-            return version
-        out = tools.without(rows, rejects)
-    version = table.write(out, "server_name", "partition_id")
+        touched = staged(tools.touched_partitions(rejects), f"touched-{tool}")
+        change = lambda some: tools.without(some, rejects)
+    version = table.rewrite(change(rows.join(touched, ["server_name", "partition_id"], "left_semi")), touched, base=base)
     done["applied"] = True
     return version
