@@ -1,6 +1,6 @@
 """Schedules: how many slots a server gets, which of its batches are left, and who fetches them.
 
-Set work over batches is DataFrame work. Packing and worker assignment are sequential by nature and run on one row per server, on the driver, under a stated bound.
+Set work over batches is DataFrame work. The packing of servers into groups runs over counts of servers by size, and the assignment of workers, sequential by nature, within one group of bounded size per task.
 """
 
 from __future__ import annotations
@@ -8,13 +8,15 @@ from __future__ import annotations
 from collections import deque
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.functions.columns import first_threshold
+from tarnlake.plans.staging import staged
 
-#: Servers that one schedule may have, as its greedy steps run on the driver.
-MAX_SERVERS = 100_000
+#: Different numbers of nodes that servers may have: as many as there are rules.
+MAX_SIZES = 10_000
 #: A group is filled until it has this many batches per worker.
 BATCHES_PER_WORKER = 50
 
@@ -50,13 +52,25 @@ def as_intervals(ids: DataFrame, *keys: str, column: str = "partition_id") -> Da
     return distinct.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min(column).alias("first_id"), (F.max(column) + 1).alias("last_id")).drop("_island")
 
 
-def round_robin(partitions: DataFrame, workers: int, first: str, *order: str) -> DataFrame:
-    """``rank``: place in the order of ``first``, then ``order``, modulo workers. Rows are sorted within each value of ``first`` only; one task sees one count per value, not the rows."""
-    ahead = F.coalesce(F.sum("_n").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = partitions.groupBy(F.col(first).alias("_first")).agg(F.count(F.lit(1)).alias("_n")).select("_first", ahead.alias("_ahead"))
-    at = F.row_number().over(Window.partitionBy(first).orderBy(*(order or (first,)))) - 1
-    ranked = partitions.withColumn("_at", at).join(counts, F.col(first).eqNullSafe(F.col("_first")))
-    return ranked.select(*[F.col(f"`{c}`") for c in partitions.columns], ((F.col("_ahead") + F.col("_at")) % workers).cast("int").alias("rank"))
+def in_order(rows: DataFrame, *order: str | Column) -> DataFrame:
+    """``rows`` with ``at``, each row's place from 0 in the order given (null first).
+
+    Rows are dealt to tasks by ranges of that order, so a value with any share of them spreads over tasks; a row's place is what lies in earlier ranges plus its place within its own. Only one count per range meets in one
+    task.
+    """
+    key, part, place = "_key", "_part", "_place"
+    dealt = rows.withColumn(key, F.monotonically_increasing_id()).repartitionByRange(*order, key)
+    # Written once: where ranges begin is drawn from a sample, and places hold only among rows of the same cut.
+    ranged = staged(dealt.withColumn(part, F.spark_partition_id()), "in-order")
+    ahead = F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).select(part, ahead.alias("_ahead"))
+    placed = ranged.withColumn(place, F.row_number().over(Window.partitionBy(part).orderBy(*order, key)) - 1).join(counts, part)
+    return placed.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_ahead") + F.col(place)).alias("at"))
+
+
+def round_robin(partitions: DataFrame, workers: int, *order: str) -> DataFrame:
+    """``rank``: place in the order of the columns ``order`` (null first), modulo workers."""
+    return in_order(partitions, *order).withColumn("rank", (F.col("at") % workers).cast("int")).drop("at")
 
 
 @dataclass(frozen=True)
@@ -138,10 +152,90 @@ def assign_workers(servers: list[Server], workers: int) -> list[dict]:
     return out
 
 
-def create_schedule(servers: DataFrame, workers: int) -> list[tuple[int, Server]]:
-    """``(schedule_id, server)`` of servers with nodes, packed into groups of about ``workers``."""
-    rows = servers.select("server_name", "nodes", "process_per_node", F.col("total_batches").cast("int")).orderBy("server_name").limit(MAX_SERVERS + 1).collect()
-    if len(rows) > MAX_SERVERS:
-        raise ValueError(f"over {MAX_SERVERS} servers in one schedule")
-    groups = merge_groups(pack([Server(r[0], r[1], r[2], r[3]) for r in rows], workers), workers)
-    return [(i, s) for i, group in enumerate(groups) for s in group]
+def pack_counts(counts: dict[int, int], size: int) -> list[tuple[int, int, dict[int, int]]]:
+    """:func:`pack` over how many servers have how many nodes: ``(first group, groups, servers of each size in every one of them)``.
+
+    Servers of equal nodes are alike to the packing, so a group is a number of servers of each size, and the same kind of group follows while there are enough of each. As many steps as kinds of groups, not as servers.
+    """
+    left = {n: c for n, c in sorted(counts.items(), reverse=True) if c}
+    out, group = [], 0
+    while left:
+        first = next(iter(left))
+        taken, room = {first: 1}, size - first
+        for nodes, count in left.items():
+            if more := min(count - taken.get(nodes, 0), max(0, room // nodes)):
+                taken[nodes] = taken.get(nodes, 0) + more
+                room -= more * nodes
+        times = min(left[n] // t for n, t in taken.items())
+        out.append((group, times, taken))
+        group += times
+        left = {n: rest for n, c in left.items() if (rest := c - times * taken.get(n, 0))}
+    return out
+
+
+def _merged(workers: int):
+    """:func:`merge_groups` over ``(group, batches)`` in order, one row at a time."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        schedule, held = -1, None
+        for batch in batches:
+            ids = []
+            for n in batch.column(1).to_pylist():
+                if held is None or held >= workers * BATCHES_PER_WORKER:
+                    schedule, held = schedule + 1, 0
+                held += n
+                ids.append(schedule)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.int32())], names=["group", "schedule_id"])
+
+    return run
+
+
+def create_schedule(servers: DataFrame, workers: int) -> DataFrame:
+    """``(schedule_id, server_name, total_batches, process_per_node, nodes)`` of servers with nodes, packed into groups of about ``workers``, as :func:`pack` and :func:`merge_groups` would in the order of names.
+
+    The driver packs counts of servers by nodes, of which there are as many as rules; which group a server is in follows from its place among those of its size. Groups are merged by one task that passes over one number
+    per group.
+    """
+    kinds = servers.groupBy("nodes").agg(F.count(F.lit(1)).alias("n")).limit(MAX_SIZES + 1).collect()
+    if len(kinds) > MAX_SIZES:
+        raise ValueError(f"over {MAX_SIZES} different numbers of nodes")
+    counts = {r["nodes"]: r["n"] for r in kinds}
+    offset, runs, used = {}, [], dict.fromkeys(counts, 0)
+    for nodes in sorted(counts, reverse=True):
+        offset[nodes] = sum(c for n, c in counts.items() if n > nodes)
+    for group, times, taken in pack_counts(counts, workers):
+        for nodes, each in taken.items():
+            runs.append((nodes, offset[nodes] + used[nodes], offset[nodes] + used[nodes] + times * each, group, each))
+            used[nodes] += times * each
+    spark = servers.sparkSession
+    table = spark.createDataFrame(runs, "nodes int, low long, high long, first_group long, each long")
+    rows = servers.select("server_name", F.col("nodes").cast("int").alias("nodes"), "process_per_node", F.col("total_batches").cast("int").alias("total_batches"))
+    placed = in_order(rows.withColumn("_most", -F.col("nodes")), "_most", "server_name").drop("_most")
+    grouped = placed.join(F.broadcast(table), "nodes").where((F.col("at") >= F.col("low")) & (F.col("at") < F.col("high"))).withColumn("group", F.col("first_group") + F.floor((F.col("at") - F.col("low")) / F.col("each")))
+    sums = grouped.groupBy("group").agg(F.sum(F.coalesce("total_batches", F.lit(0))).alias("batches")).repartition(1).sortWithinPartitions("group")
+    return grouped.join(sums.mapInArrow(_merged(workers), "group long, schedule_id int"), "group").select("schedule_id", "server_name", "total_batches", "process_per_node", "nodes")
+
+
+_ASSIGNED = "schedule_id int, rank int, server_name string, partition_id_from int, partition_id_to int, main_rank int, rate_limit int"
+
+
+def assign_schedules(ranges: DataFrame, workers: int) -> DataFrame:
+    """``(schedule_id, rank, server_name, partition_id_from, partition_id_to, main_rank, rate_limit)``: :func:`assign_workers` for every schedule at once, each in a task of its own.
+
+    ``ranges``: (schedule_id, server_name, nodes, process_per_node, total_batches, rate_limit, block, first_id, last_id), one row per half-open range of a block. A schedule holds about ``workers`` nodes and
+    BATCHES_PER_WORKER batches for each, as :func:`create_schedule` makes it, so no group grows with the table.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        known = []
+        for name, own in rows.sort_values(["server_name", "block", "first_id"], kind="stable").groupby("server_name", sort=True):
+            blocks = tuple(list(zip(b["first_id"].tolist(), b["last_id"].tolist(), strict=True)) for _, b in own.groupby("block", sort=True))
+            one = own.iloc[0]
+            known.append(Server(name, int(one["nodes"]), int(one["process_per_node"]), int(one["total_batches"]), int(one["rate_limit"]), blocks))
+        out = pd.DataFrame(assign_workers(known, workers), columns=["rank", "server_name", "partition_id_from", "partition_id_to", "main_rank", "rate_limit"])
+        out.insert(0, "schedule_id", rows["schedule_id"].iloc[0])
+        return out
+
+    return ranges.groupBy("schedule_id").applyInPandas(run, _ASSIGNED)

@@ -110,20 +110,15 @@ class Downloader:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(c.path("ignored_table"))
         if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             chosen = scheduling.not_ignored(chosen, tables.ignored_servers(self.spark, c.path("ignored_table")))
-        rows = [(i, s.server_name, s.total_batches, s.process_per_node, s.nodes) for i, s in scheduling.create_schedule(chosen, c.workers)]
-        self.spark.createDataFrame(rows, schema.SCHEDULE).coalesce(1).write.mode("overwrite").parquet(self._path("groups"))
+        staged(scheduling.create_schedule(chosen, c.workers), "groups").coalesce(1).write.mode("overwrite").parquet(self._path("groups"))
 
     def assignments(self, group: DataFrame, status: DataFrame) -> DataFrame:
         """One layer of one group: what is left of each server, in blocks, dealt to workers."""
         servers = group.select("server_name", "nodes", "process_per_node", F.lit(0).alias("start_index"), (F.col("total_batches") - 1).alias("end_index"), (F.col("nodes") * F.col("process_per_node")).alias("blocks"))
         ids = scheduling.ids_to_download(servers, ledger.done_batches(status))
         ranges = scheduling.as_intervals(scheduling.with_blocks(ids, servers), "server_name", "block")
-        per = ranges.groupBy("server_name", "block").agg(F.array_sort(F.collect_list(F.struct("first_id", "last_id"))).alias("r")).groupBy("server_name").agg(F.array_sort(F.collect_list(F.struct("block", "r"))).alias("b"))
-        rows = ledger.with_one(group.join(per, "server_name"), self.profiles().select("server_name", "rate_limit"), "server_name").orderBy("server_name").limit(scheduling.MAX_SERVERS + 1).collect()
-        if len(rows) > scheduling.MAX_SERVERS:
-            raise ValueError(f"over {scheduling.MAX_SERVERS} servers in one group")
-        known = [scheduling.Server(r["server_name"], r["nodes"], r["process_per_node"], r["total_batches"], r["rate_limit"], tuple([(x["first_id"], x["last_id"]) for x in b["r"]] for b in r["b"])) for r in rows]
-        return self.spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, self.config.workers)], schema.ASSIGNMENTS)
+        known = ledger.with_one(group.join(ranges, "server_name"), self.profiles().select("server_name", "rate_limit"), "server_name")
+        return scheduling.assign_schedules(known, self.config.workers).drop("schedule_id")
 
     def codecs(self) -> Codecs:
         return Codecs(self.config.parameter("codecs", None))

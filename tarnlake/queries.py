@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake import schema
 from tarnlake.functions import columns as fn
-from tarnlake.operators import batching, imaging, ledger, recipes, scheduling, tools
+from tarnlake.operators import batching, fetch, imaging, ledger, placement, recipes, scheduling, tools
+from tarnlake.plans.staging import shared_dir
+from tarnlake.streaming import ledger as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -390,13 +392,25 @@ def completed_partitions(spark, sf_dir):
     return tools.completed_partitions(_orders(spark, sf_dir)[1])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE d AS ({_DONE}),
+o AS (SELECT CAST(server_name AS VARCHAR) AS server_name, total AS total_batches, CAST(CASE WHEN total - downloaded >= 10 THEN 4 WHEN total - downloaded >= 3 THEN 2 ELSE 1 END AS INTEGER) AS nodes FROM d WHERE total > downloaded),
+s AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY nodes DESC, server_name) AS i FROM o),
+p AS (SELECT CAST(0 AS BIGINT) AS step, CAST(-1 AS BIGINT) AS g, 0 AS room, CAST(NULL AS BIGINT) AS taken, list(i ORDER BY i) AS ids, list(nodes ORDER BY i) AS sizes FROM s
+      UNION ALL
+      SELECT step + 1, CASE WHEN k = 0 THEN g + 1 ELSE g END, CASE WHEN k = 0 THEN 20 ELSE room END - sizes[greatest(k, 1)], ids[greatest(k, 1)], ids[:greatest(k, 1) - 1] || ids[greatest(k, 1) + 1:], sizes[:greatest(k, 1) - 1] || sizes[greatest(k, 1) + 1:]
+      FROM (SELECT *, coalesce(list_position(list_transform(sizes, lambda x: x <= room), true), 0) AS k FROM p WHERE len(ids) > 0)),
+g AS MATERIALIZED (SELECT g, s.server_name, s.nodes, s.total_batches FROM p JOIN s ON s.i = p.taken),
+t AS MATERIALIZED (SELECT g, sum(total_batches) AS n FROM g GROUP BY g),
+m AS (SELECT CAST(-1 AS BIGINT) AS g, -1 AS schedule_id, CAST(1000 AS HUGEINT) AS held
+      UNION ALL SELECT t.g, CASE WHEN held >= 1000 THEN schedule_id + 1 ELSE schedule_id END, CASE WHEN held >= 1000 THEN 0 ELSE held END + t.n FROM m JOIN t ON t.g = m.g + 1)
+SELECT schedule_id, server_name, nodes, CAST(total_batches AS INTEGER) AS total_batches FROM g JOIN m ON m.g = g.g
+""")
 def schedule_groups(spark, sf_dir):
-    """Greedy packing on the driver: no SQL; unit and property tests hold it."""
+    """Servers with work left, packed first-fit by nodes and merged. The SQL packs them one by one."""
     left = ledger.remaining_work(*_orders(spark, sf_dir))
     servers = scheduling.with_nodes(left, {1: 1, 3: 2, 10: 4}).withColumn("server_name", F.col("server_name").cast("string"))
-    rows = [(i, s.server_name, s.nodes, s.total_batches) for i, s in scheduling.create_schedule(servers, 20)]
-    return spark.createDataFrame(rows, "schedule_id int, server_name string, nodes int, total_batches int")
+    return scheduling.create_schedule(servers, 20).select("schedule_id", "server_name", "nodes", "total_batches")
 
 
 @query()
@@ -410,14 +424,81 @@ def image_resize(spark, sf_dir):
 
 @query()
 def worker_assignment(spark, sf_dir):
-    """One layer: what is left of each supplier in blocks, dealt to ten workers. Sequential by nature, so no SQL."""
+    """Suppliers in schedules of five, what is left of each in blocks, dealt to ten workers. Sequential within a schedule, so no SQL; unit tests hold it to a plain simulation."""
     servers, todo = _todo(spark, sf_dir)
     ranges = scheduling.as_intervals(scheduling.with_blocks(todo, servers), "server_name", "block")
-    per: dict[str, dict[int, list]] = {}
-    rows = ranges.orderBy("server_name", "block", "first_id").limit(scheduling.MAX_SERVERS + 1).collect()
-    if len(rows) > scheduling.MAX_SERVERS:
-        raise ValueError(f"over {scheduling.MAX_SERVERS} intervals in one layer")
-    for r in rows:
-        per.setdefault(str(r["server_name"]), {}).setdefault(r["block"], []).append((r["first_id"], r["last_id"]))
-    known = [scheduling.Server(s, 4, 1, 50, 10, tuple(blocks.values())) for s, blocks in per.items()]
-    return spark.createDataFrame([tuple(x.values()) for x in scheduling.assign_workers(known, 10)], schema.ASSIGNMENTS)
+    fixed = {"nodes": 4, "process_per_node": 1, "total_batches": 50, "rate_limit": 10}
+    known = ranges.withColumns({"schedule_id": F.floor(F.col("server_name") / 5).cast("int"), **{k: F.lit(v) for k, v in fixed.items()}})
+    return scheduling.assign_schedules(known.withColumn("server_name", F.col("server_name").cast("string")), 10)
+
+
+_LINES = "SELECT CAST(o_custkey AS VARCHAR) AS server_name, o_orderkey % 3 AS rank, sum(1 + o_orderkey % 11) AS load FROM orders GROUP BY 1, 2"
+
+
+@query(f"""
+WITH RECURSIVE l AS ({_LINES}), s AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY load DESC, server_name, rank) AS i FROM l),
+p AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS task, list_transform(range(0, 16), lambda x: CAST(0 AS HUGEINT)) AS loads
+      UNION ALL SELECT p.i + 1, list_position(p.loads, list_min(p.loads)) - 1, list_transform(p.loads, lambda x, k: CASE WHEN k = list_position(p.loads, list_min(p.loads)) THEN x + s.load ELSE x END) FROM p JOIN s ON s.i = p.i + 1)
+SELECT s.server_name, s.rank, CAST(p.task AS INTEGER) AS task FROM s JOIN p ON p.i = s.i
+""")
+def line_placement(spark, sf_dir):
+    """Lines of orders dealt to 16 tasks, the longest first, each to the task that has least so far."""
+    o = _table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("server_name"), (F.col("o_orderkey") % 3).alias("rank"), (1 + F.col("o_orderkey") % 11).alias("load"))
+    return placement.place_lines(o.groupBy("server_name", "rank").agg(F.sum("load").alias("load")), 16, "server_name", "rank", single=100_000)
+
+
+_RANGES = "SELECT c_custkey AS server_name, c_custkey % 9 AS partition_id_from, c_custkey % 9 + c_nationkey AS partition_id_to, c_nationkey % 4 AS rank, 10 AS rate_limit FROM customer"
+
+
+@query(f"""
+WITH r AS ({_RANGES}), n AS (SELECT server_name, count(DISTINCT rank) AS slots FROM r GROUP BY 1)
+SELECT o_orderkey, o_custkey AS server_name, rank, slots FROM orders JOIN r ON server_name = o_custkey AND o_orderkey % 40 >= partition_id_from AND o_orderkey % 40 < partition_id_to JOIN n USING (server_name)
+""")
+def assigned_urls(spark, sf_dir):
+    """Orders as URLs of customers, and the ranges of batches that workers have of each: met by an equal key."""
+    c = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("server_name"), (F.col("c_custkey") % 9).cast("int").alias("partition_id_from"), (F.col("c_custkey") % 9 + F.col("c_nationkey")).cast("int").alias("partition_id_to"), (F.col("c_nationkey") % 4).alias("rank"), F.lit(10).alias("rate_limit"))
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("server_name"), (F.col("o_orderkey") % 40).cast("int").alias("partition_id"))
+    return o.join(fetch.assigned_batches(c), ["server_name", "partition_id"]).select("o_orderkey", "server_name", "rank", "slots")
+
+
+#: Line items as results: one in fifty undecided, one in seven an error; those of some orders have no result yet.
+_RESULTS = """SELECT l_suppkey AS server_name, l_orderkey % 6 AS partition_id, l_orderkey * 10 + l_linenumber AS uuid,
+CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 1 THEN 'undecided' WHEN (l_orderkey * 10 + l_linenumber) % 7 = 0 THEN 'error' ELSE 'success' END AS kind,
+CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) AS rate, l_linenumber AS slot, l_orderkey * 1000 + CAST(l_quantity AS BIGINT) AS place, l_orderkey % 97 = 1 AS missing FROM lineitem"""
+
+
+def _results(spark, sf_dir):
+    name, amount = F.col("l_orderkey") * 10 + F.col("l_linenumber"), F.col("l_quantity").cast("long")
+    kind = F.when(name % 50 == 1, fetch.UNDECIDED).when(name % 7 == 0, fetch.ERROR).otherwise(fetch.SUCCESS)
+    x = _table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("server_name"), (F.col("l_orderkey") % 6).cast("int").alias("partition_id"), name.alias("uuid"), kind.alias("kind"), amount.cast("double").alias("rate"), F.col("l_linenumber").alias("slot"), (F.col("l_orderkey") * 1000 + amount).alias("place"), (F.col("l_orderkey") % 97 == 1).alias("missing"))
+    return x, x.where("not missing")
+
+
+@query(f"SELECT server_name, CAST(partition_id AS INTEGER) AS partition_id, uuid FROM ({_RESULTS}) WHERE missing")
+def unfinished_urls(spark, sf_dir):
+    """What a later layer still has to ask for, down to single URLs of a batch."""
+    urls, results = _results(spark, sf_dir)
+    return fetch.unfinished(urls, results).select("server_name", "partition_id", "uuid")
+
+
+@query(f"SELECT server_name, CAST(partition_id AS INTEGER) AS partition_id FROM ({_RESULTS}) GROUP BY ALL HAVING NOT bool_or(missing OR kind = 'undecided')")
+def finished_batches(spark, sf_dir):
+    """Batches of which every URL ended as a success or an error; an undecided image keeps its batch open."""
+    urls, results = _results(spark, sf_dir)
+    return fetch.finished_batches(urls, results)
+
+
+@query(f"SELECT server_name, sum(rate) AS rate FROM (SELECT server_name, slot, arg_max(rate, place) AS rate FROM ({_RESULTS}) WHERE NOT missing GROUP BY ALL) GROUP BY server_name")
+def last_rates(spark, sf_dir):
+    """What each server was asked at last, over its lines: where the next layer starts."""
+    return fetch.last_rates(_results(spark, sf_dir)[1])
+
+
+@query(_LATEST.replace("l_orderkey AS server_name", "CAST(l_orderkey AS VARCHAR) AS server_name"))
+def ledger_followed(spark, sf_dir):
+    """The ledger in four files, merged into a shared table by a stream."""
+    folder = f"{shared_dir(spark)}/followed-{uuid.uuid4().hex}"
+    rows = _ledger(spark, sf_dir).withColumn("server_name", F.col("server_name").cast("string"))
+    rows.select("server_name", F.col("partition_id").cast("int").alias("partition_id"), "status", "run_id").repartition(4).write.parquet(f"{folder}/ledger")
+    stream.follow_ledger(spark, f"{folder}/ledger", f"{folder}/state", f"{folder}/status", files_per_trigger=2)
+    return stream.followed_status(spark, f"{folder}/status")

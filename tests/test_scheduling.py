@@ -1,14 +1,16 @@
 """Packing, blocks, intervals and assignment."""
 
+import collections
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tarnlake import queries
+from tarnlake import schema
 from tarnlake.operators import batching, ledger, scheduling
 from tarnlake.operators.scheduling import Server, assign_workers, largest_fitting, merge_groups, pack
-from tests.conftest import DATA
 
 
 def _servers(*nodes, **kw):
@@ -129,21 +131,102 @@ def test_ledger(spark):
     assert {r["server_name"]: r["nodes"] for r in nodes.collect()} == {"a": 1, "c": 3}
 
 
+@given(st.lists(st.integers(1, 12), max_size=40), st.integers(1, 10))
+def test_packing_of_counts_is_packing_of_servers(nodes, size):
+    counts = collections.Counter(nodes)
+    runs = scheduling.pack_counts(counts, size)
+    groups = {}
+    for first, times, taken in runs:
+        for g in range(first, first + times):
+            groups[g] = sorted((n for n, c in taken.items() for _ in range(c)), reverse=True)
+    assert [groups[g] for g in range(len(groups))] == [sorted((s.nodes for s in g), reverse=True) for g in pack(_servers(*nodes), size)]
+
+
+def test_packing_of_many_servers_takes_few_steps():
+    runs = scheduling.pack_counts({1: 10**12, 3: 10**11, 7: 10**9}, 20)
+    assert len(runs) < 20 and sum(times * taken.get(1, 0) for _, times, taken in runs) == 10**12
+
+
+@pytest.mark.parametrize("seed, size", [(1, 6), (2, 20), (3, 1)])
+def test_schedules_as_a_table(spark, seed, size):
+    """The same groups as packing and merging servers one by one, in the order of their names."""
+    rng = random.Random(seed)
+    rows = [(f"s{i:03}", rng.choice([1, 1, 1, 2, 4, 9]), 1, rng.randrange(1, 400)) for i in range(150)]
+    frame = spark.createDataFrame(rows, "server_name string, nodes int, process_per_node int, total_batches int").repartition(4)
+    got = collections.defaultdict(set)
+    for r in scheduling.create_schedule(frame, size).collect():
+        got[r["schedule_id"]].add(r["server_name"])
+    want = merge_groups(pack([Server(n, k, p, b) for n, k, p, b in sorted(rows)], size), size)
+    assert dict(got) == {i: {s.server_name for s in g} for i, g in enumerate(want)} and len(want) > 1
+
+
 def test_schedule_of_nothing(spark):
     empty = spark.createDataFrame([], "server_name string, nodes int, process_per_node int, total_batches int")
-    assert scheduling.create_schedule(empty, 4) == []
+    assert scheduling.create_schedule(empty, 4).count() == 0
 
 
-def test_ledger_as_a_stream(spark, tmp_path):
-    from tarnlake.streaming.ledger import follow_ledger
-
-    schema = "server_name string, partition_id int, status string, run_id long"
-    path = str(tmp_path / "ledger")
-    spark.createDataFrame([("a", 0, "Failed", 1), ("b", 0, "Completed", 1)], schema).write.mode("append").parquet(path)
-    spark.createDataFrame([("a", 0, "Completed", 2)], schema).write.mode("append").parquet(path)
-    follow_ledger(spark, path, str(tmp_path / "state"), "followed")
-    assert sorted(map(tuple, spark.table("followed").collect())) == [("a", 0, "Completed"), ("b", 0, "Completed")]
-    assert spark.table("followed").where(F.col("status") == "Failed").isEmpty()
+def test_too_many_sizes(spark, monkeypatch):
+    monkeypatch.setattr(scheduling, "MAX_SIZES", 2)
+    with pytest.raises(ValueError):
+        scheduling.create_schedule(spark.createDataFrame([(f"s{i}", i, 1, 1) for i in range(1, 4)], "server_name string, nodes int, process_per_node int, total_batches int"), 4)
+
+
+def test_schedules_are_assigned_apart(spark):
+    rng = random.Random(8)
+    rows = [(g, f"s{g}-{i}", rng.choice([1, 2, 3]), rng.choice([1, 2]), 30, 7, b, 10 * b + k, 10 * b + k + 2) for g in range(4) for i in range(5) for b in range(3) for k in (0, 5)]
+    same = {}
+    for r in rows:
+        same.setdefault(r[1], r)
+    rows = [(*same[r[1]][:6], *r[6:]) for r in rows]
+    frame = spark.createDataFrame(rows, "schedule_id int, server_name string, nodes int, process_per_node int, total_batches int, rate_limit int, block int, first_id int, last_id int").repartition(3)
+    got = collections.defaultdict(list)
+    for r in scheduling.assign_schedules(frame, 4).collect():
+        got[r["schedule_id"]].append(tuple(r)[1:])
+    for g in range(4):
+        names = sorted({r[1] for r in rows if r[0] == g})
+        known = [Server(n, same[n][2], same[n][3], 30, 7, tuple([(a, z) for x in rows if x[1] == n and x[6] == b for a, z in [x[7:]]] for b in range(3))) for n in names]
+        assert got[g] == [tuple(x.values()) for x in assign_workers(known, 4)] or sorted(got[g]) == sorted((x["rank"], x["server_name"], x["partition_id_from"], x["partition_id_to"], x["main_rank"], x["rate_limit"]) for x in assign_workers(known, 4))
+
+
+def test_ledger_stream(spark, tmp_path):
+    """Runs that arrive in any order, over restarts, leave the last status of each batch in the shared table."""
+    from tarnlake.sources.sinks import VersionedTable
+    from tarnlake.streaming import ledger as stream
+
+    path, root, state = str(tmp_path / "ledger"), f"file://{tmp_path}/status", str(tmp_path / "state")
+    rng, rows = random.Random(4), []
+    for step in range(3):
+        for _ in range(3):
+            more = [(rng.choice("abcde"), rng.randrange(4), rng.choice(["Completed", "Failed"]), rng.randrange(6)) for _ in range(12)] + [(None, 1, "Failed", step)]
+            rows += more
+            spark.createDataFrame(more, schema.LEDGER).coalesce(1).write.mode("append").parquet(path)
+        stream.follow_ledger(spark, path, state, root, files_per_trigger=1)
+        want = sorted(map(tuple, ledger.latest_status(spark.createDataFrame(rows, schema.LEDGER)).collect()), key=repr)
+        assert sorted(map(tuple, stream.followed_status(spark, root).collect()), key=repr) == want
+    table = VersionedTable(spark, root)
+    version = table.version()
+    assert version == 9
+    stream.follow_ledger(spark, path, state, root)
+    assert table.version() == version
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path, monkeypatch):
+    from tarnlake.sources.sinks import VersionedTable
+    from tarnlake.streaming import ledger as stream
+
+    monkeypatch.setattr(stream, "MOST_LAYERS", 3)
+    table, rows = VersionedTable(spark, f"file://{tmp_path}/t"), lambda *x: spark.createDataFrame(list(x), schema.LEDGER)
+    assert stream.upsert(table, rows(("a", 0, "Failed", 1), ("b", 0, "Completed", 1)), "s", 0) == 1
+    assert stream.upsert(table, rows(("a", 0, "Completed", 2)), "s", 1) == 2
+    for _ in range(2):
+        assert stream.upsert(table, rows(("a", 0, "Failed", 9)), "s", 1) == 2  # said to be batch 1 again
+    for batch in range(2, 8):
+        assert stream.upsert(table, rows(("a", 0, "Completed", 2), ("c", batch, "Failed", 3)), "s", batch) == batch + 1
+        assert len(table.pointer(batch + 1)["layers"]) <= 3
+    got = {(r["server_name"], r["partition_id"]): r["status"] for r in table.read().collect()}
+    assert got == {("a", 0): "Completed", ("b", 0): "Completed", **{("c", b): "Failed" for b in range(2, 8)}}
+    assert stream.upsert(table, rows(("c", 2, "Completed", 3)), "other stream", 0) == 9
+    assert {(r["server_name"], r["partition_id"]): r["status"] for r in table.read().collect()}["c", 2] == "Completed"
 
 
 def test_round_robin_is_one_order_over_all(spark):
@@ -154,15 +237,21 @@ def test_round_robin_is_one_order_over_all(spark):
     assert got == {x: i % 4 for i, x in enumerate(order)}
 
 
+def test_round_robin_of_a_hot_value(spark):
+    """A value with most of the rows spreads over ranges, equal rows too; ranks are even and follow the order."""
+    rows = [("hot", i % 500) for i in range(9_000)] + [("hot", 7)] * 3_000 + [(f"s{i}", i) for i in range(600)]
+    frame = spark.createDataFrame(rows, "server_name string, partition_id int").repartition(5)
+    got = scheduling.round_robin(frame, 10, "server_name", "partition_id")
+    assert got.columns == ["server_name", "partition_id", "rank"]
+    got = collections.Counter(map(tuple, got.collect()))
+    want = collections.Counter((*x, i % 10) for i, x in enumerate(sorted(rows)))
+    assert got == want
+    assert scheduling.round_robin(frame.where("false"), 3, "server_name").count() == 0
+
+
 def test_one_profile_per_server(spark):
     left = spark.createDataFrame([("a",), ("c",)], "server_name string")
     right = spark.createDataFrame([("a", 1), ("b", 2)], "server_name string, rate_limit int")
     assert sorted(map(tuple, ledger.with_one(left, right, "server_name").collect())) == [("a", 1), ("c", None)]
     with pytest.raises(Exception, match="repeats"):
         ledger.with_one(left, right.union(right), "server_name").collect()
-
-
-def test_worker_assignment_raises_rather_than_cuts(spark, monkeypatch):
-    monkeypatch.setattr(scheduling, "MAX_SERVERS", 3)
-    with pytest.raises(ValueError):
-        queries.worker_assignment(spark, str(DATA))
