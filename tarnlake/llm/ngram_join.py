@@ -1,7 +1,7 @@
 """Jaccard self-join of shingle sets by grouped prefixes.
 
 Equal sets are one. A set is a candidate only if it shares enough of its least hashes with others; what remains orders its shingles by rarity. Shingles that no other candidate has meet nothing, so a prefix is what the
-others leave of it. Sets of one size with the same prefix, and as many shingles of their own, form a group, and groups meet in place of sets: size and position bound which pairs of groups can hold a link. Members are
+others leave of it. Sets of one size with the same prefix, and as many shingles of their own, form a group, and groups meet in place of sets: size, position and parity maps bound which pairs can be similar. Members are
 compared within groups and between them until every pair either is in one component or has been ruled out; comparing stops where components already tell, so copies of a text don't meet as all pairs.
 """
 
@@ -19,6 +19,8 @@ from tarnlake.llm.simhash import components, shingle_sets
 SHINGLE, PERCENT = 3, 90
 #: Sets of a shingle's list that meet all others in the first round over members, and how many times as many do in each next one, for what isn't linked by then.
 LEADERS, MORE_LEADERS = 1, 8
+#: Words of 64 bits of a set's parity map.
+MAP_WORDS = 8
 _PART_BYTES = 1 << 20
 
 
@@ -118,9 +120,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(met.where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"), "ngram-links")
 
 
+def _parity_maps(sets: DataFrame) -> DataFrame:
+    """``(rid, map)``: for each bit, whether an odd number of a set's hashes fall on it. Two sets differ in at least as many shingles as their maps differ in bits."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            h = batch.column(1)
+            edges, values = h.offsets.to_numpy(), h.values.to_numpy().view(np.uint64)
+            bits = [np.packbits(np.bincount(values[a:b] % np.uint64(64 * MAP_WORDS), minlength=64 * MAP_WORDS) & 1, bitorder="little").view(np.int64) for a, b in zip(edges, edges[1:], strict=False)]
+            words = np.array(bits, np.int64).reshape(-1, MAP_WORDS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(words[:, k]) for k in range(MAP_WORDS)]], names=["rid", *(f"b{k}" for k in range(MAP_WORDS))])
+
+    found = sets.select("rid", "h").mapInArrow(run, "rid long" + "".join(f", b{k} long" for k in range(MAP_WORDS)))
+    return found.select("rid", F.struct(*(f"b{k}" for k in range(MAP_WORDS))).alias("map"))
+
+
+def _near(one: str, two: str, n: Column, percent: int) -> Column:
+    """Whether two parity maps allow sets of together ``n`` shingles to be similar."""
+    apart = sum((F.bit_count(F.col(f"{one}.b{k}").bitwiseXOR(F.col(f"{two}.b{k}"))) for k in range(MAP_WORDS)), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * n
+
+
 def _fits(percent: int) -> Column:
-    """Whether the leader ``x`` and the entry (n, cap) may be similar: each is within the other's bound, and neither is too small."""
-    return (F.col("x.n") <= F.col("cap")) & (F.col("n") <= F.col("x.cap")) & (F.least("x.n", "n") >= _least(F.greatest("x.n", "n"), percent))
+    """Whether the leader ``x`` and the entry (n, cap, map) may be similar: each is within the other's bound, neither is too small, and their parity maps don't differ too much."""
+    sizes = (F.col("x.n") <= F.col("cap")) & (F.col("n") <= F.col("x.cap")) & (F.least("x.n", "n") >= _least(F.greatest("x.n", "n"), percent))
+    return sizes & _near("x.map", "map", F.col("x.n") + F.col("n"), percent)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -129,23 +155,24 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """``(a, b)``: links between the distinct ``sets`` (rid, n, h) that join them into the components that all pairs of at least that similarity would; None if there are none."""
-    prefixes = stage(_prefixes(sets, percent), "ngram-prefixes")
+    prefixes = stage(_prefixes(sets, percent).join(_parity_maps(sets), "rid"), "ngram-prefixes")
     by = ["n", "shared", "prefix_id"]
     keyed = prefixes.withColumn("prefix_id", F.md5(F.array_join(F.col("prefix").cast("array<string>"), " ")))
     groups = stage(keyed.groupBy(*by).agg(F.min("rid").alias("g"), F.count(F.lit(1)).alias("members")), "ngram-groups")
-    members = stage(keyed.select("rid", *by).join(groups, by).select("rid", "g", "members"), "ngram-members")
+    members = stage(keyed.select("rid", "map", *by).join(groups, by).select("rid", "n", "map", "g", "members"), "ngram-members")
 
     # Where two similar sets first share a shingle, each has as many left as both must share: from there on a set meets sets of up to ``cap`` shingles only. One whose cap is below its own size is idle: it meets no
     # other idle one, as one of two is no larger than the other.
     heads = prefixes.join(groups.select(F.col("g").alias("rid")), "rid", "left_semi")
-    entries = heads.select("rid", "n", "own", "shared", F.posexplode("prefix").alias("at", "t"))
+    entries = heads.select("rid", "n", "own", "shared", "map", F.posexplode("prefix").alias("at", "t"))
     cap = F.floor((F.col("shared") - F.col("at")) * F.lit((100 + percent) / percent) - F.col("n") + 1e-6)
-    entries = stage(entries.select("t", "rid", "n", "own", cap.alias("cap"), (cap < F.col("n")).alias("idle")), "ngram-entries")
+    entries = stage(entries.select("t", "rid", "n", "own", cap.alias("cap"), (cap < F.col("n")).alias("idle"), "map"), "ngram-entries")
 
     # Groups meet: each shingle's leader, of the fewest shingles of its own and so closest to most edited copies, and all other groups of its list. Members of a group meet its first.
-    lead = entries.groupBy("t").agg(F.min(F.struct("idle", "own", "n", "cap", "rid")).alias("x"), F.count(F.lit(1)).alias("c")).where("c > 1 and not x.idle")
+    lead = entries.groupBy("t").agg(F.min(F.struct("idle", "own", "n", "cap", "rid", "map")).alias("x"), F.count(F.lit(1)).alias("c")).where("c > 1 and not x.idle")
     between = _pairs(entries.join(lead, "t").where((F.col("rid") != F.col("x.rid")) & _fits(percent)))
-    within = members.where("members > 1 and rid <> g").select(F.col("g").alias("a"), F.col("rid").alias("b"))
+    reps = members.where("members > 1 and rid = g").select("g", F.col("map").alias("of_g"))
+    within = members.where("members > 1 and rid <> g").join(reps, "g").where(_near("map", "of_g", 2 * F.col("n"), percent)).select(F.col("g").alias("a"), F.col("rid").alias("b"))
     found = _verified(between.unionByName(within), sets, percent)
 
     # Members of the groups of a list that isn't one component yet.
@@ -153,7 +180,7 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     named = labels.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = entries.join(named, entries["rid"] == named["g"]).groupBy("t").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("idle").alias("idle"), F.max("cap").alias("cap"), F.min("n").alias("n"))
     mixed = mixed.where("low <> high and not idle").select("t")
-    lists = entries.join(mixed, "t").withColumnRenamed("rid", "g").join(labels.select("g", "rid"), "g").select("t", "rid", "n", "own", "cap", "idle", F.lit(False).alias("met"))
+    lists = entries.join(mixed, "t").withColumnRenamed("rid", "g").drop("map").join(labels.select("g", "rid", "map"), "g").select("t", "rid", "n", "own", "cap", "idle", "map", F.lit(False).alias("met"))
     lists, leaders = stage(lists, "ngram-lists"), LEADERS
     while True:
         lists = _open_lists(lists, members, found)
@@ -162,11 +189,11 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
         order = Window.partitionBy("t").orderBy(F.col("first"), F.desc("size"), "idle", "own", "n", "rid")
         first = Window.partitionBy("t", "label").orderBy("idle", "own", "n", "rid")
         lead = lists.where("not met and label <> largest").withColumn("first", F.row_number().over(first)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
-        lead = stage(lead.select("t", F.struct("n", "cap", "rid", "label").alias("x")), "ngram-leaders")
+        lead = stage(lead.select("t", F.struct("n", "cap", "rid", "label", "map").alias("x")), "ngram-leaders")
         met = lists.join(lead, "t").where(~F.col("met") & (F.col("label") != F.col("x.label")) & _fits(percent))
         found = stage(found.unionByName(_verified(_pairs(met), sets, percent)).distinct(), "ngram-links")
         done = lead.select("t", F.col("x.rid").alias("rid"), F.lit(True).alias("now"))
-        lists = stage(lists.join(done, ["t", "rid"], "left").select("t", "rid", "n", "own", "cap", "idle", (F.col("met") | F.col("now").isNotNull()).alias("met")), "ngram-lists")
+        lists = stage(lists.join(done, ["t", "rid"], "left").select("t", "rid", "n", "own", "cap", "idle", "map", (F.col("met") | F.col("now").isNotNull()).alias("met")), "ngram-lists")
         leaders *= MORE_LEADERS
 
 
