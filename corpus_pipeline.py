@@ -31,7 +31,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, that with the smallest doc_id. Linked are fingerprints within two bits, and texts that share four fifths of their five-word shingles."""
-    return simhash.drop_near_duplicates(docs, similarity=simhash.SIMILARITY)
+    return simhash.drop_near_duplicates(docs, percent=simhash.SIMILAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

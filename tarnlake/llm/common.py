@@ -156,3 +156,12 @@ def rolling_hashes(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     for j in range(n if size > 0 else 0):
         out = out * p + hashes[j : j + size]
     return mix(out)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of every text. A shorter text is one shingle; one without words has none."""
+    data = fold_case(data)
+    starts, ends, first = scan_words(data, offsets)
+    words = word_hashes(data, starts, ends)
+    rolled, n = rolling_hashes(words, shingle), np.diff(first)
+    return [np.unique(rolled[a : a + k - shingle + 1]) if k >= shingle else rolling_hashes(words[a : a + k], int(k))[:1] if k else words[:0] for a, k in zip(first[:-1].tolist(), n.tolist(), strict=True)]

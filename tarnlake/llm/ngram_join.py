@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.bitfilter import bits_for, broadcast_filter, known
-from tarnlake.llm.common import stage, text_buffer, text_parts
-from tarnlake.llm.simhash import components, shingle_sets
+from tarnlake.llm.common import shingle_sets, stage, text_buffer, text_parts
+from tarnlake.llm.components import components
 
 #: Words of a shingle, and the least similarity in per cent.
 SHINGLE, PERCENT = 3, 90
@@ -50,20 +50,27 @@ def _name(shingles: np.ndarray) -> bytes | None:
     return xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
+def named(sets, percent: int) -> list:
+    """Arrow columns of sets of shingle hashes: names (null: empty), sizes, and the least hashes, in which a similar set shares enough."""
+    import pyarrow as pa
+
+    names, sizes, heads = [], [], []
+    for s in sets:
+        n = len(s)
+        names.append(_name(s))
+        sizes.append(n)
+        heads.append(s[: n - _least(n, percent) + _ahead(n, percent)].view(np.int64))
+    return [pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))]
+
+
 def named_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, sid, n, head)`` of every row: its set's name (null without words) and size, and the least hashes, in which a similar set shares enough."""
+    """``(doc_id, sid, n, head)`` of every row: name, size and least hashes of its set, as in :func:`named`."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            names, sizes, heads = [], [], []
-            for s in _sets(batch.column(1), shingle):
-                n = len(s)
-                names.append(_name(s))
-                sizes.append(n)
-                heads.append(s[: n - _least(n, percent) + _ahead(n, percent)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))], names=["doc_id", "sid", "n", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *named(_sets(batch.column(1), shingle), percent)], names=["doc_id", "sid", "n", "head"])
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, sid binary, n long, head array<long>")
 
@@ -153,8 +160,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("x.rid", "rid").alias("a"), F.greatest("x.rid", "rid").alias("b")).distinct()
 
 
-def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """``(a, b)``: links between the distinct ``sets`` (rid, n, h) that join them into the components that all pairs of at least that similarity would; None if there are none."""
+def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(a, b)``: links between the distinct ``sets`` (rid, n, h) that join them into the components that all pairs of at least that similarity would, if not all of them."""
     prefixes = stage(_prefixes(sets, percent).join(_parity_maps(sets), "rid"), "ngram-prefixes")
     by = ["n", "shared", "prefix_id"]
     keyed = prefixes.withColumn("prefix_id", F.md5(F.array_join(F.col("prefix").cast("array<string>"), " ")))
@@ -176,14 +183,15 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     found = _verified(between.unionByName(within), sets, percent)
 
     # Members of the groups of a list that isn't one component yet.
-    labels = stage(_labelled(members, found), "ngram-labels")
+    named_by = components(found).withColumnRenamed("v", "rid")
+    labels = stage(members.join(named_by, "rid", "left").withColumn("label", F.coalesce("label", "rid")), "ngram-labels")
     named = labels.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = entries.join(named, entries["rid"] == named["g"]).groupBy("t").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("idle").alias("idle"), F.max("cap").alias("cap"), F.min("n").alias("n"))
     mixed = mixed.where("low <> high and not idle").select("t")
     lists = entries.join(mixed, "t").withColumnRenamed("rid", "g").drop("map").join(labels.select("g", "rid", "map"), "g").select("t", "rid", "n", "own", "cap", "idle", "map", F.lit(False).alias("met"))
     lists, leaders = stage(lists, "ngram-lists"), LEADERS
     while True:
-        lists = _open_lists(lists, members, found)
+        lists = _open_lists(lists, named_by)
         if lists.isEmpty():
             return found
         order = Window.partitionBy("t").orderBy(F.col("first"), F.desc("size"), "idle", "own", "n", "rid")
@@ -191,21 +199,17 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
         lead = lists.where("not met and label <> largest").withColumn("first", F.row_number().over(first)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
         lead = stage(lead.select("t", F.struct("n", "cap", "rid", "label", "map").alias("x")), "ngram-leaders")
         met = lists.join(lead, "t").where(~F.col("met") & (F.col("label") != F.col("x.label")) & _fits(percent))
-        found = stage(found.unionByName(_verified(_pairs(met), sets, percent)).distinct(), "ngram-links")
+        new = _verified(_pairs(met), sets, percent)
+        if not new.isEmpty():
+            found = found.unionByName(new)
+            named_by = components(found).withColumnRenamed("v", "rid")
         done = lead.select("t", F.col("x.rid").alias("rid"), F.lit(True).alias("now"))
         lists = stage(lists.join(done, ["t", "rid"], "left").select("t", "rid", "n", "own", "cap", "idle", "map", (F.col("met") | F.col("now").isNotNull()).alias("met")), "ngram-lists")
         leaders *= MORE_LEADERS
 
 
-def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``members`` with the component that each is in so far."""
-    labels = components(found)
-    return members.join(labels.withColumnRenamed("v", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-
-
-def _open_lists(lists: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
+def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries with their component, its ``size`` in the list and the list's ``largest``, of lists in which a set outside the largest component hasn't met the others yet."""
-    labels = components(found).withColumnRenamed("v", "rid")
     named = stage(lists.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid")), "ngram-lists")
     sizes = stage(named.groupBy("t", "label").agg(F.count(F.lit(1)).alias("size"), F.min("met").alias("all_met")), "ngram-sizes")
     lists_of = sizes.groupBy("t").agg(F.max(F.struct("size", "label")).alias("top")).select("t", F.col("top.label").alias("largest"))
@@ -213,6 +217,14 @@ def _open_lists(lists: DataFrame, members: DataFrame, found: DataFrame) -> DataF
     return stage(named.join(left, "t").join(sizes.select("t", "label", "size"), ["t", "label"]), "ngram-lists")
 
 
+def similar_sets(docs: DataFrame, named: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The distinct sets ``(rid, sid, n)`` of ``named`` (sid, n, head, ...), made of the texts of ``docs``, and the links ``(a, b)`` between their rids, as in :func:`set_links`."""
+    one = named.where("sid is not null").select("sid", "n", "head").dropDuplicates(["sid"])
+    distinct = stage(one.withColumn("rid", F.monotonically_increasing_id()), "ngram-distinct")
+    chosen = stage(_candidates(distinct, percent), "ngram-candidates")
+    return distinct.select("rid", "sid", "n"), set_links(_whole_sets(docs, chosen, shingle), percent)
+
+
 def join_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row.
 
@@ -221,10 +233,7 @@ def join_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     results; rows with a null doc_id take part, and a component of such rows alone has a null id. More columns are ignored.
     """
     named = stage(named_sets(docs, shingle, percent), "ngram-documents")
-    one = named.where("sid is not null").select("sid", "n", "head").dropDuplicates(["sid"])
-    distinct = stage(one.withColumn("rid", F.monotonically_increasing_id()), "ngram-distinct")
-    chosen = stage(_candidates(distinct, percent), "ngram-candidates")
-    found = set_links(_whole_sets(docs, chosen, shingle), percent)
+    distinct, found = similar_sets(docs, named, shingle, percent)
     labels = components(found).withColumnRenamed("v", "rid")
     least = named.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
     sets = distinct.select("sid", "rid").join(labels, "rid", "left").select("sid", F.coalesce("label", "rid").alias("label")).join(least, "sid")

@@ -1,29 +1,24 @@
 """SimHash near-duplicates: fingerprints linked through BK-trees, then joined into components.
 
 Two rules of what is near. :func:`near_duplicates` links fingerprints of three-word shingles that differ in two bits or fewer. Texts that share four fifths of their five-word shingles differ in up to 20
-bits, so :func:`drop_near_duplicates` can link those too, exactly: prefixes of the shingle sets propose pairs (no pair above the limit is left out), and the whole sets decide.
+bits, so :func:`drop_near_duplicates` can link those too, exactly, by the join of shingle sets.
 """
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import fold_case, free_name, rolling_hashes, row_key, scan_words, stage, text_buffer, text_parts, word_hashes
+from tarnlake.llm import ngram_join
+from tarnlake.llm.common import fold_case, free_name, row_key, scan_words, shingle_sets, stage, text_buffer, text_parts
+from tarnlake.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-#: The verified rule: words of a shingle and least Jaccard similarity.
-SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
-#: Members of a group that meet all of its others in the first round, and how many times as many do in each next one, for what isn't linked by then.
-HUBS, MORE_HUBS = 1, 8
-#: Buckets that shingle hashes are dealt to, of about 1 / BUCKETS of all prefixes each; a multiple of the shuffle partitions where those are more.
-BUCKETS = 2_048
-#: Of the estimate :func:`sketch_similarity` and of trees over five-word fingerprints. No link depends on them.
-SKETCH, SIMILAR_RADIUS = 200, 22
+#: The verified rule: words of a shingle and least Jaccard similarity in per cent.
+SIMILAR_SHINGLE, SIMILAR_PERCENT = 5, 80
 #: Fingerprints of one BK-tree. Larger groups are cut into shards of about this many, and every shard's tree meets every part of its group.
 TREE_ROWS = 4_096
 _BITS_AT_ONCE, _PART_BYTES = 1 << 16, 1 << 20
@@ -185,188 +180,6 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS)
     return _tree_rows(distinct.select("fp"), radius, tree_rows).mapInArrow(_linked(radius), "a long, b long").distinct()
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SIMILAR_SHINGLE) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of every text. A shorter text is one shingle; one without words has none."""
-    data = fold_case(data)
-    starts, ends, first = scan_words(data, offsets)
-    words = word_hashes(data, starts, ends)
-    rolled, n = rolling_hashes(words, shingle), np.diff(first)
-    return [np.unique(rolled[a : a + k - shingle + 1]) if k >= shingle else rolling_hashes(words[a : a + k], int(k))[:1] if k else words[:0] for a, k in zip(first[:-1].tolist(), n.tolist(), strict=True)]
-
-
-def set_id(shingles: np.ndarray) -> int | None:
-    """One number for equal sets, as a signed long; none for the empty set."""
-    from xxhash import xxh64_intdigest
-
-    return (x := xxh64_intdigest(shingles.tobytes(), SEED)) - (x >> 63 << 64) if len(shingles) else None
-
-
-def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two shingle sets by their sketches: exact where both are whole, else from the SKETCH least hashes of the union."""
-    both = np.intersect1d(a, b)
-    if len(a) < SKETCH and len(b) < SKETCH:
-        return len(both) / max(1, len(a) + len(b) - len(both))
-    union = np.union1d(a, b)[:SKETCH]
-    return np.searchsorted(both, union[-1], side="right") / len(union)
-
-
-def _least(n, similarity: float):
-    """Shingles that a set of ``n`` must share with any set that is similar enough. The other set is no smaller than this, either. ``n``: a number or a column."""
-    return F.ceil(n * F.lit(similarity) - 1e-9) if isinstance(n, Column) else math.ceil(n * similarity - 1e-9)
-
-
-def _ahead(n, similarity: float):
-    """Shared shingles that :func:`_candidates` looks for: the more, the fewer texts with one passage in common pass, and the longer are prefixes."""
-    low, least = (F.least, F.floor) if isinstance(n, Column) else (min, math.floor)
-    return low(1 + least(n / 10), _least(n, similarity))
-
-
-def _texts_of(docs: DataFrame, run, fields: str) -> DataFrame:
-    """``run`` over (sets of texts, the batch's other columns) of ``docs``, whose last column is the text."""
-
-    def each(batches):
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(batch.num_columns - 1))
-            parts = [shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in text_parts(offsets, _PART_BYTES)]
-            yield from run([s for part in parts for s in part])
-
-    return docs.mapInArrow(each, fields)
-
-
-def _prefixes(similarity: float, buckets: int):
-    def run(sets):
-        import pyarrow as pa
-
-        size = [min(len(s), len(s) - _least(len(s), similarity) + _ahead(len(s), similarity)) for s in sets]
-        h = np.concatenate([np.zeros(0, np.uint64), *[s[:k] for s, k in zip(sets, size, strict=True)]])
-        owner = np.repeat(np.array([set_id(s) or 0 for s in sets], np.int64), size)
-        bucket = (h % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        h, owner, (found, first) = h[order], owner[order], np.unique(bucket[order], return_index=True)
-        edge = [*first.tolist(), len(h)]
-        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(found), cut(h), cut(owner)], names=["bucket", "h", "owner"])
-
-    return run
-
-
-def _repeated(batches):
-    """(sid, hits): how many hashes of a bucket a set shares with any other set."""
-    import pyarrow as pa
-
-    for batch in batches:
-        for hs, owners in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            h, owner = np.frombuffer(b"".join(x for x in hs), np.uint64), np.frombuffer(b"".join(x for x in owners), np.int64)
-            order = np.lexsort((owner, h))
-            h, owner = h[order], owner[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])  # copies of a set count once
-            h, owner = h[new], owner[new]
-            same = h[1:] == h[:-1]
-            shared = np.zeros(len(h), bool)
-            shared[1:] |= same
-            shared[:-1] |= same
-            sid, hits = np.unique(owner[shared], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(sid), pa.array(hits)], names=["sid", "hits"])
-
-
-def _candidates(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The rows of ``sets`` (sid, n, ...) that may have a similar set at all.
-
-    Of two sets in one order of their hashes, the first k shared ones are among the first n - (least overlap) + k of each. So a set of which fewer hashes in that
-    prefix are another's too has no partner.
-    """
-    buckets = max(BUCKETS, 8 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = _texts_of(texts.select("text"), _prefixes(similarity, buckets), "bucket long, h binary, owner binary")
-    lists = dealt.groupBy("bucket").agg(F.collect_list(F.struct("h", "owner")).alias("x")).select(F.col("x.h").alias("h"), F.col("x.owner").alias("owner"))
-    hits = lists.mapInArrow(_repeated, "sid long, hits long").groupBy("sid").agg(F.sum("hits").alias("hits"))
-    return sets.join(hits, "sid").where(F.col("hits") >= _ahead(_least(F.col("n"), similarity), similarity)).drop("hits")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    one, two = (sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("h").alias(f"h_{x}")) for x in "ab")
-    met = pairs.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("h_a", "h_b")))
-    return stage(met.where(F.col("both") >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"), "similar-links")
-
-
-def similar_links(keyed: DataFrame, key: str, prints: DataFrame, radius: int = SIMILAR_RADIUS, similarity: float = SIMILARITY, hubs: int = HUBS) -> DataFrame:
-    """``(a, b)``: links between set ids that join the distinct shingle sets of ``prints`` (key, sid, n) into the same components as all pairs of at least that ``similarity`` would.
-
-    Exact: sets meet where their prefixes of shingles, rarest first, have one in common, sizes and what is left of each from there on allow it, and whole sets are compared. Members of a
-    group that are linked by then are not compared again, so a group of near copies doesn't meet as all pairs. ``radius`` isn't used: no distance of fingerprints follows from the rule.
-    """
-    reps = prints.where("sid is not null").groupBy("sid").agg(F.min(key).alias(key), F.first("n").alias("n"))
-    texts = keyed.select(key, F.col("text").cast("string").alias("text"))
-    some = stage(_candidates(texts, reps, similarity), "similar-candidates")
-
-    def whole(sets):
-        import pyarrow as pa
-
-        yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sid", "n", "h"])
-
-    chosen = texts.join(some.select(key), key, "left_semi").select("text")
-    sets = stage(_texts_of(chosen, whole, "sid long, n long, h array<long>").groupBy("sid", "n").agg(F.first("h").alias("h")), "similar-sets")
-    shingles = sets.select("sid", "n", F.explode("h").alias("t"))
-    common = shingles.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    # Shingles of one set alone come first in every prefix and meet nothing.
-    ranked = shingles.join(common, "t").groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("r"))
-    take = (F.size("r") - _least(F.col("n"), similarity) + 1).cast("int")
-    prefix = ranked.where(take > 0).select("n", "sid", (-take).alias("rare"), F.size("r").alias("size"), F.posexplode(F.slice("r", F.lit(1), take)).alias("at", "r"))
-    # Where two sets that are similar first share a shingle, each has as many left as both must share. So from there on a set meets sets of up to ``cap`` shingles only, and the other's cap
-    # is as large as this set. A set with a smaller cap than its own size is idle: it meets no other idle one.
-    cap = F.floor((F.col("size") - F.col("at")) * F.lit((1 + similarity) / similarity) - F.col("n") + 1e-9)
-    # Those with the fewest shingles of their own lead a group: of edited copies of a text, it and its closest copies, to which most others are linked at once.
-    member = F.struct((cap < F.col("n")).alias("idle"), "rare", "n", cap.alias("cap"), "sid", F.col("sid").alias("label"))
-    groups = prefix.groupBy("r.t").agg(F.sort_array(F.collect_set(member)).alias("m"), F.min("n").alias("low"))
-    groups = groups.select(F.filter("m", lambda x: x["cap"] >= F.col("low")).alias("m")).where("size(m) > 1 and not m[0].idle").distinct()
-    # ``lead``: the first so many members have met all others once the group is done.
-    active = lambda m: F.filter(m, lambda x: ~x["idle"])
-    todo = stage(groups.select(F.monotonically_increasing_id().alias("g"), F.size(active("m")).alias("lead"), "m"), "similar-groups")
-    found, labels = None, None
-    while True:
-        leaders = F.slice("m", F.lit(1), F.least("lead", F.lit(hubs)))
-        met = todo.select("m", F.posexplode(leaders).alias("i", "x")).select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
-        fits = (F.col("x.n") <= F.col("y.cap")) & (F.col("y.n") <= F.col("x.cap")) & (F.least("x.n", "y.n") >= _least(F.greatest("x.n", "y.n"), similarity))
-        pairs = met.where((F.col("x.label") != F.col("y.label")) & fits).select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
-        new = _verified(pairs, sets, similarity)
-        found = new if found is None else found.union(new)
-        left = todo.where(F.col("lead") > hubs)
-        if left.isEmpty():
-            return found
-        if labels is None or not new.isEmpty():
-            labels = components(found)
-        rest = left.select("g", F.explode(F.slice("m", F.lit(hubs + 1), F.size("m"))).alias("x")).select("g", "x.idle", "x.rare", "x.n", "x.cap", "x.sid")
-        rest = rest.join(labels, F.col("sid") == F.col("v"), "left").select("g", "idle", "rare", "n", "cap", "sid", F.coalesce("label", "sid").alias("label"))
-        parts = rest.groupBy("g", "label").agg(F.sort_array(F.collect_list(F.struct("idle", "rare", "n", "cap", "sid", "label"))).alias("m"))
-        # What is left of a group is done once its active members, or those of all parts but the largest, have met the others.
-        parts = parts.groupBy("g").agg(F.sort_array(F.collect_list(F.struct(F.size("m").alias("size"), "label", "m"))).alias("parts"))
-        parts = parts.select("g", F.flatten("parts.m").alias("m"), F.array_max("parts.size").alias("largest")).withColumn("lead", F.size(active("m")))
-        few = F.size("m") - F.col("largest")
-        parts = parts.where((few > 0) & (F.col("lead") > 0)).select("g", F.least("lead", few).alias("lead"), F.when(few < F.col("lead"), F.col("m")).otherwise(F.concat(active("m"), F.filter("m", lambda x: x["idle"]))).alias("m"))
-        todo, hubs = stage(parts, "similar-groups"), MORE_HUBS * hubs
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``(v, label)`` of every end of the edges ``(a, b)``: label is the smallest value that v reaches.
-
-    Each round takes the smallest label among neighbours and then follows labels twice, so a path of n edges takes about log n rounds.
-    """
-    both = stage(edges.union(edges.select("b", "a")).toDF("a", "b"), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = both.join(labels, F.col("a") == F.col("v")).groupBy(F.col("b").alias("v")).agg(F.min("label").alias("near"))
-        new = labels.join(near, "v").select("v", F.least("label", "near").alias("new"), F.col("label").alias("old"))
-        new = stage(new, "labels")
-        for _ in range(2):
-            jump = new.select(F.col("v").alias("new"), F.col("new").alias("next"))
-            new = new.join(jump, "new", "left").select("v", F.coalesce("next", "new").alias("new"), "old")
-        new = stage(new, "labels")
-        if new.where("new <> old").isEmpty():
-            return labels
-        labels = new.select("v", F.col("new").alias("label"))
-
-
 def fingerprint_components(prints: DataFrame, order, radius: int = RADIUS, more: DataFrame | None = None) -> DataFrame:
     """``(fp, label, first)`` of every distinct ``fp``: its component, named by a fingerprint, and the smallest ``order`` in that component (null only if all are). ``more``: further links between fingerprints."""
     reps = stage(prints.groupBy("fp").agg(F.min(order).alias("first")), "fingerprints")
@@ -389,8 +202,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
-def _marked(docs: DataFrame, key: str, shingle: int) -> DataFrame:
-    """``(doc_id, key, fp, sid, n)`` of every row: its fingerprint, and the id and size of its set of five-word shingles. Without words, the id is null."""
+def _marked(docs: DataFrame, key: str, shingle: int, percent: int) -> DataFrame:
+    """``(doc_id, key, fp, sid, n, head)`` of every row: its fingerprint, and name, size and least hashes of its set of five-word shingles. Without words, the name is null."""
 
     def run(batches):
         import pyarrow as pa
@@ -399,30 +212,29 @@ def _marked(docs: DataFrame, key: str, shingle: int) -> DataFrame:
             data, offsets = text_buffer(batch.column(2))
             for a, b in text_parts(offsets, _PART_BYTES):
                 part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                sets = shingle_sets(part, at)
-                sid, n = pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], pa.array(text_fingerprints(part, at, shingle).view(np.int64)), sid, n], names=["doc_id", key, "fp", "sid", "n"])
+                fp = pa.array(text_fingerprints(part, at, shingle).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[:2], fp, *ngram_join.named(shingle_sets(part, at, SIMILAR_SHINGLE), percent)], names=["doc_id", key, "fp", "sid", "n", "head"])
 
     fields = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, `{key}` binary"
-    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, sid long, n long")
+    return docs.select("doc_id", key, F.col("text").cast("string")).mapInArrow(run, f"{fields}, fp long, sid binary, n long, head array<long>")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, percent: int | None = None) -> DataFrame:
     """The rows of ``docs`` with one of each component: that with the smallest doc_id (null last), ties to the smaller row key; of equal rows one stays.
 
-    With ``similarity``, texts whose sets of five-word shingles are at least that similar are linked too. Each distinct set of shingles is compared,
-    whatever fingerprints its texts have; a set's fingerprints are one component.
+    With ``percent``, texts whose sets of five-word shingles are at least that similar are linked too, exactly, by :mod:`tarnlake.llm.ngram_join`; a set's fingerprints are one component.
     """
     key, n = free_name(docs, "_key"), free_name(docs, "_n")
     keyed = docs.withColumn(key, row_key("doc_id", "text"))
     more = None
-    if similarity is None:
+    if percent is None:
         prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
     else:
-        prints = stage(_marked(keyed, key, shingle), "simhash")
+        prints = stage(_marked(keyed, key, shingle, percent), "simhash")
+        sets, similar = ngram_join.similar_sets(docs, prints, SIMILAR_SHINGLE, percent)
         one = stage(prints.where("sid is not null").groupBy("sid").agg(F.min("fp").alias("one")), "simhash-sets")
-        a, b = one.toDF("a", "fp_a"), one.toDF("b", "fp_b")
-        more = similar_links(keyed, key, prints, similarity=similarity).join(a, "a").join(b, "b").select("fp_a", "fp_b")
+        of_set = sets.join(one, "sid").select("rid", "one")
+        more = similar.join(of_set.toDF("a", "fp_a"), "a").join(of_set.toDF("b", "fp_b"), "b").select("fp_a", "fp_b")
         more = more.union(prints.join(one, "sid").where("fp <> one").select("fp", "one")).distinct()
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
     found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius, more)

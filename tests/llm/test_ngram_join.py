@@ -5,7 +5,7 @@ import random
 import pytest
 
 from tarnlake.llm import ngram_join
-from tarnlake.llm.simhash import components
+from tarnlake.llm.components import components
 
 SCHEMA = "doc_id long, text string, sid string, rid int, head string, label string"
 

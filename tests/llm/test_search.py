@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tarnlake.llm import mtree, simhash
+from tarnlake.llm import mtree, ngram_join, simhash
 
 
 def _plain_top(rows, k=20):
@@ -242,30 +242,22 @@ def _edited(seed, families=12, copies=14):
     return out
 
 
-@pytest.mark.parametrize("tree_rows", [3, 1024])
-def test_similar_texts(spark, monkeypatch, tree_rows):
-    monkeypatch.setattr(simhash.similar_links, "__defaults__", (simhash.SIMILAR_RADIUS, simhash.SIMILARITY, tree_rows))
+@pytest.mark.parametrize("leaders", [1, 500])
+def test_similar_texts(spark, monkeypatch, leaders):
+    monkeypatch.setattr(ngram_join, "LEADERS", leaders)
     long = " ".join(f"x{i}" for i in range(5_000))
     docs = list(enumerate([*_edited(6), None, "", "a b", "A  b", "a b c", long, long.replace("x7 ", "y "), long[: len(long) // 2]]))
     frame = spark.createDataFrame([(d, t, 1, "p") for d, t in docs], "doc_id long, text string, print int, fp string").repartition(4)
-    kept = simhash.drop_near_duplicates(frame, similarity=0.8)
+    kept = simhash.drop_near_duplicates(frame, percent=80)
     assert kept.columns == frame.columns
     got = sorted(r["doc_id"] for r in kept.collect())
     assert got == _plain_similar(docs) and len(got) < 0.7 * len(docs)
 
 
-def test_sketches():
-    rng = np.random.default_rng(0)
-    a = np.sort(rng.choice(2**32, 2_000, replace=False).astype("<u4"))
-    b = np.sort(np.concatenate([a[:-200], rng.choice(2**32, 200).astype("<u4")]))
-    assert simhash.sketch_similarity(a[:50], a[10:60]) == 40 / 60 and simhash.sketch_similarity(a[:0], a[:0]) == 0
-    assert abs(simhash.sketch_similarity(a[: simhash.SKETCH], b[: simhash.SKETCH]) - 1_800 / 2_200) < 0.1
-
-
 def _kept(spark, texts):
     docs = list(enumerate(texts))
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = sorted(r["doc_id"] for r in simhash.drop_near_duplicates(frame, similarity=0.8).collect())
+    got = sorted(r["doc_id"] for r in simhash.drop_near_duplicates(frame, percent=80).collect())
     assert got == _plain_similar(docs)
     return got
 
