@@ -63,9 +63,8 @@ def write_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, folder: str |
     return folder, stage(rows.mapInArrow(_writer(folder, batch_bytes), MANIFEST), "text-files")
 
 
-def buckets_for(manifest: DataFrame) -> int:
-    total = manifest.agg(F.sum("bytes")).first()[0] or 0
-    return max(LEAST_BUCKETS, -(-total // BUCKET_TEXT))
+def buckets_for(text_bytes: int) -> int:
+    return max(LEAST_BUCKETS, -(-text_bytes // BUCKET_TEXT))
 
 
 class TextBatch:

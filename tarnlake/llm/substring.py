@@ -4,13 +4,18 @@ Every window of 13 words is fingerprinted by the smallest hash of its seven-word
 the windows. Equal windows have equal fingerprints. Each batch of documents becomes a sorted, immutable run that is merge-joined with the older runs; windows
 whose fingerprint two documents have are then compared by 96 bits of hash over all their words, which settles who has them first. (Both hashes are made of 64-bit hashes of words.)
 
+A new run is merged with older ones no larger than GROWTH times what is merged so far. So a small batch never rewrites a large run, an entry is rewritten only when its run grows by half at least, and there are about as
+many runs as doublings of the index: n ingests write O(n log n). Buckets are ranges of hashes, as many as the texts so far need; a run of fewer is cut finer as it is read.
+
 :class:`SubstringIndex` keeps texts and runs in a folder, so a later session opens it, adds a batch, and gets what one run over all batches would give.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,8 +27,8 @@ from tarnlake.llm.common import mix, rolling_hashes, scan_words, shared_dir, sta
 from tarnlake.sources.sinks import VersionedTable
 
 WINDOW, GRAM = 13, 7
-#: Batches that one call ingests, and runs that are kept before they are compacted into one.
-INGESTS, MAX_RUNS = 2, 1
+#: Batches that one call ingests, and by how much a run may be larger than what is merged with it.
+INGESTS, GROWTH = 2, 2
 _RUN = "kind string, bucket int, batch string, data binary, owners binary, names array<string>"
 
 
@@ -90,21 +95,59 @@ def _grouped(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
+@dataclass(frozen=True)
+class Run:
+    """A sorted run: its rows (a hash bucket each), how many buckets it is cut into, and the bytes of text that it stands for."""
+
+    rows: DataFrame
+    buckets: int
+    size: int
+
+
+def merged_with(size: int, runs: list[int], growth: int = GROWTH) -> list[int]:
+    """Which of the ``runs`` (sizes) a new run of ``size`` is merged with: from the smallest on, while one isn't over ``growth`` times what is merged so far."""
+    out = []
+    for i in sorted(range(len(runs)), key=lambda i: runs[i]):
+        if runs[i] > growth * size:
+            break
+        size += runs[i]
+        out.append(i)
+    return out
+
+
+def _finer(run: Run, buckets: int) -> DataFrame:
+    """A run's rows cut into more buckets: twice as many, four times, and so on. A bucket is a range of hashes, so its finer ones are slices of it."""
+    if run.buckets == buckets:
+        return run.rows
+
+    def cut(frames):
+        for rows in frames:
+            out = []
+            for r in rows.itertuples():
+                entries, owners = np.frombuffer(r.data, np.uint64), np.frombuffer(r.owners, np.uint32)
+                out += [(r.kind, b, None, entries[part].tobytes(), owners[part].tobytes(), r.names) for b, part in bucket_cells(entries, buckets)]
+            yield pd.DataFrame(out, columns=["kind", "bucket", "batch", "data", "owners", "names"])
+
+    return run.rows.mapInPandas(cut, _RUN)
+
+
 class FingerprintIndex:
     """Sorted immutable runs, one row a hash bucket each: fingerprints in order and the file that had each first.
 
-    :meth:`ingest` merge-joins a new batch with every run and writes one run more; when there would be more than ``max_runs``, the same pass merges
-    them all into one. A run on disk never changes.
+    :meth:`ingest` merge-joins a new batch with every run and writes one run more; the same pass merges runs of about its size into it. A run on disk never changes.
     """
 
-    def __init__(self, max_runs: int = MAX_RUNS, runs: list[DataFrame] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None):
-        self.runs: list[DataFrame] = runs or []
-        self.max_runs = max_runs
+    def __init__(self, runs: list[Run] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None, growth: int = GROWTH):
+        self.runs: list[Run] = list(runs or [])
+        self.growth = growth
         self._keep = keep or (lambda df: stage(df, "fingerprint-run", partition_by="kind"))
 
-    def ingest(self, new: DataFrame) -> DataFrame:
-        """``new``: rows (bucket, batch, data), data being distinct sorted fingerprints of a file. Returns rows (batch, data): which of a file's fingerprints another file has too, for files of this batch and of earlier ones."""
-        compact = len(self.runs) >= self.max_runs
+    def ingest(self, new: DataFrame, size: int, buckets: int) -> DataFrame:
+        """``new``: rows (bucket, batch, data) of ``size`` bytes of text in ``buckets`` buckets, no fewer than any run has; data are distinct sorted fingerprints of a file.
+
+        Returns rows (batch, data): which of a file's fingerprints another file has too, for files of this batch and of earlier ones.
+        """
+        folded = merged_with(size, [r.size for r in self.runs], self.growth)
 
         def merge(fresh: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
             entries, row = _grouped(fresh)
@@ -112,7 +155,7 @@ class FingerprintIndex:
             order = np.argsort(entries, kind="stable")
             entries, row = entries[order], row[order]
             heads = np.flatnonzero(np.concatenate([[True], entries[1:] != entries[:-1]])) if len(entries) else np.zeros(0, np.int64)
-            size = np.diff(np.append(heads, len(entries)))
+            count = np.diff(np.append(heads, len(entries)))
             distinct, owner = entries[heads], row[heads]
             known = np.zeros(len(distinct), bool)
             out, merged = [], [(distinct, owner)]
@@ -124,26 +167,27 @@ class FingerprintIndex:
                 known |= same
                 for o in np.unique(run_owner[place[same]]) if same.any() else ():
                     out.append(("hit", None, r.names[o], distinct[same][run_owner[place[same]] == o].tobytes(), None, None))
-                if compact:
+                if r.fold:
                     merged.append((run, run_owner.astype(np.int64) + len(names)))
                     names = names + list(r.names)
-            repeated = np.repeat((size > 1) | known, size)
+            repeated = np.repeat((count > 1) | known, count)
             for i in np.unique(row[repeated]).tolist():
                 out.append(("hit", None, names[i], entries[repeated & (row == i)].tobytes(), None, None))
+            # What an older run has stays that run's: every fingerprint is in one run, with the file that had it first.
             merged[0] = (distinct[~known], owner[~known])
             entries, owner = (np.concatenate(x) for x in zip(*merged, strict=True))
-            order = np.argsort(entries, kind="stable")
-            bucket = int((fresh if len(fresh) else old)["bucket"].iloc[0])
-            out.append(("run", bucket, None, entries[order].tobytes(), owner[order].astype(np.uint32).tobytes(), names))
+            if len(entries):
+                order = np.argsort(entries, kind="stable")
+                bucket = int((fresh if len(fresh) else old)["bucket"].iloc[0])
+                out.append(("run", bucket, None, entries[order].tobytes(), owner[order].astype(np.uint32).tobytes(), names))
             return pd.DataFrame(out, columns=["kind", "bucket", "batch", "data", "owners", "names"])
 
-        empty = new.sparkSession.createDataFrame([], _RUN)
-        old = self.runs[0] if self.runs else empty
-        for run in self.runs[1:]:
-            old = old.unionByName(run)
+        old = new.sparkSession.createDataFrame([], f"{_RUN}, fold boolean")
+        for i, run in enumerate(self.runs):
+            old = old.unionByName(_finer(run, buckets).withColumn("fold", F.lit(i in folded)))
         done = self._keep(new.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInPandas(merge, _RUN))
-        run = done.where("kind = 'run'")
-        self.runs = [run] if compact else [*self.runs, run]
+        made = Run(done.where("kind = 'run'"), buckets, size + sum(self.runs[i].size for i in folded))
+        self.runs = [r for i, r in enumerate(self.runs) if i not in folded] + [made]
         return done.where("kind = 'hit'").select("batch", "data")
 
 
@@ -164,8 +208,8 @@ def _fingerprints(files: DataFrame, folder: str, buckets: int, window: int, gram
     return files.select("batch").repartition(_tasks(files, 4), "batch").mapInPandas(prints, "bucket int, batch string, data binary")
 
 
-def _judged(files: DataFrame, hits: DataFrame, folder: str, buckets: int, window: int, gram: int) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept)`` of every document of ``files``, ``hits`` being all that ingests found."""
+def _judged(files: DataFrame, hits: DataFrame, folder: str, buckets: int, window: int, gram: int, others: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept)`` of every document of ``files``, ``hits`` being all that ingests found. ``others``: files that may have windows first, too, but aren't judged."""
 
     def requests(files: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -217,28 +261,36 @@ def _judged(files: DataFrame, hits: DataFrame, folder: str, buckets: int, window
 
     # Tasks open their files again, so their number follows the files and not the few bytes that are shuffled.
     n = _tasks(files, 2)
-    files, hits = files.select("batch").repartition(n, "batch"), hits.repartition(n, "batch")
-    asked = files.groupBy("batch").cogroup(hits.groupBy("batch")).applyInPandas(requests, "bucket int, batch string, data binary, check binary, order binary")
+    asking = files.select("batch") if others is None else files.select("batch").unionByName(others.select("batch"))
+    hits = hits if others is None else hits.join(asking, "batch", "left_semi")
+    files, asking, hits = files.select("batch").repartition(n, "batch"), asking.repartition(n, "batch"), hits.repartition(n, "batch")
+    asked = asking.groupBy("batch").cogroup(hits.groupBy("batch")).applyInPandas(requests, "bucket int, batch string, data binary, check binary, order binary")
     answers = stage(asked.groupBy("bucket").applyInPandas(verdicts, "batch string, bucket int, data binary"), "window-verdicts")
-    answers = answers.unionByName(hits.select("batch", F.lit(-1).alias("bucket"), "data")).repartition(n, "batch")
+    answers = answers.unionByName(hits.select("batch", F.lit(-1).alias("bucket"), "data"))
+    answers = (answers if others is None else answers.join(files, "batch", "left_semi")).repartition(n, "batch")
     return files.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
 class SubstringIndex:
     """Texts, runs of fingerprints and what they share, in the folder ``path``, which driver and executors see.
 
-    :meth:`ingest` adds a batch of documents: it fingerprints the new texts only, merge-joins them with the runs, and compacts these. :meth:`deduplicated` judges all documents
-    ingested so far, in whatever sessions and batches. The state is a numbered table that moves on once an ingest is complete, so one that broke off has added nothing.
+    :meth:`ingest` adds a batch of documents: it fingerprints the new texts only, merge-joins them with the runs, and compacts runs of their size. :meth:`deduplicated` judges all documents
+    ingested so far, in whatever sessions and batches, or those of one ingest. The state is a table whose next version is published once an ingest is complete, so one that broke off has added nothing, and of two at a time
+    one raises.
     """
 
-    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, gram: int = GRAM, max_runs: int = MAX_RUNS):
-        self.spark, self.path, self.max_runs = spark, path.rstrip("/"), max_runs
+    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, gram: int = GRAM, growth: int = GROWTH):
+        self.spark, self.path, self.growth = spark, path.rstrip("/"), growth
         self._table = VersionedTable(spark, f"{self.path}/state")
-        self._state = [tuple(r) for r in self._table.read().collect()] if self._table.version() else [("window", str(window)), ("gram", str(gram))]
-        self.window, self.gram = int(self._of("window")[0]), int(self._of("gram")[0])
+        self._version = self._table.version()
+        # Per ingest: its list of files and, for each of its batches, what was found; then the runs that are live.
+        self._state: dict = {"window": window, "gram": gram, "buckets": 1, "bytes": 0, "ingests": [], "runs": []}
+        if self._version:
+            self._state = json.loads(self._table.read(self._version).first()["value"])
 
-    def _of(self, kind: str) -> list[str]:
-        return [x for k, x in self._state if k == kind]
+    @property
+    def runs(self) -> list[dict]:
+        return self._state["runs"]
 
     def _kept(self, df: DataFrame, name: str, **options) -> tuple[str, DataFrame]:
         path = f"{self.path}/{name}/part={uuid.uuid4().hex[:12]}"
@@ -247,13 +299,18 @@ class SubstringIndex:
 
     def _read(self, paths: list[str], schema: str) -> DataFrame:
         reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        none = self.spark.createDataFrame([], schema)
+        return reader.parquet(*paths).select(*none.columns) if paths else none
 
     def ingest(self, docs: DataFrame, parts: int = 1) -> None:
         """Add the documents (doc_id, text; more columns are ignored), as ``parts`` batches after one another."""
         _, files = write_batches(docs, folder=f"{self.path}/texts")
-        state = self._state if self._of("buckets") else [*self._state, ("buckets", str(buckets_for(files)))]
-        self._state = state
+        listed, files = self._kept(files.withColumn("turn", F.pmod(F.xxhash64("batch"), F.lit(parts))), "files")
+        sizes = {r["turn"]: r["bytes"] for r in files.groupBy("turn").agg(F.sum("bytes").alias("bytes")).collect()}
+        state = json.loads(json.dumps(self._state))
+        state["bytes"] += sum(sizes.values())
+        # A power of two, so that older runs are cut finer at their own edges.
+        state["buckets"] = buckets = max(state["buckets"], 1 << (buckets_for(state["bytes"]) - 1).bit_length())
         done: list[str] = []
 
         def keep(df: DataFrame) -> DataFrame:
@@ -261,21 +318,31 @@ class SubstringIndex:
             done.append(path)
             return out
 
-        live = self._of("run")
-        index = FingerprintIndex(self.max_runs, [self._read([x], _RUN).where("kind = 'run'") for x in live], keep)
-        for i in range(parts):
-            some = files.where(F.pmod(F.xxhash64("batch"), F.lit(parts)) == i)
-            index.ingest(_fingerprints(some, f"{self.path}/texts", int(self._of("buckets")[0]), self.window, self.gram))
-            live = [*live, done[-1]][-len(index.runs) :]
-        listed, _ = self._kept(files, "files")
-        state = [x for x in state if x[0] != "run"] + [("files", listed), *[("done", x) for x in done], *[("run", x) for x in live]]
-        self._table.write(self.spark.createDataFrame(state, "kind string, value string").coalesce(1))
+        index = FingerprintIndex([Run(self._read([r["path"]], _RUN).where("kind = 'run'"), r["buckets"], r["size"]) for r in state["runs"]], keep, self.growth)
+        paths = {id(run): r["path"] for run, r in zip(index.runs, state["runs"], strict=True)}
+        for i in sorted(sizes):
+            index.ingest(_fingerprints(files.where(F.col("turn") == i), f"{self.path}/texts", buckets, state["window"], state["gram"]), sizes[i], buckets)
+            paths[id(index.runs[-1])] = done[-1]
+        state["ingests"].append({"files": listed, "found": done})
+        state["runs"] = [{"path": paths[id(r)], "buckets": r.buckets, "size": r.size} for r in index.runs]
+        self._version = self._table.write(self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1), base=self._version)
         self._state = state
 
-    def deduplicated(self) -> DataFrame:
-        """As :func:`dedup_substrings`, for all documents ingested."""
-        hits = self._read(self._of("done"), _RUN).where("kind = 'hit'").select("batch", "data")
-        return _judged(self._read(self._of("files"), "batch string, docs long, bytes long"), hits, f"{self.path}/texts", int((self._of("buckets") or ["1"])[0]), self.window, self.gram)
+    def deduplicated(self, ingest: int | None = None) -> DataFrame:
+        """As :func:`dedup_substrings`, for all documents, or for those of the ingest of that number (from 0, -1 the last), judged against all ingested so far.
+
+        Of other ingests, only files that share a fingerprint with the one asked for are opened.
+        """
+        kind = "batch string, docs long, bytes long"
+        turns, every = self._state["ingests"], slice(None) if ingest is None else slice(ingest, ingest + 1 or None)
+        hits = self._read([p for x in turns for p in x["found"]], _RUN).where("kind = 'hit'").select("batch", "data")
+        files = self._read([x["files"] for x in turns[every]], kind)
+        others = None
+        if ingest is not None:
+            # Later batches find what they share with this one, and it finds what it shares with earlier ones.
+            near = self._read([p for x in turns[ingest % len(turns) :] for p in x["found"]], _RUN).where("kind = 'hit'").select("batch").distinct() if turns else hits.select("batch")
+            others = near.join(files.select("batch"), "batch", "left_anti")
+        return _judged(files, hits, f"{self.path}/texts", self._state["buckets"], self._state["window"], self._state["gram"], others)
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ingests: int = INGESTS) -> DataFrame:

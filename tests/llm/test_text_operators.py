@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.llm import common, decontam, langid, lm, substring
+from tarnlake.sources.sinks import ConcurrentWrite
 from tests.conftest import DATA
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -72,17 +73,53 @@ def test_substring_dedup_of_nothing(spark):
 
 
 def test_index_compacts(spark):
-    """Runs on disk stay; a compaction holds every fingerprint once, with its first file."""
-    index, sets = substring.FingerprintIndex(max_runs=2), {"f1": [1, 5, 9], "f2": [5, 7], "f3": [9, 11], "f4": [1, 12]}
-    hits = {}
-    for name, prints in sets.items():
+    """Runs on disk stay; a compaction holds every fingerprint once, with its first file. The second batch is merged with the first, the third is too small to be, the fourth is merged with the third."""
+    index, sets = substring.FingerprintIndex(), {"f1": [1, 5, 9], "f2": [5, 7], "f3": [9, 11], "f4": [1, 12]}
+    hits, runs = {}, []
+    for (name, prints), size in zip(sets.items(), (100, 100, 10, 10), strict=True):
         new = spark.createDataFrame([(0, name, bytearray(np.array(prints, np.uint64).tobytes()))], "bucket int, batch string, data binary")
-        for r in index.ingest(new).collect():
+        for r in index.ingest(new, size, 1).collect():
             hits.setdefault(r["batch"], set()).update(np.frombuffer(bytes(r["data"]), np.uint64).tolist())
-    assert hits == {"f1": {1, 5, 9}, "f2": {5}, "f3": {9}, "f4": {1}}
-    held = [r for run in index.runs for r in run.collect()]
+        runs.append([r.size for r in index.runs])
+    assert hits == {"f1": {1, 5, 9}, "f2": {5}, "f3": {9}, "f4": {1}} and runs == [[100], [200], [200, 10], [200, 20]]
+    held = [r for run in index.runs for r in run.rows.collect()]
     entries = {int(e): r["names"][o] for r in held for e, o in zip(np.frombuffer(bytes(r["data"]), np.uint64), np.frombuffer(bytes(r["owners"]), np.uint32), strict=True)}
-    assert entries == {1: "f1", 5: "f1", 9: "f1", 7: "f2", 11: "f3", 12: "f4"} and len(index.runs) == 2
+    assert entries == {1: "f1", 5: "f1", 9: "f1", 7: "f2", 11: "f3", 12: "f4"} and len(held) == 2
+
+
+def test_runs_grow_like_a_log():
+    """A thousand ingests of any sizes: what is written stays within n log n, and runs are few."""
+    for draw in (lambda rng: 1, lambda rng: rng.randrange(1, 1_000), lambda rng: 10 ** rng.randrange(6)):
+        rng, runs, written, total = random.Random(3), [], 0, 0
+        for _ in range(1_000):
+            size = draw(rng)
+            total += size
+            some = substring.merged_with(size, runs)
+            size += sum(runs[i] for i in some)
+            runs = [r for i, r in enumerate(runs) if i not in some] + [size]
+            written += size
+        assert sum(runs) == total and len(runs) <= math.log2(total) + 1 and written <= 2.5 * total * math.log2(total)
+    assert substring.merged_with(1, [10**12]) == []
+
+
+def test_runs_are_cut_finer(spark):
+    """A run of two buckets met by a batch of eight gives what a run of eight gives."""
+    from tarnlake.llm.batches import bucket_cells
+
+    rng = np.random.default_rng(2)
+    one, two = (np.unique(rng.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2) // np.uint64(1 + k)) for k in (0, 1))
+    two = np.unique(np.concatenate([two, one[::5]]))
+    rows = lambda name, prints, buckets: spark.createDataFrame([(b, name, bytearray(prints[part].tobytes())) for b, part in bucket_cells(prints, buckets)], "bucket int, batch string, data binary")
+    got = []
+    for first in (2, 8):
+        index = substring.FingerprintIndex()
+        index.ingest(rows("f1", one, first), 50, first)
+        hits = {}
+        for r in index.ingest(rows("f2", two, 8), 50, 8).collect():
+            hits.setdefault(r["batch"], []).extend(np.frombuffer(bytes(r["data"]), np.uint64).tolist())
+        held = sorted((r["bucket"], bytes(r["data"])) for r in index.runs[0].rows.collect())
+        got.append(({k: sorted(v) for k, v in hits.items()}, held))
+    assert got[0] == got[1] and sorted(got[0][0]) == ["f1", "f2"] and len(got[0][1]) == 8
 
 
 def test_scores(spark, monkeypatch, tmp_path):
@@ -271,23 +308,31 @@ def test_language_id_with_nothing_to_learn(spark):
     assert langid.identify(frame.limit(0), langid.train(frame.limit(0))).count() == 0
 
 
-@pytest.mark.parametrize("max_runs", [1, 3])
-def test_substring_index_across_sessions(spark, tmp_path, max_runs):
-    """Batches that are ingested by an index opened anew each time give what one run over all gives, whichever batch has the smaller ids."""
+@pytest.mark.parametrize("growth", [0, 2, 1_000])
+def test_substring_index_across_sessions(spark, tmp_path, growth):
+    """Batches that are ingested by an index opened anew each time give what one run over all gives, whichever batch has the smaller ids and however small the first one is."""
     docs = [(i * 7 % 83, t) for i, t in enumerate(_texts(21, 80))] + [(None, LONG[:3000]), (500, LONG[:3000]), (501, None)]
     frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
     path = f"file://{tmp_path}/index"
     assert substring.SubstringIndex(spark, path).deduplicated().count() == 0
-    for part in (docs[:30], [], docs[30:60], docs[60:]):
-        substring.SubstringIndex(spark, path, max_runs=max_runs).ingest(frame(part))
+    parts = (docs[:2], [], docs[2:60], docs[60:])
+    for part in parts:
+        substring.SubstringIndex(spark, path, growth=growth).ingest(frame(part))
     index = substring.SubstringIndex(spark, path)
-    got = sorted(map(tuple, index.deduplicated().collect()), key=repr)
-    assert got == sorted(_plain_substring(docs), key=repr) and sum(r[2] for r in got) > 100
-    assert len(index._of("run")) <= max_runs
+    got, want = sorted(map(tuple, index.deduplicated().collect()), key=repr), sorted(_plain_substring(docs), key=repr)
+    assert got == want and sum(r[2] for r in got) > 100
+    assert len(index.runs) == {0: 3, 2: 2 if index.runs[-1]["size"] * 2 < index.runs[0]["size"] else 1, 1_000: 1}[growth]
+    names = [sorted(repr(r) for r in index.deduplicated(k).collect()) for k in range(4)]
+    assert sorted(x for own in names for x in own) == sorted(repr(r) for r in index.deduplicated().collect())
+    assert [len(x) for x in names] == [len(p) for p in parts] and names[-1] == sorted(repr(r) for r in index.deduplicated(-1).collect())
     broken = frame([(1, "a " * 40)]).select("doc_id", F.raise_error(F.lit("stop")).alias("text"))
     with pytest.raises(Exception, match="stop"):
         index.ingest(broken)
     assert sorted(map(tuple, substring.SubstringIndex(spark, path).deduplicated().collect()), key=repr) == got
+    late = substring.SubstringIndex(spark, path)
+    substring.SubstringIndex(spark, path).ingest(frame([(9_000, "z")]))
+    with pytest.raises(ConcurrentWrite):
+        late.ingest(frame([(9_001, "z")]))
 
 
 CONTENT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
