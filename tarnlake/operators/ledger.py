@@ -64,8 +64,3 @@ def latest_layer(assignments: DataFrame, rank: int | None = None) -> DataFrame:
     top = assignments.agg(F.max("layer").alias("layer"))
     rows = assignments.join(F.broadcast(top), "layer", "left_semi")
     return rows if rank is None else rows.where(F.col("rank") == rank)
-
-
-def group_indices(batches: DataFrame) -> DataFrame:
-    """Half-open range of batch numbers of each server."""
-    return batches.groupBy("server_name").agg(F.min("partition_id").alias("start_index"), (F.max("partition_id") + 1).alias("stop_index"))

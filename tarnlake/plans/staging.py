@@ -25,3 +25,9 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_shared(spark: SparkSession) -> None:
+    """Delete what this application staged. For callers whose results are written, as results are lazy."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

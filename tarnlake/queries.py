@@ -413,11 +413,24 @@ def schedule_groups(spark, sf_dir):
     return scheduling.create_schedule(servers, 20).select("schedule_id", "server_name", "nodes", "total_batches")
 
 
-@query()
+_TO16 = "CASE WHEN p.h <= 16 AND p.w <= 16 THEN p.h WHEN p.h > p.w THEN 16 ELSE CAST(trunc(p.h * (16 / p.w)) AS BIGINT) END AS nh, CASE WHEN p.h <= 16 AND p.w <= 16 THEN p.w WHEN p.h > p.w THEN CAST(trunc(p.w * (16 / p.h)) AS BIGINT) ELSE 16 END AS nw"
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, CAST(p_size AS BIGINT) AS h, p_partkey % 40 + 1 AS w, sha256(CAST(p_partkey AS VARCHAR)) AS s FROM part),
+t AS (SELECT *, rpad('', CAST(h * w * 3 AS INTEGER), s) AS px, {_TO16} FROM p),
+u AS (SELECT *, CASE WHEN nh > 0 AND nw > 0 THEN nh ELSE h END AS y1, CASE WHEN nh > 0 AND nw > 0 THEN nw ELSE w END AS x1 FROM t),
+r AS (SELECT p_partkey, h, w, y1, x1, px, y, unnest(range(y * h // y1, ((y + 1) * h + y1 - 1) // y1)) AS i FROM (SELECT *, unnest(range(0, y1)) AS y FROM u)),
+c AS (SELECT *, least((y + 1) * h, (i + 1) * y1) - greatest(y * h, i * y1) AS wy, unnest(range(x * w // x1, ((x + 1) * w + x1 - 1) // x1)) AS j FROM (SELECT *, unnest(range(0, x1)) AS x FROM r)),
+d AS (SELECT *, least((x + 1) * w, (j + 1) * x1) - greatest(x * w, j * x1) AS wx, unnest([0, 1, 2]) AS k FROM c),
+m AS (SELECT p_partkey, y, x, k, (2 * sum(wy * wx * ascii(px[(i * w + j) * 3 + k + 1])) + any_value(h * w)) // (2 * any_value(h * w)) AS v FROM d GROUP BY ALL),
+b AS (SELECT p_partkey, string_agg(chr(CAST(v AS INTEGER)), '' ORDER BY y, x, k) AS px FROM m GROUP BY 1)
+SELECT u.p_partkey, [y1, x1] AS resized_size, md5(b.px) AS hashsum_resized FROM u JOIN b ON b.p_partkey = u.p_partkey
+""")
 def image_resize(spark, sf_dir):
-    """Part rows as small synthetic pixel blocks, scaled to 16: no SQL; unit tests hold the arithmetic."""
-    p = _table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("long").alias("h"), (F.col("p_partkey") % 40 + 1).alias("w"))
-    pixels = F.encode(F.rpad(F.lit("abc"), (F.col("h") * F.col("w") * 3).cast("int"), F.lit("abc")), "UTF-8")
+    """Part rows as blocks of pixels made of a digest of their key, scaled to 16."""
+    p = _table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("long").alias("h"), (F.col("p_partkey") % 40 + 1).alias("w"), F.sha2(F.col("p_partkey").cast("string").cast("binary"), 256).alias("s"))
+    pixels = F.encode(F.rpad(F.lit(""), (F.col("h") * F.col("w") * 3).cast("int"), F.col("s")), "UTF-8")
     rows = p.select("p_partkey", F.array("h", "w").alias("resized_size"), pixels.alias("image"), F.md5(pixels).alias("hashsum_resized"))
     return imaging.resize_stored(rows, 16).select("p_partkey", "resized_size", "hashsum_resized")
 
