@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.plans.staging import shared_dir
+from tarnlake.plans.staging import clean_shared, shared_dir
 from tarnlake.plans.staging import staged as stage
 
-__all__ = ["shared_dir", "stage"]
+__all__ = ["clean_shared", "shared_dir", "stage"]
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -25,12 +25,6 @@ _ROLL = np.uint64(0xD6E8FEB86659FD93)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def clean_shared(spark: SparkSession) -> None:
-    """Delete what this application staged. For callers whose results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def row_key(*cols: str | Column) -> Column:
     """128-bit key of a row's content. Equal rows share it; null and empty differ."""
     cells = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string") if isinstance(c, str) else c.cast("string")), F.lit("n")) for c in cols]

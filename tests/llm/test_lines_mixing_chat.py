@@ -1,5 +1,6 @@
 """Line dedup, mixing and preference formatting against plain Python."""
 
+import math
 import random
 
 import pytest
@@ -93,6 +94,28 @@ def test_mix_equals_simulation(spark):
     assert all(r["mix_index"] // 8 == r["mix_slot"] for r in got)
 
 
+def test_default_mix_equals_simulation(spark):
+    """The query's own path, against one slot after another: of the blocks whose window is open, that which must be placed first."""
+    from fractions import Fraction
+
+    counts = {"a": 700, "b": 90, "c": 211, "": 5}
+    rows = [(i * 10 + k, s or None, f"t{i}") for k, (s, n) in enumerate(counts.items()) for i in range(n)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5), block_rows=8).collect()
+    weights = {s: Fraction(n**0.5) for s, n in counts.items()}
+    share = {s: w / sum(weights.values()) for s, w in weights.items()}
+    blocks, done, want, t = {s: -(-n // 8) for s, n in counts.items()}, dict.fromkeys(counts, 0), {}, 0
+    while any(done[s] < blocks[s] for s in counts):
+        open_ = [(math.ceil((done[s] + 1) / share[s]), s) for s in counts if done[s] < blocks[s] and math.floor(done[s] / share[s]) <= t]
+        if open_:
+            deadline, s = min(open_)
+            assert t < deadline
+            want[s, done[s]] = t
+            done[s] += 1
+        t += 1
+    assert {(r["source"] or "", r["mix_block"]): r["mix_slot"] for r in got} == want
+    assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows) and len({r["mix_index"] for r in got}) == len(rows)
+
+
 @given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.floats(1e-6, 1e6), min_size=1, max_size=12))
 def test_exact_deviation(weights):
     """Against the weights themselves, while no source has ended; every block once and in order."""
@@ -183,3 +206,12 @@ def test_tokenized_masks(spark):
         assert tokenizer.decode(ids, skip_special_tokens=False) == r["prompt"] + r[side]
         assert tokenizer.decode([x for x in labels if x != chat.IGNORED], skip_special_tokens=False) == f"{last}<|im_end|>\n"
         assert all(b in (a, chat.IGNORED) for a, b in zip(ids, labels, strict=True))
+
+
+def test_tokenizing_nothing_and_nulls(spark):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    pairs = chat.format_preferences(spark.createDataFrame([(1, False, 0, None, None, "")], TURNS))
+    assert chat.tokenize_preferences(pairs.where("pair_id = 2"), path).count() == 0
+    r = chat.tokenize_preferences(pairs.selectExpr("* except (prompt)", "cast(null as string) as prompt"), path).first()
+    assert r["rejected_ids"] == [] == r["rejected_labels"] and r["chosen_ids"] and set(r["chosen_labels"]) == {chat.IGNORED}

@@ -302,6 +302,44 @@ def test_language_id_depends_on_text_alone(spark):
     assert np.allclose(together, alone, atol=1e-5) and np.allclose(together.sum(axis=1), 1, atol=1e-4)
 
 
+def _plain_language(model, text):
+    """Both recurrences byte by byte, in plain numbers: the mean of all positions' probabilities."""
+    n, w, raw = model.hidden, {k: v.astype(float).tolist() for k, v in model.weights.items()}, text.encode()
+    soft = lambda x: x / (1 + abs(x))
+
+    def states(d, row):
+        h, out = [0.0] * n, []
+        for byte in row:
+            a = [w[f"x{d}"][k][byte] for k in range(3 * n)]
+            u = [sum(w[f"h{d}"][k][j] * h[j] for j in range(n)) for k in range(3 * n)]
+            gate = [0.5 + 0.5 * soft(a[k] + u[k]) for k in range(2 * n)]
+            new = [soft(a[2 * n + k] + gate[k] * u[2 * n + k]) for k in range(n)]
+            h = [new[k] + gate[n + k] * (h[k] - new[k]) for k in range(n)]
+            out.append(h)
+        return out
+
+    total = [0.0] * len(model.languages)
+    for start in range(0, len(raw), langid.SEGMENT):
+        stop = min(start + langid.SEGMENT, len(raw))
+        begin = max(0, stop - langid.SEGMENT)
+        row = list(raw[begin:stop]) + [0] * (langid.SEGMENT - (stop - begin))
+        forward, backward = states("f", row), states("b", row[::-1])[::-1]
+        for t in range(start - begin, stop - begin):
+            both = forward[t] + backward[t]
+            logits = [sum(a * b for a, b in zip(w["o"][k], both, strict=True)) + w["b"][k][0] for k in range(len(total))]
+            top = [math.exp(x - max(logits)) for x in logits]
+            total = [x + y / sum(top) for x, y in zip(total, top, strict=True)]
+    return [x / len(raw) for x in total]
+
+
+def test_language_probabilities_byte_by_byte(spark):
+    model = langid.train(spark.createDataFrame(_language_docs(), "doc_id long, text string, lang string"))
+    texts = [*[t for _, t, _ in _language_docs()[:4]], "é", "a" * 64, "bcd " * 30 + "äö"]
+    raw = [t.encode() for t in texts]
+    got = model.text_probabilities(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert np.allclose(got, [_plain_language(model, t) for t in texts], atol=1e-4)
+
+
 def test_language_id_with_nothing_to_learn(spark):
     frame = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert langid.identify(frame, langid.train(frame)).first()["lang_pred"] == "und"
@@ -335,6 +373,45 @@ def test_substring_index_across_sessions(spark, tmp_path, growth):
         late.ingest(frame([(9_001, "z")]))
 
 
+def _plain_score(model, tokens):
+    """log10 probability of one text's token ids, one token after another: class given the context, symbol given class and the symbol before, token given symbol."""
+    w, sym, d = {k: v.astype(float) for k, v in model.weights.items()}, model.symbols, lm.WIDTH
+    symbols = [int(sym.of[t]) for t in tokens]
+    total = 0.0
+    for i, token in enumerate(tokens):
+        place = i % lm.STRIDE + lm.WINDOW - lm.STRIDE  # within its window
+        base = i - place
+        context = [symbols[base + k - 1] if base + k - 1 >= 0 else sym.start for k in range(place + 1)]
+        e = [w["e"][s] + w["p"][k] for k, s in enumerate(context)]
+        qkv = [x @ w["qkv"] for x in e]
+        weight = [math.exp(min(30, max(-30, float(qkv[place][:d] @ x[d : 2 * d]) / d**0.5))) for x in qkv]
+        mixed = sum(a * x[2 * d :] for a, x in zip(weight, qkv, strict=True)) / sum(weight)
+        h = e[place] + mixed @ w["o"]
+        top = h + np.maximum(h @ w["in"] + w["bi"], 0) @ w["out"]
+        logits = np.clip(top @ w["u"] + w["bu"], -60, 60) + sym.class_table[context[place]]
+        before = symbols[i - 1] if i else sym.start
+        assert before == context[place]
+        total += logits[sym.class_of[symbols[i]]] - math.log(np.exp(logits).sum()) + sym.table[before * sym.n + symbols[i]] + sym.within[token]
+    return total / math.log(10)
+
+
+def test_scores_token_by_token():
+    """The batched score of texts of every length around a window's, against one token at a time; and it is a probability: over all next tokens it sums to one."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 90, n) for n in (1, 2, 7, 8, 23, 24, 25, 31, 32, 33, 60, 97)]
+    tokens, first = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    counts = np.bincount(tokens, minlength=100).astype(float)
+    symbols = lm.Symbols(counts, size=40, shared=3)
+    symbols.learn(symbols.pairs(tokens, first), classes=12)
+    model = lm.Attention(symbols)
+    model.fit(tokens, first, 5, 0.03)
+    got = model.score(tokens, first)
+    assert np.allclose(got, [_plain_score(model, t) for t in texts], rtol=1e-3, atol=1e-3)
+    start = texts[5][:6].tolist()
+    one = sum(10 ** (_plain_score(model, [*start, t]) - _plain_score(model, start)) for t in range(100))
+    assert abs(one - 1) < 1e-3
+
+
 CONTENT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
