@@ -125,8 +125,13 @@ class Downloader:
 
     def decode_kept(self, run_id: int) -> None:
         """Settle what was fetched before and can be decoded now."""
-        kept = self.store.read()
-        open_ = fetching.unfinished(kept.where(F.col("kind") == fetching.UNDECIDED), kept.where(F.col("kind") != fetching.UNDECIDED))
+        rows = self.store.read()
+        kept = rows.where(F.col("kind") == fetching.UNDECIDED)
+        if kept.isEmpty():
+            return
+        # Only folders of batches with such images are opened.
+        decided = rows.where(F.col("kind") != fetching.UNDECIDED).join(kept.select("server_name", "partition_id").distinct(), ["server_name", "partition_id"], "left_semi")
+        open_ = fetching.unfinished(kept, decided)
         if open_.isEmpty():
             return
         name = self.store.write(fetching.decode_kept(open_, self.config.parameter("image_size", 1024), self.codecs()), run_id)
@@ -141,8 +146,10 @@ class Downloader:
         todo.write.mode("append").parquet(self._path("assignments"))
         self.decode_kept(run_id)
         urls = tables.url_batches(self.spark, c.path("urls_folder"))
+        batches = fetching.assigned_batches(todo).select("server_name", "partition_id")
+        known = lambda: self.store.read().join(batches, ["server_name", "partition_id"], "left_semi")  # noqa: E731  folders of other batches aren't opened
         rates = fetching.newest_rates(self._table("rates", _RATES))
-        fetched = fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter, results=self.store.read(), rates=rates, codecs=self.codecs())
+        fetched = fetching.fetch(urls, todo, c.parameter("image_size", 1024), c.header, c.parameter("rate_multiplier", 0.5), c.parameter("layer_seconds", None), c.parameter("write_seconds", 0), getter, results=known(), rates=rates, codecs=self.codecs())
         counts = Observation("fetched")
         kinds = [F.count_if(F.col("kind") == k).alias(k) for k in fetching.SHOWN]
         # Images leave their task once, into the folder that readers see after the commit.
@@ -152,8 +159,8 @@ class Downloader:
         mine = self.store.read(name)
         fetching.last_rates(mine).select("server_name", "rate", F.lit(run_id).cast("long").alias("run_id")).write.mode("append").parquet(self._path("rates"))
         # The ledger row comes after the data: a crash before it only means that the next layer finds nothing left to fetch of the batch, and enters it.
-        wanted = urls.join(fetching.assigned_batches(todo).select("server_name", "partition_id"), ["server_name", "partition_id"], "left_semi")
-        done = staged(fetching.finished_batches(wanted, self.store.read()), "finished").withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
+        wanted = urls.join(batches, ["server_name", "partition_id"], "left_semi")
+        done = staged(fetching.finished_batches(wanted, known()), "finished").withColumn("status", F.lit(ledger.COMPLETED)).withColumn("run_id", F.lit(run_id).cast("long"))
         # Batches that were begun but aren't whole failed in this layer; the next goes on with them.
         begun = mine.select("server_name", "partition_id").distinct().join(done, ["server_name", "partition_id"], "left_anti")
         failed = begun.withColumn("status", F.lit(ledger.FAILED)).withColumn("run_id", F.lit(run_id).cast("long"))
