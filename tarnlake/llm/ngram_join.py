@@ -21,6 +21,8 @@ SHINGLE, PERCENT = 3, 90
 LEADERS, MORE_LEADERS = 1, 8
 #: Words of 64 bits of a set's parity map.
 MAP_WORDS = 8
+#: Names of sets that a task remembers to have sent. Others may be sent again, and are dropped later.
+SENT_NAMES = 200_000
 _PART_BYTES = 1 << 20
 
 
@@ -87,7 +89,7 @@ def _candidates(distinct: DataFrame, percent: int) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
-    """``(rid, n, h)``: the whole sets of the candidates ``chosen`` (rid, sid, n). Texts are read again; only sets that a filter of the chosen names lets pass leave their task, and once each."""
+    """``(rid, n, h)``: the whole sets of the candidates ``chosen`` (rid, sid, n). Texts are read again; only sets that a filter of the chosen names lets pass leave their task, mostly once each."""
 
     def hashes(batch):
         return np.frombuffer(b"".join(x[:8] for x in batch.column(0).to_pylist()), np.uint64)
@@ -100,6 +102,8 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
         words, sent = np.frombuffer(wanted.value, np.uint64), set()
         for batch in batches:
             names, sets = [], []
+            if len(sent) > SENT_NAMES:
+                sent.clear()
             for s in _sets(batch.column(0), shingle):
                 if len(s) and (name := _name(s)) not in sent and known(np.frombuffer(name[:8], np.uint64), words)[0]:
                     names.append(name)
