@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths staged in each open :func:`scratch`, the innermost last.
+_open: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A folder of this application in ``spark.checkpoint.dir``. Only a local session may leave that unset, and gets a folder of this machine."""
@@ -23,11 +28,41 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     """``df`` written to the shared folder and read back: a lost executor then costs a re-read and not a recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     writer = df.write.option("compression", "zstd")
+    if _open:
+        _open[-1].append(path)
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator:
+    """Deletes at its end what is staged within, but for what the function that it gives stages: ``with scratch(spark) as keep: ... out = keep(df, name)``.
+
+    What is kept belongs to the scratch around it, if there is one. Frames made within must not be used after, but for those kept.
+    """
+    inside: list[str] = []
+    _open.append(inside)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        _open.pop()
+        try:
+            return staged(df, name)
+        finally:
+            _open.append(inside)
+
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        for path in inside:
+            _delete(spark, path)
+
+
 def clean_shared(spark: SparkSession) -> None:
     """Delete what this application staged. For callers whose results are written, as results are lazy."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))

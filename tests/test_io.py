@@ -1,5 +1,7 @@
 """Sources and sinks."""
 
+from pathlib import Path
+
 import pytest
 
 from tarnlake.operators import recipes, tools
@@ -189,3 +191,25 @@ def test_duplicates_with_nulls_and_ties(spark):
     lost = tools.duplicates(df)
     assert sorted((r["uuid"], r["uuid_main"]) for r in lost.collect()) == [("a", "b"), ("c", "b")]
     assert sorted(r["uuid"] for r in tools.without(df, lost).collect()) == ["b", "d", "e", "f"]
+
+
+def test_scratch(spark):
+    """What is staged within goes at the end, also after an error, but for what is kept; that belongs to the scratch around."""
+    from urllib.parse import urlparse
+
+    from tarnlake.plans import staging
+
+    there = lambda df: [Path(urlparse(x).path).exists() for x in df.inputFiles()]
+    with staging.scratch(spark) as outer:
+        a = staging.staged(spark.range(3), "a")
+        files = {k: [Path(urlparse(x).path) for x in df.inputFiles()] for k, df in {"a": a}.items()}
+        with pytest.raises(ZeroDivisionError), staging.scratch(spark) as inner:
+            b, kept = staging.staged(a, "b"), inner(a.where("id > 0"), "kept")
+            files["b"] = [Path(urlparse(x).path) for x in b.inputFiles()]
+            raise ZeroDivisionError
+        assert all(there(a)) and all(there(kept)) and not any(x.exists() for x in files["b"])
+        out = outer(kept, "out")
+        files["kept"] = [Path(urlparse(x).path) for x in kept.inputFiles()]
+    assert not any(x.exists() for k in ("a", "kept") for x in files[k]) and sorted(r[0] for r in out.collect()) == [1, 2]
+    free = staging.staged(spark.range(1), "free")
+    assert all(there(free))
