@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Paths staged in each open :func:`scratch`, the innermost last.
-_open: list[list[str]] = []
+#: Paths staged in each open :func:`scratch` of this thread, the innermost last.
+_threads = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_threads, "open"):
+        _threads.open = []
+    return _threads.open
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,8 +35,8 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     """``df`` written to the shared folder and read back: a lost executor then costs a re-read and not a recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     writer = df.write.option("compression", "zstd")
-    if _open:
-        _open[-1].append(path)
+    if scopes := _scopes():
+        scopes[-1].append(path)
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -46,19 +53,20 @@ def scratch(spark: SparkSession) -> Iterator:
     What is kept belongs to the scratch around it, if there is one. Frames made within must not be used after, but for those kept.
     """
     inside: list[str] = []
-    _open.append(inside)
+    scopes = _scopes()
+    scopes.append(inside)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        _open.pop()
+        scopes.pop()
         try:
             return staged(df, name)
         finally:
-            _open.append(inside)
+            scopes.append(inside)
 
     try:
         yield keep
     finally:
-        _open.pop()
+        scopes.pop()
         for path in inside:
             _delete(spark, path)
 
