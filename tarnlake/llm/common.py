@@ -6,10 +6,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.plans.staging import clean_shared, shared_dir
+from tarnlake.plans.staging import clean_shared, scratch, shared_dir
 from tarnlake.plans.staging import staged as stage
 
-__all__ = ["clean_shared", "shared_dir", "stage"]
+__all__ = ["clean_shared", "scratch", "shared_dir", "stage"]
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import free_name, lower_ascii, others, row_key, stage
+from tarnlake.llm.common import free_name, lower_ascii, others, row_key, scratch, stage
 
 WINDOW = 13
 #: Rarest words of a window that must all be in place before its words are compared.
@@ -104,16 +104,17 @@ def mark_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     are gathered.
     """
     key, n_words, n_hit, ids = (free_name(docs, x) for x in ("_key", "_words", "_hit", "_ids"))
-    windows, ids_of = item_windows(items, window)
-    blocks = stage(word_blocks(docs, window, block), "word-blocks")
-    hits = stage(_occurrences(blocks, windows, window), "window-hits")
-    covered = F.filter(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("size") - 1)))), lambda i: (i >= F.col("lead")) & (i < F.col("lead") + F.col("own")))
-    by_block = hits.groupBy("key", "base", "lead", "own").agg(F.size(covered).alias("hit"))
-    named = hits.select("key", "wid").distinct().join(_sized(ids_of), "wid").select("key", "item").distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("ids"))
-    none = F.lit(None).cast("array<string>")
-    parts = blocks.where("base = 0").select("key", "n", F.lit(0).alias("hit"), none.alias("ids"))
-    parts = parts.unionByName(by_block.select("key", F.lit(0).alias("n"), "hit", none.alias("ids"))).unionByName(named.select("key", F.lit(0).alias("n"), F.lit(0).alias("hit"), "ids"))
-    found = parts.groupBy(F.col("key").alias(key)).agg(F.max("n").cast("long").alias(n_words), F.sum("hit").alias(n_hit), F.first("ids", True).alias(ids))
+    with scratch(docs.sparkSession) as keep:
+        windows, ids_of = item_windows(items, window)
+        blocks = stage(word_blocks(docs, window, block), "word-blocks")
+        hits = stage(_occurrences(blocks, windows, window), "window-hits")
+        covered = F.filter(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("size") - 1)))), lambda i: (i >= F.col("lead")) & (i < F.col("lead") + F.col("own")))
+        by_block = hits.groupBy("key", "base", "lead", "own").agg(F.size(covered).alias("hit"))
+        named = hits.select("key", "wid").distinct().join(_sized(ids_of), "wid").select("key", "item").distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("ids"))
+        none = F.lit(None).cast("array<string>")
+        parts = blocks.where("base = 0").select("key", "n", F.lit(0).alias("hit"), none.alias("ids"))
+        parts = parts.unionByName(by_block.select("key", F.lit(0).alias("n"), "hit", none.alias("ids"))).unionByName(named.select("key", F.lit(0).alias("n"), F.lit(0).alias("hit"), "ids"))
+        found = keep(parts.groupBy(F.col("key").alias(key)).agg(F.max("n").cast("long").alias(n_words), F.sum("hit").alias(n_hit), F.first("ids", True).alias(ids)), "contamination")
     out = docs.withColumn(key, row_key("doc_id", "text")).join(found, key, "left")
     words, hit, ids = F.coalesce(n_words, F.lit(0).cast("long")), F.coalesce(n_hit, F.lit(0).cast("long")), F.coalesce(ids, F.array().cast("array<string>"))
     return out.select(

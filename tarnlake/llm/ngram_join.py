@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.bitfilter import bits_for, broadcast_filter, known
-from tarnlake.llm.common import shingle_sets, stage, text_buffer, text_parts
+from tarnlake.llm.common import scratch, shingle_sets, stage, text_buffer, text_parts
 from tarnlake.llm.components import components
 
 #: Words of a shingle, and the least similarity in per cent.
@@ -223,10 +223,12 @@ def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 def similar_sets(docs: DataFrame, named: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The distinct sets ``(rid, sid, n)`` of ``named`` (sid, n, head, ...), made of the texts of ``docs``, and the links ``(a, b)`` between their rids, as in :func:`set_links`."""
-    one = named.where("sid is not null").select("sid", "n", "head").dropDuplicates(["sid"])
-    distinct = stage(one.withColumn("rid", F.monotonically_increasing_id()), "ngram-distinct")
-    chosen = stage(_candidates(distinct, percent), "ngram-candidates")
-    return distinct.select("rid", "sid", "n"), set_links(_whole_sets(docs, chosen, shingle), percent)
+    with scratch(docs.sparkSession) as keep:
+        one = named.where("sid is not null").select("sid", "n", "head").dropDuplicates(["sid"])
+        distinct = stage(one.withColumn("rid", F.monotonically_increasing_id()), "ngram-distinct")
+        chosen = stage(_candidates(distinct, percent), "ngram-candidates")
+        found = keep(set_links(_whole_sets(docs, chosen, shingle), percent), "ngram-links")
+        return keep(distinct.select("rid", "sid", "n"), "ngram-distinct"), found
 
 
 def join_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm import ngram_join
-from tarnlake.llm.common import fold_case, free_name, row_key, scan_words, shingle_sets, stage, text_buffer, text_parts
+from tarnlake.llm.common import fold_case, free_name, row_key, scan_words, scratch, shingle_sets, stage, text_buffer, text_parts
 from tarnlake.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -226,18 +226,19 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
     """
     key, n = free_name(docs, "_key"), free_name(docs, "_n")
     keyed = docs.withColumn(key, row_key("doc_id", "text"))
-    more = None
-    if percent is None:
-        prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
-    else:
-        prints = stage(_marked(keyed, key, shingle, percent), "simhash")
-        sets, similar = ngram_join.similar_sets(docs, prints, SIMILAR_SHINGLE, percent)
-        one = stage(prints.where("sid is not null").groupBy("sid").agg(F.min("fp").alias("one")), "simhash-sets")
-        of_set = sets.join(one, "sid").select("rid", "one")
-        more = similar.join(of_set.toDF("a", "fp_a"), "a").join(of_set.toDF("b", "fp_b"), "b").select("fp_a", "fp_b")
-        more = more.union(prints.join(one, "sid").where("fp <> one").select("fp", "one")).distinct()
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
-    found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius, more)
-    stay = stage(found.groupBy("label").agg(F.first("first").alias("first")).select(F.col("first.key").alias(key)), "simhash-kept")
+    with scratch(docs.sparkSession) as keep:
+        more = None
+        if percent is None:
+            prints = stage(fingerprints(keyed, ["doc_id", key], shingle), "simhash")
+        else:
+            prints = stage(_marked(keyed, key, shingle, percent), "simhash")
+            sets, similar = ngram_join.similar_sets(docs, prints, SIMILAR_SHINGLE, percent)
+            one = stage(prints.where("sid is not null").groupBy("sid").agg(F.min("fp").alias("one")), "simhash-sets")
+            of_set = sets.join(one, "sid").select("rid", "one")
+            more = similar.join(of_set.toDF("a", "fp_a"), "a").join(of_set.toDF("b", "fp_b"), "b").select("fp_a", "fp_b")
+            more = more.union(prints.join(one, "sid").where("fp <> one").select("fp", "one")).distinct()
+        order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
+        found = fingerprint_components(prints.select("fp", "doc_id", key), order, radius, more)
+        stay = keep(found.groupBy("label").agg(F.first("first").alias("first")).select(F.col("first.key").alias(key)), "simhash-kept")
     kept = keyed.join(stay, key).withColumn(n, F.row_number().over(Window.partitionBy(key).orderBy(key)))
     return kept.where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

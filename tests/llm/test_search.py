@@ -208,6 +208,19 @@ def _shingles(text, n=5):
     return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
 
 
+@pytest.mark.parametrize("edges", [[], [(5, 5)], [(1, 2), (2, 3), (9, 8), (-4, 3), (7, 8)], [(i, i + 1) for i in range(300)], [(0, i) for i in range(1, 200)], [(i * 7919 % 500, i * 104729 % 500) for i in range(400)]])
+def test_one_task_and_many_join_alike(spark, edges):
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    one, many = ({(r["v"], r["label"]) for r in simhash.components(frame, n).collect()} for n in (10**6, -1))
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+        if all(root[a] == root[b] for a, b in edges):
+            break
+    assert one == many == set(root.items())
+
+
 def _plain_similar(docs, similarity=0.8, radius=2):
     """Smallest id of each component of fingerprint links and of shingle sets at least that similar."""
     prints, sets = [_plain_print(t) for _, t in docs], [_shingles(t) for _, t in docs]
