@@ -115,11 +115,12 @@ def assigned_batches(assignments: DataFrame) -> DataFrame:
     """``(server_name, partition_id, rank, rate_limit, slots)``: each batch of the half-open ranges (server_name, partition_id_from, partition_id_to, rank, rate_limit), and over how many workers its server is spread.
 
     So URLs meet ranges by an equal key, and a server of a thousand ranges costs its URLs nothing. A batch in several ranges is the smallest rank's.
+    Batches outnumber the ranges that Spark judges sizes by, so neither this join nor one with what it returns (which callers hint, too) may be a broadcast.
     """
     slots = assignments.groupBy("server_name").agg(F.count_distinct("rank").alias("slots"))
     ids = F.explode(F.sequence("partition_id_from", F.col("partition_id_to") - 1)).alias("partition_id")
     one = assignments.where("partition_id_from < partition_id_to").select("server_name", ids, "rank", "rate_limit").groupBy("server_name", "partition_id").agg(F.min(F.struct("rank", "rate_limit")).alias("x"))
-    return one.join(slots, "server_name").select("server_name", F.col("partition_id").cast("int").alias("partition_id"), "x.rank", "x.rate_limit", "slots")
+    return one.join(slots.hint("merge"), "server_name").select("server_name", F.col("partition_id").cast("int").alias("partition_id"), "x.rank", "x.rate_limit", "slots")
 
 
 def unfinished(urls: DataFrame, results: DataFrame) -> DataFrame:
@@ -161,7 +162,7 @@ def fetch(
         items = unfinished(items, results)
     known = batches.join(rates.select("server_name", "rate"), "server_name", "left") if rates is not None else batches.withColumn("rate", F.lit(None).cast("double"))
     known = known.select("server_name", "partition_id", "rank", (F.greatest(F.coalesce("rate", "rate_limit"), F.lit(1.0)) / F.col("slots")).alias("start_rate"))
-    todo = items.join(known, ["server_name", "partition_id"])
+    todo = items.join(known.hint("merge"), ["server_name", "partition_id"])
     n = tasks or max(1, urls.sparkSession.sparkContext.defaultParallelism)
     placed = place_lines(line_loads(todo), n, "server_name", "rank")
     lines = todo.join(placed, ["server_name", "rank"]).repartitionById(n, F.col("task")).sortWithinPartitions("server_name", "rank", "partition_id", "uuid").drop("task")
