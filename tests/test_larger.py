@@ -3,6 +3,7 @@
 import duckdb
 
 from tarnlake import queries
+from tarnlake.operators import placement
 from tests.conftest import DATA
 
 
@@ -22,3 +23,12 @@ def _as_sql(spark, folder, name, **tables):
 def test_batches_are_not_broadcast(spark):
     plan = queries.assigned_urls(spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_every_line_is_placed_by_itself(spark):
+    """However many lines there are, and however few or many loads: as the plain greedy places them."""
+    for loads in (7, 20_000):
+        rows = [(str(i), i % 3, i * 7919 % loads) for i in range(25_000)] + [("heavy", 0, 900_000)]
+        frame = spark.createDataFrame(rows, "server_name string, rank int, load long")
+        got = {(r["server_name"], r["rank"]): r["task"] for r in placement.place_lines(frame, 16, "server_name", "rank").collect()}
+        assert got == {(n, r): t for t, n, r in placement.longest_first([(x, n, r) for n, r, x in rows], 16)}
