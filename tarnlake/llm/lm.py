@@ -1,7 +1,7 @@
 """Language-model scoring: a causal self-attention model over subword ids, beside an exact word unigram.
 
 The model learns from every training row. Subword counts and counts of neighbouring subwords cover the whole training corpus and are its starting point; the attention network, which corrects
-them by what stands before, is trained on windows of every file of texts, in rounds of local steps whose weights are averaged.
+them by what stands before, is trained on every window of every file of texts, in rounds of local steps whose weights are averaged.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ WINDOW, STRIDE = 32, 24
 WIDTH, INNER, CLASSES, SYMBOLS, SHARED = 16, 32, 64, 2048, 4
 #: Weight, in tokens, of what a symbol or class says of the next token without regard to the one before.
 PRIOR = 5.0
-#: Files and steps that the first round takes. Each later round takes STEPS steps of BATCH windows, evenly spaced, in every file, at these rates.
+#: Files and steps that the first round takes, only to start from. The rounds after it, one at each of these rates, share out all windows of every file, in steps of BATCH windows; small files make STEPS steps a round.
 WARM_FILES, WARM_STEPS, WARM_RATE = 4, 300, 0.04
 STEPS, BATCH, RATES = 40, 64, (0.03, 0.02, 0.012, 0.006)
 _LANES = 1024
@@ -129,6 +129,7 @@ class Attention:
         self.symbols = symbols
         draw = lambda *shape, s=0.3: (rng.standard_normal(shape) * s).astype(np.float32)
         self.weights = {"e": draw(symbols.n + 1, d, s=0.5), "p": draw(WINDOW, d, s=0.1), "qkv": draw(d, 3 * d), "o": draw(d, d), "in": draw(d, INNER), "bi": np.zeros(INNER, np.float32), "out": draw(INNER, d), "u": draw(d, symbols.classes, s=0.05), "bu": np.zeros(symbols.classes, np.float32)}
+        self.ones = np.ones(max(WINDOW, symbols.classes), np.float32)
         self.mask = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW)[:, None], 0, -1e9).astype(np.float32)
 
     def flat(self) -> np.ndarray:
@@ -143,7 +144,8 @@ class Attention:
     def _forward(self, x: np.ndarray, skip: int) -> tuple:
         """x: symbols (lanes, window). Logits of the class after each position from ``skip`` on, and what backpropagation needs."""
         w, d, n = self.weights, WIDTH, len(x)
-        e = w["e"][x] + w["p"]
+        e = w["e"].take(x, axis=0)
+        e += w["p"]
         qkv = (e.reshape(-1, d) @ w["qkv"]).reshape(n, WINDOW, 3 * d)
         q, k, v = qkv[:, skip:, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
         a = np.matmul(q, k.transpose(0, 2, 1))
@@ -151,7 +153,7 @@ class Attention:
         np.clip(a, -30, 30, out=a)
         a += self.mask[skip:]
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
+        a /= (a @ self.ones[:WINDOW])[:, :, None]
         mixed = np.matmul(a, v)
         h = e[:, skip:] + (mixed.reshape(-1, d) @ w["o"]).reshape(n, -1, d)
         inner = np.maximum(h.reshape(-1, d) @ w["in"] + w["bi"], 0)
@@ -159,16 +161,15 @@ class Attention:
         logits = top @ w["u"]
         logits += w["bu"]
         np.clip(logits, -60, 60, out=logits)
-        logits += self.symbols.class_table[x[:, skip:].ravel()]
+        logits += self.symbols.class_table.take(x[:, skip:].ravel(), axis=0)
         return logits, (e, q, k, v, a, mixed, h, inner, top)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss on windows of symbols and the classes that follow, where ``live``, and its gradients."""
         w, d, n = self.weights, WIDTH, len(x)
         p, (e, q, k, v, a, mixed, h, inner, top) = self._forward(x, 0)
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
+        np.exp(p, out=p)  # logits are from -110 to 60
+        p /= (p @ self.ones[: p.shape[1]])[:, None]
         rows, weight = np.arange(len(p)), (live.ravel() / max(1, live.sum())).astype(np.float32)
         loss = float(-(np.log(np.maximum(p[rows, y.ravel()], 1e-9)) * weight).sum())
         p[rows, y.ravel()] -= 1
@@ -183,23 +184,23 @@ class Attention:
         g["o"] = mixed.reshape(-1, d).T @ dh
         dm = (dh @ w["o"].T).reshape(n, WINDOW, d)
         da = np.matmul(dm, v.transpose(0, 2, 1))
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * d**-0.5
+        ds = a * (da - np.einsum("nij,nij->ni", da, a)[:, :, None]) * d**-0.5
         dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dm)], axis=2).reshape(-1, 3 * d)
         g["qkv"] = e.reshape(-1, d).T @ dqkv
         de = dh.reshape(n, WINDOW, d) + (dqkv @ w["qkv"].T).reshape(n, WINDOW, d)
         g["p"], g["e"] = de.sum(axis=0), np.zeros_like(w["e"])
-        order = np.argsort(x.ravel(), kind="stable")
+        order = np.argsort(x.ravel().astype(np.int16), kind="stable")
         seen = x.ravel()[order]
         heads = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
         g["e"][seen[heads]] = np.add.reduceat(de.reshape(-1, d)[order], heads, axis=0)
         return loss, g
 
-    def _windows(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every window: the place of its first scored token, the start and the end of its text."""
+    def _windows(self, first: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every window: the place of its first scored token, the start and the end of its text. At a stride of WINDOW, each token is in one window."""
         size = np.diff(first)
-        parts = -(-size // STRIDE)
+        parts = -(-(size + stride - STRIDE) // stride)
         text = np.repeat(np.arange(len(size)), parts)
-        begin = first[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * STRIDE
+        begin = first[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * stride
         return begin, first[:-1][text], first[1:][text]
 
     def _inputs(self, symbols: np.ndarray, begin: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -209,14 +210,25 @@ class Attention:
 
     def fit(self, tokens: np.ndarray, first: np.ndarray, steps: int, rate: float, part: int = 0, moments: dict | None = None) -> dict:
         """Adam steps on windows of the texts that ``first`` cuts ``tokens`` into. The windows are evenly spaced; ``part`` moves them on by as many places. Returns the moments."""
+        windows = self._windows(first)
+        n = len(windows[0])
+        return self._steps(tokens, windows, (np.arange(steps * BATCH) * max(1, n // (steps * BATCH)) + part) % n, rate, part, moments)
+
+    def fit_share(self, tokens: np.ndarray, first: np.ndarray, rate: float, part: int, moments: dict | None = None) -> dict:
+        """Adam steps on every window whose number modulo the number of rounds is ``part``; others follow where that makes fewer than STEPS steps. So all rounds together take every token."""
+        windows, rounds = self._windows(first, WINDOW), len(RATES)
+        n = len(windows[0])
+        order = np.concatenate([np.arange((part + i) % rounds, n, rounds) for i in range(rounds)])
+        return self._steps(tokens, windows, np.resize(order, max(len(range(part % rounds, n, rounds)), STEPS * BATCH)), rate, part, moments)
+
+    def _steps(self, tokens: np.ndarray, windows: tuple, spots: np.ndarray, rate: float, part: int, moments: dict | None) -> dict:
         moments = {} if moments is None else moments
-        begin, start, stop = self._windows(first)
+        begin, start, stop = windows
         symbols = self.symbols.of[tokens]
         classes = self.symbols.class_of[symbols]
-        spots = (np.arange(steps * BATCH) * max(1, len(begin) // (steps * BATCH)) + part) % len(begin)
         spots = np.random.default_rng(part).permutation(spots)
-        for step in range(steps):
-            some = spots[step * BATCH : (step + 1) * BATCH]
+        for i in range(0, len(spots), BATCH):
+            some = spots[i : i + BATCH]
             at = begin[some, None] - (WINDOW - STRIDE) + np.arange(WINDOW)
             live = (at >= start[some, None]) & (at < stop[some, None])
             _, grads = self.gradients(self._inputs(symbols, begin[some], start[some]), classes[np.clip(at, 0, len(tokens) - 1)], live)
@@ -242,7 +254,7 @@ class Attention:
             at = at[live]
             own = logits[live, classes[at]]
             np.exp(logits, out=logits)
-            value[at] += own - np.log(logits.sum(axis=1)[live])
+            value[at] += own - np.log((logits @ self.ones[: logits.shape[1]])[live])
         return np.add.reduceat(value, first[:-1]) / _LN10
 
 
@@ -261,8 +273,8 @@ class _Words:
         self.data = fold_case(batch.data)
         self.starts, self.ends, self.first = scan_words(self.data, batch.offsets)
         self.distinct, self.example, self.which = np.unique(word_hashes(self.data, self.starts, self.ends), return_index=True, return_inverse=True)
-        training = np.array([_is_training(x) for x in batch.ids], bool)
-        self.training = np.repeat(training, np.diff(self.first))
+        self.learned = np.array([_is_training(x) for x in batch.ids], bool)
+        self.training = np.repeat(self.learned, np.diff(self.first))
 
     def texts(self) -> list[str]:
         text = self.data.tobytes()
@@ -282,32 +294,36 @@ def _tokens(words: _Words, ids: np.ndarray, size: np.ndarray, end: int) -> tuple
     return out, first
 
 
-def _keep_tokens(batch: TextBatch, tokens: np.ndarray, first: np.ndarray) -> None:
-    """Put the token ids of a file's texts beside it. A repeated task writes the same bytes."""
+def _keep(batch: TextBatch, kind: str, *arrays: np.ndarray) -> None:
+    """Put arrays of small numbers beside a file. A repeated task writes the same bytes."""
     import pyarrow as pa
 
-    data = np.concatenate([np.diff(first).astype("<u4").view(np.uint8), tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()])
-    with batch.store.open_output_stream(f"{batch.path}.ids") as out:
-        out.write(len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data.tobytes(), asbytes=True))
+    data = np.array([len(arrays), *map(len, arrays)], "<u4").tobytes() + b"".join(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in arrays)
+    with batch.store.open_output_stream(f"{batch.path}.{kind}") as out:
+        out.write(len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True))
 
 
-def _kept_tokens(batch: TextBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after another, and where each text begins (one more than texts)."""
+def _kept(folder: str, name: str, kind: str) -> list[np.ndarray]:
+    """What :func:`_keep` put beside a file, which isn't opened itself."""
     import pyarrow as pa
+    from pyarrow import fs
 
-    with batch.store.open_input_stream(f"{batch.path}.ids") as source:
+    store, root = fs.FileSystem.from_uri(folder)
+    with store.open_input_stream(f"{root}/{name}.{kind}") as source:
         data = source.read()
     data = np.frombuffer(pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True), np.uint8)
-    n = 4 * len(batch.ids)
-    return np.ascontiguousarray(data[n:].reshape(4, -1).T).view("<u4").ravel().astype(np.int64), np.concatenate([[0], np.cumsum(data[:n].view("<u4").astype(np.int64))])
+    sizes = data[4 : 4 + 4 * int(data[:4].view("<u4")[0])].view("<u4").astype(np.int64)
+    edge = 4 + 4 * len(sizes) + np.concatenate([[0], np.cumsum(4 * sizes)])
+    return [np.ascontiguousarray(data[i:j].reshape(4, -1).T).view("<u4").ravel().astype(np.int64) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
 
 
-def _training_texts(batch: TextBatch) -> tuple[np.ndarray, np.ndarray]:
-    """As :func:`_kept_tokens`, without texts that are held out."""
-    tokens, first = _kept_tokens(batch)
-    some = np.array([_is_training(x) for x in batch.ids], bool)
-    size = np.diff(first)
-    return tokens[np.repeat(some, size)], np.concatenate([[0], np.cumsum(size[some])])
+def _kept_tokens(folder: str, name: str, training: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a file one after another, and where each text begins (one more than texts); with ``training``, without texts that are held out."""
+    tokens, size, learned = _kept(folder, name, "ids")
+    if training:
+        some = learned > 0
+        tokens, size = tokens[np.repeat(some, size)], size[some]
+    return tokens, np.concatenate([[0], np.cumsum(size)])
 
 
 _SUM = "data binary"
@@ -349,8 +365,8 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
     sums log10((c + 0.5) / (N + 0.5 (V + 1))) over a text's tokens, with counts over all training rows; ``score`` is the attention model's log10 probability
     of the text's subword ids and end. Null, empty and blank texts are the end token alone. Repeated rows get equal results, and each counts.
 
-    Counts of words, subwords and pairs of subwords are over all training rows. The network starts from WARM_FILES files and then trains on windows of every file: each round, tasks take the same weights,
-    make STEPS steps a file, and the weights they end with are averaged. What the driver gets is a few arrays of fixed size a round.
+    Counts of words, subwords and pairs of subwords are over all training rows. The network starts from WARM_FILES files and then trains on every window of every file, a share of them each round: tasks take the same
+    weights, make their steps file by file, and the weights they end with are averaged. What the driver gets is a few arrays of fixed size a round.
     """
     spark = docs.sparkSession
     folder, manifest = write_batches(docs)
@@ -368,10 +384,12 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
                 batch = TextBatch(folder, name)
                 words = _Words(batch)
                 ids, size = tokenizer.words(words.texts())
-                _keep_tokens(batch, *_tokens(words, ids, size, end))
+                tokens, first = _tokens(words, ids, size, end)
+                _keep(batch, "ids", tokens, np.diff(first), words.learned)
+                _keep(batch, "words", words.which, np.diff(words.first))
                 count = np.bincount(words.which[words.training], minlength=len(words.distinct)).astype(np.int64)
                 subwords += np.bincount(ids, np.repeat(count, size), end + 1)
-                subwords[end] += sum(map(_is_training, batch.ids))
+                subwords[end] += words.learned.sum()
                 out = [("words", b, name, words.distinct[p].tobytes(), to_planes(count[p])) for b, p in bucket_cells(words.distinct, buckets)]
                 yield pd.DataFrame(out, columns=["kind", "bucket", "batch", "data", "counts"])
         yield _packed_sum(subwords).assign(kind="subwords", bucket=-1, batch=None, counts=None)[["kind", "bucket", "batch", "data", "counts"]]
@@ -400,7 +418,7 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
         total = np.zeros((sent.value.n + 1) * sent.value.n)
         for rows in batches:
             for name in rows["batch"]:
-                tokens, first = _training_texts(TextBatch(folder, name))
+                tokens, first = _kept_tokens(folder, name, training=True)
                 if len(first) > 1:
                     total += sent.value.pairs(tokens, first)
         yield _packed_sum(total)
@@ -408,7 +426,7 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
     model = Attention(symbols.learn(_tree_sum(files.mapInPandas(pairs, _SUM), (symbols.n + 1) * symbols.n, tasks)))
     shared = spark.sparkContext.broadcast(model)
 
-    def trained(weights, steps: int, rate: float, part: int):
+    def trained(weights, rate: float, part: int):
         """Weights after a task's files, times their tokens; the tokens come last."""
 
         def run(batches):
@@ -416,9 +434,9 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
             model.set_flat(weights.value)
             for rows in batches:
                 for name in rows["batch"]:
-                    tokens, first = _training_texts(TextBatch(folder, name))
+                    tokens, first = _kept_tokens(folder, name, training=True)
                     if len(first) > 1:
-                        moments = model.fit(tokens, first, steps, rate, part, moments)
+                        moments = model.fit_share(tokens, first, rate, part, moments) if part else model.fit(tokens, first, WARM_STEPS, rate, part, moments)
                         weight += len(tokens)
             if weight:
                 yield _packed_sum(np.append(model.flat().astype(np.float64) * weight, weight))
@@ -426,9 +444,9 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
         return run
 
     warm = manifest.select("batch").orderBy("batch").limit(WARM_FILES).repartition(1)
-    for part, (some, tasks_, steps, rate) in enumerate([(warm, 1, WARM_STEPS, WARM_RATE), *[(files, tasks, STEPS, rate) for rate in RATES]]):
+    for part, (some, tasks_, rate) in enumerate([(warm, 1, WARM_RATE), *[(files, tasks, rate) for rate in RATES]]):
         weights = spark.sparkContext.broadcast(model.flat())
-        total = _tree_sum(some.mapInPandas(trained(weights, steps, rate, part), _SUM), model.flat().size + 1, tasks_)
+        total = _tree_sum(some.mapInPandas(trained(weights, rate, part), _SUM), model.flat().size + 1, tasks_)
         if total[-1]:
             model.set_flat(total[:-1] / total[-1])
     final = spark.sparkContext.broadcast(model.flat())
@@ -440,14 +458,14 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
         got = dict(answers[["bucket", "data"]].itertuples(index=False))
         for name in files["batch"]:
             batch = TextBatch(folder, name)
-            words = _Words(batch)
+            which, n_words = _kept(folder, name, "words")
             c = np.concatenate([from_planes(got[b]) for b in sorted(got)]) if got else np.zeros(0, np.uint64)
             c = c.astype(np.float64)
             scale = n + 0.5 * (v + 1)
-            doc = np.repeat(np.arange(len(batch.ids)), np.diff(words.first))
-            base = np.bincount(doc, np.log10((c + 0.5) / scale)[words.which], len(batch.ids)) + np.log10((ends + 0.5) / scale)
-            known = np.bincount(doc, (c > 0)[words.which], len(batch.ids)) + (ends > 0)
-            out.append(pd.DataFrame({"doc_id": pd.array(batch.ids, "Int64"), "n_tokens": np.diff(words.first) + 1, "n_known": known.astype(np.int64), "train_tokens": n, "base_score": base, "score": model.score(*_kept_tokens(batch))}))
+            doc = np.repeat(np.arange(len(batch.ids)), n_words)
+            base = np.bincount(doc, np.log10((c + 0.5) / scale)[which], len(batch.ids)) + np.log10((ends + 0.5) / scale)
+            known = np.bincount(doc, (c > 0)[which], len(batch.ids)) + (ends > 0)
+            out.append(pd.DataFrame({"doc_id": pd.array(batch.ids, "Int64"), "n_tokens": n_words + 1, "n_known": known.astype(np.int64), "train_tokens": n, "base_score": base, "score": model.score(*_kept_tokens(folder, name))}))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     # A task opens about two files, however few bytes the answers are.

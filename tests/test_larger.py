@@ -1,8 +1,10 @@
 """What shows on larger tables than the test tables, in small: plans that must not hold a table, and keys and counts beyond those of sf0.1."""
 
 import duckdb
+import numpy as np
 
 from tarnlake import queries
+from tarnlake.llm import lm
 from tarnlake.operators import placement
 from tests.conftest import DATA
 
@@ -37,3 +39,15 @@ def test_every_line_is_placed_by_itself(spark):
 def test_keys_of_five_digits(spark, tmp_path):
     got = _as_sql(spark, tmp_path, "padded_ids", supplier="SELECT CAST(x AS BIGINT) AS s_suppkey, CAST(3 AS INTEGER) AS s_nationkey FROM (VALUES (7), (9999), (12345), (123456), (-5), (NULL)) t(x) WHERE x IS NOT NULL")
     assert (12345, "1234", "k_3") in got
+
+
+def test_every_token_of_a_large_file_is_trained_on():
+    """The rounds share out a file's windows: each token is in one of them."""
+    first = np.concatenate([[0], np.cumsum(np.random.default_rng(1).integers(1, 400, 2_000))])
+    tokens = np.random.default_rng(0).integers(0, 40, first[-1])
+    symbols = lm.Symbols(np.bincount(tokens, minlength=40), size=20, shared=2)
+    model, seen = lm.Attention(symbols.learn(symbols.pairs(tokens, first), classes=6)), []
+    model.gradients = lambda x, y, live: (seen.append(live.sum()), {})
+    for part in range(1, 1 + len(lm.RATES)):
+        model.fit_share(tokens, first, 0.01, part)
+    assert len(tokens) > lm.WINDOW * len(lm.RATES) * lm.STEPS * lm.BATCH and sum(seen) == len(tokens)
