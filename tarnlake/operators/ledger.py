@@ -10,9 +10,13 @@ COMPLETED, FAILED = "Completed", "Failed"
 
 
 def latest_status(ledger: DataFrame) -> DataFrame:
-    """``(server_name, partition_id, status)`` of the last run of each batch; of two statuses in one run, Completed."""
+    """``(server_name, partition_id, status)`` of the last run of each batch; of two statuses in one run, Completed.
+
+    Most batches have one row, so rows are dealt by batch first: nothing is sorted before that, and tasks stay as many as shuffle partitions are set.
+    """
+    tasks = int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = F.max_by("status", F.struct("run_id", (F.col("status") == COMPLETED).alias("done")))
-    return ledger.groupBy("server_name", "partition_id").agg(last.alias("status"))
+    return ledger.repartition(tasks, "server_name", "partition_id").groupBy("server_name", "partition_id").agg(last.alias("status"))
 
 
 def done_batches(status: DataFrame, failed_counts: bool = False) -> DataFrame:
@@ -44,7 +48,9 @@ def incomplete_servers(config: DataFrame, status: DataFrame, profiles: DataFrame
 def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of one ledger view that the other lacks, counted with repeats; none if nothing moved."""
     cols = before.columns
-    return before.exceptAll(after.select(cols)).withColumn("side", F.lit("before")).union(after.select(cols).exceptAll(before).withColumn("side", F.lit("after")))
+    both = before.withColumn("_n", F.lit(1)).union(after.select(cols).withColumn("_n", F.lit(-1)))
+    more = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0").withColumn("side", F.when(F.col("_n") > 0, "before").otherwise("after"))
+    return more.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n")))).drop("_n")
 
 
 def with_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 
 from tarnlake import queries
 from tarnlake.llm import lm
-from tarnlake.operators import placement
+from tarnlake.operators import ledger, placement
 from tests.conftest import DATA
 
 
@@ -51,3 +51,12 @@ def test_every_token_of_a_large_file_is_trained_on():
     for part in range(1, 1 + len(lm.RATES)):
         model.fit_share(tokens, first, 0.01, part)
     assert len(tokens) > lm.WINDOW * len(lm.RATES) * lm.STEPS * lm.BATCH and sum(seen) == len(tokens)
+
+
+def test_ledger_rows_are_dealt_before_they_are_sorted(spark):
+    """No task sorts what it read, and two views are compared in one pass."""
+    plan = queries.ledger_unchanged(spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" not in plan and "REPARTITION_BY_NUM" in plan and plan.count("max_by(") <= 2
+    rows = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "a int, b string")
+    more = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (2, "x")], "a int, b string")
+    assert sorted(map(tuple, ledger.changes(rows, more).collect()), key=repr) == [(1, None, "before"), (2, "x", "after"), (2, "x", "after"), (3, "y", "before")]
