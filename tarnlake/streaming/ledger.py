@@ -18,9 +18,9 @@ def ledger_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000
 
 
 def _latest(rows: DataFrame) -> DataFrame:
-    """One row per batch: that of the last run; of two in one run, Completed."""
+    """One row per batch: that of the last run; of two in one run, Completed. A part of the table is a task's, and one file."""
     last = F.max(F.struct("run_id", (F.col("status") == COMPLETED).alias("done"), "status")).alias("x")
-    return rows.groupBy("bucket", "server_name", "partition_id").agg(last).select("server_name", "partition_id", "x.status", "x.run_id", "bucket")
+    return rows.repartitionById(BUCKETS, F.col("bucket")).groupBy("bucket", "server_name", "partition_id").agg(last).select("server_name", "partition_id", "x.status", "x.run_id", "bucket")
 
 
 def upsert(table: VersionedTable, rows: DataFrame, stream: str, batch: int) -> int:

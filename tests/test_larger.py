@@ -6,6 +6,7 @@ import numpy as np
 from tarnlake import queries
 from tarnlake.llm import lm
 from tarnlake.operators import ledger, placement
+from tarnlake.streaming import ledger as stream
 from tests.conftest import DATA
 
 
@@ -60,3 +61,9 @@ def test_ledger_rows_are_dealt_before_they_are_sorted(spark):
     rows = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "a int, b string")
     more = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (2, "x")], "a int, b string")
     assert sorted(map(tuple, ledger.changes(rows, more).collect()), key=repr) == [(1, None, "before"), (2, "x", "after"), (2, "x", "after"), (3, "y", "before")]
+
+
+def test_a_part_of_the_followed_table_is_a_task(spark):
+    rows = spark.createDataFrame([("a", 1, "Failed", 1, 5)], "server_name string, partition_id int, status string, run_id long, bucket int")
+    plan = stream._latest(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.split("REPARTITION_BY_NUM")[-1] and f", {stream.BUCKETS})" in plan
