@@ -6,6 +6,8 @@ them by what stands before, is trained on every window of every file of texts, i
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 
 import numpy as np
@@ -19,6 +21,8 @@ from tarnlake.llm.common import fold_case, scan_words, stage, word_hashes
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Words for BPE: what white space leaves, each after a blank.
 _PIECES = r"\s?\S+|\s+"
+#: What such a cut may part a word at, and words that are encoded together.
+_ODD, _TOGETHER = re.compile(r"\s"), 1000
 #: Window of the model, and tokens of it that are scored.
 WINDOW, STRIDE = 32, 24
 #: Sizes of the network; classes of the next token, symbols for frequent tokens, and symbols (each a class, too) that the other tokens share.
@@ -28,7 +32,7 @@ PRIOR = 5.0
 #: Files and steps that the first round takes, only to start from. The rounds after it, one at each of these rates, share out all windows of every file, in steps of BATCH windows; small files make STEPS steps a round.
 WARM_FILES, WARM_STEPS, WARM_RATE = 4, 300, 0.04
 STEPS, BATCH, RATES = 40, 64, (0.03, 0.02, 0.012, 0.006)
-_LANES = 1024
+_LANES = 256
 _LN10 = float(np.log(10))
 
 
@@ -45,11 +49,23 @@ class Tokenizer:
         self.encoding = tiktoken.Encoding("file", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
         self.size = self.end + 1
+        self.opens = np.zeros(self.size, bool)
+        self.opens[[i for piece, i in ranks.items() if b" " in piece]] = True
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and how many each has."""
-        ids = [self.encoding.encode_ordinary(" " + w) for w in words]
-        return np.fromiter((i for x in ids for i in x), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+        """Ids of all words one after another, and how many each has. No word holds a blank.
+
+        Words are encoded many at a time, parted by blanks: only the first token of a word has one. A word with white space beyond ASCII, at which the pattern may cut another way beside others, is encoded by itself.
+        """
+        parts, at = [], 0
+        for i in [*(i for i, w in enumerate(words) if _ODD.search(w)), len(words)]:
+            for j in range(at, i, _TOGETHER):
+                parts.append(self.encoding.encode_ordinary(" " + " ".join(words[j : min(j + _TOGETHER, i)])))
+            if i < len(words):
+                parts.append(self.encoding.encode_ordinary(" " + words[i]))
+            at = i + 1
+        ids = np.fromiter(itertools.chain.from_iterable(parts), np.int32)
+        return ids, np.diff(np.flatnonzero(np.append(self.opens[ids], True)))
 
 
 class Symbols:
@@ -121,6 +137,12 @@ class Symbols:
         return self
 
 
+def _add_to_rows(rows: np.ndarray, row: np.ndarray, fold: int = 8) -> None:
+    """Add ``row`` to each of a multiple of ``fold`` rows, so many at a time."""
+    wide = rows.reshape(-1, fold * len(row))
+    wide += np.tile(row, fold)
+
+
 class Attention:
     """One causal self-attention head and a small feed-forward layer, correcting what the symbol before says of the next token's class."""
 
@@ -130,69 +152,94 @@ class Attention:
         draw = lambda *shape, s=0.3: (rng.standard_normal(shape) * s).astype(np.float32)
         self.weights = {"e": draw(symbols.n + 1, d, s=0.5), "p": draw(WINDOW, d, s=0.1), "qkv": draw(d, 3 * d), "o": draw(d, d), "in": draw(d, INNER), "bi": np.zeros(INNER, np.float32), "out": draw(INNER, d), "u": draw(d, symbols.classes, s=0.05), "bu": np.zeros(symbols.classes, np.float32)}
         self.ones = np.ones(max(WINDOW, symbols.classes), np.float32)
-        self.mask = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW)[:, None], 0, -1e9).astype(np.float32)
+        self.most = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW)[:, None], 30, -1e9).astype(np.float32)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in self.weights.values()])
 
     def set_flat(self, values: np.ndarray) -> None:
+        self._view(values.astype(np.float32))
+
+    def _view(self, values: np.ndarray) -> None:
+        """Make all weights views of one array."""
         at = 0
         for name, w in self.weights.items():
-            self.weights[name] = values[at : at + w.size].astype(np.float32).reshape(w.shape)
+            self.weights[name] = values[at : at + w.size].reshape(w.shape)
             at += w.size
 
-    def _forward(self, x: np.ndarray, skip: int) -> tuple:
-        """x: symbols (lanes, window). Logits of the class after each position from ``skip`` on, and what backpropagation needs."""
+    def _ready(self) -> tuple[np.ndarray, np.ndarray]:
+        """Queries, keys and values of every symbol and of every place, whose sums are those of a token."""
+        w = self.weights
+        return w["e"] @ w["qkv"], w["p"] @ w["qkv"]
+
+    def _forward(self, x: np.ndarray, skip: int, ready: tuple | None = None) -> tuple:
+        """x: symbols (lanes, window). Logits of the class after each position from ``skip`` on, and what backpropagation needs. ``ready`` (:meth:`_ready`) spares the products of embeddings that many windows share.
+
+        Attention weights ``a`` are left as they are before the division by their sums; ``inverse`` is 1 over these.
+        """
         w, d, n = self.weights, WIDTH, len(x)
-        e = w["e"].take(x, axis=0)
-        e += w["p"]
-        qkv = (e.reshape(-1, d) @ w["qkv"]).reshape(n, WINDOW, 3 * d)
-        q, k, v = qkv[:, skip:, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
+        if ready:
+            e = w["e"].take(x[:, skip:], axis=0)
+            e += w["p"][skip:]
+            qkv = ready[0].take(x, axis=0)
+            qkv += ready[1]
+        else:
+            e = w["e"].take(x, axis=0)
+            e += w["p"]
+            qkv = (e.reshape(-1, d) @ w["qkv"]).reshape(n, WINDOW, 3 * d)
+            e = e[:, skip:]
+        q, k, v = qkv[:, skip:, :d] * np.float32(d**-0.5), qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
         a = np.matmul(q, k.transpose(0, 2, 1))
-        a *= d**-0.5
-        np.clip(a, -30, 30, out=a)
-        a += self.mask[skip:]
+        np.maximum(a, -30, out=a)
+        np.minimum(a, self.most[skip:], out=a)
         np.exp(a, out=a)
-        a /= (a @ self.ones[:WINDOW])[:, :, None]
+        inverse = 1 / (a @ self.ones[:WINDOW])[:, :, None]
         mixed = np.matmul(a, v)
-        h = e[:, skip:] + (mixed.reshape(-1, d) @ w["o"]).reshape(n, -1, d)
-        inner = np.maximum(h.reshape(-1, d) @ w["in"] + w["bi"], 0)
-        top = h.reshape(-1, d) + inner @ w["out"]
+        mixed *= inverse
+        h = mixed.reshape(-1, d) @ w["o"]
+        h += e.reshape(-1, d)
+        inner = h @ w["in"]
+        _add_to_rows(inner, w["bi"])
+        np.maximum(inner, 0, out=inner)
+        top = inner @ w["out"]
+        top += h
         logits = top @ w["u"]
-        logits += w["bu"]
+        _add_to_rows(logits, w["bu"])
         np.clip(logits, -60, 60, out=logits)
         logits += self.symbols.class_table.take(x[:, skip:].ravel(), axis=0)
-        return logits, (e, q, k, v, a, mixed, h, inner, top)
+        return logits, (e, q, k, v, a, inverse, mixed, h, inner, top)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss on windows of symbols and the classes that follow, where ``live``, and its gradients."""
         w, d, n = self.weights, WIDTH, len(x)
-        p, (e, q, k, v, a, mixed, h, inner, top) = self._forward(x, 0)
+        p, (e, q, k, v, a, inverse, mixed, h, inner, top) = self._forward(x, 0)
         np.exp(p, out=p)  # logits are from -110 to 60
-        p /= (p @ self.ones[: p.shape[1]])[:, None]
-        rows, weight = np.arange(len(p)), (live.ravel() / max(1, live.sum())).astype(np.float32)
-        loss = float(-(np.log(np.maximum(p[rows, y.ravel()], 1e-9)) * weight).sum())
-        p[rows, y.ravel()] -= 1
-        p *= weight[:, None]
-        g = {"u": top.T @ p, "bu": p.sum(axis=0)}
+        whole, weight = p @ self.ones[: p.shape[1]], (live.ravel() / max(1, live.sum())).astype(np.float32)
+        own = np.arange(len(p)) * p.shape[1] + y.ravel()
+        loss = float(-(np.log(np.maximum(p.ravel()[own] / whole, 1e-9)) * weight).sum())
+        p *= (weight / whole)[:, None]
+        p.ravel()[own] -= weight
+        each = np.ones(len(p), np.float32)
+        g = {"u": (p.T @ top).T, "bu": each @ p}
         dtop = p @ w["u"].T
         g["out"] = inner.T @ dtop
-        di = (dtop @ w["out"].T) * (inner > 0)
-        flat = h.reshape(-1, d)
-        g["in"], g["bi"] = flat.T @ di, di.sum(axis=0)
-        dh = dtop + di @ w["in"].T
+        di = dtop @ w["out"].T
+        di *= inner > 0
+        g["in"], g["bi"] = h.T @ di, each @ di
+        dh = di @ w["in"].T
+        dh += dtop
         g["o"] = mixed.reshape(-1, d).T @ dh
         dm = (dh @ w["o"].T).reshape(n, WINDOW, d)
-        da = np.matmul(dm, v.transpose(0, 2, 1))
-        ds = a * (da - np.einsum("nij,nij->ni", da, a)[:, :, None]) * d**-0.5
-        dqkv = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dm)], axis=2).reshape(-1, 3 * d)
+        dm *= inverse
+        ds = np.matmul(dm, v.transpose(0, 2, 1))
+        ds -= np.einsum("nij,nij->ni", dm, mixed)[:, :, None]
+        ds *= a
+        dqkv = np.concatenate([np.matmul(ds, k) * np.float32(d**-0.5), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dm)], axis=2).reshape(-1, 3 * d)
         g["qkv"] = e.reshape(-1, d).T @ dqkv
-        de = dh.reshape(n, WINDOW, d) + (dqkv @ w["qkv"].T).reshape(n, WINDOW, d)
-        g["p"], g["e"] = de.sum(axis=0), np.zeros_like(w["e"])
-        order = np.argsort(x.ravel().astype(np.int16), kind="stable")
-        seen = x.ravel()[order]
-        heads = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
-        g["e"][seen[heads]] = np.add.reduceat(de.reshape(-1, d)[order], heads, axis=0)
+        de = dqkv @ w["qkv"].T
+        de += dh
+        g["p"] = (each[:n] @ de.reshape(n, -1)).reshape(WINDOW, d)
+        g["e"] = np.bincount((x.reshape(-1, 1) * d + np.arange(d)).ravel(), de.ravel(), w["e"].size).astype(np.float32).reshape(-1, d)
         return loss, g
 
     def _windows(self, first: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,17 +274,30 @@ class Attention:
         symbols = self.symbols.of[tokens]
         classes = self.symbols.class_of[symbols]
         spots = np.random.default_rng(part).permutation(spots)
+        weights = self.flat()
+        self._view(weights)
+        m, s = moments.setdefault("sums", (np.zeros_like(weights), np.zeros_like(weights)))
+        change = np.empty_like(weights)
         for i in range(0, len(spots), BATCH):
             some = spots[i : i + BATCH]
             at = begin[some, None] - (WINDOW - STRIDE) + np.arange(WINDOW)
             live = (at >= start[some, None]) & (at < stop[some, None])
             _, grads = self.gradients(self._inputs(symbols, begin[some], start[some]), classes[np.clip(at, 0, len(tokens) - 1)], live)
             t = moments["step"] = moments.get("step", 0) + 1
-            for name, grad in grads.items():
-                m, s = moments.setdefault(name, (np.zeros_like(grad), np.zeros_like(grad)))
-                m += 0.1 * (grad - m)
-                s += 0.01 * (grad * grad - s)
-                self.weights[name] -= (rate / (1 - 0.9**t)) * m / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
+            grad = np.concatenate([grads[name].ravel() for name in self.weights])
+            np.subtract(grad, m, out=change)
+            change *= 0.1
+            m += change
+            grad *= grad
+            grad -= s
+            grad *= 0.01
+            s += grad
+            np.multiply(s, 1 / (1 - 0.99**t), out=grad)
+            np.sqrt(grad, out=grad)
+            grad += 1e-8
+            np.divide(m, grad, out=change)
+            change *= rate / (1 - 0.9**t)
+            weights -= change
         return moments
 
     def score(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -246,9 +306,10 @@ class Attention:
         symbols = self.symbols.of[tokens]
         classes = self.symbols.class_of[symbols]
         value = self.symbols.table[self.symbols.before(symbols, first) * self.symbols.n + symbols] + self.symbols.within[tokens]
+        ready = self._ready()
         for i in range(0, len(begin), _LANES):
             b, s, e = begin[i : i + _LANES], start[i : i + _LANES], stop[i : i + _LANES]
-            logits, _ = self._forward(self._inputs(symbols, b, s), WINDOW - STRIDE)
+            logits, _ = self._forward(self._inputs(symbols, b, s), WINDOW - STRIDE, ready)
             at = (b[:, None] + np.arange(STRIDE)).ravel()
             live = np.flatnonzero(at < np.repeat(e, STRIDE))
             at = at[live]

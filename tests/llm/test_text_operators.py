@@ -139,6 +139,21 @@ def test_scores(spark, monkeypatch, tmp_path):
     assert lm.score_texts(spark.createDataFrame([], "doc_id long, text string"), public.path("byte_bpe_multi_50k.tiktoken")).count() == 0
 
 
+def test_words_are_encoded_together():
+    """As many ids for each word as it has by itself, white space beyond ASCII within or around it included; and few calls of the encoder."""
+    public = pytest.importorskip("public_tokenizers")
+    tokenizer = lm.Tokenizer(public.path("byte_bpe_multi_50k.tiktoken"))
+    words = [f"w{i}" for i in range(2_500)]
+    words[1_200:1_200] = ["a\u00a0", "b", "\u3000", "\u00a0c", "d\u2003e", "\x1f", "\x85f", "école", "\U0001f600", "g"]
+    encode, calls = tokenizer.encoding.encode_ordinary, []
+    want = [encode(" " + w) for w in words]
+    tokenizer.encoding.encode_ordinary = lambda text: calls.append(text) or encode(text)
+    ids, size = tokenizer.words(words)
+    assert ids.tolist() == [i for x in want for i in x] and size.tolist() == list(map(len, want))
+    assert len(calls) < 30
+    assert [len(x) for x in tokenizer.words([])] == [0, 0]
+
+
 def _small_model(tokens, first, counts):
     symbols = lm.Symbols(counts, size=20, shared=2)
     return lm.Attention(symbols.learn(symbols.pairs(tokens, first), classes=6))
