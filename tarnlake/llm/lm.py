@@ -6,6 +6,7 @@ them by what stands before, is trained on every window of every file of texts, i
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import zlib
@@ -21,8 +22,10 @@ from tarnlake.llm.common import fold_case, scan_words, stage, word_hashes
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Words for BPE: what white space leaves, each after a blank.
 _PIECES = r"\s?\S+|\s+"
-#: What such a cut may part a word at, and words that are encoded together.
-_ODD, _TOGETHER = re.compile(r"\s"), 1000
+#: What such a cut may part a word at, beside the blanks between words that are encoded together; and how many of these are.
+_ODD, _TOGETHER = re.compile(r"[^\S ]"), 1000
+#: Words whose ids a Python worker remembers.
+KNOWN = 1 << 20
 #: Window of the model, and tokens of it that are scored.
 WINDOW, STRIDE = 32, 24
 #: Sizes of the network; classes of the next token, symbols for frequent tokens, and symbols (each a class, too) that the other tokens share.
@@ -32,7 +35,7 @@ PRIOR = 5.0
 #: Files and steps that the first round takes, only to start from. The rounds after it, one at each of these rates, share out all windows of every file, in steps of BATCH windows; small files make STEPS steps a round.
 WARM_FILES, WARM_STEPS, WARM_RATE = 4, 300, 0.04
 STEPS, BATCH, RATES = 40, 64, (0.03, 0.02, 0.012, 0.006)
-_LANES = 256
+_LANES = 96
 _LN10 = float(np.log(10))
 
 
@@ -58,7 +61,8 @@ class Tokenizer:
         Words are encoded many at a time, parted by blanks: only the first token of a word has one. A word with white space beyond ASCII, at which the pattern may cut another way beside others, is encoded by itself.
         """
         parts, at = [], 0
-        for i in [*(i for i, w in enumerate(words) if _ODD.search(w)), len(words)]:
+        odd = [i for i, w in enumerate(words) if _ODD.search(w)] if _ODD.search(" ".join(words)) else []
+        for i in [*odd, len(words)]:
             for j in range(at, i, _TOGETHER):
                 parts.append(self.encoding.encode_ordinary(" " + " ".join(words[j : min(j + _TOGETHER, i)])))
             if i < len(words):
@@ -68,6 +72,35 @@ class Tokenizer:
         return ids, np.diff(np.flatnonzero(np.append(self.opens[ids], True)))
 
 
+class _Known:
+    """Ids of words that were encoded before, by the words' hashes, so that files that share words encode each once. It stops taking words at KNOWN."""
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer(path)
+        self.hashes, self.begin, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def ids(self, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a file's distinct words one after another, and how many each has."""
+        at = np.searchsorted(self.hashes, words.distinct)
+        old = at < len(self.hashes)
+        old[old] = self.hashes[at[old]] == words.distinct[old]
+        new = np.flatnonzero(~old)
+        ids, size = self.tokenizer.words(words.texts(new))
+        pool = np.concatenate([self.pool, ids])
+        begin, sizes = np.empty((2, len(old)), np.int64)
+        begin[old], sizes[old] = self.begin[at[old]], self.size[at[old]]
+        begin[new], sizes[new] = len(self.pool) + np.cumsum(size) - size, size
+        if len(new) and len(self.hashes) + len(new) <= KNOWN:
+            self.hashes, self.begin, self.size = (np.insert(x, at[new], y[new]) for x, y in ((self.hashes, words.distinct), (self.begin, begin), (self.size, sizes)))
+            self.pool = pool
+        return pool[np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())], sizes
+
+
+@functools.lru_cache(1)
+def _known(path: str) -> _Known:
+    return _Known(path)
+
+
 class Symbols:
     """What the network reads and predicts: the most frequent tokens are symbols of their own, the others share a few by frequency.
 
@@ -137,12 +170,6 @@ class Symbols:
         return self
 
 
-def _add_to_rows(rows: np.ndarray, row: np.ndarray, fold: int = 8) -> None:
-    """Add ``row`` to each of a multiple of ``fold`` rows, so many at a time."""
-    wide = rows.reshape(-1, fold * len(row))
-    wide += np.tile(row, fold)
-
-
 class Attention:
     """One causal self-attention head and a small feed-forward layer, correcting what the symbol before says of the next token's class."""
 
@@ -152,7 +179,9 @@ class Attention:
         draw = lambda *shape, s=0.3: (rng.standard_normal(shape) * s).astype(np.float32)
         self.weights = {"e": draw(symbols.n + 1, d, s=0.5), "p": draw(WINDOW, d, s=0.1), "qkv": draw(d, 3 * d), "o": draw(d, d), "in": draw(d, INNER), "bi": np.zeros(INNER, np.float32), "out": draw(INNER, d), "u": draw(d, symbols.classes, s=0.05), "bu": np.zeros(symbols.classes, np.float32)}
         self.ones = np.ones(max(WINDOW, symbols.classes), np.float32)
-        self.most = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW)[:, None], 30, -1e9).astype(np.float32)
+        self.cells = np.arange((symbols.n + 1) * d).reshape(-1, d)
+        self.zeros = np.zeros((INNER, 1), np.float32)
+        self.causal = np.tri(WINDOW, dtype=np.float32)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in self.weights.values()])
@@ -167,155 +196,184 @@ class Attention:
             self.weights[name] = values[at : at + w.size].reshape(w.shape)
             at += w.size
 
-    def _ready(self) -> tuple[np.ndarray, np.ndarray]:
-        """Queries, keys and values of every symbol and of every place, whose sums are those of a token."""
-        w = self.weights
-        return w["e"] @ w["qkv"], w["p"] @ w["qkv"]
+    def _joined(self) -> np.ndarray:
+        """Queries times keys, and beside them values times "o", as one product each."""
+        d, qkv = WIDTH, self.weights["qkv"]
+        out = np.empty((d, 2 * d), np.float32)
+        np.matmul(qkv[:, :d] * np.float32(d**-0.5), qkv[:, d : 2 * d].T, out=out[:, :d])
+        np.matmul(qkv[:, 2 * d :], self.weights["o"], out=out[:, d:])
+        return out
+
+    def _ready(self) -> tuple[np.ndarray, ...]:
+        """What scoring makes once of all windows: embeddings and their products, of every symbol and of every place, whose sums are those of a token. Embeddings end with a zero and values with a one."""
+        w, joined = self.weights, self._joined()
+        beside = lambda x, last: np.concatenate([x @ joined[:, :WIDTH], x, np.zeros((len(x), 1), np.float32), x @ joined[:, WIDTH:], np.full((len(x), 1), last, np.float32)], axis=1)
+        return beside(w["e"], 1), beside(w["p"], 0)
 
     def _forward(self, x: np.ndarray, skip: int, ready: tuple | None = None) -> tuple:
         """x: symbols (lanes, window). Logits of the class after each position from ``skip`` on, and what backpropagation needs. ``ready`` (:meth:`_ready`) spares the products of embeddings that many windows share.
 
-        Attention weights ``a`` are left as they are before the division by their sums; ``inverse`` is 1 over these.
+        A token's embedding is its own key, as queries are multiplied by the keys' weights, too; what attention mixes are values that went through "o".
         """
         w, d, n = self.weights, WIDTH, len(x)
         if ready:
-            e = w["e"].take(x[:, skip:], axis=0)
-            e += w["p"][skip:]
-            qkv = ready[0].take(x, axis=0)
-            qkv += ready[1]
+            both = ready[0].take(x, axis=0)
+            both += ready[1]
+            q, e, v = both[:, skip:, :d], both[:, :, d : 2 * d], both[:, :, 2 * d + 1 :]
         else:
             e = w["e"].take(x, axis=0)
             e += w["p"]
-            qkv = (e.reshape(-1, d) @ w["qkv"]).reshape(n, WINDOW, 3 * d)
-            e = e[:, skip:]
-        q, k, v = qkv[:, skip:, :d] * np.float32(d**-0.5), qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        np.maximum(a, -30, out=a)
-        np.minimum(a, self.most[skip:], out=a)
+            joined = self._joined()
+            qv = (e.reshape(-1, d) @ joined).reshape(n, WINDOW, 2 * d)
+            q, v = qv[:, skip:, :d], qv[:, :, d:]
+        a = np.matmul(q, e.transpose(0, 2, 1))
+        np.clip(a, -30, 30, out=a)
         np.exp(a, out=a)
-        inverse = 1 / (a @ self.ones[:WINDOW])[:, :, None]
-        mixed = np.matmul(a, v)
-        mixed *= inverse
-        h = mixed.reshape(-1, d) @ w["o"]
-        h += e.reshape(-1, d)
-        inner = h @ w["in"]
-        _add_to_rows(inner, w["bi"])
-        np.maximum(inner, 0, out=inner)
-        top = inner @ w["out"]
+        a *= self.causal[skip:]
+        # A last column of ones stands for the biases.
+        if ready:
+            h = np.matmul(a, v)
+            h *= 1 / h[:, :, d:]
+            h += both[:, skip:, d : 2 * d + 1]
+            h, mixed, joined = h.reshape(-1, d + 1), None, None
+        else:
+            a *= 1 / (a @ self.ones[:WINDOW])[:, :, None]
+            mixed = np.matmul(a, v)
+            h = np.ones((n * (WINDOW - skip), d + 1), np.float32)
+            np.add(mixed, e[:, skip:], out=h.reshape(n, -1, d + 1)[:, :, :d])
+        inner = h @ np.vstack([w["in"], w["bi"]])
+        np.clip(inner, 0, np.inf, out=inner)
+        top = inner @ np.hstack([w["out"], self.zeros])
         top += h
-        logits = top @ w["u"]
-        _add_to_rows(logits, w["bu"])
-        np.clip(logits, -60, 60, out=logits)
+        logits = top @ np.vstack([w["u"], w["bu"]])
+        if not max(top.max(), -top.min()) * (np.abs(w["u"]).sum(axis=0) + np.abs(w["bu"])).max() < 60:
+            np.clip(logits, -60, 60, out=logits)
         logits += self.symbols.class_table.take(x[:, skip:].ravel(), axis=0)
-        return logits, (e, q, k, v, a, inverse, mixed, h, inner, top)
+        return logits, (e, joined, q, v, a, mixed, h, inner, top)
 
-    def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Loss on windows of symbols and the classes that follow, where ``live``, and its gradients."""
+    def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, loss: bool = True) -> tuple[float | None, dict[str, np.ndarray]]:
+        """Loss (if asked for) on windows of symbols and the classes that follow, where ``live``, and its gradients."""
         w, d, n = self.weights, WIDTH, len(x)
-        p, (e, q, k, v, a, inverse, mixed, h, inner, top) = self._forward(x, 0)
+        p, (e, joined, q, v, a, mixed, h, inner, top) = self._forward(x, 0)
         np.exp(p, out=p)  # logits are from -110 to 60
-        whole, weight = p @ self.ones[: p.shape[1]], (live.ravel() / max(1, live.sum())).astype(np.float32)
-        own = np.arange(len(p)) * p.shape[1] + y.ravel()
-        loss = float(-(np.log(np.maximum(p.ravel()[own] / whole, 1e-9)) * weight).sum())
+        whole, weight = p @ self.ones[: p.shape[1]], live.ravel() * np.float32(1 / max(1, np.count_nonzero(live)))
+        own = np.arange(0, p.size, p.shape[1]) + y.ravel()
+        loss = float(-(np.log(np.maximum(p.ravel()[own] / whole, 1e-9)) * weight).sum()) if loss else None
         p *= (weight / whole)[:, None]
         p.ravel()[own] -= weight
-        each = np.ones(len(p), np.float32)
-        g = {"u": (p.T @ top).T, "bu": each @ p}
+        last = (p.T @ top).T
+        g = {"u": last[:d], "bu": last[d]}
         dtop = p @ w["u"].T
         g["out"] = inner.T @ dtop
         di = dtop @ w["out"].T
         di *= inner > 0
-        g["in"], g["bi"] = h.T @ di, each @ di
+        first = (di.T @ h).T
+        g["in"], g["bi"] = first[:d], first[d]
         dh = di @ w["in"].T
         dh += dtop
-        g["o"] = mixed.reshape(-1, d).T @ dh
-        dm = (dh @ w["o"].T).reshape(n, WINDOW, d)
-        dm *= inverse
+        dm = dh.reshape(n, WINDOW, d)
         ds = np.matmul(dm, v.transpose(0, 2, 1))
-        ds -= np.einsum("nij,nij->ni", dm, mixed)[:, :, None]
+        ds -= ((dm * mixed) @ self.ones[:d])[:, :, None]
         ds *= a
-        dqkv = np.concatenate([np.matmul(ds, k) * np.float32(d**-0.5), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dm)], axis=2).reshape(-1, 3 * d)
-        g["qkv"] = e.reshape(-1, d).T @ dqkv
-        de = dqkv @ w["qkv"].T
+        dqv = np.empty((n, WINDOW, 2 * d), np.float32)
+        np.matmul(ds, e, out=dqv[:, :, :d])
+        np.matmul(a.transpose(0, 2, 1), dm, out=dqv[:, :, d:])
+        dqv = dqv.reshape(-1, 2 * d)
+        # Gradients of the two joined products, and of their factors.
+        both = (dqv.T @ e.reshape(-1, d)).T
+        qk, vo = both[:, :d], both[:, d:]
+        query, key, value = (w["qkv"][:, i : i + d] for i in (0, d, 2 * d))
+        g["qkv"] = np.concatenate([qk @ key * np.float32(d**-0.5), qk.T @ query * np.float32(d**-0.5), vo @ w["o"].T], axis=1)
+        g["o"] = value.T @ vo
+        de = dqv @ joined.T
         de += dh
-        g["p"] = (each[:n] @ de.reshape(n, -1)).reshape(WINDOW, d)
-        g["e"] = np.bincount((x.reshape(-1, 1) * d + np.arange(d)).ravel(), de.ravel(), w["e"].size).astype(np.float32).reshape(-1, d)
+        de += np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, d)
+        g["p"] = (np.ones(n, np.float32) @ de.reshape(n, -1)).reshape(WINDOW, d)
+        g["e"] = np.bincount(self.cells.take(x, axis=0).ravel(), de.ravel(), w["e"].size).astype(np.float32).reshape(-1, d)
         return loss, g
 
     def _windows(self, first: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every window: the place of its first scored token, the start and the end of its text. At a stride of WINDOW, each token is in one window."""
+        """For every window: the place of its first scored token, the number and the end of its text. At a stride of WINDOW, each token is in one window."""
         size = np.diff(first)
         parts = -(-(size + stride - STRIDE) // stride)
         text = np.repeat(np.arange(len(size)), parts)
         begin = first[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * stride
-        return begin, first[:-1][text], first[1:][text]
-
-    def _inputs(self, symbols: np.ndarray, begin: np.ndarray, start: np.ndarray) -> np.ndarray:
+        return begin, text, first[1:][text]
+
+    def _padded(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Every text after as many start symbols as stand before its first scored token in a window, seen as the windows that begin at each place."""
+        pad = WINDOW - STRIDE + 1
+        own = np.ones(len(symbols) + pad * len(first) + WINDOW, bool)
+        own[(first + pad * np.arange(len(first)))[:, None] + np.arange(pad)] = False
+        own[-WINDOW:] = False
+        out = np.full(len(own), self.symbols.start, np.int32)
+        out[own] = symbols
+        return np.lib.stride_tricks.sliding_window_view(out, WINDOW)
+
+    def _inputs(self, padded: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray:
         """What stands before each place of a window; the start symbol before a text's first token."""
-        at = begin[:, None] - (WINDOW - STRIDE) - 1 + np.arange(WINDOW)
-        return np.where(at >= start[:, None], symbols[np.clip(at, 0, len(symbols) - 1)], self.symbols.start)
+        return padded[begin + (WINDOW - STRIDE + 1) * text].astype(np.int64)
 
     def fit(self, tokens: np.ndarray, first: np.ndarray, steps: int, rate: float, part: int = 0, moments: dict | None = None) -> dict:
         """Adam steps on windows of the texts that ``first`` cuts ``tokens`` into. The windows are evenly spaced; ``part`` moves them on by as many places. Returns the moments."""
         windows = self._windows(first)
         n = len(windows[0])
-        return self._steps(tokens, windows, (np.arange(steps * BATCH) * max(1, n // (steps * BATCH)) + part) % n, rate, part, moments)
+        return self._steps(tokens, first, windows, (np.arange(steps * BATCH) * max(1, n // (steps * BATCH)) + part) % n, rate, part, moments)
 
     def fit_share(self, tokens: np.ndarray, first: np.ndarray, rate: float, part: int, moments: dict | None = None) -> dict:
         """Adam steps on every window whose number modulo the number of rounds is ``part``; others follow where that makes fewer than STEPS steps. So all rounds together take every token."""
         windows, rounds = self._windows(first, WINDOW), len(RATES)
         n = len(windows[0])
         order = np.concatenate([np.arange((part + i) % rounds, n, rounds) for i in range(rounds)])
-        return self._steps(tokens, windows, np.resize(order, max(len(range(part % rounds, n, rounds)), STEPS * BATCH)), rate, part, moments)
+        return self._steps(tokens, first, windows, np.resize(order, max(len(range(part % rounds, n, rounds)), STEPS * BATCH)), rate, part, moments)
 
-    def _steps(self, tokens: np.ndarray, windows: tuple, spots: np.ndarray, rate: float, part: int, moments: dict | None) -> dict:
+    def _steps(self, tokens: np.ndarray, first: np.ndarray, windows: tuple, spots: np.ndarray, rate: float, part: int, moments: dict | None) -> dict:
         moments = {} if moments is None else moments
-        begin, start, stop = windows
+        begin, text, stop = windows
         symbols = self.symbols.of[tokens]
         classes = self.symbols.class_of[symbols]
         spots = np.random.default_rng(part).permutation(spots)
+        at = begin[spots, None] - (WINDOW - STRIDE) + np.arange(WINDOW)
+        live = (at >= first[text[spots], None]) & (at < stop[spots, None])
+        x, y = self._inputs(self._padded(symbols, first), begin[spots], text[spots]), classes.take(at, mode="clip")
         weights = self.flat()
         self._view(weights)
+        # Sums of gradients and of their squares, each step's at 0.9 and 0.99 of the one before: ten and a hundred times their means.
         m, s = moments.setdefault("sums", (np.zeros_like(weights), np.zeros_like(weights)))
         change = np.empty_like(weights)
         for i in range(0, len(spots), BATCH):
-            some = spots[i : i + BATCH]
-            at = begin[some, None] - (WINDOW - STRIDE) + np.arange(WINDOW)
-            live = (at >= start[some, None]) & (at < stop[some, None])
-            _, grads = self.gradients(self._inputs(symbols, begin[some], start[some]), classes[np.clip(at, 0, len(tokens) - 1)], live)
+            _, grads = self.gradients(x[i : i + BATCH], y[i : i + BATCH], live[i : i + BATCH], loss=False)
             t = moments["step"] = moments.get("step", 0) + 1
             grad = np.concatenate([grads[name].ravel() for name in self.weights])
-            np.subtract(grad, m, out=change)
-            change *= 0.1
-            m += change
+            m *= 0.9
+            m += grad
             grad *= grad
-            grad -= s
-            grad *= 0.01
+            s *= 0.99
             s += grad
-            np.multiply(s, 1 / (1 - 0.99**t), out=grad)
-            np.sqrt(grad, out=grad)
-            grad += 1e-8
+            np.sqrt(s, out=grad)
+            root = (0.01 / (1 - 0.99**t)) ** 0.5
+            grad += 1e-8 / root
             np.divide(m, grad, out=change)
-            change *= rate / (1 - 0.9**t)
+            change *= rate * 0.1 / (1 - 0.9**t) / root
             weights -= change
         return moments
 
     def score(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 probability of each text. Windows overlap; every token is scored once, after WINDOW - STRIDE tokens of context at least where there are any."""
-        begin, start, stop = self._windows(first)
+        begin, text, stop = self._windows(first)
         symbols = self.symbols.of[tokens]
         classes = self.symbols.class_of[symbols]
         value = self.symbols.table[self.symbols.before(symbols, first) * self.symbols.n + symbols] + self.symbols.within[tokens]
-        ready = self._ready()
+        ready, padded = self._ready(), self._padded(symbols, first)
         for i in range(0, len(begin), _LANES):
-            b, s, e = begin[i : i + _LANES], start[i : i + _LANES], stop[i : i + _LANES]
-            logits, _ = self._forward(self._inputs(symbols, b, s), WINDOW - STRIDE, ready)
+            b, t, e = begin[i : i + _LANES], text[i : i + _LANES], stop[i : i + _LANES]
+            logits, _ = self._forward(self._inputs(padded, b, t), WINDOW - STRIDE, ready)
             at = (b[:, None] + np.arange(STRIDE)).ravel()
-            live = np.flatnonzero(at < np.repeat(e, STRIDE))
-            at = at[live]
-            own = logits[live, classes[at]]
+            live = at < np.repeat(e, STRIDE)
+            own = logits.ravel()[np.arange(0, logits.size, logits.shape[1]) + classes.take(at, mode="clip")]
             np.exp(logits, out=logits)
-            value[at] += own - np.log((logits @ self.ones[: logits.shape[1]])[live])
+            own -= np.log(logits @ self.ones[: logits.shape[1]])
+            value[at[live]] += own[live]
         return np.add.reduceat(value, first[:-1]) / _LN10
 
 
@@ -337,9 +395,16 @@ class _Words:
         self.learned = np.array([_is_training(x) for x in batch.ids], bool)
         self.training = np.repeat(self.learned, np.diff(self.first))
 
-    def texts(self) -> list[str]:
-        text = self.data.tobytes()
-        return [text[s:e].decode("utf-8") for s, e in zip(self.starts[self.example].tolist(), self.ends[self.example].tolist(), strict=True)]
+    def texts(self, some: np.ndarray) -> list[str]:
+        """Some of the distinct words. None holds a blank, so that blanks part them where they are decoded together."""
+        if not len(some):
+            return []
+        starts, ends = self.starts[self.example[some]], self.ends[self.example[some]]
+        upto = np.cumsum(ends - starts + 1)
+        at = np.repeat(ends + 1 - upto, ends - starts + 1) + np.arange(upto[-1])
+        text = self.data.take(at, mode="clip")
+        text[upto - 1] = 0x20
+        return text.tobytes().decode("utf-8").split(" ")[:-1]
 
 
 def _tokens(words: _Words, ids: np.ndarray, size: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -435,16 +500,15 @@ def score_texts(docs: DataFrame, tokenizer_file: str = TOKENIZER) -> DataFrame:
     n_files = manifest.count()
     tasks = max(spark.sparkContext.defaultParallelism, -(-n_files // 4))
     files = manifest.select("batch").repartition(tasks, "batch")
-    tokenizer = Tokenizer(tokenizer_file)
-    end = tokenizer.end
+    end = Tokenizer(tokenizer_file).end
 
     def requests(batches):
-        tokenizer, subwords = Tokenizer(tokenizer_file), np.zeros(end + 1)
+        known, subwords = _known(tokenizer_file), np.zeros(end + 1)
         for rows in batches:
             for name in rows["batch"]:
                 batch = TextBatch(folder, name)
                 words = _Words(batch)
-                ids, size = tokenizer.words(words.texts())
+                ids, size = known.ids(words)
                 tokens, first = _tokens(words, ids, size, end)
                 _keep(batch, "ids", tokens, np.diff(first), words.learned)
                 _keep(batch, "words", words.which, np.diff(words.first))

@@ -6,8 +6,10 @@ import math
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,6 +156,29 @@ def test_words_are_encoded_together():
     assert [len(x) for x in tokenizer.words([])] == [0, 0]
 
 
+def test_shared_words_are_encoded_once(monkeypatch):
+    """A file's ids are those of its words one by one, whether files before it had the words or not; words that earlier files had aren't encoded again, as long as they fit."""
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+
+    def file(*texts):
+        data, offsets = common.text_buffer(pa.array(texts))
+        return lm._Words(SimpleNamespace(data=data, offsets=offsets, ids=list(range(len(texts)))))
+
+    files = [file("One two two", "three écoles \u00a0x"), file("two ONE  four", None, "\u3000"), file(), file("four one", "five"), file("five")]
+    plain = lm.Tokenizer(path).encoding.encode_ordinary
+    for most, want in ((1 << 20, [5, 2, 0, 1, 0]), (6, [5, 2, 0, 2, 1]), (4, [5, 4, 0, 1, 1])):
+        monkeypatch.setattr(lm, "KNOWN", most)
+        known, asked = lm._Known(path), []
+        encode = known.tokenizer.words
+        known.tokenizer.words = lambda words, encode=encode, asked=asked: asked.append(len(words)) or encode(words)
+        for words in files:
+            every = words.texts(np.arange(len(words.distinct)))
+            ids, size = known.ids(words)
+            assert ids.tolist() == [i for w in every for i in plain(" " + w)] and size.tolist() == [len(plain(" " + w)) for w in every]
+        assert asked == want and len(known.hashes) <= most
+
+
 def _small_model(tokens, first, counts):
     symbols = lm.Symbols(counts, size=20, shared=2)
     return lm.Attention(symbols.learn(symbols.pairs(tokens, first), classes=6))
