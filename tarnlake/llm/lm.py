@@ -289,7 +289,8 @@ class Attention:
         de += dh
         de += np.matmul(ds.transpose(0, 2, 1), q).reshape(-1, d)
         g["p"] = (np.ones(n, np.float32) @ de.reshape(n, -1)).reshape(WINDOW, d)
-        g["e"] = np.bincount(self.cells.take(x, axis=0).ravel(), de.ravel(), w["e"].size).astype(np.float32).reshape(-1, d)
+        g["e"] = np.zeros_like(w["e"])
+        np.add.at(g["e"].reshape(-1), self.cells.take(x, axis=0).ravel(), de.ravel())
         return loss, g
 
     def _windows(self, first: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -424,7 +425,7 @@ def _keep(batch: TextBatch, kind: str, *arrays: np.ndarray) -> None:
     """Put arrays of small numbers beside a file. A repeated task writes the same bytes."""
     import pyarrow as pa
 
-    data = np.array([len(arrays), *map(len, arrays)], "<u4").tobytes() + b"".join(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in arrays)
+    data = np.array([len(arrays), *map(len, arrays)], "<u4").tobytes() + b"".join((x >> shift).astype(np.uint8).tobytes() for x in map(np.asarray, arrays) for shift in (0, 8, 16, 24))
     with batch.store.open_output_stream(f"{batch.path}.{kind}") as out:
         out.write(len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True))
 
@@ -440,7 +441,16 @@ def _kept(folder: str, name: str, kind: str) -> list[np.ndarray]:
     data = np.frombuffer(pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True), np.uint8)
     sizes = data[4 : 4 + 4 * int(data[:4].view("<u4")[0])].view("<u4").astype(np.int64)
     edge = 4 + 4 * len(sizes) + np.concatenate([[0], np.cumsum(4 * sizes)])
-    return [np.ascontiguousarray(data[i:j].reshape(4, -1).T).view("<u4").ravel().astype(np.int64) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+    return [_from_bytes(data[i:j].reshape(4, -1)) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+
+
+def _from_bytes(planes: np.ndarray) -> np.ndarray:
+    """Numbers below 2^32 of their lowest bytes, their second ones and so on."""
+    out = planes[0].astype(np.uint32)
+    for i, plane in enumerate(planes[1:], 1):
+        if plane.any():
+            out |= plane.astype(np.uint32) << np.uint32(8 * i)
+    return out.astype(np.int64)
 
 
 def _kept_tokens(folder: str, name: str, training: bool = False) -> tuple[np.ndarray, np.ndarray]:
